@@ -180,3 +180,29 @@ def fx_grey_images(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.transform("cells", lambda s: s["g"]).alias("grey"),
         ).alias("image"),
     )
+
+
+def fx_hash0(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """image_id, hash_hi, hash_lo: the median-threshold bits of each 8x8 grid (kernel route)."""
+    from vistasieve.operators.pixels import measure_images
+
+    m = measure_images(fx_grey_images(spark, sf_dir), mode="threshold")
+    return m.select("image_id", "hash_hi", "hash_lo")
+
+
+# Copies get their id shifted by these offsets and k = id % 9
+# (first copy) or k + 4 (second copy) low bits flipped.
+FX_COPY_OFFSETS = (1000000, 2000000)
+FX_FLIP_MOD = 9
+FX_SECOND_EXTRA = 4
+
+
+def fx_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Originals plus two near copies of every hash: chains that tell first-kept-wins from components."""
+    h = fx_hash0(spark, sf_dir)
+    # shiftleft() with a per-row bit count exists only as a SQL function
+    flip1 = F.expr(f"shiftleft(1L, CAST(image_id % {FX_FLIP_MOD} AS INT)) - 1")
+    flip2 = F.expr(f"shiftleft(1L, CAST(image_id % {FX_FLIP_MOD} + {FX_SECOND_EXTRA} AS INT)) - 1")
+    c1 = h.select((F.col("image_id") + FX_COPY_OFFSETS[0]).alias("image_id"), "hash_hi", F.col("hash_lo").bitwiseXOR(flip1).alias("hash_lo"))
+    c2 = h.select((F.col("image_id") + FX_COPY_OFFSETS[1]).alias("image_id"), "hash_hi", F.col("hash_lo").bitwiseXOR(flip2).alias("hash_lo"))
+    return h.unionByName(c1).unionByName(c2)

@@ -55,11 +55,11 @@ FX = {
         CAST(sum(CASE WHEN r >= 4 AND g > md THEN CAST(1 AS BIGINT) << ((r - 4) * 8 + c) ELSE 0 END) AS BIGINT) AS hash_lo
       FROM (SELECT p.*, m.md FROM fx_pixels p JOIN (SELECT image_id, median(g) AS md FROM fx_pixels GROUP BY image_id) m
             ON m.image_id = p.image_id) t GROUP BY image_id""",
-    "fx_hashes": """SELECT image_id, hash_hi, hash_lo FROM fx_hash0 WHERE image_id < 200
+    "fx_hashes": """SELECT image_id, hash_hi, hash_lo FROM fx_hash0
       UNION ALL SELECT image_id + 1000000, hash_hi, xor(hash_lo, (CAST(1 AS BIGINT) << CAST(image_id % 9 AS INT)) - 1)
-        FROM fx_hash0 WHERE image_id < 200
+        FROM fx_hash0
       UNION ALL SELECT image_id + 2000000, hash_hi, xor(hash_lo, (CAST(1 AS BIGINT) << CAST(image_id % 9 + 4 AS INT)) - 1)
-        FROM fx_hash0 WHERE image_id < 200""",
+        FROM fx_hash0""",
 }
 
 # dependency order of the fixture views
@@ -90,6 +90,8 @@ def with_fx(body: str, *names: str) -> str:
         add(n)
     ctes = [f"{n} AS ({FX[n]})" for n in _FX_ORDER if n in needed]
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join(ctes) + ",\n" + body[15:]
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body
