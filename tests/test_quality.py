@@ -1,0 +1,91 @@
+"""Quality gate on decoded images (F7-F11, A4, A5, X7) and on measure columns."""
+
+import numpy as np
+import pytest
+from conftest import write_png
+
+from vistasieve.config import Thresholds
+from vistasieve.operators import pixels, quality
+from vistasieve.sources.readers import images_with_manifest
+
+
+def _noise(h, w, seed=0):
+    return np.random.default_rng(seed).integers(0, 256, size=(h, w, 3), dtype=np.uint8)
+
+
+@pytest.fixture(scope="module")
+def gated(spark, tmp_path_factory):
+    d = tmp_path_factory.mktemp("imgs")
+    write_png(str(d / "a_640x480.png"), _noise(480, 640, 1))
+    write_png(str(d / "b_480x640.png"), _noise(640, 480, 2))
+    write_png(str(d / "c_2000x300.png"), _noise(300, 2000, 3))
+    write_png(str(d / "d_flat.png"), np.full((500, 500, 3), 128, dtype=np.uint8))
+    write_png(str(d / "e_dark.png"), (_noise(500, 500, 4) // 16).astype(np.uint8))
+    (d / "f_junk.png").write_bytes(b"not an image")
+    (d / "g_empty.png").write_bytes(b"")
+    imgs = images_with_manifest(spark, str(d))
+    m = pixels.measure_images(imgs, key="path")
+    g = quality.apply_quality(m, Thresholds())
+    return {r["path"].rsplit("/", 1)[1]: r for r in g.collect()}
+
+
+def test_shorter_side_rule(gated):
+    assert gated["a_640x480.png"]["accepted"]
+    assert gated["b_480x640.png"]["accepted"]
+    assert gated["c_2000x300.png"]["reasons"] == ["resolution_too_low"]
+    assert gated["a_640x480.png"]["width"] == 640 and gated["a_640x480.png"]["height"] == 480
+
+
+def test_flat_is_blurry(gated):
+    r = gated["d_flat.png"]
+    assert r["blur_score"] == 0.0 and "too_blurry" in r["reasons"]
+    assert r["brightness"] == pytest.approx(128.0)
+
+
+def test_dark(gated):
+    assert "too_dark" in gated["e_dark.png"]["reasons"]
+
+
+def test_corrupt_and_empty(gated):
+    for name in ("f_junk.png", "g_empty.png"):
+        r = gated[name]
+        assert r["reasons"] == ["corrupted_or_unreadable"] and r["width"] == 0 and not r["accepted"]
+
+
+def test_default_threshold():
+    assert Thresholds().min_shorter_side == 416
+
+
+def test_laplacian_matches_reflect_formula():
+    g = np.random.default_rng(5).integers(0, 256, size=(8, 8)).astype(np.float64)
+    p = np.pad(g, 1, mode="reflect")
+    lap = p[:-2, 1:-1] + p[2:, 1:-1] + p[1:-1, :-2] + p[1:-1, 2:] - 4 * g
+    assert pixels.laplacian_variance(g) == pytest.approx(lap.var())
+    assert pixels.laplacian_variance(np.zeros((2, 5))) == 0.0
+
+
+def test_phash_properties():
+    rng = np.random.default_rng(11)
+    a = rng.integers(0, 256, size=(200, 200)).astype(np.float64)
+    b = rng.integers(0, 256, size=(200, 200)).astype(np.float64)
+    ha, hb = pixels.phash(a), pixels.phash(a.copy())
+    assert ha == hb
+    noisy = np.clip(a + rng.normal(0, 2, a.shape), 0, 255)
+    dist = lambda x, y: bin(x[0] ^ y[0]).count("1") + bin(x[1] ^ y[1]).count("1")
+    assert dist(ha, pixels.phash(noisy)) <= 5
+    assert dist(ha, pixels.phash(b)) > 5
+
+
+def test_breakdown_counts_and_percentiles(spark):
+    rows = [(1, 0, 0, 0.0, 0.0), (2, 300, 500, 20.0, 10.0), (3, 800, 600, 100.0, 500.0), (4, 700, 420, 255.0, 95.0)]
+    m = spark.createDataFrame(rows, "image_id long, width int, height int, brightness double, blur_score double")
+    g = quality.apply_quality(m)
+    bd = {r["reason_group"]: r["n"] for r in quality.rejection_breakdown(g).collect()}
+    assert bd == {"corrupted": 1, "low_resolution": 1, "dark_or_bright": 2, "blurry": 1}
+    c = quality.rejection_counts(g).first().asDict()
+    assert c["total_seen"] == 4 and c["accepted"] == 1 and c["rejected"] == 3 and c["rejected_dark_or_bright"] == 2
+    p = quality.measured_percentiles(g).first().asDict()
+    # readable shorter sides sorted: 300, 420, 600 -> idx round_half_even(p*2): 0, 1, 2
+    assert (p["shorter_side_p10"], p["shorter_side_p50"], p["shorter_side_p90"]) == (300, 420, 600)
+    rep = quality.quality_report(g).first()
+    assert rep["low_acceptance_warning"]

@@ -38,3 +38,8 @@ def version_string(n: Column) -> Column:
 def hamming(a_hi: Column, a_lo: Column, b_hi: Column, b_lo: Column) -> Column:
     """Bits that differ between two 64-bit hashes held as two 32-bit halves."""
     return F.bit_count(a_hi.bitwiseXOR(b_hi)) + F.bit_count(a_lo.bitwiseXOR(b_lo))
+
+
+def normalize_path(path: Column) -> Column:
+    """One spelling for local URIs: ``file:///x`` and ``file:/x`` both become ``file:/x``."""
+    return F.regexp_replace(path, r"^file:/+", "file:/")

@@ -30,6 +30,13 @@ def source_problems(sources: DataFrame, names: Sequence[str] | None = None) -> D
     return enabled.select("source", "source_order", problems.alias("problems"))
 
 
+def check_sources_ready(sources: DataFrame, names: Sequence[str] | None = None) -> None:
+    """F13 strict form: raise listing every problem of every enabled source together."""
+    bad = source_problems(sources, names).where(F.size("problems") > 0).orderBy("source_order").collect()
+    if bad:  # at most one row per configured source
+        raise SourcesNotReady("; ".join(f"{r['source']}: {', '.join(r['problems'])}" for r in bad))
+
+
 def license_gate(items: DataFrame, sources: DataFrame, strict: bool = True, names: Sequence[str] | None = None) -> DataFrame:
     """items of ready sources only.
 
@@ -37,11 +44,9 @@ def license_gate(items: DataFrame, sources: DataFrame, strict: bool = True, name
     problem (all listed together); otherwise items of sources with problems
     are dropped by a semi join against the (config-sized) ready set.
     """
-    probs = source_problems(sources, names)
     if strict:
-        bad = probs.where(F.size("problems") > 0).orderBy("source_order").collect()  # one row per source
-        if bad:
-            raise SourcesNotReady("; ".join(f"{r['source']}: {', '.join(r['problems'])}" for r in bad))
+        check_sources_ready(sources, names)
+    probs = source_problems(sources, names)
     ready = probs.where(F.size("problems") == 0).select("source")
     return items.join(F.broadcast(ready), "source", "left_semi")
 

@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 
 from vistasieve.config import SourceDef
 from vistasieve.functions import labels
-from vistasieve.functions.scalar import file_name, file_stem, parent_dir
+from vistasieve.functions.scalar import file_name, file_stem, normalize_path, parent_dir
 from vistasieve.operators.rank import global_rank
 
 Reader = Callable[[SparkSession, SourceDef], DataFrame]
@@ -58,7 +58,7 @@ def read_images(spark: SparkSession, root: str) -> DataFrame:
         .option("pathGlobFilter", IMAGE_GLOB)
         .load(root)
     )
-    return df.select(F.col("image.origin").alias("path"), "image")
+    return df.select(normalize_path(F.col("image.origin")).alias("path"), "image")
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
@@ -81,7 +81,7 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
         path = st.getPath().toString()
         if path.lower().endswith(exts):
             rows.append((path, int(st.getLen())))
-    return spark.createDataFrame(rows, "path string, length long")
+    return spark.createDataFrame(rows, "path string, length long").withColumn("path", normalize_path(F.col("path")))
 
 
 def images_with_manifest(spark: SparkSession, root: str) -> DataFrame:
@@ -145,7 +145,7 @@ def read_yolo_export(
     imgs = (
         spark.read.format("binaryFile").option("pathGlobFilter", IMAGE_GLOB)
         .load([f"{root}/{s}/images" for s in EXPORT_SPLITS if _exists(spark, f"{root}/{s}/images")])
-        .select("path", "length")
+        .select(normalize_path(F.col("path")).alias("path"), "length")
         .withColumn("split", parent_dir(F.col("path"), 2))
         .withColumn("stem", file_stem(F.col("path")))
         .withColumn("filename", file_name(F.col("path")))
