@@ -39,6 +39,26 @@ def _block_masks(m: int) -> list[int]:
     return [((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in range(m)]
 
 
+def choose_blocks(n: int, t: int, max_extra: int = 10) -> int:
+    """Number of blocks m for ``n`` distinct hashes: minimise key copies plus chance candidates.
+
+    Copies per hash are C(m, m - t); a key covers about 64 (m - t) / m bits, so
+    unrelated hashes share a key with probability 2^-bits. Expected work is
+    C(m, m-t) * (n + n^2 / 2^(bits + 1)); m = t + 1 for small n, longer keys as
+    n grows (e.g. t = 5: m = 6 up to ~10^4 hashes, m = 8 near 10^6, m = 10 near 10^8).
+    """
+    from math import comb
+
+    best, best_cost = t + 1, None
+    for m in range(t + 1, t + 1 + max_extra):
+        copies = comb(m, m - t)
+        bits = 64 * (m - t) / m
+        cost = copies * (n + n * n / 2 ** (bits + 1))
+        if best_cost is None or cost < best_cost:
+            best, best_cost = m, cost
+    return best
+
+
 def hash64(hi: F.Column, lo: F.Column) -> F.Column:
     """One signed 64-bit value from two 32-bit halves (kept as BIGINT for SQL parity)."""
     return F.shiftleft(hi, 32).bitwiseOR(lo.bitwiseAND(F.lit(0xFFFFFFFF)))
@@ -79,14 +99,15 @@ def hamming_pairs(
     """All pairs (a earlier than b) within Hamming distance ``t``.
 
     ``hashes``: key, order, hash_hi, hash_lo (null hashes never pair).
-    Returns ``a_id, b_id, a_ord, b_ord, distance``.
+    Returns ``a_id, b_id, a_ord, b_ord, distance``. ``num_blocks`` defaults to
+    ``choose_blocks`` of the counted hashes (one count job).
     """
-    m = num_blocks or (t + 1)
-    if m <= t:
-        raise ValueError("num_blocks must exceed the distance threshold")
     base = hashes.where(F.col("hash_hi").isNotNull() & F.col("hash_lo").isNotNull()).select(
         F.col(key).alias("id"), F.col(order).alias("ord"), hash64(F.col("hash_hi"), F.col("hash_lo")).alias("h64")
     )
+    m = num_blocks or choose_blocks(base.count(), t)
+    if m <= t:
+        raise ValueError("num_blocks must exceed the distance threshold")
     keyed, blocks = _keyed(base, t, m)
     a = keyed.select(*[F.col(c).alias(f"a_{c}") for c in keyed.columns])
     b = keyed.select(*[F.col(c).alias(f"b_{c}") for c in keyed.columns])

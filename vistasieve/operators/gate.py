@@ -75,3 +75,9 @@ def skip_processed(batch: DataFrame, seen: DataFrame, name_col: str, order_cols:
     packed = F.struct(*[F.col(c) for c in order_cols], *[F.col(c).alias(f"_v_{c}") for c in others])
     first = fresh.groupBy(name_col).agg(F.min(packed).alias("_m"))
     return first.select(name_col, *[F.col("_m")[f"_v_{c}"].alias(c) for c in others])
+
+
+def resume_items(earlier: DataFrame, new: DataFrame, present: DataFrame, path_col: str = "path") -> DataFrame:
+    """U4: earlier items whose file still exists (semi join on the listing), plus the new ones."""
+    kept = earlier.join(present.select(path_col).distinct(), path_col, "left_semi").select(*earlier.columns)
+    return kept.unionByName(new)
