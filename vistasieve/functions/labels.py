@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 # Fixed value: a label token is an integer the way Python's int() reads a
 # plain ASCII token: optional sign, digits, single underscores between digits.
 INT_TOKEN = r"^[+-]?[0-9]+(_[0-9]+)*$"
+# the same token as the first whitespace-separated field of a line
+FIRST_INT_TOKEN = r"^\s*([+-]?[0-9]+(?:_[0-9]+)*)(?:\s|$)"
 
 
 def _str_array(values: Sequence[str] | None) -> Column:
@@ -106,12 +108,15 @@ def extract_classes(
 def parse_yolo_line(line: Column, names: Sequence[str]) -> Column:
     """The class name of one YOLO label line, or null when the line is
     blank, its first token is not an integer, or the id is outside ``names``.
+
+    One anchored regex takes the first whitespace-separated token only when it
+    is an integer token (so a line is scanned once, not stripped, split and
+    matched separately).
     """
-    stripped = F.regexp_replace(line, r"^\s+|\s+$", "")
-    first = F.split(stripped, r"\s+").getItem(0)
-    as_int = F.when(first.rlike(INT_TOKEN), F.regexp_replace(first, "_", "").try_cast("int"))
     if not names:
         return F.lit(None).cast("string")
+    tok = F.regexp_extract(line, FIRST_INT_TOKEN, 1)
+    as_int = F.when(tok != "", F.replace(tok, F.lit("_"), F.lit("")).try_cast("int"))
     return F.get(_str_array(names), as_int)
 
 
