@@ -26,15 +26,20 @@ def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage).
 
     The written table is what later stages and retried tasks read, so row tags
     assigned before the write never change after an executor is lost.
+    ``partition_by`` lays the table out in folders so filters on those columns
+    prune whole folders.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    w = df.write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -108,12 +113,16 @@ def top_k_per_group(
 
     Stage 1 ranks inside (group, salt) with the literal bound ``k_max``, which
     Spark turns into a partial ``WindowGroupLimit`` before the shuffle; stage 2
-    ranks the at most ``salt_buckets * k_max`` survivors of each group. A hot
-    group is therefore spread over ``salt_buckets`` tasks first.
+    ranks the at most ``salt_buckets * k_max`` survivors of each group. The
+    salt is the input partition (mod ``salt_buckets``): every map task keeps at
+    most ``k_max`` rows per group, and a hot group is spread over
+    ``salt_buckets`` tasks before one task sees ``salt_buckets * k_max`` rows.
+    Which task a row lands in never changes the result (top-k is exact in
+    every grouping).
     """
     groups = list(group_cols)
     order = _cols(order_cols)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salt_buckets)))
+    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salt_buckets)))
     w1 = Window.partitionBy(*groups, "_salt").orderBy(*order)
     stage1 = salted.withColumn("_rn1", F.row_number().over(w1)).where(F.col("_rn1") <= F.lit(k_max))
     w2 = Window.partitionBy(*groups).orderBy(*order)
