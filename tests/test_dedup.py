@@ -48,17 +48,22 @@ def test_first_kept_wins_random(spark):
 def test_pairs_match_brute_force(spark):
     rng = random.Random(9)
     rows = [r for r in random_hashes(rng, 80) if r[2] is not None]
+    rows += [(1000 + i, 10**9 + i, rows[0][2], rows[0][3]) for i in range(5)]  # a hot identical hash
     df = spark.createDataFrame(rows, SCHEMA)
+    reps = {}
+    for i, o, hi, lo in rows:
+        h = (hi << 32) | lo
+        first = reps.get(h)
+        reps[h] = (min(first[0], (o, i)) if first else (o, i), (first[1] + 1) if first else 1)
+    want = []
+    for ha, ((oa, ia), na) in reps.items():
+        for hb, ((ob, ib), nb) in reps.items():
+            d = bin(ha ^ hb).count("1")
+            if oa < ob and d <= 5:
+                want.append((ia, ib, d, na, nb))
     for m in (None, 8):
-        got = sorted((r["a_id"], r["b_id"], r["distance"]) for r in dedup.hamming_pairs(df, 5, num_blocks=m).collect())
-        want = []
-        for a in rows:
-            for b in rows:
-                if a[1] < b[1]:
-                    d = bin(((a[2] << 32) | a[3]) ^ ((b[2] << 32) | b[3])).count("1")
-                    if d <= 5:
-                        want.append((a[0], b[0], d))
-        assert got == sorted(want)
+        got = dedup.hamming_pairs(df, 5, num_blocks=m).collect()
+        assert sorted((r["a_id"], r["b_id"], r["distance"], r["a_n"], r["b_n"]) for r in got) == sorted(want)
 
 
 def test_identical_pair_and_disabled(spark):

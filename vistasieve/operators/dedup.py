@@ -93,33 +93,53 @@ def _canonical_mask(xor: F.Column, blocks: list[int], k: int) -> F.Column:
     return total
 
 
-def hamming_pairs(
-    hashes: DataFrame, t: int, key: str = "image_id", order: str = "ord", num_blocks: int | None = None
-) -> DataFrame:
-    """All pairs (a earlier than b) within Hamming distance ``t``.
+def collapse_equal(hashes: DataFrame, key: str = "image_id", order: str = "ord") -> DataFrame:
+    """One row per distinct hash: ``h64, id`` (earliest item), ``ord``, ``n`` (items sharing it).
 
-    ``hashes``: key, order, hash_hi, hash_lo (null hashes never pair).
-    Returns ``a_id, b_id, a_ord, b_ord, distance``. ``num_blocks`` defaults to
-    ``choose_blocks`` of the counted hashes (one count job).
+    A hash aggregate with map-side partial results, so a hash carried by a
+    third of all items (blank frames) is reduced on every task first.
     """
     base = hashes.where(F.col("hash_hi").isNotNull() & F.col("hash_lo").isNotNull()).select(
         F.col(key).alias("id"), F.col(order).alias("ord"), hash64(F.col("hash_hi"), F.col("hash_lo")).alias("h64")
     )
-    m = num_blocks or choose_blocks(base.count(), t)
+    return base.groupBy("h64").agg(F.min(F.struct("ord", "id")).alias("_r"), F.count(F.lit(1)).alias("n")).select(
+        "h64", F.col("_r.id").alias("id"), F.col("_r.ord").alias("ord"), "n"
+    )
+
+
+def near_pairs(reps: DataFrame, t: int, num_blocks: int | None = None) -> DataFrame:
+    """Pairs of distinct hashes (``reps``: h64, id, ord, ...) within ``t``, earlier first."""
+    m = num_blocks or choose_blocks(reps.count(), t)
     if m <= t:
         raise ValueError("num_blocks must exceed the distance threshold")
-    keyed, blocks = _keyed(base, t, m)
+    keyed, blocks = _keyed(reps, t, m)
     a = keyed.select(*[F.col(c).alias(f"a_{c}") for c in keyed.columns])
     b = keyed.select(*[F.col(c).alias(f"b_{c}") for c in keyed.columns])
     j = a.join(b, (F.col("a_cmask") == F.col("b_cmask")) & (F.col("a_bkey") == F.col("b_bkey")) & (F.col("a_ord") < F.col("b_ord")))
     xor = F.col("a_h64").bitwiseXOR(F.col("b_h64"))
     dist = F.bit_count(xor)
     j = j.where(dist <= t).where(_canonical_mask(xor, blocks, m - t) == F.col("a_cmask"))
+    extra = [c for c in reps.columns if c not in ("h64", "id", "ord")]
     return j.select(
-        F.col("a_id").alias("a_id"), F.col("b_id").alias("b_id"), "a_ord", "b_ord", dist.cast("int").alias("distance")
+        F.col("a_id"), F.col("b_id"), "a_ord", "b_ord", dist.cast("int").alias("distance"),
+        *[F.col(f"a_{c}") for c in extra], *[F.col(f"b_{c}") for c in extra],
     )
 
 
+def hamming_pairs(
+    hashes: DataFrame, t: int, key: str = "image_id", order: str = "ord", num_blocks: int | None = None
+) -> DataFrame:
+    """Pairs of distinct hash values within Hamming distance ``t``.
+
+    Equal hashes are collapsed first, so a group of identical hashes never
+    expands into all its pairs: each side is its earliest item (``a_id``,
+    ``b_id``, with ``a`` earlier) plus ``a_n``/``b_n``, the number of items
+    sharing that hash. Null hashes never pair. ``num_blocks`` defaults to
+    ``choose_blocks`` of the distinct-hash count (one count job).
+    """
+    return near_pairs(collapse_equal(hashes, key, order), t, num_blocks)
+
+
 KEPT, DUP, OPEN = 1, 2, 0
 
 
@@ -147,16 +167,9 @@ def dedup_first_kept(
 
     hashed = items.where(F.col("h64").isNotNull())
     # (1) one node per distinct hash: the earliest item carrying it
-    reps = hashed.groupBy("h64").agg(F.min(F.struct("ord", "id")).alias("_r")).select(
-        "h64", F.col("_r.ord").alias("ord"), F.col("_r.id").alias("id")
-    )
-    reps = materialize(reps, "dedup-reps")
+    reps = materialize(collapse_equal(hashes, key, order).select("h64", "id", "ord"), "dedup-reps")
     # (2) pairs between distinct hashes
-    pairs = hamming_pairs(
-        reps.select(F.col("id"), F.col("ord"), F.shiftright("h64", 32).bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash_hi"),
-                    F.col("h64").bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash_lo")),
-        t, key="id", order="ord", num_blocks=num_blocks,
-    ).select(F.col("a_id").alias("a"), "a_ord", F.col("b_id").alias("b"))
+    pairs = near_pairs(reps, t, num_blocks).select(F.col("a_id").alias("a"), "a_ord", F.col("b_id").alias("b"))
     edges = materialize(pairs, "dedup-edges")
     # (3) initial state: no earlier neighbour => kept
     has_prev = edges.select(F.col("b").alias("id")).distinct().withColumn("_p", F.lit(True))
