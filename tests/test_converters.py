@@ -33,3 +33,14 @@ def test_bad_size_flagged(spark):
     rows = [(1, 1, "person", 1.0, 1.0, 1.0, 1.0, 0, 10)]
     y = boxes.to_yolo(spark.createDataFrame(rows, SCHEMA), classes_df(spark)).first()
     assert y["bad_size"] and y["x_center"] is None
+
+
+def test_bad_size_strict_raises(spark):
+    import pytest
+
+    rows = [(1, 1, "person", 1.0, 1.0, 1.0, 1.0, 0, 10), (2, 1, "unicorn", 1.0, 1.0, 1.0, 1.0, 0, 10)]
+    with pytest.raises(Exception, match="must be positive"):
+        boxes.to_yolo(spark.createDataFrame(rows, SCHEMA), classes_df(spark), strict=True).collect()
+    # an unknown class is dropped before the size check, as in the reference
+    ok = [(2, 1, "unicorn", 1.0, 1.0, 1.0, 1.0, 0, 10)]
+    assert boxes.to_yolo(spark.createDataFrame(ok, SCHEMA), classes_df(spark), strict=True).count() == 0

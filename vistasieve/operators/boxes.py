@@ -28,8 +28,10 @@ def to_yolo(boxes: DataFrame, classes: DataFrame, strict: bool = False) -> DataF
     j = boxes.join(ids, "class_name", "inner")
     bad = (F.col("width") <= 0) | (F.col("height") <= 0)
     if strict:
-        j = j.withColumn("_chk", F.when(bad, F.raise_error(F.lit("image_width and image_height must be positive"))))
-        j = j.drop("_chk")
+        # a filter keeps the check in the plan (a dropped column would be pruned away); it
+        # names class_id so it stays above the registry join: unknown classes never raise
+        msg = F.lit("image_width and image_height must be positive")
+        j = j.where(F.when(bad & (F.col("class_id") >= F.lit(0)), F.raise_error(msg)).isNull())
     w = F.col("width").cast("double")
     h = F.col("height").cast("double")
     xc = (F.col("x_min") + F.col("box_width") / F.lit(2.0)) / w
