@@ -49,6 +49,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return df
 
 
+# Rows per range partition of ``global_rank`` (narrow rows: keys and a few columns).
+RANK_ROWS_PER_PARTITION = 4_000_000
+
+
 def global_rank(
     df: DataFrame,
     order_cols: Sequence[str | Column],
@@ -63,12 +67,19 @@ def global_rank(
     local sort, a per-row tag (range partition id, position), a written copy of
     that, then a span table ``(range partition, group) -> rows before`` whose
     size is bounded by range partitions + groups, joined back. No step puts a
-    whole group into one task, however skewed the groups are.
+    whole group into one task, however skewed the groups are. The number of
+    ranges grows with the row count (one count job), so each task's sort stays
+    bounded.
     """
     spark = df.sparkSession
     parts = list(partition_cols)
     keys = _cols(parts) + _cols(order_cols)
-    n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if num_partitions is None:
+        # at least the shuffle width, and enough ranges that each local sort stays
+        # around RANK_ROWS_PER_PARTITION rows however large the input grows
+        base = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        num_partitions = max(base, -(-df.count() // RANK_ROWS_PER_PARTITION))
+    n = num_partitions
 
     tagged = (
         df.repartitionByRange(n, *keys)
