@@ -137,7 +137,8 @@ def hamming_pairs(
     sharing that hash. Null hashes never pair. ``num_blocks`` defaults to
     ``choose_blocks`` of the distinct-hash count (one count job).
     """
-    return near_pairs(collapse_equal(hashes, key, order), t, num_blocks)
+    # written once: the block count and the self-join both read it
+    return near_pairs(materialize(collapse_equal(hashes, key, order), "hash-reps"), t, num_blocks)
 
 
 KEPT, DUP, OPEN = 1, 2, 0

@@ -199,7 +199,10 @@ FX_SECOND_EXTRA = 4
 
 def fx_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Originals plus two near copies of every hash: chains that tell first-kept-wins from components."""
-    h = fx_hash0(spark, sf_dir)
+    from vistasieve.operators.rank import materialize
+
+    # the kernel runs once per image; the copies are derived from the written hashes
+    h = materialize(fx_hash0(spark, sf_dir), "hash0")
     # shiftleft() with a per-row bit count exists only as a SQL function
     flip1 = F.expr(f"shiftleft(1L, CAST(image_id % {FX_FLIP_MOD} AS INT)) - 1")
     flip2 = F.expr(f"shiftleft(1L, CAST(image_id % {FX_FLIP_MOD} + {FX_SECOND_EXTRA} AS INT)) - 1")
