@@ -109,25 +109,32 @@ def rejection_counts(gated: DataFrame, duplicates: DataFrame | None = None, key_
 
 
 def nearest_rank(
-    df: DataFrame, value_col: str, key_col: str, ps: Sequence[float], prefix: str
-) -> dict[str, object]:
+    df: DataFrame, value_cols: Sequence[str], key_col: str, ps: Sequence[float]
+) -> dict[str, dict[str, object]]:
     """A10: nearest-rank percentiles ``sorted[round_half_even(p * (n - 1))]``; empty => 0.0.
 
-    One range-partitioned ranking of the values (no single-task sort), then a
-    filter on the few wanted ranks. Returns ``{prefix_pNN: value}``.
+    All value columns are ranked in one range-partitioned pass over their long
+    form (metric, value, key), partitioned by metric, then the few wanted ranks
+    are filtered out. Returns ``{value_col: {"pNN": value}}``.
     """
-    vals = df.select(value_col, key_col)
-    n = vals.count()
+    n = df.count()
+    labels = {p: f"p{int(round(p * 100)):02d}" for p in ps}
     if n == 0:
-        return {f"{prefix}_p{int(round(p * 100)):02d}": 0.0 for p in ps}
-    wanted = {}
-    for p in ps:
-        idx = int(round(p * (n - 1)))  # Python round: half to even, like bround
-        wanted[f"{prefix}_p{int(round(p * 100)):02d}"] = min(n - 1, max(0, idx)) + 1
-    ranked = global_rank(vals, [value_col, key_col], rank_col="_r")
-    hits = ranked.where(F.col("_r").isin(list(set(wanted.values())))).select("_r", value_col).collect()
-    by_rank = {r["_r"]: r[value_col] for r in hits}
-    return {k: by_rank[v] for k, v in wanted.items()}
+        return {c: {labels[p]: 0.0 for p in ps} for c in value_cols}
+    # Python round is half to even, like bround
+    wanted = {labels[p]: min(n - 1, max(0, int(round(p * (n - 1))))) + 1 for p in ps}
+    long = None
+    for c in value_cols:
+        part = df.select(F.lit(c).alias("_m"), F.col(c).cast("double").alias("_v"), F.col(key_col).alias("_k"))
+        long = part if long is None else long.unionByName(part)
+    base = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    from vistasieve.operators.rank import RANK_ROWS_PER_PARTITION
+
+    parts = max(base, -(-n * len(value_cols) // RANK_ROWS_PER_PARTITION))
+    ranked = global_rank(long, ["_v", "_k"], partition_cols=["_m"], rank_col="_r", num_partitions=parts)
+    hits = ranked.where(F.col("_r").isin(sorted(set(wanted.values())))).select("_m", "_r", "_v").collect()
+    by = {(r["_m"], r["_r"]): r["_v"] for r in hits}
+    return {c: {lab: by[(c, rk)] for lab, rk in wanted.items()} for c in value_cols}
 
 
 def measured_percentiles(gated: DataFrame, key_col: str = "image_id", ps=(0.10, 0.50, 0.90)) -> DataFrame:
@@ -135,12 +142,15 @@ def measured_percentiles(gated: DataFrame, key_col: str = "image_id", ps=(0.10,
     readable = gated.where((F.col("width") > 0) & (F.col("height") > 0)).select(
         key_col, F.least("width", "height").alias("shorter_side"), "blur_score"
     )
-    res = {}
-    res.update(nearest_rank(readable, "shorter_side", key_col, ps, "shorter_side"))
-    res.update(nearest_rank(readable, "blur_score", key_col, ps, "blur"))
-    spark = gated.sparkSession
-    cols = [F.lit(v).cast("double" if k.startswith("blur") else "int").alias(k) for k, v in res.items()]
-    return spark.range(1).select(*cols)
+    res = nearest_rank(readable, ["shorter_side", "blur_score"], key_col, ps)
+    cols = []
+    for p in ps:
+        lab = f"p{int(round(p * 100)):02d}"
+        cols.append(F.lit(res["shorter_side"][lab]).cast("int").alias(f"shorter_side_{lab}"))
+    for p in ps:
+        lab = f"p{int(round(p * 100)):02d}"
+        cols.append(F.lit(res["blur_score"][lab]).cast("double").alias(f"blur_{lab}"))
+    return gated.sparkSession.range(1).select(*cols)
 
 
 def quality_report(gated: DataFrame, warn_below: float = 0.5) -> DataFrame:
