@@ -59,3 +59,56 @@ def test_gate_refuses_unverified(spark, tmp_path):
 def test_dry_run_plan_always_available(spark):
     rows = curation.plan(spark, Budget(), total_images=6000).collect()
     assert sum(r["target_images"] for r in rows) == 6000
+
+
+def test_failed_source_is_isolated(spark, monkeypatch):
+    from vistasieve.operators import quota
+
+    schema = "image_id long, source string, row_idx long, valid boolean, classes array<string>"
+    rows = [(i, "good", i, True, ["person"]) for i in range(1, 4)] + [(10 + i, "bad", i, True, ["gun"]) for i in range(1, 4)]
+    items = spark.createDataFrame(rows, schema)
+    plan = spark.createDataFrame([("person", 3), ("gun", 3)], "class_name string, target_images long")
+    real = quota.materialize
+
+    def flaky(df, name, partition_by=()):
+        if name == "taken-bad":
+            raise RuntimeError("source unreachable")
+        return real(df, name, partition_by)
+
+    monkeypatch.setattr(quota, "materialize", flaky)
+    srcs = [SourceDef("bad", classes=("gun",)), SourceDef("good", classes=("person",))]
+    taken, failed, _ = quota.select_multi_source(items, plan, srcs)
+    assert failed == {"bad": "source unreachable"}
+    assert sorted(r["image_id"] for r in taken.collect()) == [1, 2, 3]
+
+
+def test_standalone_jobs(spark, tmp_path):
+    import json
+
+    from vistasieve.operators import boxes
+
+    d = tmp_path / "imgs"
+    img = np.random.default_rng(1).integers(0, 256, size=(480, 640, 3), dtype=np.uint8)
+    write_png(str(d / "a.png"), img)
+    write_png(str(d / "b.png"), img)
+    (d / "c.png").write_bytes(b"not an image")
+    gated, summary, sample = curation.validate_folder(spark, str(d))
+    s = summary.first()
+    assert (s["total_seen"], s["accepted"], s["rejected"]) == (3, 2, 1)
+    res, counts = curation.dedup_folder(spark, str(d))
+    c = counts.first()
+    assert (c["kept"], c["duplicates"]) == (2, 1)  # the unreadable file is kept unhashed
+    ids = tmp_path / "ids.json"
+    ids.write_text(json.dumps([f"img_{i}" for i in range(10)]))
+    assert curation.split_ids_file(spark, str(ids)).groupBy("split").count().count() == 3
+    bx = tmp_path / "boxes.json"
+    bx.write_text(json.dumps([{"class_name": "person", "x_min": 100, "y_min": 100, "box_width": 200, "box_height": 400},
+                              {"class_name": "unicorn", "x_min": 1, "y_min": 1, "box_width": 1, "box_height": 1}]))
+    assert [r[0] for r in curation.convert_boxes_file(spark, str(bx), 1000, 1000).collect()] == ["0 0.200000 0.300000 0.200000 0.400000"]
+    labels = spark.createDataFrame([("train", "im01", "0 0.5 0.5 0.1 0.1"), ("val", "im02", "")], "split string, stem string, label_text string")
+    out = tmp_path / "yolo"
+    assert boxes.export_yolo_files(labels, str(out)).count() == 2
+    assert (out / "train" / "labels" / "im01.txt").read_text() == "0 0.5 0.5 0.1 0.1\n"
+    assert (out / "val" / "labels" / "im02.txt").read_text() == ""
+    rep = curation.check_sources(spark, [SourceDef("x", kind="yolo", classes=("fire",), license=License("?", False))]).first()
+    assert "reference missing" in rep["problems"] and len(rep["problems"]) == 2

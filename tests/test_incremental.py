@@ -34,3 +34,15 @@ def test_runs_continue_where_they_stopped(spark, tmp_path):
     one = select_quota(items, STREAM_TARGETS, k_max=max(STREAM_TARGETS.values()))
     assert inc == sorted(r[0] for r in one.select("image_id").collect())
     assert len(inc) == len(set(inc))
+
+
+def test_replayed_batch_is_skipped(spark, tmp_path):
+    from vistasieve.streaming.incremental import load_state, process_batch
+
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    out, st = str(tmp_path / "out"), str(tmp_path / "state")
+    process_batch(events, 0, events_to_items, STREAM_TARGETS, out, st, ["ts", "image_id"])
+    first = sorted(r[0] for r in spark.read.parquet(out).select("image_id").collect())
+    process_batch(events, 0, events_to_items, STREAM_TARGETS, out, st, ["ts", "image_id"])  # replay
+    assert sorted(r[0] for r in spark.read.parquet(out).select("image_id").collect()) == first
+    assert load_state(spark, st)[1] == 0

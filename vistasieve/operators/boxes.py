@@ -81,3 +81,38 @@ def write_label_files(labels: DataFrame, out_dir: str, partition_by=("split",))
     """K5 sink: the label table (key, split, label_text) as parquet partitioned by split."""
     cols = [c for c in partition_by if c in labels.columns]
     labels.write.mode("errorifexists").partitionBy(*cols).parquet(out_dir)
+
+
+def _write_files(out_dir: str):
+    def run(batches):
+        import pyarrow.fs as pafs
+
+        fs, root = pafs.FileSystem.from_uri(out_dir)
+        made = set()
+        for pdf in batches:
+            paths, sizes = [], []
+            for split_name, stem, text in zip(pdf["split"], pdf["stem"], pdf["label_text"]):
+                folder = f"{root.rstrip('/')}/{split_name}/labels"
+                if folder not in made:
+                    fs.create_dir(folder, recursive=True)
+                    made.add(folder)
+                path = f"{folder}/{stem}.txt"
+                data = (text + "\n").encode("utf-8") if text else b""
+                with fs.open_output_stream(path) as fh:  # overwrite: a retried task rewrites the same file
+                    fh.write(data)
+                paths.append(path)
+                sizes.append(len(data))
+            yield pd.DataFrame({"path": paths, "bytes": sizes})
+
+    return run
+
+
+def export_yolo_files(labels: DataFrame, out_dir: str) -> DataFrame:
+    """K5 file layout: ``<out>/<split>/labels/<stem>.txt``, one per image, written by the executors.
+
+    ``labels``: split, stem, label_text. Each task writes its own images' files
+    through a pyarrow file system for ``out_dir`` (local, HDFS, S3, ...); names
+    are per image, so a retried task overwrites the same files. Returns the
+    written paths and sizes (evaluate it, e.g. ``.count()``, to run the export).
+    """
+    return labels.select("split", "stem", "label_text").mapInPandas(_write_files(out_dir), "path string, bytes long")

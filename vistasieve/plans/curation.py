@@ -176,3 +176,47 @@ def run(
                                                  classes=classes_df(spark, classes))
         rep.version = release.bump_version(spark, f"{out}/versions", f"curation run: {n_meta} images", n_meta)
     return rep
+
+
+# ---------------------------------------------------------------------------
+# The standalone jobs, each one public function over a folder or file
+# ---------------------------------------------------------------------------
+def validate_folder(spark: SparkSession, root: str, thresholds: Thresholds = Thresholds()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Validate every image under ``root``: (per-image results, one-row summary, first 20 rejected)."""
+    from vistasieve.sources.readers import images_with_manifest
+
+    measured = pixels.measure_images(images_with_manifest(spark, root), key="path")
+    gated = materialize(quality.apply_quality(measured, thresholds), "validated")
+    return gated, quality.quality_report(gated), quality.rejected_sample(gated, key_col="path")
+
+
+def dedup_folder(spark: SparkSession, root: str, cfg: DedupConfig = DedupConfig()) -> tuple[DataFrame, DataFrame]:
+    """Near-duplicates among the images under ``root`` in path order: (per-image result, kept/duplicate counts)."""
+    from vistasieve.sources.readers import images_with_manifest
+
+    hashed = materialize(pixels.measure_images(images_with_manifest(spark, root), key="path"), "hashed")
+    ordered = hashed.withColumn("ord", F.col("path"))
+    res = dedup_ops.dedup_first_kept(ordered, cfg.hamming_distance_threshold, key="path", order="ord", enabled=cfg.enabled)
+    return res, dedup_ops.dedup_summary(res)
+
+
+def split_ids_file(spark: SparkSession, ids_path: str, cfg: SplitConfig = SplitConfig()) -> DataFrame:
+    """Split the ids listed in a JSON (or parquet) file."""
+    from vistasieve.sources.readers import read_ids
+
+    return split.split_exact(read_ids(spark, ids_path, "id"), "id", cfg)
+
+
+def convert_boxes_file(spark: SparkSession, boxes_json: str, width: int, height: int, classes=SHIPPED_CLASSES) -> DataFrame:
+    """YOLO lines for one image's COCO boxes (unknown classes skipped)."""
+    from vistasieve.operators import boxes as box_ops
+    from vistasieve.sources.readers import read_boxes_json
+
+    b = read_boxes_json(spark, boxes_json).withColumn("pos", F.monotonically_increasing_id()).withColumn(
+        "image_id", F.lit(0)).withColumn("width", F.lit(width)).withColumn("height", F.lit(height))
+    return box_ops.render_lines(box_ops.to_yolo(b, classes_df(spark, classes), strict=True)).orderBy("pos").select("line")
+
+
+def check_sources(spark: SparkSession, sources: list[SourceDef], names: list[str] | None = None) -> DataFrame:
+    """Readiness report: one row per enabled source with its problems (empty list = ready)."""
+    return gate.source_problems(sources_df(spark, sources), names)
