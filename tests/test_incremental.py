@@ -14,7 +14,6 @@ def test_runs_continue_where_they_stopped(spark, tmp_path):
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     schema = events.schema
     # three slices in time order, each landed before its own run
-    edges = [r[0] for r in events.selectExpr("percentile_approx(ts, array(0.33, 0.66))").first()[0]] if False else None
     ordered = events.orderBy("ts", "event_id").collect()
     n = len(ordered)
     slices = [ordered[: n // 3], ordered[n // 3: 2 * n // 3], ordered[2 * n // 3:]]

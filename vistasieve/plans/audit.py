@@ -31,15 +31,13 @@ def audit(spark, sf_dir: str, name: str) -> dict:
 
     df = QUERIES[name](spark, sf_dir)
     df.write.format("noop").mode("overwrite").save()
-    text = df._jdf.queryExecution().executedPlan().toString()
     formatted = df._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
-    row = {k: len(re.findall(p, formatted.split("\n\n")[0] if k != "Exchange" else formatted.split("\n\n")[0]))
-           for k, p in PATTERNS.items()}
+    tree = formatted.split("\n\n")[0]  # the operator tree (details follow it)
+    row = {k: len(re.findall(p, tree)) for k, p in PATTERNS.items()}
     pushed = sorted(set(re.findall(r"PushedFilters: (\[[^\]]*\])", formatted)) - {"[]"})
     row["pushed_filters"] = "; ".join(pushed)
-    row["_raw_len"] = len(text)
     return row
 
 

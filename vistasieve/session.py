@@ -15,6 +15,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _driver_memory() -> str:
+    """Local mode runs everything in the driver JVM: 60 % of RAM, between 1 and 16 GiB."""
+    try:
+        with open("/proc/meminfo") as fh:
+            kib = next(int(line.split()[1]) for line in fh if line.startswith("MemTotal:"))
+        gib = max(1, min(16, int(kib * 0.6 / (1024 * 1024))))
+    except (OSError, StopIteration, ValueError):
+        gib = 4
+    return f"{gib}g"
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "vistasieve") -> SparkSession:
     """A local session tuned for tests and the single-machine bench."""
     builder = (
@@ -27,7 +38,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("VISTASIEVE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("VISTASIEVE_DRIVER_MEMORY") or _driver_memory())
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     )
     spark = builder.getOrCreate()
