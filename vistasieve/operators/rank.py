@@ -49,6 +49,20 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return df
 
 
+def range_tag(df: DataFrame, keys: Sequence[Column], n: int) -> DataFrame:
+    """Range-partition on ``keys`` (sampled boundaries), sort each range, tag rows with
+    ``_pid`` (range partition) and ``_pos`` (position inside it), and write the result."""
+    tagged = (
+        df.repartitionByRange(n, *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("_mid", F.monotonically_increasing_id())
+    )
+    tagged = materialize(tagged, "rank")
+    return tagged.withColumn("_pid", F.shiftright("_mid", _POS_BITS)).withColumn(
+        "_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+    )
+
+
 # Rows per range partition of ``global_rank`` (narrow rows: keys and a few columns).
 RANK_ROWS_PER_PARTITION = 4_000_000
 
@@ -81,15 +95,7 @@ def global_rank(
         num_partitions = max(base, -(-df.count() // RANK_ROWS_PER_PARTITION))
     n = num_partitions
 
-    tagged = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
-    tagged = materialize(tagged, "rank")
-    tagged = tagged.withColumn("_pid", F.shiftright("_mid", _POS_BITS)).withColumn(
-        "_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    )
+    tagged = range_tag(df, keys, n)
 
     spans = tagged.groupBy("_pid", *parts).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")
