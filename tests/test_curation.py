@@ -112,3 +112,20 @@ def test_standalone_jobs(spark, tmp_path):
     assert (out / "val" / "labels" / "im02.txt").read_text() == ""
     rep = curation.check_sources(spark, [SourceDef("x", kind="yolo", classes=("fire",), license=License("?", False))]).first()
     assert "reference missing" in rep["problems"] and len(rep["problems"]) == 2
+
+
+def test_stats_class_counts_sorted(spark):
+    from vistasieve.operators import stats
+
+    recs = spark.createDataFrame([(["a", "b"],), (["b"],), (["c", "b"],), (["c"],)], "classes array<string>")
+    counts = spark.createDataFrame([(4, 4, 0, 0, 0, 0, 0, 0)], "total_seen long, accepted long, rejected long, "
+                                   "rejected_blurry long, rejected_dark_or_bright long, rejected_low_res long, "
+                                   "rejected_corrupted long, rejected_duplicate long")
+    splits = spark.createDataFrame([("train", 3), ("val", 1)], "split string, n long")
+    st = stats.dataset_stats(counts, stats.class_counts(recs), splits)
+    row = st.first()
+    # the written JSON keeps the map order (Python dicts from collect() do not)
+    from pyspark.sql import functions as F
+
+    assert st.select(F.to_json("class_counts")).first()[0] == '{"b":3,"c":2,"a":1}'
+    assert row["images"]["rejected_breakdown"]["duplicate"] == 0

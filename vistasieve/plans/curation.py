@@ -106,6 +106,7 @@ def run(
     overrides: dict[str, float] | None = None,
     items: DataFrame | None = None,
     use_availability: bool = True,
+    available_by_class: dict[str, int] | None = None,
     global_max_images: int = SHIPPED_GLOBAL_MAX_IMAGES,
     export: bool = False,
 ) -> RunReport:
@@ -120,7 +121,11 @@ def run(
 
     items = items if items is not None else read_items(spark, sources)
     items = materialize(items, "items")
-    available = quota.availability(items) if use_availability else None
+    if available_by_class:  # caller-supplied caps win over the counted availability
+        available = spark.createDataFrame([(c, int(n)) for c, n in available_by_class.items()],
+                                          "class string, available long")
+    else:
+        available = quota.availability(items) if use_availability else None
     plan_df = plan(spark, budget, classes, total_images, overrides, available)
     taken, failed, _ = quota.select_multi_source(items, plan_df, [s for s in sources if s.enabled])
     n_taken = taken.count()
