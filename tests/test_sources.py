@@ -64,3 +64,18 @@ def test_config_checks():
     with pytest.raises(ValueError):
         check_budget(Budget(total_images=60000), 50000)
     assert merge_overrides({"fire": 1.5, "gun": 2.0}, {"fire": 3.0}) == {"fire": 3.0, "gun": 2.0}
+
+
+def test_shipped_registry():
+    from vistasieve.config import SHIPPED_GLOBAL_MAX_IMAGES, SplitConfig
+
+    assert [c.name for c in SHIPPED_CLASSES] == ["person", "fire", "gun", "smoke", "knife", "car", "dog", "cat"]
+    ids = [c.id for c in SHIPPED_CLASSES]
+    assert ids == sorted(ids) and len(set(ids)) == len(ids)
+    check_budget(Budget(), SHIPPED_GLOBAL_MAX_IMAGES)
+    cfg = SplitConfig()
+    assert abs(cfg.train + cfg.val + cfg.test - 1.0) < 1e-6
+    with pytest.raises(ValueError):
+        from vistasieve.config import ClassDef
+
+        ClassDef("x", 9, 5)

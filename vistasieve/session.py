@@ -26,8 +26,10 @@ def _driver_memory() -> str:
     return f"{gib}g"
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "vistasieve") -> SparkSession:
-    """A local session tuned for tests and the single-machine bench."""
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "vistasieve", event_log_dir: str | None = None
+) -> SparkSession:
+    """A local session tuned for tests and the single-machine bench (optionally with an event log)."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -41,6 +43,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", os.environ.get("VISTASIEVE_DRIVER_MEMORY") or _driver_memory())
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
     )
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
