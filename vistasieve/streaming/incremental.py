@@ -8,7 +8,8 @@ taken iff ``prior_count + rank_in_batch <= target`` for one of its classes —
 the same decision as one pass over all rows (see ``operators.quota``).
 
 State layout: ``state_dir/batch_id=<n>/`` (parquet), written after the
-batch's output, so the newest complete version is the committed state. A
+batch's output, so the newest complete version is the committed state. The
+state is sized by sources x classes, so it is combined on the driver. A
 replayed batch (id not above the committed one) is skipped; output of a batch
 is written with ``overwrite`` into its own ``batch_id=<n>`` folder, so a retry
 replaces, never duplicates. A missing state folder means a fresh start; an
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,37 +70,44 @@ def process_batch(
     state, last = load_state(spark, state_dir)
     if last is not None and batch_id <= last:
         return  # replay of a committed batch
+    prior_rows = {r["source"]: r["n"] for r in state.where(F.col("kind") == "rows").collect()}  # per source
+    prior_cls = {(r["source"], r["class"]): r["n"] for r in state.where(F.col("kind") == "class").collect()}
     items = to_items(batch)
-    seen = state.where(F.col("kind") == "rows").select("source", F.col("n").alias("_seen"))
     ranked = global_rank(items, list(order_cols), partition_cols=["source"], rank_col="_r")
+    seen = spark.createDataFrame(list(prior_rows.items()), "source string, _seen long")
     items = ranked.join(F.broadcast(seen), "source", "left").withColumn(
         "row_idx", F.coalesce("_seen", F.lit(0)) + F.col("_r")
     ).drop("_seen", "_r")
-    prior = state.where(F.col("kind") == "class").select("source", "class", F.col("n").alias("prior_count"))
-    k_max = max(targets.values()) if targets else 0
-    taken = select_quota(items, targets, k_max=k_max, max_rows_scanned=max_rows_scanned, prior=prior)
-    taken.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
-
-    # new state: rows seen per source, usable rows per (source, class) saturated at the target
-    usable = items.where(F.col("valid"))
-    if max_rows_scanned is not None:
-        usable = usable.where(F.col("row_idx") < F.lit(int(max_rows_scanned)))
-    t = F.broadcast(_targets_df(spark, targets))
-    counts = (
-        usable.select("source", F.explode("classes").alias("class")).join(t, "class")
-        .groupBy("source", "class").agg(F.count(F.lit(1)).alias("n"))
-        .unionByName(prior.withColumnRenamed("prior_count", "n"))
-        .groupBy("source", "class").agg(F.sum("n").alias("n"))
-        .join(t, "class")
-        .select(F.lit("class").alias("kind"), "source", "class", F.least("n", "target").alias("n"))
-    )
-    rows = (
-        items.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-        .unionByName(seen.withColumnRenamed("_seen", "n"))
-        .groupBy("source").agg(F.sum("n").alias("n"))
-        .select(F.lit("rows").alias("kind"), "source", F.lit(None).cast("string").alias("class"), F.col("n").cast("long"))
+    # the ranked batch feeds three small jobs below; keep it for the length of the batch
+    items = items.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        prior = spark.createDataFrame([(s_, c, n) for (s_, c), n in prior_cls.items()],
+                                      "source string, class string, prior_count long")
+        k_max = max(targets.values()) if targets else 0
+        taken = select_quota(items, targets, k_max=k_max, max_rows_scanned=max_rows_scanned, prior=prior)
+        taken.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
+
+        # new state: rows seen per source; usable rows per (source, class), saturated at the target
+        usable = items.where(F.col("valid"))
+        if max_rows_scanned is not None:
+            usable = usable.where(F.col("row_idx") < F.lit(int(max_rows_scanned)))
+        cls_counts = (usable.select("source", F.explode("classes").alias("class"))
+                      .where(F.col("class").isin(list(targets))).groupBy("source", "class").count().collect())
+        row_counts = items.groupBy("source").count().collect()
+    finally:
+        items.unpersist()
+    new_cls = dict(prior_cls)
+    for r in cls_counts:
+        key = (r["source"], r["class"])
+        new_cls[key] = min(int(targets[r["class"]]), new_cls.get(key, 0) + r["count"])
+    new_rows = dict(prior_rows)
+    for r in row_counts:
+        new_rows[r["source"]] = new_rows.get(r["source"], 0) + r["count"]
+    rows = [("class", s_, c, n) for (s_, c), n in sorted(new_cls.items())]
+    rows += [("rows", s_, None, n) for s_, n in sorted(new_rows.items())]
+    spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        f"{state_dir.rstrip('/')}/batch_id={batch_id}"
     )
-    counts.unionByName(rows).write.mode("overwrite").parquet(f"{state_dir.rstrip('/')}/batch_id={batch_id}")
 
 
 def ingest_available_now(
