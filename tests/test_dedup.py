@@ -81,3 +81,22 @@ def test_distinct_pair_kept(spark):
     rows = [(1, 1, 0x0F0F0F0F, 0x12345678), (2, 2, 0x7A7A7A7A, 0x0BADBEEF)]
     res = dedup.dedup_first_kept(spark.createDataFrame(rows, SCHEMA), 5).collect()
     assert all(not r["is_dup"] for r in res)
+
+
+def test_dense_cluster_of_distinct_copies(spark):
+    # 1500 distinct hashes, each 1-2 bits from a base: every pair is within 4 bits.
+    # All but the first are duplicates of the first; the plan never pairs copies with each other.
+    base = 0x0F0F0F0F33333333
+    hs, seen = [], set()
+    for i in range(64):
+        for j in range(i, 64):
+            h = base ^ (1 << i) ^ ((1 << j) if j != i else 0)
+            if h not in seen:
+                seen.add(h)
+                hs.append(h)
+    hs = hs[:1500]
+    rows = [(k, k, h >> 32, h & 0xFFFFFFFF) for k, h in enumerate(hs)]
+    got = dedup.dedup_first_kept(spark.createDataFrame(rows, SCHEMA), 5).collect()
+    res = {r["image_id"]: (r["is_dup"], r["duplicate_of"]) for r in got}
+    assert res[0] == (False, None)
+    assert all(res[k] == (True, 0) for k in range(1, len(rows)))

@@ -10,11 +10,10 @@ lengthens the keys (fewer chance candidates per key at very large hash counts)
 at the cost of more key copies per hash.
 
 First-kept-wins is not connected components: an item is a duplicate only if an
-earlier *kept* item is within t. It is solved as a fixpoint over the pair list:
-a node becomes kept when all its earlier neighbours are duplicates, and a
-duplicate when any earlier neighbour is kept; the earliest undecided node is
-always decidable, so every round makes progress. Equal hashes are collapsed
-first, so a hot hash (blank frames) is one node, not all-pairs of a group.
+earlier *kept* item is within t. It is solved as a fixpoint that only ever
+pairs kept items with later ones (see ``dedup_first_kept``), so a group of
+near copies costs pairs linear in its size. Equal hashes are collapsed first,
+so a hot hash (blank frames) is one node.
 """
 
 from __future__ import annotations
@@ -144,6 +143,29 @@ def hamming_pairs(
 KEPT, DUP, OPEN = 1, 2, 0
 
 
+def _pairs_between(a: DataFrame, b: DataFrame, t: int, blocks: list[int], k: int) -> DataFrame:
+    """Keyed rows of ``a`` (earlier) against keyed rows of ``b`` (later) within ``t``, each pair once."""
+    aa = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns])
+    bb = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns])
+    j = aa.join(bb, (F.col("a_cmask") == F.col("b_cmask")) & (F.col("a_bkey") == F.col("b_bkey"))
+                & (F.col("a_ord") < F.col("b_ord")))
+    xor = F.col("a_h64").bitwiseXOR(F.col("b_h64"))
+    return j.where(F.bit_count(xor) <= t).where(_canonical_mask(xor, blocks, k) == F.col("a_cmask"))
+
+
+# Key groups with more open members than this are treated as near-copy groups (first-only rule).
+SMALL_GROUP = 64
+
+
+def _open_pairs(small: DataFrame, t: int) -> DataFrame:
+    """Earlier/later pairs within ``t`` inside small key groups (at most SMALL_GROUP^2 per group)."""
+    a = small.select(*[F.col(c).alias(f"a_{c}") for c in small.columns])
+    b = small.select(*[F.col(c).alias(f"b_{c}") for c in small.columns])
+    j = a.join(b, (F.col("a_cmask") == F.col("b_cmask")) & (F.col("a_bkey") == F.col("b_bkey"))
+               & (F.col("a_ord") < F.col("b_ord")))
+    return j.where(F.bit_count(F.col("a_h64").bitwiseXOR(F.col("b_h64"))) <= t)
+
+
 def dedup_first_kept(
     hashes: DataFrame,
     t: int,
@@ -156,74 +178,96 @@ def dedup_first_kept(
     """``key, is_dup, duplicate_of`` in the first-kept-wins semantics.
 
     Unreadable items (null hash) are kept. ``duplicate_of`` is the earliest
-    kept item within ``t``. Each fixpoint round writes the status table to the
-    shared checkpoint folder, so lineage stays one round deep.
+    kept item within ``t``.
+
+    Plan (exact, and never pairs undecided items with each other):
+    1. equal hashes collapse to their earliest item;
+    2. each distinct hash is keyed once per block combination (written once);
+    3. per round, an open item is kept when no earlier open item can be within
+       ``t``: a neighbour would share a key group, so in small groups (chance
+       key matches, at most SMALL_GROUP open members) earlier members are
+       checked by distance, and in large groups (near copies) the item must be
+       the group's first open member. No earlier kept item is within ``t``
+       (step 4 would have caught it), so it is kept. The earliest open item
+       always qualifies, so every round progresses, and pair work per round
+       is linear (bounded per small group, none in large ones);
+    4. the newly kept are joined with later open items; those within ``t``
+       become duplicates;
+    5. ``duplicate_of`` joins kept with duplicates. Kept items are more than
+       ``t`` apart, so an item pairs with few of them: a cluster of k copies
+       yields O(k) pairs, not O(k^2).
+    Each round's state is written to the shared checkpoint folder.
     """
     items = hashes.select(
         F.col(key).alias("id"), F.col(order).alias("ord"),
         F.when(F.col("hash_hi").isNotNull() & F.col("hash_lo").isNotNull(), hash64(F.col("hash_hi"), F.col("hash_lo"))).alias("h64"),
     )
+    id_type = hashes.schema[key].dataType
     if not enabled:
-        return items.select(F.col("id").alias(key), F.lit(False).alias("is_dup"), F.lit(None).cast(hashes.schema[key].dataType).alias("duplicate_of"))
+        return items.select(F.col("id").alias(key), F.lit(False).alias("is_dup"), F.lit(None).cast(id_type).alias("duplicate_of"))
 
     hashed = items.where(F.col("h64").isNotNull())
-    # (1) one node per distinct hash: the earliest item carrying it
     reps = materialize(collapse_equal(hashes, key, order).select("h64", "id", "ord"), "dedup-reps")
-    # (2) pairs between distinct hashes
-    pairs = near_pairs(reps, t, num_blocks).select(F.col("a_id").alias("a"), "a_ord", F.col("b_id").alias("b"))
-    edges = materialize(pairs, "dedup-edges")
-    # (3) initial state: no earlier neighbour => kept
-    has_prev = edges.select(F.col("b").alias("id")).distinct().withColumn("_p", F.lit(True))
-    status = reps.join(has_prev, "id", "left").select(
-        "id", "ord", F.when(F.col("_p").isNull(), F.lit(KEPT)).otherwise(F.lit(OPEN)).alias("state")
-    )
-    status = materialize(status, "dedup-status")
-    active = edges
+    m = num_blocks or choose_blocks(reps.count(), t)
+    if m <= t:
+        raise ValueError("num_blocks must exceed the distance threshold")
+    keyed, blocks = _keyed(reps, t, m)
+    keyed = materialize(keyed, "dedup-keyed")
+    status = materialize(reps.select("id", "ord", F.lit(OPEN).alias("state")), "dedup-status")
     for _ in range(max_rounds):
-        open_ids = status.where(F.col("state") == OPEN).select(F.col("id").alias("b"))
-        active = materialize(active.join(open_ids, "b", "left_semi"), "dedup-active")
-        if active.isEmpty():
+        open_ids = status.where(F.col("state") == OPEN).select("id")
+        if open_ids.isEmpty():
             break
-        lab = active.join(status.select(F.col("id").alias("a"), F.col("state").alias("a_state")), "a")
-        dec = lab.groupBy("b").agg(
-            F.max((F.col("a_state") == KEPT).cast("int")).alias("any_kept"),
-            F.min((F.col("a_state") == DUP).cast("int")).alias("all_dup"),
+        open_keyed = keyed.join(open_ids, "id", "left_semi")
+        groups = open_keyed.groupBy("cmask", "bkey").agg(
+            F.count(F.lit(1)).alias("_g"), F.min(F.struct("ord", "id")).alias("_f"))
+        tagged = open_keyed.join(groups, ["cmask", "bkey"])
+        # large groups (near copies): only the group's first open item may be kept this round
+        blocked_big = tagged.where((F.col("_g") > SMALL_GROUP) & (F.col("_f.id") != F.col("id"))).select("id")
+        # small groups (chance key matches): blocked only by an earlier open item truly within t
+        small = tagged.where(F.col("_g") <= SMALL_GROUP).drop("_g", "_f")
+        blocked_small = _open_pairs(small, t).select(F.col("b_id").alias("id"))
+        new_kept = open_ids.join(blocked_big.unionByName(blocked_small), "id", "left_anti")
+        new_dup = (
+            _pairs_between(keyed.join(new_kept, "id", "left_semi"), open_keyed, t, blocks, m - t)
+            .select(F.col("b_id").alias("id")).distinct()
         )
-        new_state = F.when(F.col("any_kept") == 1, F.lit(DUP)).when(F.col("all_dup") == 1, F.lit(KEPT)).otherwise(F.lit(OPEN))
         status = materialize(
-            status.join(dec.withColumnRenamed("b", "id"), "id", "left").select(
-                "id", "ord", F.when(F.col("state") == OPEN, F.coalesce(new_state, F.lit(OPEN))).otherwise(F.col("state")).alias("state")
-            ),
+            status.join(new_kept.withColumn("_k", F.lit(True)), "id", "left")
+            .join(new_dup.withColumn("_d", F.lit(True)), "id", "left")
+            .select("id", "ord", F.when(F.col("state") != OPEN, F.col("state"))
+                    .when(F.col("_k"), F.lit(KEPT)).when(F.col("_d"), F.lit(DUP)).otherwise(F.lit(OPEN)).alias("state")),
             "dedup-status",
         )
     else:
         raise RuntimeError(f"near-duplicate fixpoint did not settle in {max_rounds} rounds")
 
-    # (5) duplicate_of = earliest kept earlier neighbour
-    kept = status.where(F.col("state") == KEPT).select(F.col("id").alias("a"))
-    orig = edges.join(kept, "a", "left_semi").groupBy("b").agg(F.min(F.struct("a_ord", "a")).alias("_o")).select(
-        F.col("b").alias("id"), F.col("_o.a").alias("dup_of")
+    kept_keyed = keyed.join(status.where(F.col("state") == KEPT).select("id"), "id", "left_semi")
+    dup_keyed = keyed.join(status.where(F.col("state") == DUP).select("id"), "id", "left_semi")
+    orig = (
+        _pairs_between(kept_keyed, dup_keyed, t, blocks, m - t)
+        .groupBy(F.col("b_id").alias("id")).agg(F.min(F.struct("a_ord", "a_id")).alias("_o"))
+        .select("id", F.col("_o.a_id").alias("dup_of"))
     )
     rep_res = status.join(orig, "id", "left").select(
         "id", (F.col("state") == DUP).alias("is_dup"), F.when(F.col("state") == DUP, F.col("dup_of")).alias("duplicate_of")
     )
-    # (6) later items with a representative's hash follow the representative
+    # later items with a representative's hash follow the representative
     rep_out = reps.join(rep_res, "id").select(
-        F.col("h64"), F.col("id").alias("rep_id"), F.when(F.col("is_dup"), F.col("duplicate_of")).otherwise(F.col("id")).alias("orig")
-    )
-    members = hashed.join(rep_out, "h64").select(
-        F.col("id"),
-        (F.col("id") != F.col("rep_id")).alias("_nonrep"),
-        F.col("orig"),
+        "h64", F.col("id").alias("rep_id"), F.when(F.col("is_dup"), F.col("duplicate_of")).otherwise(F.col("id")).alias("orig")
     )
-    member_res = members.join(rep_res.select(F.col("id"), F.col("is_dup").alias("_rd"), F.col("duplicate_of").alias("_rdo")), "id", "left").select(
+    members = hashed.join(rep_out, "h64").select("id", (F.col("id") != F.col("rep_id")).alias("_nonrep"), "orig")
+    member_res = members.join(
+        rep_res.select("id", F.col("is_dup").alias("_rd"), F.col("duplicate_of").alias("_rdo")), "id", "left"
+    ).select(
         "id",
         F.when(F.col("_nonrep"), F.lit(True)).otherwise(F.col("_rd")).alias("is_dup"),
         F.when(F.col("_nonrep"), F.col("orig")).otherwise(F.col("_rdo")).alias("duplicate_of"),
     )
-    unhashed = items.where(F.col("h64").isNull()).select("id", F.lit(False).alias("is_dup"), F.lit(None).cast(member_res.schema["duplicate_of"].dataType).alias("duplicate_of"))
-    out = member_res.unionByName(unhashed)
-    return out.select(F.col("id").alias(key), "is_dup", "duplicate_of")
+    unhashed = items.where(F.col("h64").isNull()).select(
+        "id", F.lit(False).alias("is_dup"), F.lit(None).cast(member_res.schema["duplicate_of"].dataType).alias("duplicate_of")
+    )
+    return member_res.unionByName(unhashed).select(F.col("id").alias(key), "is_dup", "duplicate_of")
 
 
 def dedup_summary(result: DataFrame) -> DataFrame:
