@@ -107,7 +107,9 @@ def global_rank(
         F.col("_pid").alias("_s_pid"), *[F.col(p).alias(f"_s_{i}") for i, p in enumerate(parts)],
         "_before", "_first",
     )
-    spans = broadcast_if_small(spans)
+    # one row per (range partition, group): without groups that is at most n rows, a known bound;
+    # with groups it also grows with the group count, so it is counted before broadcasting
+    spans = F.broadcast(spans) if not parts and n <= BROADCAST_MAX_ROWS else broadcast_if_small(spans)
 
     cond = [F.col("_pid") == F.col("_s_pid")] + [F.col(p).eqNullSafe(F.col(f"_s_{i}")) for i, p in enumerate(parts)]
     out = tagged.join(spans, cond, "inner").select(
