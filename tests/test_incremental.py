@@ -45,3 +45,21 @@ def test_replayed_batch_is_skipped(spark, tmp_path):
     process_batch(events, 0, events_to_items, STREAM_TARGETS, out, st, ["ts", "image_id"])  # replay
     assert sorted(r[0] for r in spark.read.parquet(out).select("image_id").collect()) == first
     assert load_state(spark, st)[1] == 0
+
+
+def test_cap_holds_across_runs(spark, tmp_path):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    schema = events.schema
+    ordered = events.orderBy("ts", "event_id").collect()
+    n = len(ordered)
+    inp, out, st, ck = (str(tmp_path / x) for x in ("in", "out", "state", "ck"))
+    cap = 25
+    for i, rows in enumerate([ordered[: n // 2], ordered[n // 2:]]):
+        spark.createDataFrame(rows, schema).write.parquet(f"{inp}/part={i}")
+        got = ingest_available_now(spark, inp, schema, events_to_items, STREAM_TARGETS, out, st, ck,
+                                   order_cols=["ts", "image_id"], max_images=cap)
+    inc = sorted(r[0] for r in got.select("image_id").collect())
+    items = global_rank(events_to_items(events), ["ts", "image_id"], partition_cols=["source"], rank_col="row_idx")
+    one = select_quota(items, STREAM_TARGETS, k_max=max(STREAM_TARGETS.values()), max_images=cap)
+    assert inc == sorted(r[0] for r in one.select("image_id").collect())
+    assert max(r["count"] for r in got.groupBy("source").count().collect()) == cap

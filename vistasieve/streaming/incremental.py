@@ -2,8 +2,9 @@
 
 A re-run continues where the last one stopped: the stream's checkpoint
 remembers which files were read (ST2), and a small state table remembers, per
-source, how many rows were seen and, per (source, class), how many usable rows
-carried the class (saturated at the target). A row of a new micro-batch is
+source, how many rows were seen and taken and, per (source, class), how many
+usable rows carried the class (saturated at the target). A source's
+``max_images`` cap holds across runs: a batch takes at most what is left. A row of a new micro-batch is
 taken iff ``prior_count + rank_in_batch <= target`` for one of its classes —
 the same decision as one pass over all rows (see ``operators.quota``).
 
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistasieve.operators.quota import select_quota
-from vistasieve.operators.rank import global_rank
+from vistasieve.operators.rank import global_rank, top_k_per_group
 
 STATE_SCHEMA = "kind string, source string, class string, n long"
 
@@ -65,6 +66,7 @@ def process_batch(
     state_dir: str,
     order_cols: Sequence[str],
     max_rows_scanned: int | None = None,
+    max_images: int | None = None,
 ) -> None:
     spark = batch.sparkSession
     state, last = load_state(spark, state_dir)
@@ -72,6 +74,7 @@ def process_batch(
         return  # replay of a committed batch
     prior_rows = {r["source"]: r["n"] for r in state.where(F.col("kind") == "rows").collect()}  # per source
     prior_cls = {(r["source"], r["class"]): r["n"] for r in state.where(F.col("kind") == "class").collect()}
+    prior_taken = {r["source"]: r["n"] for r in state.where(F.col("kind") == "taken").collect()}
     items = to_items(batch)
     ranked = global_rank(items, list(order_cols), partition_cols=["source"], rank_col="_r")
     seen = spark.createDataFrame(list(prior_rows.items()), "source string, _seen long")
@@ -85,7 +88,18 @@ def process_batch(
                                       "source string, class string, prior_count long")
         k_max = max(targets.values()) if targets else 0
         taken = select_quota(items, targets, k_max=k_max, max_rows_scanned=max_rows_scanned, prior=prior)
+        if max_images is not None:
+            # W2 across runs: each source takes at most what its cap has left
+            left = spark.createDataFrame(
+                [(s_, int(max_images) - n) for s_, n in prior_taken.items()], "source string, _left long")
+            taken = taken.join(F.broadcast(left), "source", "left").withColumn(
+                "_left", F.coalesce("_left", F.lit(int(max_images))))
+            taken = top_k_per_group(taken, ["source"], ["row_idx", "image_id"], F.col("_left"), int(max_images)) \
+                .drop("_left", "rn")
+        taken = taken.persist(StorageLevel.MEMORY_AND_DISK)
         taken.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
+        taken_counts = taken.groupBy("source").count().collect()
+        taken.unpersist()
 
         # new state: rows seen per source; usable rows per (source, class), saturated at the target
         usable = items.where(F.col("valid"))
@@ -103,8 +117,12 @@ def process_batch(
     new_rows = dict(prior_rows)
     for r in row_counts:
         new_rows[r["source"]] = new_rows.get(r["source"], 0) + r["count"]
+    new_taken = dict(prior_taken)
+    for r in taken_counts:
+        new_taken[r["source"]] = new_taken.get(r["source"], 0) + r["count"]
     rows = [("class", s_, c, n) for (s_, c), n in sorted(new_cls.items())]
     rows += [("rows", s_, None, n) for s_, n in sorted(new_rows.items())]
+    rows += [("taken", s_, None, n) for s_, n in sorted(new_taken.items())]
     spark.createDataFrame(rows, STATE_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
         f"{state_dir.rstrip('/')}/batch_id={batch_id}"
     )
@@ -124,6 +142,7 @@ def ingest_available_now(
     max_files_per_trigger: int | None = None,
     fmt: str = "parquet",
     path_glob: str | None = None,
+    max_images: int | None = None,
 ) -> DataFrame:
     """ST1/ST2: process every file not yet seen, in micro-batches, then stop.
 
@@ -138,7 +157,8 @@ def ingest_available_now(
     stream = reader.load(input_path)
     q = (
         stream.writeStream.foreachBatch(
-            lambda df, bid: process_batch(df, bid, to_items, targets, out_dir, state_dir, order_cols, max_rows_scanned)
+            lambda df, bid: process_batch(df, bid, to_items, targets, out_dir, state_dir, order_cols, max_rows_scanned,
+                                          max_images)
         )
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
