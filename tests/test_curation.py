@@ -41,6 +41,8 @@ def test_full_run(spark, tmp_path):
     assert taken == 12  # 13 images, im07 has no label
     meta = {r["id"]: r for r in rep.metadata.collect()}
     assert len(meta) == 10  # one blurry, one duplicate removed
+    # export items are named by their 0-based index among the taken images
+    assert "fire_smoke_0000000" in meta and all(k.startswith("fire_smoke_00000") for k in meta)
     assert all(r["split"] in ("train", "val", "test") and r["width"] == 640 for r in meta.values())
     st = rep.stats.first()
     assert st["images"]["total_seen"] == 12 and st["images"]["accepted"] == 10

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vistasieve.config import (
@@ -158,8 +158,13 @@ def run(
     ordered = accepted.withColumn("ord", F.col("source_order").cast("long") * F.lit(1 << 40) + F.col("row_idx"))
     dups = dedup_ops.dedup_first_kept(ordered, dedup_cfg.hamming_distance_threshold, key="image_id", order="ord",
                                       enabled=dedup_cfg.enabled)
-    kept = taken.join(dups.where(~F.col("is_dup")).select("image_id"), "image_id", "left_semi").withColumn(
-        "name", item_name(F.col("source"), F.col("row_idx"), suffix=""))
+    # K6: row sources are named by their 1-based row index, export sources by the 0-based index among
+    # the images taken from them (a window over the taken rows of one source: at most its max_images)
+    export_sources = [s.name for s in sources if s.kind == "yolo"]
+    taken_idx = F.row_number().over(Window.partitionBy("source").orderBy("row_idx")) - 1
+    named = taken.withColumn("_idx", F.when(F.col("source").isin(export_sources), taken_idx).otherwise(F.col("row_idx")))
+    kept = named.join(dups.where(~F.col("is_dup")).select("image_id"), "image_id", "left_semi").withColumn(
+        "name", item_name(F.col("source"), F.col("_idx"), suffix="")).drop("_idx")
     ids = kept.select(F.col("name").alias("id"), "image_id")
     splits = split.split_exact(ids, "id", split_cfg).join(ids, "id").select("image_id", "split")
     meta = materialize(release.metadata_records(kept, gated, splits), "metadata")
