@@ -84,6 +84,10 @@ def global_rank(
     whole group into one task, however skewed the groups are. The number of
     ranges grows with the row count (one count job), so each task's sort stays
     bounded.
+
+    The input is read three times (count, boundary sampling, the write), so
+    pass a narrow, cheap projection (keys and a few columns of a scan) and join
+    wide or expensive columns onto the ranked result afterwards.
     """
     spark = df.sparkSession
     parts = list(partition_cols)
