@@ -1,22 +1,8 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
 SF_SMALL = "/root/testdata/sf0.001"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from vistasieve.session import local_session
-
-    s = local_session(4, shuffle_partitions=4, app="vistasieve-tests")
-    yield s
-    s.stop()
-
-
 @pytest.fixture(scope="session")
 def documents():
     """doc_id and text of the small table, with copies, near copies, nulls, blanks and a long text added."""

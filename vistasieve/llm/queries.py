@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistasieve.llm import decontam_fm, sentence_spans, simhash_pivot, url_trie
+from vistasieve.llm import decontam_fm, lang_cnn, sentence_spans, simhash_pivot, unigram_pieces, url_trie
 from vistasieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,34 @@ SENTENCE_SPAN = 3
 def op10_sentence_spans(spark, sf):
     cut = sentence_spans.dedup_sentences(table(spark, sf, "documents").select("doc_id", "text"), SENTENCE_SPAN, counts=True)
     return cut.select("doc_id", "n_sentences", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def learned_language(docs: DataFrame) -> lang_cnn.ByteCNN | None:
+    """The network trained on the documents that the contract lets it learn from."""
+    return lang_cnn.fit(docs, F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2)
+
+
+@register("op3_language_id")
+def op3_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = lang_cnn.predict(docs, learned_language(docs))
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+#: SentencePiece model whose pieces and scores are used (a parameter of every function that needs it).
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def encode_and_decode(docs: DataFrame, model_file: str = PIECE_MODEL) -> DataFrame:
+    """``doc_id``, ``ids``, ``n_fallback`` and ``decoded`` (the text the ids stand for) of each document."""
+    vocab = unigram_pieces.load_vocabulary(model_file)
+    return unigram_pieces.decode(unigram_pieces.encode(docs, vocab), vocab, keep=("ids", "n_fallback"))
+
+
+@register("op5_sentencepiece")
+def op5_sentencepiece(spark, sf):
+    coded = encode_and_decode(table(spark, sf, "documents"))
+    return coded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), "n_fallback",
+                        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
