@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistasieve.llm import decontam_fm, lang_cnn, sentence_spans, simhash_pivot, unigram_pieces, url_trie
+from vistasieve.llm import ann_forest, decontam_fm, lang_cnn, sentence_spans, simhash_pivot, unigram_pieces, url_trie
 from vistasieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,8 @@ def op5_sentencepiece(spark, sf):
     return coded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), "n_fallback",
                         F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@register("op2_hash_prefix_forest")
+def op2_hash_prefix_forest(spark, sf):
+    return ann_forest.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
