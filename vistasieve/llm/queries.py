@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistasieve.llm import ann_forest, decontam_fm, lang_cnn, sentence_spans, simhash_pivot, unigram_pieces, url_trie
+from vistasieve.llm import ann_forest, decontam_fm, lang_cnn, sentence_spans, simhash_pivot, unigram_pieces, url_trie, warc_writer
 from vistasieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,20 @@ def op5_sentencepiece(spark, sf):
 @register("op2_hash_prefix_forest")
 def op2_hash_prefix_forest(spark, sf):
     return ann_forest.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def _warc_sql() -> str:
+    return """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+     m AS (SELECT payload_digest, max(page_id) AS most FROM d WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT d.page_id, d.payload_bytes::BIGINT AS payload_bytes, d.payload_digest,
+       CASE WHEN most IS NULL OR most = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN most <> page_id THEN most END AS refers_to
+FROM d LEFT JOIN m USING (payload_digest)"""
+
+
+@register("op7_warc", _warc_sql())
+def op7_warc(spark, sf):
+    read = warc_writer.read_warc(warc_writer.write_warc(table(spark, sf, "pages")))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
