@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistasieve.llm import ann_forest, decontam_fm, lang_cnn, sentence_spans, simhash_pivot, unigram_pieces, url_trie, warc_writer
+from vistasieve.llm import ann_forest, decontam_fm, lang_cnn, sentence_spans, simhash_pivot, suffix_dedup, unigram_pieces, url_trie, warc_writer
 from vistasieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,9 @@ FROM d LEFT JOIN m USING (payload_digest)"""
 def op7_warc(spark, sf):
     read = warc_writer.read_warc(warc_writer.write_warc(table(spark, sf, "pages")))
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op4_suffix_dedup")
+def op4_suffix_dedup(spark, sf):
+    cut = suffix_dedup.remove_repeats(table(spark, sf, "documents"), 50)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
