@@ -39,7 +39,7 @@ def test_small_blocks_and_segments(spark, monkeypatch, block, segment):
     """Periodic texts, passages at all offsets, copies, near copies; many blocks, shards and segments."""
     monkeypatch.setattr(sd, "SEGMENT", segment)
     monkeypatch.setattr(exchange, "SHARD_BYTES", 3000)
-    monkeypatch.setattr(exchange.make_blocks, "__defaults__", (block,))
+    monkeypatch.setattr(exchange, "BLOCK_BYTES", block)
     rng = random.Random(4)
     text = lambda n, a="abcdefgh ": "".join(rng.choice(a) for _ in range(n))
     passage = text(130)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vistasieve.llm.common import partitions_for, slices, utf8, written
+from vistasieve.llm.common import partitions_for, slices, written
 
 ROW = "block bigint, shard int, payload binary"
 BLOCK_BYTES = 4 << 20
@@ -45,17 +45,16 @@ def _rows(rows: list[tuple]) -> pa.Table:
                                                              ("payload", pa.binary())), cols)})
 
 
-def make_blocks(docs: DataFrame, id_col: str, text: str, build: Callable[[list, list], bytes],
-                max_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Written table of blocks (shard -1): ``build(ids, bodies)`` packs the rows of a block."""
+def make_blocks(rows: DataFrame, build: Callable[..., bytes], max_bytes: int | None = None) -> DataFrame:
+    """Written table of blocks (shard -1); ``build`` packs the columns of a block's rows, ``body`` among them."""
+    limit = max_bytes or BLOCK_BYTES
 
     def run(batches):
-        for piece in slices(batches, "body", max_bytes):
-            ids, bodies = (c.to_pylist() for c in piece.columns)
-            yield from _rows([(uuid.uuid4().int >> 65, -1, build(ids, bodies))]).to_batches()
+        for piece in slices(batches, "body", limit):
+            packed = build(*(c.to_pylist() for c in piece.columns))
+            yield from _rows([(uuid.uuid4().int >> 65, -1, packed)]).to_batches()
 
-    ids = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text).alias(text))
-    return written(utf8(ids, id_col, text).mapInArrow(run, ROW), "blocks")
+    return written(rows.mapInArrow(run, ROW), "blocks")
 
 
 def shards_for(docs: DataFrame, text: str) -> int:
@@ -76,7 +75,7 @@ def by_block(blocks: DataFrame, answers: DataFrame | None, work: Callable[..., I
         rows = sorted(zip(part.column("shard").to_pylist(), part.column("payload").to_pylist()), key=lambda r: r[0])
         return pa.Table.from_batches(list(work(part.column("block")[0].as_py(), rows[0][1], [p for _, p in rows[1:]])))
 
-    return blocks.unionByName(answers).groupBy("block").applyInArrow(together, shape)
+    return blocks.unionByName(answers.drop("totals")).groupBy("block").applyInArrow(together, shape)
 
 
 def questions(blocks: DataFrame, answers: DataFrame | None, ask: Callable[..., list[tuple[int, bytes]]]) -> DataFrame:
@@ -88,12 +87,14 @@ def questions(blocks: DataFrame, answers: DataFrame | None, ask: Callable[..., l
     return by_block(blocks, answers, work, ROW)
 
 
-def answer(asked: DataFrame, reply: Callable[[list[bytes]], list[bytes]], name: str) -> DataFrame:
-    """``reply(questions)`` answers all questions put to a shard; the written answers carry block and shard."""
+def answer(asked: DataFrame, reply: Callable[[list[bytes]], tuple[list[bytes], list[int]]], name: str) -> DataFrame:
+    """``reply(questions)`` answers all questions put to a shard and adds totals of the shard. The written answers
+    carry block and shard, and ``totals`` once for each shard (else null)."""
     def work(part: pa.Table) -> pa.Table:
         order = np.argsort(part.column("block").to_numpy(), kind="stable")  # the same order however rows arrive
         part = part.take(pa.array(order))
-        got = reply(part.column("payload").to_pylist())
-        return pa.table({"block": part.column("block"), "shard": part.column("shard"), "payload": pa.array(got, pa.binary())})
+        got, totals = reply(part.column("payload").to_pylist())
+        return pa.table({"block": part.column("block"), "shard": part.column("shard"), "payload": pa.array(got, pa.binary()),
+                         "totals": pa.array([totals] + [None] * (len(got) - 1), pa.list_(pa.int64()))})
 
-    return written(asked.groupBy("shard").applyInArrow(work, ROW), name)
+    return written(asked.groupBy("shard").applyInArrow(work, f"{ROW}, totals array<bigint>"), name)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistasieve.llm import ann_forest, decontam_fm, lang_cnn, sentence_spans, simhash_pivot, suffix_dedup, unigram_pieces, url_trie, warc_writer
+from vistasieve.llm import ann_forest, decontam_fm, lang_cnn, ngram_trie, sentence_spans, simhash_pivot, suffix_dedup, unigram_pieces, url_trie, warc_writer
 from vistasieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,11 @@ def op7_warc(spark, sf):
 def op4_suffix_dedup(spark, sf):
     cut = suffix_dedup.remove_repeats(table(spark, sf, "documents"), 50)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op1_lm_score")
+def op1_lm_score(spark, sf):
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1, F.lit(False))
+    scored = ngram_trie.score_texts(table(spark, sf, "documents"), ~held_out)
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")

@@ -23,6 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vistasieve.llm import exchange
 from vistasieve.llm.common import offsets, ranges
@@ -187,7 +188,7 @@ class Block:
         return np.cumsum(change)[:-1] > 0
 
 
-def shared_minimizers(payloads: list[bytes]) -> list[bytes]:
+def shared_minimizers(payloads: list[bytes]) -> tuple[list[bytes], list[int]]:
     keys, both = [], []
     for p in payloads:
         low, flag = exchange.unpack(p)
@@ -198,10 +199,10 @@ def shared_minimizers(payloads: list[bytes]) -> list[bytes]:
     values, number, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
     shared = (count > 1) | (np.bincount(number[np.concatenate(both)], minlength=len(values)) > 0)
     cuts = np.cumsum([len(k) for k in keys])[:-1]
-    return [exchange.pack(part) for part in np.split(shared[number], cuts)]
+    return [exchange.pack(part) for part in np.split(shared[number], cuts)], []
 
 
-def least_owners(payloads: list[bytes], length: int) -> list[bytes]:
+def least_owners(payloads: list[bytes], length: int) -> tuple[list[bytes], list[int]]:
     """For each block's contexts, the least document id of each of their strings, as runs."""
     columns = [[np.frombuffer(x, t) for x, t in zip(exchange.unpack(p), (np.uint64, np.int32, np.int64, np.uint8))]
                for p in payloads]
@@ -231,7 +232,7 @@ def least_owners(payloads: list[bytes], length: int) -> list[bytes]:
         values = result[ranges(at[own], strings[own])]
         edge = np.flatnonzero(np.diff(values, prepend=-1 if not len(values) else values[0] - 1))
         out.append(exchange.pack(values[edge], np.diff(np.r_[edge, len(values)]).astype(np.int32)))
-    return out
+    return out, []
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -273,7 +274,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
                  pa.array([kept[x:y] for x, y in zip(cuts, cuts[1:])], pa.binary())],
                 names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    blocks = exchange.make_blocks(docs, id_col, text, build)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("binary").alias("body"))
+    blocks = exchange.make_blocks(rows, build)
     shared = exchange.answer(exchange.questions(blocks, None, ask_minimizers), shared_minimizers, "minimizers")
     least = exchange.answer(exchange.questions(blocks, shared, ask_contexts), lambda p: least_owners(p, length), "contexts")
     out = exchange.by_block(blocks, shared.unionByName(least), cut,
