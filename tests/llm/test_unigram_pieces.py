@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from vistasieve.llm import unigram_pieces as up
@@ -71,6 +72,14 @@ def test_best_path_is_optimal(vocab):
         assert sum(score.get(i, -15.0) for i in viterbi.best_path(u)) == best(u)
 
 
+def test_many_units_at_once(vocab, documents):
+    """The array search gives the same paths as the search of single units."""
+    viterbi = up.Viterbi(vocab)
+    units = sorted({b" " + u for _, t in documents if t for u in up.units_of(t.encode())} | {b" ", b"   a", " ▁é😀x".encode(), b" \xff\xe2"})
+    units = [u for u in units if len(u) < 300][:6000]
+    assert [np.frombuffer(x, np.int32).tolist() for x in viterbi.best_paths(units)] == [viterbi.best_path(u) for u in units]
+
+
 def test_round_trip(spark, vocab, documents, docs_df):
     odd = [(200_000, "▁ marker ▁▁ in text"), (200_001, "  lead and trail  "), (200_002, " "), (200_003, "<0x41> <s> </s>"),
            (200_004, "q" * 30_000), (None, "no id"), (None, "no id")]

@@ -5,7 +5,8 @@ and one marker is put in front, as the model does; no other normalisation is mad
 byte for byte. The best segmentation maximises the sum of the pieces' scores; a character that is no piece by itself
 costs the least score minus 10 and becomes its UTF-8 bytes' fallback pieces. Ties go to the path that starts the last
 piece earlier. No piece holds a marker behind another character, so the best path of a text is that of its units (a run
-of blanks and what follows it); units are encoded once per task and kept in a bounded memo.
+of blanks and what follows it); units are encoded once per task and kept in a bounded memo. Units of a batch are searched together, position by position, in
+arrays; very long ones by themselves.
 
 A marker character that stands in the text itself is encoded by fallback bytes, so it does not decode to a blank.
 
@@ -23,13 +24,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vistasieve.llm.common import slices, utf8
+from vistasieve.llm.common import offsets, ranges, slices, utf8, with_fields
 
 MARK = "▁"
 UNKNOWN_COST = 10.0
 STRIDE = 4096  # slots tried at once when a node of the double array is placed
-MEMO_UNITS = 300_000  # units a task remembers before it starts anew
+MEMO_UNITS = 500_000  # units a task remembers before it starts anew
+LONG_UNIT = 100       # bytes; longer units are searched one by one
 _UNITS = re.compile(rb" *[^ ]+| +")
 
 
@@ -110,12 +113,74 @@ def load_vocabulary(model_file: str) -> Vocabulary:
 
 class Viterbi:
     def __init__(self, vocab: Vocabulary):
+        self.vocab = vocab
         self.base, self.check, self.value = vocab.base.tolist(), vocab.check.tolist(), vocab.value.tolist()
         self.scores, self.ids = [s for _, s, _ in vocab.pieces], [i for _, _, i in vocab.pieces]
         self.unknown = min(self.scores) - UNKNOWN_COST
         self.fallback = vocab.fallback
         self.memo: dict[bytes, bytes] = {}
 
+    def edges(self, text: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, length and piece of every piece found from every position, all positions descending the trie
+        together; ``stop`` is the end of each position's unit. Characters that are no piece get an edge of piece -1."""
+        base, check, value = self.vocab.base, self.vocab.check, self.vocab.value
+        width = np.select([text < 0xC0, text < 0xE0, text < 0xF0], [1, 2, 3], 4)
+        width = np.minimum(width, stop - np.arange(len(text)))
+        lone = np.ones(len(text), bool)
+        at, state, depth, out = np.arange(len(text)), np.zeros(len(text), np.int64), 0, []
+        while at.size:
+            nxt = np.minimum(base[state] + text[at + depth] + 1, len(check) - 1)
+            live = check[nxt] == state
+            at, state, depth = at[live], nxt[live], depth + 1
+            piece = value[state]
+            hit = piece >= 0
+            out.append((at[hit], np.full(np.count_nonzero(hit), depth), piece[hit]))
+            lone[at[hit][width[at[hit]] == depth]] = False
+            more = at + depth < stop[at]
+            at, state = at[more], state[more]
+        rest = np.flatnonzero(lone)
+        out.append((rest, width[rest], np.full(len(rest), -1)))
+        return tuple(np.concatenate(c) for c in zip(*out))
+
+    def best_paths(self, units: list[bytes]) -> list[bytes]:
+        """``best_path`` of many units at once, each as the bytes of 32-bit ids: positions advance together."""
+        sizes = np.array([len(u) for u in units], np.int64)
+        text = np.frombuffer(b"".join(units), np.uint8).astype(np.int64)
+        begin = offsets(sizes)
+        unit = np.repeat(np.arange(len(units)), sizes)
+        start, length, piece = self.edges(text, begin[1:][unit])
+        step = (start - begin[unit[start]]) * 1024 + length  # by place in the unit, then by length
+        order = np.argsort(step, kind="stable")
+        start, length, piece, step = start[order], length[order], piece[order], step[order]
+        gain = np.where(piece >= 0, np.array(self.scores)[piece], self.unknown)
+        source = start + unit[start]  # one node more than positions in each unit
+        target = source + length
+        n = len(text) + len(units)
+        best, came, by = np.full(n, -np.inf), np.zeros(n, np.int64), np.full(n, -1)
+        best[begin[:-1] + np.arange(len(units))] = 0.0
+        cuts = np.r_[np.flatnonzero(np.diff(step, prepend=-1)), len(step)].tolist()
+        for lo, hi in zip(cuts, cuts[1:]):
+            total = best[source[lo:hi]] + gain[lo:hi]
+            better = np.flatnonzero(total > best[target[lo:hi]]) + lo
+            best[target[better]], came[target[better]], by[target[better]] = total[better - lo], source[better], piece[better]
+        node, who, steps = begin[1:] + np.arange(len(units)), np.arange(len(units)), []
+        first = begin[:-1] + np.arange(len(units))
+        while who.size:
+            steps.append((who, node, came[node], by[node]))
+            node = came[node]
+            go = node > first[who]
+            who, node = who[go], node[go]
+        who, node, back, piece = (np.concatenate(c) for c in zip(*steps[::-1]))
+        order = np.argsort(who, kind="stable")  # within a unit from the first piece to the last
+        who, node, back, piece = who[order], node[order], back[order], piece[order]
+        count = np.where(piece >= 0, 1, node - back)
+        ids = np.repeat(np.array(self.ids)[piece], count)
+        lost = np.repeat(piece < 0, count)
+        ids[lost] = np.array(self.fallback)[text[(ranges(back, count) - np.repeat(who, count))[lost]]]
+        ends = (4 * np.cumsum(np.bincount(who, count, minlength=len(units)).astype(np.int64))).tolist()
+        flat = ids.astype(np.int32).tobytes()
+        return [flat[x:y] for x, y in zip([0, *ends], ends)]
+
     def best_path(self, unit: bytes) -> list[int]:
         """Piece ids of the best segmentation of a unit (blanks stand for markers)."""
         base, check, value, scores = self.base, self.check, self.value, self.scores
@@ -150,39 +215,54 @@ class Viterbi:
             e = s
         return out[::-1]
 
+    def learn(self, units: set[bytes]) -> None:
+        """Put the paths of units that the memo lacks into it."""
+        if len(self.memo) > MEMO_UNITS:
+            self.memo.clear()
+        new = units.difference(self.memo)
+        for u in [u for u in new if len(u) > LONG_UNIT]:
+            self.memo[u] = np.array(self.best_path(b" " + u), np.int32).tobytes()
+        short = sorted(u for u in new if len(u) <= LONG_UNIT)
+        if short:
+            self.memo.update(zip(short, self.best_paths([b" " + u for u in short])))
+
+    def encode_all(self, bodies: list[bytes | None]) -> list[bytes | None]:
+        """Piece ids of each text, as the bytes of 32-bit numbers."""
+        split = [None if b is None else units_of(b) for b in bodies]
+        self.learn(set().union(*(u for u in split if u)))
+        return [None if u is None else b"".join(map(self.memo.__getitem__, u)) for u in split]
+
     def encode(self, body: bytes) -> np.ndarray:
-        """Piece ids of a text."""
-        if not body:
-            return np.zeros(0, np.int32)
-        if body[0] != 32 and b"  " not in body:
-            units = body.split(b" ")
-        else:
-            units = [u[1:] for u in _UNITS.findall(b" " + body)]
-        memo = self.memo
-        if len(memo) > MEMO_UNITS:
-            memo.clear()
-        for u in set(units).difference(memo):
-            memo[u] = np.array(self.best_path(b" " + u), np.int32).tobytes()
-        return np.frombuffer(b"".join(map(memo.__getitem__, units)), np.int32)
+        return np.frombuffer(self.encode_all([body])[0], np.int32)
+
+
+def units_of(body: bytes) -> list[bytes]:
+    """The units of a text, without the marker that each begins with."""
+    if not body:
+        return []
+    if body[0] != 32 and b"  " not in body:
+        return body.split(b" ")
+    return [u[1:] for u in _UNITS.findall(b" " + body)]
 
 
 def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: the id, ``ids`` (piece ids) and ``n_fallback`` (how many are fallback bytes)."""
     sent = docs.sparkSession.sparkContext.broadcast(vocab)
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         viterbi, byte_piece = Viterbi(sent.value), np.zeros(1 + max(sent.value.surface()), bool)
         byte_piece[sent.value.fallback] = True
         for piece in slices(batches, "body", 4 << 20):
-            bodies = piece.column(1).to_pylist()
-            ids = [None if b is None else viterbi.encode(b) for b in bodies]
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(ids, pa.list_(pa.int32())),
-                 pa.array([0 if x is None else int(byte_piece[x].sum()) for x in ids], pa.int64())],
-                names=[id_col, "ids", "n_fallback"])
+            coded = viterbi.encode_all(piece.column(1).to_pylist())
+            ids = np.frombuffer(b"".join(c for c in coded if c), np.int32)
+            at = offsets(np.array([len(c or b"") // 4 for c in coded], np.int64))
+            fallback = offsets(byte_piece[ids])
+            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids),
+                                             mask=pa.array([c is None for c in coded]))
+            yield pa.RecordBatch.from_arrays([piece.column(0), lists, pa.array(np.diff(fallback[at]))],
+                                             names=[id_col, "ids", "n_fallback"])
 
-    return utf8(docs, id_col, text).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, n_fallback bigint")
+    return utf8(docs, id_col, text).mapInArrow(run, with_fields(docs, id_col, "ids array<int>, n_fallback bigint"))
 
 
 def decode(encoded: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", ids: str = "ids",
@@ -196,10 +276,12 @@ def decode(encoded: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", ids: s
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                lists = part.column(part.num_columns - 1).to_pylist()
-                texts = [None if x is None else b"".join(map(surface.__getitem__, x))[1:] for x in lists]
+                lists = part.column(part.num_columns - 1)
+                pieces = list(map(surface.__getitem__, lists.flatten().to_numpy().tolist()))
+                ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(lists), 0)).tolist()
+                texts = [b"".join(pieces[x:y])[1:] if good else None
+                         for x, y, good in zip([0, *ends], ends, lists.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.binary()).cast(pa.string())],
                                                  names=[id_col, *keep, "decoded"])
 
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema[:-1])
-    return src.mapInArrow(run, f"{shape}, decoded string")
+    return src.mapInArrow(run, T.StructType([*src.schema[:-1], T.StructField("decoded", T.StringType())]))
