@@ -159,16 +159,18 @@ def shard_bounds(rows: DataFrame, shards: int, n: int) -> list:
     return sorted(set(ids[at].tolist())) if len(ids) else []
 
 
-def records(pages: DataFrame, id_col: str, url_col: str, payload_col: str, revisit_from: int) -> DataFrame:
-    """``page``, ``url``, ``body``, ``digest`` and ``refers_to`` (null for responses)."""
+def records(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> DataFrame:
+    """``page``, ``url``, ``body`` and ``digest``."""
     body = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).alias("url"), body.alias("body"))
-    rows = rows.withColumn("digest", F.sha1("body"))
-    long = rows.where(F.length("body") >= revisit_from)
-    first = long.groupBy("digest").agg(F.max("page").alias("most"), F.count("*").alias("c")).where("c > 1")
-    first = first.select(F.col("digest").alias("d"), "most")
-    refers = F.when((F.length("body") >= revisit_from) & ~F.col("page").eqNullSafe(F.col("most")), F.col("most"))
-    return rows.join(first, rows.digest == F.col("d"), "left").select("page", "url", "body", "digest", refers.alias("refers_to"))
+    return rows.withColumn("digest", F.sha1("body"))
+
+
+def references(rows: DataFrame, revisit_from: int) -> DataFrame:
+    """``page``, ``digest`` and ``refers_to`` of the revisits. Payloads stay behind: only digests are shuffled."""
+    long = rows.where(F.length("body") >= revisit_from).select("page", "digest")
+    first = long.groupBy("digest").agg(F.max("page").alias("refers_to"), F.count("*").alias("c")).where("c > 1").drop("c")
+    return long.join(first, "digest").where(F.col("refers_to").isNotNull() & ~F.col("page").eqNullSafe(F.col("refers_to")))
 
 
 def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url",
@@ -177,20 +179,28 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
     (``folder``, ``name``, ``records``, ``bytes``, ``sha256``)."""
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
-    rows = records(pages, id_col, url_col, payload_col, revisit_from)
+    rows = records(pages, id_col, url_col, payload_col)
     n, size = pages.agg(F.count("*"), F.sum(F.length(F.col(payload_col)))).first()
     shards = max(partitions_for(spark), 1 + (size or 0) // SHARD_BYTES)
     bounds = shard_bounds(pages.select(F.col(id_col).cast("long").alias("page")), shards, n)
     edges = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<long>")
     shard = F.when(F.col("page").isNull(), 0).otherwise(F.size(F.filter(edges, lambda b: b <= F.col("page"))))
-    dealt = (rows.withColumn("shard", shard).repartition(shards, "shard")
-             .sortWithinPartitions("shard", "page", "url", "digest"))
+    # A revisit's reference comes just before its record, as a row without a body, so payloads are shuffled once.
+    refs = references(rows, revisit_from).select("page", F.lit(None).cast("string").alias("url"),
+                                                 F.lit(None).cast("binary").alias("body"), "digest", "refers_to")
+    both = rows.withColumn("refers_to", F.lit(None).cast("long")).unionByName(refs)
+    dealt = (both.withColumn("shard", shard).repartition(shards, "shard")
+             .sortWithinPartitions("shard", "page", "digest", F.col("refers_to").asc_nulls_last(), "url"))
 
     def write(batches):
-        target, roller, done, last, copy = Folder(folder), None, [], None, 0
+        target, roller, done, last, copy, known = Folder(folder), None, [], None, 0, (None, None, None)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 for page, url, body, digest, refers_to, own in zip(*(c.to_pylist() for c in batch.slice(at, 200).columns)):
+                    if body is None:
+                        known = (page, digest, refers_to)
+                        continue
+                    refers_to = known[2] if known[:2] == (page, digest) else None
                     if roller is None or roller.shard != own:
                         done += [roller.close()] if roller else []
                         roller = Roller(target, own, roll_bytes)
