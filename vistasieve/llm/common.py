@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vistasieve.session import scratch_path
 
@@ -28,6 +29,11 @@ def utf8(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key), F.col(text).cast("binary").alias("body"))
 
 
+def with_fields(df: DataFrame, key: str, more: str) -> T.StructType:
+    """Schema of a result that carries column ``key`` of ``df`` (of any type) and the fields in ``more``."""
+    return T.StructType([df.schema[key], *T.StructType.fromDDL(more)])
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each piece holds about ``max_bytes`` of ``column`` (one row at least)."""
     for batch in batches:

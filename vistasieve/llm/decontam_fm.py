@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vistasieve.llm.common import merge_spans, offsets, ranges, slices, utf8, written
+from vistasieve.llm.common import merge_spans, offsets, ranges, slices, utf8, with_fields, written
 
 #: Bytes that are part of a word map to themselves, A-Z to a-z, all others to a blank.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -202,9 +202,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, id_col
     items = items.where("b is not null")
     total = items.agg(F.sum(F.length("b"))).first()[0] or 0
     blocks = 1 + total // block_bytes
-    kind = docs.schema[id_col].dataType.simpleString()
-    shape = f"id {kind}, body binary, n_words bigint, spans array<bigint>, items array<string>"
-    out = utf8(docs, id_col, text).toDF("id", "body").selectExpr(
+    out = utf8(docs, id_col, text).toDF("id", "body")
+    shape = with_fields(out, "id", "body binary, n_words bigint, spans array<bigint>, items array<string>")
+    out = out.selectExpr(
         "id", "body", "0L as n_words", "array()::array<bigint> as spans", "array()::array<string> as items")
     for b in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "b"), F.lit(blocks)) == b)
@@ -213,9 +213,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, id_col
 
         def scan(batches, sent=sent, last=last):
             for piece in slices(batches, "body"):
-                old = piece.to_pydict()
-                counts, spans, found = search_shard(old["body"], sent.value)
-                for d, (s, f) in enumerate(zip(old["spans"], old["items"])):
+                bodies, _, earlier, items = (c.to_pylist() for c in piece.columns[1:])
+                counts, spans, found = search_shard(bodies, sent.value)
+                for d, (s, f) in enumerate(zip(earlier, items)):
                     if s:
                         both = np.r_[np.array(s, np.int64), np.array(spans[d], np.int64)].reshape(-1, 2)
                         spans[d] = np.stack(merge_spans(both[:, 0], both[:, 1]), axis=1).ravel().tolist()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vistasieve.llm.common import offsets, slices, utf8
+from vistasieve.llm.common import offsets, slices, utf8, with_fields
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -147,7 +147,6 @@ def fit(docs: DataFrame, where: Column, id_col: str = "doc_id", text: str = "tex
 def predict(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: the id, ``lang_pred`` and ``score`` (the mean probability of that label)."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema[id_col].dataType.simpleString()
 
     def judge(batches):
         net = sent.value
@@ -165,4 +164,4 @@ def predict(docs: DataFrame, model: ByteCNN | None, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(label), pa.array(score, pa.float64())],
                                              names=[id_col, "lang_pred", "score"])
 
-    return utf8(docs, id_col, text).mapInArrow(judge, f"`{id_col}` {kind}, lang_pred string, score double")
+    return utf8(docs, id_col, text).mapInArrow(judge, with_fields(docs, id_col, "lang_pred string, score double"))

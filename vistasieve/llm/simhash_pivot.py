@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vistasieve.llm.common import offsets, partitions_for, slices, utf8, written
+from vistasieve.llm.common import offsets, partitions_for, slices, utf8, with_fields, written
 
 SEED = 42
 N_PIVOTS = 24
@@ -51,8 +51,6 @@ def majority_bits(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The id and ``fp``, the 64 bits as a signed long."""
-    kind = docs.schema[id_col].dataType.simpleString()
-
     def sign(batches):
         for piece in slices(batches, "body", 2 << 20):
             parts = [shingle_hashes(b.lower().split(), shingle) if b else np.zeros(0, np.uint64)
@@ -60,7 +58,7 @@ def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text: st
             fp = majority_bits(np.concatenate(parts), np.array([len(p) for p in parts]))
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(fp.view(np.int64))], names=[id_col, "fp"])
 
-    return utf8(docs, id_col, text).mapInArrow(sign, f"`{id_col}` {kind}, fp bigint")
+    return utf8(docs, id_col, text).mapInArrow(sign, with_fields(docs, id_col, "fp bigint"))
 
 
 def refine_masks(mask: int, parts: int) -> list[int]:

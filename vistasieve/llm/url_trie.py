@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vistasieve.llm.common import with_fields
+
 Rule = tuple[str, str, str]
 MAX_RULE_BYTES = 64 << 20  # bound of what is broadcast: the rules' own text
 _LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -107,5 +109,4 @@ def url_verdicts(pages: DataFrame, rules: Sequence[Rule], default: str = "allow"
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.string()) for c in cols)],
                                              names=[id_col, "host", "path", "rule", "verdict"])
 
-    kind = src.schema[id_col].dataType.simpleString()
-    return src.mapInArrow(judge, f"`{id_col}` {kind}, host string, path string, rule string, verdict string")
+    return src.mapInArrow(judge, with_fields(src, id_col, "host string, path string, rule string, verdict string"))
