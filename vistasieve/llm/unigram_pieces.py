@@ -31,8 +31,9 @@ from vistasieve.llm.common import offsets, ranges, slices, utf8, with_fields
 MARK = "▁"
 UNKNOWN_COST = 10.0
 STRIDE = 4096  # slots tried at once when a node of the double array is placed
-MEMO_UNITS = 500_000  # units a task remembers before it starts anew
+MEMO_UNITS = 400_000  # units a task remembers before it starts anew
 LONG_UNIT = 100       # bytes; longer units are searched one by one
+AT_ONCE = 16_384      # units searched together
 _UNITS = re.compile(rb" *[^ ]+| +")
 
 
@@ -149,8 +150,8 @@ class Viterbi:
         begin = offsets(sizes)
         unit = np.repeat(np.arange(len(units)), sizes)
         start, length, piece = self.edges(text, begin[1:][unit])
-        step = (start - begin[unit[start]]) * 1024 + length  # by place in the unit, then by length
-        order = np.argsort(step, kind="stable")
+        step = (start - begin[unit[start]]) * (1 + int(length.max())) + length  # by place in the unit, then by length
+        order = np.argsort(step.astype(np.uint16) if step.max() < 1 << 16 else step, kind="stable")
         start, length, piece, step = start[order], length[order], piece[order], step[order]
         gain = np.where(piece >= 0, np.array(self.scores)[piece], self.unknown)
         source = start + unit[start]  # one node more than positions in each unit
@@ -222,9 +223,10 @@ class Viterbi:
         new = units.difference(self.memo)
         for u in [u for u in new if len(u) > LONG_UNIT]:
             self.memo[u] = np.array(self.best_path(b" " + u), np.int32).tobytes()
-        short = sorted(u for u in new if len(u) <= LONG_UNIT)
-        if short:
-            self.memo.update(zip(short, self.best_paths([b" " + u for u in short])))
+        short = [u for u in new if len(u) <= LONG_UNIT]
+        for at in range(0, len(short), AT_ONCE):
+            part = short[at:at + AT_ONCE]
+            self.memo.update(zip(part, self.best_paths([b" " + u for u in part])))
 
     def encode_all(self, bodies: list[bytes | None]) -> list[bytes | None]:
         """Piece ids of each text, as the bytes of 32-bit numbers."""
@@ -252,7 +254,7 @@ def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "doc_id", text: str
     def run(batches):
         viterbi, byte_piece = Viterbi(sent.value), np.zeros(1 + max(sent.value.surface()), bool)
         byte_piece[sent.value.fallback] = True
-        for piece in slices(batches, "body", 4 << 20):
+        for piece in slices(batches, "body", 2 << 20):
             coded = viterbi.encode_all(piece.column(1).to_pylist())
             ids = np.frombuffer(b"".join(c for c in coded if c), np.int32)
             at = offsets(np.array([len(c or b"") // 4 for c in coded], np.int64))
