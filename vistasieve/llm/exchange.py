@@ -57,9 +57,9 @@ def make_blocks(rows: DataFrame, build: Callable[..., bytes], max_bytes: int | N
     return written(rows.mapInArrow(run, ROW), "blocks")
 
 
-def shards_for(docs: DataFrame, text: str) -> int:
+def shards_for(docs: DataFrame, text: str, shard_bytes: int | None = None) -> int:
     size = docs.agg(F.sum(F.length(F.col(text).cast("binary")))).first()[0] or 0
-    return max(partitions_for(docs.sparkSession), 1 + size // SHARD_BYTES)
+    return max(partitions_for(docs.sparkSession), 1 + size // (shard_bytes or SHARD_BYTES))
 
 
 def by_block(blocks: DataFrame, answers: DataFrame | None, work: Callable[..., Iterator[pa.RecordBatch]], shape: str) -> DataFrame:

@@ -41,7 +41,9 @@ from vistasieve.llm.warc_writer import Folder
 from vistasieve.session import scratch_path
 
 KAPPA = 2000.0
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
+SHARD_BYTES = 8 << 20  # of text, on average
+AT_ONCE = 1 << 18      # lookups made together
 BEGIN, END = 0, 1  # local numbers; words follow
 _MARKS = (0x243F6A8885A308D3, 0x13198A2E03707344)  # their hashes
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -102,11 +104,16 @@ class EliasFano:
         return (self.low[at] >> shift | upper) & np.uint64((1 << self.width) - 1)
 
     def get(self, i: np.ndarray) -> np.ndarray:
+        if len(i) > AT_ONCE:
+            return np.concatenate([self.get(i[k:k + AT_ONCE]) for k in range(0, len(i), AT_ONCE)])
         top = _select(self.high, self.ones, i, False) - i
         return top.astype(np.uint64) << np.uint64(self.width) | self.low_bits(i)
 
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the first element that is at least ``x``, and whether it equals ``x``."""
+        if len(x) > AT_ONCE:
+            parts = [self.successor(x[i:i + AT_ONCE]) for i in range(0, len(x), AT_ONCE)]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         top = (x >> np.uint64(self.width)).astype(np.int64)
         low = x & np.uint64((1 << self.width) - 1)
         lo = np.zeros(len(x), np.int64)
@@ -331,20 +338,24 @@ class Block:
 def answer_shard(questions: list[bytes], folder: str, keep: bool) -> tuple[list[bytes], list[int]]:
     """Add up the counts of all blocks, build the shard's trie, and look up what each block asked; also the shard's
     learned words and how many are distinct."""
-    asked, words = [], {}
+    asked, words, sizes = [], {}, []
     for q in questions:
         text, word_count, delta, pair_count, kids, code, count = exchange.unpack(q)
         own = bytes(text).split(b" ") if len(text) else []
         for w, c in zip(own, unshuffled(word_count, np.int64).tolist()):
             words[w] = words.get(w, 0) + c
-        asked.append((own, np.cumsum(unshuffled(delta, np.uint64), dtype=np.uint64), unshuffled(pair_count, np.int32),
+        asked.append((np.cumsum(unshuffled(delta, np.uint64), dtype=np.uint64), unshuffled(pair_count, np.int32),
                       unshuffled(kids, np.int32), np.frombuffer(code, np.uint32), unshuffled(count, np.int32)))
-    key, pair_of = np.unique(np.concatenate([a[1] for a in asked]), return_inverse=True)
-    count = np.bincount(pair_of, np.concatenate([a[2] for a in asked]), minlength=len(key)).astype(np.int64)
-    owner = np.repeat(pair_of, np.concatenate([a[3] for a in asked])).astype(np.uint64)
-    triple, triple_of = np.unique(owner << np.uint64(32) | np.concatenate([a[4] for a in asked]), return_inverse=True)
-    freq = np.bincount(triple_of, np.concatenate([a[5] for a in asked]), minlength=len(triple)).astype(np.int64)
-    del owner
+        sizes.append((own, len(asked[-1][0]), len(asked[-1][3])))
+    keys, pair_count, kids, code, triple_count = (np.concatenate(c) for c in zip(*asked))
+    del asked, questions
+    key, pair_of = np.unique(keys, return_inverse=True)
+    count = np.bincount(pair_of, pair_count, minlength=len(key)).astype(np.int64)
+    keys = np.repeat(pair_of, kids).astype(np.uint64) << np.uint64(32) | code
+    triple, triple_of = np.unique(keys, return_inverse=True)
+    freq = np.bincount(triple_of, triple_count, minlength=len(triple)).astype(np.int64)
+    pair_of, triple_of = pair_of.astype(np.int32), triple_of.astype(np.int32)
+    del keys, pair_count, kids, code, triple_count
     context, code = (triple >> np.uint64(32)).astype(np.int64), triple & _CODE
     learned, kept = count > 0, freq > 0
     kids = np.bincount(context[kept], minlength=len(key))[learned]
@@ -360,9 +371,9 @@ def answer_shard(questions: list[bytes], folder: str, keep: bool) -> tuple[list[
     if not keep:
         store.delete([name])
     out, pairs, triples = [], 0, 0
-    for own, keys, _, _, children, _ in asked:
-        p, t = pair_of[pairs:pairs + len(keys)], triple_of[triples:triples + len(children)]
-        pairs, triples = pairs + len(keys), triples + len(children)
+    for own, n_pairs, n_triples in sizes:
+        p, t = pair_of[pairs:pairs + n_pairs], triple_of[triples:triples + n_triples]
+        pairs, triples = pairs + n_pairs, triples + n_triples
         out.append(exchange.pack(shuffled(np.array([words[w] for w in own], np.int64)), codes[0][p], codes[1][p], codes[2][t], *books))
     return out, [sum(words.values()), sum(1 for c in words.values() if c)]
 
@@ -370,7 +381,7 @@ def answer_shard(questions: list[bytes], folder: str, keep: bool) -> tuple[list[
 def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "text", keep: str | None = None) -> DataFrame:
     """One row per document: the id, ``learned``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
     spark = docs.sparkSession
-    shards = exchange.shards_for(docs, text)
+    shards = exchange.shards_for(docs, text, SHARD_BYTES)
     folder = keep or scratch_path(spark, "ngram-tries")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("binary").alias("body"),
                        F.coalesce(learn, F.lit(True)).alias("learn"))
