@@ -51,6 +51,41 @@ def test_full_run(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out" / "metadata")).count() == 10
 
 
+def test_row_source_beside_export_and_missing_folder(spark, tmp_path):
+    """Embedded images are landed and measured, an unreadable source is reported, and the others are kept."""
+    rng = np.random.default_rng(3)
+    for i in range(4):
+        write_png(str(tmp_path / "png" / f"{i}.png"), rng.integers(0, 256, size=(480, 640, 3), dtype=np.uint8))
+    rows = [((tmp_path / "png" / f"{i}.png").read_bytes(), ["gun"]) for i in range(4)] + [(b"not an image", ["gun"]), (None, ["gun"])]
+    rows_dir = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "image binary, cats array<string>").selectExpr(
+        "image", "named_struct('category', cats) AS objects").coalesce(1).write.parquet(rows_dir)
+    _export(tmp_path / "export", rng)
+    (tmp_path / "export" / "train" / "images" / "zero.webp").write_bytes(b"")
+    (tmp_path / "export" / "train" / "labels" / "zero.txt").write_text("0 0.5 0.5 0.1 0.1\n")
+    ok = License("CC", True)
+    sources = [SourceDef("gone", kind="rows", reference="g", classes=("knife",), license=ok, path=str(tmp_path / "nowhere")),
+               SourceDef("coco.v2", kind="rows", reference="r", classes=("gun",), license=ok, path=rows_dir),
+               SourceDef("fs", kind="yolo", reference="f", version=1, classes=("fire", "smoke"), license=ok,
+                         path=str(tmp_path / "export"))]
+    rep = curation.run(spark, sources, str(tmp_path / "out"), Budget(min_per_class=0), total_images=400)
+    assert set(rep.failed_sources) == {"gone"}
+    ids = sorted(r["id"] for r in rep.metadata.collect())
+    assert [i for i in ids if i.startswith("coco")] == [f"coco.v2_{i:07d}" for i in range(1, 5)]
+    assert sum(i.startswith("fs") for i in ids) == 10
+    st = rep.stats.first()["images"]
+    assert st["total_seen"] == 18 and st["rejected_breakdown"]["corrupted"] == 2
+
+
+def test_nothing_selected_gives_zeros(spark, tmp_path):
+    src = SourceDef("gone", kind="rows", reference="g", classes=("knife",), license=License("CC", True), path=str(tmp_path / "no"))
+    rep = curation.run(spark, [src], str(tmp_path / "out"), Budget(min_per_class=0), total_images=10)
+    assert set(rep.failed_sources) == {"gone"} and rep.metadata.count() == 0
+    assert rep.stats.first()["images"]["total_seen"] == 0 and not rep.low_acceptance
+    with pytest.raises(ValueError, match="ceiling"):
+        curation.run(spark, [src], str(tmp_path / "out2"), total_images=60_000, global_max_images=50_000)
+
+
 def test_gate_refuses_unverified(spark, tmp_path):
     src = SourceDef("x", kind="yolo", reference="r", version=1, classes=("fire",), license=License("?", False),
                     path=str(tmp_path))

@@ -30,7 +30,7 @@ def test_runs_continue_where_they_stopped(spark, tmp_path):
 
     items = events_to_items(events)
     items = global_rank(items, ["ts", "image_id"], partition_cols=["source"], rank_col="row_idx")
-    one = select_quota(items, STREAM_TARGETS, k_max=max(STREAM_TARGETS.values()))
+    one = select_quota(items, STREAM_TARGETS)
     assert inc == sorted(r[0] for r in one.select("image_id").collect())
     assert len(inc) == len(set(inc))
 
@@ -60,6 +60,6 @@ def test_cap_holds_across_runs(spark, tmp_path):
                                    order_cols=["ts", "image_id"], max_images=cap)
     inc = sorted(r[0] for r in got.select("image_id").collect())
     items = global_rank(events_to_items(events), ["ts", "image_id"], partition_cols=["source"], rank_col="row_idx")
-    one = select_quota(items, STREAM_TARGETS, k_max=max(STREAM_TARGETS.values()), max_images=cap)
+    one = select_quota(items, STREAM_TARGETS, max_images=cap)
     assert inc == sorted(r[0] for r in one.select("image_id").collect())
     assert max(r["count"] for r in got.groupBy("source").count().collect()) == cap

@@ -1,11 +1,11 @@
-"""Label decoding (F1-F4, S5, S6) with the reference's literal cases."""
+"""Label decoding (F1-F4, S6): ids at and past the ends of the name list, nulls, wide integers, spellings."""
 
 from pyspark.sql import types as T
 
 from vistasieve.functions import labels
 
-ALLOWED = ["person", "fire", "gun", "smoke", "knife", "car", "dog", "cat"]
-COCO_LIKE = ["person", "bicycle", "car", "motorcycle", "dog"]
+ALLOWED = ["owl", "lamp", "boat"]
+NAMES = ["owl", "reed", "lamp", "kite", "boat"]
 
 
 def _schema_with_names(names, label_names=None):
@@ -18,27 +18,29 @@ def _schema_with_names(names, label_names=None):
 
 
 def test_names_from_nested_schema():
-    assert labels.names_from_schema(_schema_with_names(COCO_LIKE, ["gun"])) == (COCO_LIKE, ["gun"])
+    assert labels.names_from_schema(_schema_with_names(NAMES, ["boat"])) == (NAMES, ["boat"])
     assert labels.names_from_schema(T.StructType([T.StructField("x", T.IntegerType())])) == (None, None)
 
 
-def test_int_ids_decode_and_out_of_range(spark):
-    df = spark.createDataFrame([([2, 4],), ([999],), ([-1],)], "cats array<int>").selectExpr("named_struct('category', cats) AS objects")
-    got = [r[0] for r in df.select(labels.extract_classes(df, ALLOWED, names=COCO_LIKE)).collect()]
-    assert got == [["car", "dog"], [], []]
+def test_ids_decode_or_vanish(spark):
+    rows = [([4, 0, 2, 0],), ([5, -1],), ([1 << 40, 2, -(1 << 62)],), ([None, 3, 4],), ([],), (None,)]
+    df = spark.createDataFrame(rows, "cats array<bigint>").selectExpr("named_struct('category', cats) AS objects")
+    got = [r[0] for r in df.select(labels.extract_classes(df, ALLOWED, names=NAMES)).collect()]
+    assert got == [["boat", "lamp", "owl"], [], ["lamp"], ["boat"], [], []]
 
 
 def test_bare_label_and_strings(spark):
-    df = spark.createDataFrame([(0,)], "label int")
-    assert df.select(labels.extract_classes(df, ALLOWED, label_names=["gun"])).first()[0] == ["gun"]
-    s = spark.createDataFrame([(["person", "zebra"],)], "cats array<string>").selectExpr("named_struct('category', cats) AS objects")
-    assert s.select(labels.extract_classes(s, ALLOWED)).first()[0] == ["person"]
+    df = spark.createDataFrame([(1,), (2,), (None,)], "label bigint")
+    got = [r[0] for r in df.select(labels.extract_classes(df, ALLOWED, label_names=["reed", "lamp"])).collect()]
+    assert got == [["lamp"], [], []]
+    s = spark.createDataFrame([(["kite", "owl", None],)], "cats array<string>").selectExpr("named_struct('category', cats) AS objects")
+    assert s.select(labels.extract_classes(s, ALLOWED)).first()[0] == ["owl"]
 
 
 def test_decode_then_map(spark):
-    df = spark.createDataFrame([([0, 2],)], "cats array<int>").selectExpr("transform(cats, c -> named_struct('category', c)) AS annotations")
-    got = df.select(labels.extract_classes(df, ALLOWED, {"GUN": "gun", "PERSON": "person"}, names=["GUN", "KNIFE", "PERSON"])).first()[0]
-    assert got == ["gun", "person"]
+    df = spark.createDataFrame([([1, 0, 7],)], "cats array<int>").selectExpr("transform(cats, c -> named_struct('category', c)) AS annotations")
+    got = df.select(labels.extract_classes(df, ALLOWED, {"LAMP": "lamp", "Owl": "owl"}, names=["LAMP", "Owl"])).first()[0]
+    assert got == ["lamp", "owl"]
 
 
 def test_yolo_lines(spark):
@@ -47,8 +49,3 @@ def test_yolo_lines(spark):
     lines = spark.createDataFrame(rows, "image_id long, line string")
     got = {r["image_id"]: r["classes"] for r in labels.classes_from_yolo_lines(lines, ["image_id"], ["fire", "smoke"], ["fire", "smoke"]).collect()}
     assert got == {1: ["fire"], 2: ["smoke"]}
-
-
-def test_names_table_list_and_dict(spark):
-    assert [r["name"] for r in labels.names_table(spark, {1: "smoke", 0: "fire"}).orderBy("category_id").collect()] == ["fire", "smoke"]
-    assert labels.names_table(spark, None).count() == 0

@@ -27,7 +27,7 @@ def test_golden(spark, total, expected, note):
     assert alloc == sum(expected)
     assert (n is not None) == note
     if note:
-        assert "more than requested" in n
+        assert f"request of {total} by" in n
 
 
 def test_override_doubles_fire_and_gun(spark):

@@ -24,7 +24,7 @@ targets_st = st.dictionaries(st.sampled_from(CLASSES), st.integers(0, 6), min_si
 def test_selection_equals_greedy(spark, rows, targets, cap, max_images):
     data = [(i + 1, "s", i + 1, valid, sorted(cls)) for i, (valid, cls) in enumerate(rows)]
     df = spark.createDataFrame(data, SCHEMA)
-    got = quota.select_quota(df, targets, k_max=max(max(targets.values()), 1), max_images=max_images,
+    got = quota.select_quota(df, targets, max_images=max_images,
                              max_rows_scanned=cap)
     assert sorted(r[0] for r in got.select("image_id").collect()) == sorted(greedy(data, targets, max_images, cap))
 

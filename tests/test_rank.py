@@ -1,9 +1,9 @@
-"""global_rank / top_k_per_group under skew: exact results, no group funnelled into one task."""
+"""global_rank / first_k_by_position under skew: exact results, no group funnelled into one task."""
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from vistasieve.operators.rank import global_rank, range_tag, top_k_per_group
+from vistasieve.operators.rank import first_k_by_position, global_rank, range_tag
 
 
 def test_hot_group_spreads_over_ranges(spark):
@@ -24,9 +24,9 @@ def test_global_rank_exact_with_skewed_groups(spark):
     assert bad == 0 and got.count() == 5000
 
 
-def test_top_k_exact_per_group(spark):
+def test_first_k_exact_per_group(spark):
     df = spark.range(3000).repartition(7).select(
         (F.col("id") % 3).alias("g"), F.col("id").alias("k"))
-    got = top_k_per_group(df, ["g"], ["k"], F.when(F.col("g") == 0, 5).otherwise(2), 5, salt_buckets=4)
+    got = first_k_by_position(df, ["g"], "k", [], F.when(F.col("g") == 0, 5).otherwise(2), span=4)
     res = sorted((r["g"], r["k"]) for r in got.collect())
     assert res == [(0, 0), (0, 3), (0, 6), (0, 9), (0, 12), (1, 1), (1, 4), (2, 2), (2, 5)]

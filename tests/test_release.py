@@ -11,8 +11,8 @@ from vistasieve.streaming.incremental import CorruptState, load_state
 def test_version_bump(spark, tmp_path):
     log = str(tmp_path / "versions")
     assert release.next_version(spark, log) == "1.1.0"
-    e1 = release.bump_version(spark, log, "first", 10)
-    e2 = release.bump_version(spark, log, "second", 12)
+    e1 = release.log_version(spark, log, "first", 10)
+    e2 = release.log_version(spark, log, "second", 12)
     assert (e1["version"], e2["version"]) == ("1.1.0", "1.2.0")
     assert e1["created_at"].endswith("+00:00")
     assert release.read_versions(spark, log).count() == 2

@@ -4,8 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from vistasieve.config import SourceDef
-from vistasieve.operators import quota
+from vistasieve.config import SHIPPED_SOURCES, SourceDef
+from vistasieve.operators import quota, rank
 
 SCHEMA = "image_id long, source string, row_idx long, valid boolean, classes array<string>"
 
@@ -47,7 +47,7 @@ def test_parallel_equals_greedy(spark):
         max_images = rng.choice([None, 3, 10])
         cap = rng.choice([None, 30])
         df = spark.createDataFrame(rows, SCHEMA)
-        got = quota.select_quota(df, targets, k_max=max(targets.values()) or 1, max_images=max_images,
+        got = quota.select_quota(df, targets, max_images=max_images,
                                  max_rows_scanned=cap)
         got_ids = sorted(r[0] for r in got.select("image_id").collect())
         assert got_ids == sorted(greedy(rows, targets, max_images, cap)), case
@@ -88,10 +88,18 @@ def test_availability_counts_valid_rows(spark):
     assert got == {"a": 2, "b": 1}
 
 
-def test_hot_class_is_salted(spark):
-    # one class on every row: the first stage ranks inside (group, salt)
+def test_hot_class_is_ranked_by_ranges(spark, monkeypatch):
+    # one class on every row: only the ranges below the target are ranked
+    monkeypatch.setattr(rank.first_k_by_position, "__defaults__", (10,))
     rows = [(i, "s", i, True, ["hot"]) for i in range(1, 3001)]
-    got = quota.select_quota(spark.createDataFrame(rows, SCHEMA), {"hot": 25}, k_max=25)
+    got = quota.select_quota(spark.createDataFrame(rows, SCHEMA), {"hot": 25})
     assert sorted(r[0] for r in got.collect()) == list(range(1, 26))
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in plan
+
+
+def test_default_scans_every_row(spark):
+    # the only usable row lies far past any shipped scan bound
+    items = spark.range(1, 60_001).select(F.col("id").alias("image_id"), F.lit("s").alias("source"), F.col("id").alias("row_idx"),
+                                          (F.col("id") == 59_999).alias("valid"), F.array(F.lit("a")).alias("classes"))
+    assert [r[0] for r in quota.select_quota(items, {"a": 3}).collect()] == [59_999]
+    assert quota.select_quota(items, {"a": 3}, max_rows_scanned=50_000).count() == 0
+    assert all(s.max_rows_scanned is None for s in SHIPPED_SOURCES)

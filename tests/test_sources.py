@@ -5,7 +5,18 @@ import json
 import pytest
 from pyspark.sql import types as T
 
-from vistasieve.config import SHIPPED_CLASSES, SHIPPED_SOURCES, Budget, SourceDef, check_budget, check_class_refs, merge_overrides
+from vistasieve.config import (
+    SHIPPED_CLASSES,
+    SHIPPED_GLOBAL_MAX_IMAGES,
+    SHIPPED_SOURCES,
+    Budget,
+    ClassDef,
+    SourceDef,
+    SplitConfig,
+    check_budget,
+    check_class_refs,
+    merge_overrides,
+)
 from vistasieve.operators.gate import resume_items
 from vistasieve.plans import curation
 from vistasieve.sources import readers
@@ -13,7 +24,7 @@ from vistasieve.sources import readers
 
 def test_registry_unknown_kind():
     assert {"rows", "yolo"} <= set(readers.READERS)
-    with pytest.raises(KeyError, match="known kinds"):
+    with pytest.raises(KeyError, match="readers exist for"):
         readers.get_reader("kaggle")
 
 
@@ -40,6 +51,36 @@ def test_boxes_json_and_ids(spark, tmp_path):
     ids = tmp_path / "ids.json"
     ids.write_text(json.dumps([f"img_{i}" for i in range(5)]))
     assert readers.read_ids(spark, str(ids)).count() == 5
+    ids.write_text(json.dumps([{"id": "a", "x": 1}, {"id": "b"}]))
+    assert [r[0] for r in readers.read_ids(spark, str(ids)).collect()] == ["a", "b"]
+    ids.write_text('["a", ')
+    with pytest.raises(Exception):
+        readers.read_ids(spark, str(ids)).collect()
+
+
+def test_export_keeps_every_file(spark, tmp_path):
+    """Odd names, other suffixes and empty files are items; remote-style paths are read; a missing data.yaml raises."""
+    for name in ("with space.png", "pct%20x.jpg", "plus+y.webp", "zero.png"):
+        f = tmp_path / "train" / "images" / name
+        f.parent.mkdir(parents=True, exist_ok=True)
+        f.write_bytes(b"" if name == "zero.png" else b"data")
+        label = tmp_path / "train" / "labels" / (name.rsplit(".", 1)[0] + ".txt")
+        label.parent.mkdir(parents=True, exist_ok=True)
+        label.write_text("1 0.5 0.5 0.1 0.1\n")
+    src = SourceDef("e", kind="yolo", classes=("smoke",), path=f"file:{tmp_path}")
+    with pytest.raises(FileNotFoundError):
+        readers.get_reader("yolo")(spark, src)
+    (tmp_path / "data.yaml").write_text("names: {1: smoke, 0: fire}\n")
+    got = {r.filename: r.classes for r in readers.get_reader("yolo")(spark, src).collect()}
+    assert got == dict.fromkeys(["with space.png", "pct%20x.jpg", "plus+y.webp", "zero.png"], ["smoke"])
+
+
+def test_row_order_needs_no_shuffle_of_rows(spark, tmp_path):
+    p = str(tmp_path / "rows")
+    spark.range(100).selectExpr("id", "repeat('x', 50) AS wide").repartitionByRange(5, "id").write.parquet(p)
+    df = readers.read_detection_rows(spark, p, "s")
+    assert [r.row_idx for r in df.orderBy("row_idx").collect()] == list(range(1, 101))
+    assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_resume_drops_missing_files(spark):
@@ -59,23 +100,16 @@ def test_one_source_targets_not_reduced(spark):
 
 def test_config_checks():
     check_class_refs(SHIPPED_SOURCES, SHIPPED_CLASSES)
-    with pytest.raises(ValueError, match="unknown classes"):
+    with pytest.raises(ValueError, match="not in the class registry"):
         check_class_refs([SourceDef("x", classes=("unicorn",))], SHIPPED_CLASSES)
     with pytest.raises(ValueError):
         check_budget(Budget(total_images=60000), 50000)
     assert merge_overrides({"fire": 1.5, "gun": 2.0}, {"fire": 3.0}) == {"fire": 3.0, "gun": 2.0}
 
 
-def test_shipped_registry():
-    from vistasieve.config import SHIPPED_GLOBAL_MAX_IMAGES, SplitConfig
-
-    assert [c.name for c in SHIPPED_CLASSES] == ["person", "fire", "gun", "smoke", "knife", "car", "dog", "cat"]
-    ids = [c.id for c in SHIPPED_CLASSES]
-    assert ids == sorted(ids) and len(set(ids)) == len(ids)
+def test_defaults_fit_together():
+    assert len({c.id for c in SHIPPED_CLASSES}) == len(SHIPPED_CLASSES)
     check_budget(Budget(), SHIPPED_GLOBAL_MAX_IMAGES)
-    cfg = SplitConfig()
-    assert abs(cfg.train + cfg.val + cfg.test - 1.0) < 1e-6
-    with pytest.raises(ValueError):
-        from vistasieve.config import ClassDef
-
-        ClassDef("x", 9, 5)
+    for bad in (lambda: ClassDef("x", 9, 5), lambda: SplitConfig(train=0.9)):
+        with pytest.raises(ValueError):
+            bad()

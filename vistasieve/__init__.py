@@ -5,7 +5,7 @@ Every operator takes and returns DataFrames. The main entry points:
 * planning and selection: ``plan``, ``select_quota``, ``select_multi_source``, ``run``
 * labels and boxes: ``extract_classes``, ``classes_from_yolo_lines``, ``to_yolo``, ``label_files``
 * quality and duplicates: ``measure_images``, ``apply_quality``, ``measured_percentiles``, ``dedup_first_kept``
-* split, stats, release: ``split_exact``, ``dataset_stats``, ``export_release``, ``bump_version``
+* split, stats, release: ``split_exact``, ``dataset_stats``, ``export_release``, ``log_version``
 * incremental ingest: ``ingest_available_now``
 """
 
@@ -19,7 +19,7 @@ from vistasieve.operators.quota import plan_quota, select_multi_source, select_q
 from vistasieve.operators.split import split_exact  # noqa: F401
 from vistasieve.operators.stats import dataset_stats  # noqa: F401
 from vistasieve.plans.curation import plan, run  # noqa: F401
-from vistasieve.sinks.release import bump_version, export_release  # noqa: F401
+from vistasieve.sinks.release import export_release, log_version  # noqa: F401
 from vistasieve.streaming.incremental import ingest_available_now  # noqa: F401
 
 __version__ = "0.1.0"

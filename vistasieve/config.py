@@ -41,7 +41,7 @@ class SourceDef:
     classes: tuple[str, ...] = ()
     class_map: dict[str, str] = field(default_factory=dict)
     max_images: int = 1000
-    max_rows_scanned: int | None = 50_000
+    max_rows_scanned: int | None = None  # a caller may bound the scan; nothing does by default
     license: License = field(default_factory=License)
     path: str = ""  # where the landed rows / export live
 
@@ -117,30 +117,23 @@ def check_split_ratios(train: float, val: float, test: float) -> None:
 
 
 def check_budget(budget: Budget, global_max_images: int) -> None:
-    """The default budget may not exceed the run ceiling."""
-    if budget.total_images > global_max_images:
-        raise ValueError(
-            f"budget total_images ({budget.total_images}) exceeds global_max_images ({global_max_images})"
-        )
+    """A run may not ask for more than its ceiling allows."""
+    over = budget.total_images - global_max_images
+    if over > 0:
+        raise ValueError(f"the budget asks for {over} images more than the run ceiling of {global_max_images}")
 
 
 def check_class_refs(sources, classes) -> None:
     """J7/U2 on configuration: every source class must exist in the registry."""
-    known = {c.name for c in classes}
-    for src in sources:
-        unknown = set(src.classes) - known
-        if unknown:
-            raise ValueError(
-                f"source {src.name!r} references unknown classes {sorted(unknown)}; known: {sorted(known)}"
-            )
-
-
-def merge_overrides(config_overrides: dict[str, float], call_overrides: dict[str, float] | None) -> dict[str, float]:
-    """X11: per-call overrides win over configured ones."""
-    merged = dict(config_overrides)
-    if call_overrides:
-        merged.update(call_overrides)
-    return merged
+    registry = {c.name for c in classes}
+    stray = sorted((c, s.name) for s in sources for c in s.classes if c not in registry)
+    if stray:
+        raise ValueError("not in the class registry: " + ", ".join(f"{c} (source {s})" for c, s in stray))
+
+
+def merge_overrides(configured: dict[str, float], for_this_run: dict[str, float] | None) -> dict[str, float]:
+    """X11: an override of this run wins over the configured one."""
+    return configured | (for_this_run or {})
 
 
 CLASS_SCHEMA = T.StructType([

@@ -41,7 +41,7 @@ def decode(value: Column, dtype: T.DataType, names: Sequence[str] | None) -> Col
         if not names:
             return F.lit(None).cast("string")
         # get() is 0-based and null for negative or past-the-end ids (element_at would raise)
-        return F.get(_str_array(names), value.cast("int"))
+        return F.get(_str_array(names), value.try_cast("int"))
     return F.lit(None).cast("string")
 
 
@@ -169,14 +169,3 @@ def names_from_schema(schema: T.StructType) -> tuple[list[str] | None, list[str]
         cat_names = list(meta) if meta else walk(obj.dataType)
     label = fields.get("label")
     return cat_names, (walk(label) if label is not None else None)
-
-
-def names_table(spark, names: Sequence[str] | Mapping[int, str] | None) -> DataFrame:
-    """Export names given as a list or an ``{int: name}`` mapping (sorted by key); missing means empty."""
-    if names is None:
-        ordered: list[str] = []
-    elif isinstance(names, Mapping):
-        ordered = [names[k] for k in sorted(names)]
-    else:
-        ordered = list(names)
-    return spark.createDataFrame([(i, n) for i, n in enumerate(ordered)], "category_id int, name string")

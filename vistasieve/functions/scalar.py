@@ -1,4 +1,4 @@
-"""Small scalar helpers: names, stems, versions, Hamming distance."""
+"""Small scalar helpers: names, stems, paths, the version format."""
 
 from __future__ import annotations
 
@@ -30,16 +30,11 @@ def parent_dir(path: Column, levels: int = 1) -> Column:
     return F.regexp_extract(path, pattern, 1)
 
 
-def version_string(n: Column) -> Column:
-    """``1.<n>.0``."""
-    return F.format_string(VERSION_FORMAT, n)
-
-
-def hamming(a_hi: Column, a_lo: Column, b_hi: Column, b_lo: Column) -> Column:
-    """Bits that differ between two 64-bit hashes held as two 32-bit halves."""
-    return F.bit_count(a_hi.bitwiseXOR(b_hi)) + F.bit_count(a_lo.bitwiseXOR(b_lo))
-
-
 def normalize_path(path: Column) -> Column:
     """One spelling for local URIs: ``file:///x`` and ``file:/x`` both become ``file:/x``."""
     return F.regexp_replace(path, r"^file:/+", "file:/")
+
+
+def decoded_uri(uri: Column) -> Column:
+    """A file URI as the plain path that listings show (``%20`` is a blank again, a plus sign stays one)."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vistasieve.config import Thresholds
-from vistasieve.operators.rank import global_rank
 
 # Reason codes in the order they are checked, their detail text
 # formats, and the groups the rejection breakdown counts them under.
@@ -108,41 +107,52 @@ def rejection_counts(gated: DataFrame, duplicates: DataFrame | None = None, key_
     )
 
 
-def nearest_rank(
-    df: DataFrame, value_cols: Sequence[str], key_col: str, ps: Sequence[float]
-) -> dict[str, dict[str, object]]:
+# Accuracy of the sketch that brackets a percentile: a bracket spans about 4 / BRACKET of the rows.
+BRACKET = 10_000
+
+
+def nearest_rank(df: DataFrame, value_cols: Sequence[str], ps: Sequence[float]) -> dict[str, dict[str, object]]:
     """A10: nearest-rank percentiles ``sorted[round_half_even(p * (n - 1))]``; empty => 0.0.
 
-    All value columns are ranked in one range-partitioned pass over their long
-    form (metric, value, key), partitioned by metric, then the few wanted ranks
-    are filtered out. Returns ``{value_col: {"pNN": value}}``.
+    Two scans: a sketch brackets every wanted value from both sides, then the rows below each bracket are counted and
+    the values inside it counted by value, which gives the exact one. A bracket that missed (the sketch's error is
+    bounded, so this does not happen in practice) is widened to all values. Returns ``{value_col: {"pNN": value}}``.
     """
-    n = df.count()
     labels = {p: f"p{int(round(p * 100)):02d}" for p in ps}
+    eps = 2.0 / BRACKET
+    probes = [x for p in ps for x in (max(0.0, p - eps), min(1.0, p + eps))]
+    sketch = df.agg(F.count(F.lit(1)).alias("n"), *(
+        F.percentile_approx(F.col(c).cast("double"), probes, BRACKET).alias(c) for c in value_cols)).first()
+    n = sketch["n"]
     if n == 0:
-        return {c: {labels[p]: 0.0 for p in ps} for c in value_cols}
+        return {c: {lab: 0.0 for lab in labels.values()} for c in value_cols}
     # Python round is half to even, like bround
-    wanted = {labels[p]: min(n - 1, max(0, int(round(p * (n - 1))))) + 1 for p in ps}
-    long = None
-    for c in value_cols:
-        part = df.select(F.lit(c).alias("_m"), F.col(c).cast("double").alias("_v"), F.col(key_col).alias("_k"))
-        long = part if long is None else long.unionByName(part)
-    base = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    from vistasieve.operators.rank import RANK_ROWS_PER_PARTITION
-
-    parts = max(base, -(-n * len(value_cols) // RANK_ROWS_PER_PARTITION))
-    ranked = global_rank(long, ["_v", "_k"], partition_cols=["_m"], rank_col="_r", num_partitions=parts)
-    hits = ranked.where(F.col("_r").isin(sorted(set(wanted.values())))).select("_m", "_r", "_v").collect()
-    by = {(r["_m"], r["_r"]): r["_v"] for r in hits}
-    return {c: {lab: by[(c, rk)] for lab, rk in wanted.items()} for c in value_cols}
-
-
-def measured_percentiles(gated: DataFrame, key_col: str = "image_id", ps=(0.10, 0.50, 0.90)) -> DataFrame:
+    wanted = {labels[p]: min(n - 1, max(0, int(round(p * (n - 1))))) for p in ps}
+    brackets = {(c, labels[p]): tuple(sketch[c][2 * i:2 * i + 2]) for c in value_cols for i, p in enumerate(ps)}
+    found: dict = {}
+    while brackets:
+        parts = F.array(*(
+            F.when(F.col(c).cast("double") <= hi, F.struct(
+                F.lit(c).alias("c"), F.lit(lab).alias("p"),
+                F.when(F.col(c).cast("double") >= lo, F.col(c).cast("double")).alias("v")))
+            for (c, lab), (lo, hi) in brackets.items()))
+        inside = df.select(F.explode(F.array_compact(parts)).alias("x")).groupBy("x.c", "x.p", "x.v").agg(
+            F.count(F.lit(1)).alias("n"))
+        upto = Window.partitionBy("c", "p").orderBy(F.col("v").asc_nulls_first())  # null: all below the bracket
+        aim = F.create_map(*(F.lit(x) for kv in wanted.items() for x in kv))[F.col("p")]
+        ranked = inside.withColumn("_upto", F.sum("n").over(upto))
+        hit = ranked.where((F.col("_upto") > aim) & (F.col("_upto") - F.col("n") <= aim) & F.col("v").isNotNull())
+        found |= {(r["c"], r["p"]): r["v"] for r in hit.collect()}  # one row per bracket at most
+        brackets = {k: (float("-inf"), float("inf")) for k in brackets if k not in found}
+    return {c: {lab: found[c, lab] for lab in labels.values()} for c in value_cols}
+
+
+def measured_percentiles(gated: DataFrame, ps=(0.10, 0.50, 0.90)) -> DataFrame:
     """A10 over readable images: shorter side and blur score, one row."""
     readable = gated.where((F.col("width") > 0) & (F.col("height") > 0)).select(
-        key_col, F.least("width", "height").alias("shorter_side"), "blur_score"
+        F.least("width", "height").alias("shorter_side"), "blur_score"
     )
-    res = nearest_rank(readable, ["shorter_side", "blur_score"], key_col, ps)
+    res = nearest_rank(readable, ["shorter_side", "blur_score"], ps)
     cols = []
     for p in ps:
         lab = f"p{int(round(p * 100)):02d}"
@@ -161,7 +171,8 @@ def quality_report(gated: DataFrame, warn_below: float = 0.5) -> DataFrame:
         F.count_if(~F.col("accepted")).alias("rejected"),
     ).select(
         "total_seen", "accepted", "rejected",
-        (F.col("accepted").cast("double") / F.col("total_seen").cast("double")).alias("acceptance_rate"),
+        # nothing seen: no rate, and no warning
+        F.try_divide(F.col("accepted").cast("double"), F.col("total_seen").cast("double")).alias("acceptance_rate"),
         (F.col("accepted").cast("double") < F.lit(warn_below) * F.col("total_seen").cast("double")).alias(
             "low_acceptance_warning"
         ),

@@ -2,9 +2,9 @@
 
 ``global_rank``  exact ``row_number()`` over few, huge partitions (a source, or
                  the whole table) via range partitioning and per-partition spans.
-``top_k_per_group`` first-k rows of every group, salted so a group holding a
-                 third of the data is cut down on many tasks before one task
-                 sees it.
+``first_k_by_position`` first-k rows of every group by prefix sums over ranges
+                 of a row index, so a group holding a third of the data is
+                 never in one task.
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ from vistasieve.session import scratch_path
 
 _POS_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
-# Broadcasting a side is allowed only under this many rows, checked at run time.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in names]
@@ -42,13 +39,6 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     return df.sparkSession.read.parquet(path).select(*df.columns)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when its counted size is under ``max_rows``; else leave it to a shuffle join."""
-    if df.count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def range_tag(df: DataFrame, keys: Sequence[Column], n: int) -> DataFrame:
     """Range-partition on ``keys`` (sampled boundaries), sort each range, tag rows with
     ``_pid`` (range partition) and ``_pos`` (position inside it), and write the result."""
@@ -111,9 +101,7 @@ def global_rank(
         F.col("_pid").alias("_s_pid"), *[F.col(p).alias(f"_s_{i}") for i, p in enumerate(parts)],
         "_before", "_first",
     )
-    # one row per (range partition, group): without groups that is at most n rows, a known bound;
-    # with groups it also grows with the group count, so it is counted before broadcasting
-    spans = F.broadcast(spans) if not parts and n <= BROADCAST_MAX_ROWS else broadcast_if_small(spans)
+    # one row per (range partition, group); the join side is left to adaptive execution, which knows its bytes
 
     cond = [F.col("_pid") == F.col("_s_pid")] + [F.col(p).eqNullSafe(F.col(f"_s_{i}")) for i, p in enumerate(parts)]
     out = tagged.join(spans, cond, "inner").select(
@@ -123,32 +111,32 @@ def global_rank(
     return out
 
 
-def top_k_per_group(
+# Positions per range of ``first_k_by_position``: the most rows one task ranks together.
+SPAN_ROWS = 16_384
+
+
+def first_k_by_position(
     df: DataFrame,
     group_cols: Sequence[str],
-    order_cols: Sequence[str | Column],
-    k: Column | int,
-    k_max: int,
-    salt_buckets: int = 64,
-    rank_col: str = "rn",
+    pos_col: str,
+    tie_cols: Sequence[str],
+    k: Column,
+    span: int = SPAN_ROWS,
 ) -> DataFrame:
-    """Rows whose rank inside their group is ``<= k`` (``k`` may differ per group, ``k <= k_max``).
-
-    Stage 1 ranks inside (group, salt) with the literal bound ``k_max``, which
-    Spark turns into a partial ``WindowGroupLimit`` before the shuffle; stage 2
-    ranks the at most ``salt_buckets * k_max`` survivors of each group. The
-    salt is the input partition (mod ``salt_buckets``): every map task keeps at
-    most ``k_max`` rows per group, and a hot group is spread over
-    ``salt_buckets`` tasks before one task sees ``salt_buckets * k_max`` rows.
-    Which task a row lands in never changes the result (top-k is exact in
-    every grouping).
+    """Rows whose rank by (``pos_col``, ``tie_cols``) inside their group is ``<= k`` (``k`` is constant in a group).
+
+    ``pos_col`` numbers the rows of a group more or less densely (a row index), so it cuts a group into ranges of
+    ``span`` positions. Rows are counted per (group, range) with map-side partial sums; a running sum over these few
+    counts gives the rows before each range; ranges that begin at or past ``k`` are dropped, and only rows of the
+    remaining ranges are shuffled and ranked, each range by itself. No window ever holds a whole group, and the work
+    past the counting follows ``k``, not the group's size. ``df`` is read twice, so pass a scan or a written table.
     """
     groups = list(group_cols)
-    order = _cols(order_cols)
-    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salt_buckets)))
-    w1 = Window.partitionBy(*groups, "_salt").orderBy(*order)
-    stage1 = salted.withColumn("_rn1", F.row_number().over(w1)).where(F.col("_rn1") <= F.lit(k_max))
-    w2 = Window.partitionBy(*groups).orderBy(*order)
-    kcol = F.lit(k) if isinstance(k, int) else k
-    stage2 = stage1.drop("_rn1", "_salt").withColumn(rank_col, F.row_number().over(w2))
-    return stage2.where(F.col(rank_col) <= kcol)
+    ranged = df.withColumn("_range", F.floor(F.col(pos_col) / F.lit(span))).withColumn("_k", k.cast("long"))
+    counts = ranged.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_n"), F.max("_k").alias("_kk"))
+    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    spans = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where("_before < _kk")
+    spans = spans.select(*groups, "_range", "_before")
+    inside = Window.partitionBy(*groups, "_range").orderBy(pos_col, *tie_cols)
+    near = ranged.join(spans, [*groups, "_range"]).withColumn("_rank", F.col("_before") + F.row_number().over(inside))
+    return near.where("_rank <= _k").drop("_range", "_before", "_rank", "_k")

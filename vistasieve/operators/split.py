@@ -34,7 +34,3 @@ def split_exact(df: DataFrame, id_col: str, cfg: SplitConfig = SplitConfig()) ->
     )
     return ranked.select(id_col, split.alias("split"))
 
-
-def assign_split(df: DataFrame, splits: DataFrame, id_col: str) -> DataFrame:
-    """Left join the assignment; items without one are ``unassigned``."""
-    return df.join(splits, id_col, "left").withColumn("split", F.coalesce("split", F.lit(UNASSIGNED)))

@@ -1,14 +1,18 @@
 """End-to-end curation jobs (P1-P5): plan only, one-source selection, full run.
 
 The driver does what is small (configuration checks, the loop over the few
-sources, one bounded path list per run); every per-item step is a Spark job.
+sources); every per-item step is a Spark job.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import hashlib
+import os
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistasieve.config import (
@@ -19,15 +23,18 @@ from vistasieve.config import (
     SourceDef,
     SplitConfig,
     Thresholds,
+    check_budget,
     check_class_refs,
     check_split_ratios,
     classes_df,
     sources_df,
 )
-from vistasieve.functions.scalar import item_name, normalize_path
+from vistasieve.functions.files import Folder
+from vistasieve.functions.scalar import file_name, item_name
 from vistasieve.operators import dedup as dedup_ops
 from vistasieve.operators import gate, pixels, quality, quota, split, stats
-from vistasieve.operators.rank import materialize
+from vistasieve.operators.rank import global_rank, materialize
+from vistasieve.session import scratch_path
 from vistasieve.sinks import release
 from vistasieve.sources.readers import get_reader
 
@@ -68,29 +75,61 @@ def select_one_source(items: DataFrame, plan_df: DataFrame, src: SourceDef) -> D
     targets = plan_df.where(F.col("class_name").isin(list(src.classes)) & (F.col("target_images") > 0)).select(
         F.col("class_name").alias("class"), F.col("target_images").alias("target")
     )
-    k_max = max([r[0] for r in targets.agg(F.max("target")).collect()] + [0]) or 0  # one scalar
     src_items = quota.restrict_classes(items.where(F.col("source") == src.name), src.classes, src.class_map)
-    return quota.select_quota(src_items, targets, k_max=max(int(k_max), 1), max_images=src.max_images,
-                              max_rows_scanned=src.max_rows_scanned)
+    return quota.select_quota(src_items, targets, max_images=src.max_images, max_rows_scanned=src.max_rows_scanned)
 
 
-def read_items(spark: SparkSession, sources: list[SourceDef]) -> DataFrame:
-    """Canonical items of every enabled source, through the reader registry."""
-    frames = []
-    for i, src in enumerate(sources):
+ITEM_SCHEMA = "image_id string, source string, row_idx long, valid boolean, classes array<string>, path string"
+
+
+def read_items(spark: SparkSession, sources: list[SourceDef]) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Canonical items of every enabled source, each written once, and the sources that could not be read."""
+    items: dict[str, DataFrame] = {}
+    failed: dict[str, str] = {}
+    for src in sources:
         if not src.enabled:
             continue
-        df = get_reader(src.kind)(spark, src)
-        if "path" not in df.columns:
-            df = df.withColumn("path", F.lit(None).cast("string"))
-        frames.append(df.select(
-            F.col("image_id").cast("string").alias("image_id"), "source", "row_idx", "valid", "classes", "path",
-            F.lit(i).alias("source_order"),
-        ))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        try:
+            df = get_reader(src.kind)(spark, src)
+            path = F.col("path") if "path" in df.columns else F.lit(None).cast("string")
+            items[src.name] = materialize(df.select(
+                F.col("image_id").cast("string").alias("image_id"), "source", F.col("row_idx").cast("long").alias("row_idx"),
+                "valid", "classes", path.alias("path")), f"items-{src.name}")
+        except Exception as exc:  # a source that cannot be read must not stop the others
+            failed[src.name] = (str(exc).splitlines() or [type(exc).__name__])[0]
+    return items, failed
+
+
+def land_images(spark: SparkSession, taken: DataFrame, sources: list[SourceDef], folder: str) -> DataFrame:
+    """Copy each taken image, embedded or a file, below ``folder``, once and by tasks: ``image_id`` and ``landed``.
+
+    Only taken rows travel, and no list of paths goes through the driver. A file that cannot be opened has a null
+    ``landed``. Names are made from the id, so a retried task writes the same files.
+    """
+    parts = [taken.select("image_id", "path", F.lit(None).cast("binary").alias("content")).where("path is not null")]
+    for src in sources:
+        df = get_reader(src.kind)(spark, src) if taken.where(F.col("source") == src.name).take(1) else None
+        if df is not None and "content" in df.columns:
+            own = taken.where((F.col("source") == src.name) & F.col("path").isNull()).select("image_id")
+            parts.append(df.select("image_id", F.lit(None).cast("string").alias("path"), "content").join(own, "image_id", "left_semi"))
+
+    def land(batches):
+        target = Folder(folder)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ident, path, content = (c[i].as_py() for c in batch.columns)
+                name = hashlib.md5(ident.encode()).hexdigest() + (".png" if path is None else os.path.splitext(path)[1])
+                try:
+                    if content is None:
+                        with Folder(os.path.dirname(path)).read(os.path.basename(path)) as f:
+                            content = f.read()
+                    with target.write(name) as f:
+                        f.write(content)
+                except (FileNotFoundError, TypeError):  # gone since it was listed, or no image at all
+                    name = None
+                yield pa.RecordBatch.from_arrays([pa.array([ident]), pa.array([name], pa.string())], names=["image_id", "landed"])
+
+    return materialize(reduce(DataFrame.unionByName, parts).mapInArrow(land, "image_id string, landed string"), "landed")
 
 
 def run(
@@ -115,38 +154,51 @@ def run(
     statistics -> written outputs (-> versioned release).
     """
     check_class_refs(sources, classes)
+    check_budget(replace(budget, total_images=budget.total_images if total_images is None else total_images), global_max_images)
     check_split_ratios(split_cfg.train, split_cfg.val, split_cfg.test)
     # all-or-nothing before any item is read
     gate.check_sources_ready(sources_df(spark, sources))
 
-    items = items if items is not None else read_items(spark, sources)
-    items = materialize(items, "items")
+    enabled = [s for s in sources if s.enabled]
+    if items is not None:
+        whole = materialize(items, "items", partition_by=["source"])
+        by_source, failed = {s.name: whole for s in enabled}, {}
+    else:
+        by_source, failed = read_items(spark, enabled)
+        whole = reduce(DataFrame.unionByName, by_source.values()) if by_source else spark.createDataFrame([], ITEM_SCHEMA)
     if available_by_class:  # caller-supplied caps win over the counted availability
         available = spark.createDataFrame([(c, int(n)) for c, n in available_by_class.items()],
                                           "class string, available long")
     else:
-        available = quota.availability(items) if use_availability else None
+        available = quota.availability(whole) if use_availability else None
     plan_df = plan(spark, budget, classes, total_images, overrides, available)
-    taken, failed, _ = quota.select_multi_source(items, plan_df, [s for s in sources if s.enabled])
+    readable = [s for s in enabled if s.name in by_source]
+    taken, unselected, _ = quota.select_multi_source(by_source, plan_df, readable)
+    failed |= unselected
     n_taken = taken.count()
     if n_taken > global_max_images:
         raise ValueError(f"selection of {n_taken} images exceeds global_max_images={global_max_images}")
-    # the selection is bounded by the run ceiling just checked, so it is the broadcast side
-    taken = items.select("image_id", "source", "path", "source_order").join(
-        F.broadcast(taken), ["image_id", "source"], "inner")
-
-    # decode only the selected files: the path list is bounded by the run ceiling
-    paths = [r[0] for r in taken.where(F.col("path").isNotNull()).select("path").collect()]
-    if paths:
-        imgs = spark.read.format("image").option("dropInvalid", False).load(paths).select(
-            normalize_path(F.col("image.origin")).alias("path"), "image")
-        imgs = imgs.join(taken.select("path", "image_id"), "path")
+    order = F.create_map(*(F.lit(x) for i, s in enumerate(sources) for x in (s.name, i))) if sources else None
+    if "path" not in whole.columns:
+        whole = whole.withColumn("path", F.lit(None).cast("string"))
+    taken = materialize(
+        whole.select("image_id", "source", "path").join(
+            taken.withColumn("image_id", F.col("image_id").cast("string")), ["image_id", "source"])
+        .withColumn("source_order", order[F.col("source")] if sources else F.lit(0)), "taken")
+
+    # decode only the selected images, from copies in one folder
+    images = scratch_path(spark, "images")
+    landed = land_images(spark, taken, readable, images)
+    if landed.where("landed is not null").take(1):
+        imgs = spark.read.format("image").option("dropInvalid", False).load(images).select(
+            file_name(F.col("image.origin")).alias("landed"), "image")
+        imgs = imgs.join(landed, "landed").select("image_id", "image")
     else:
-        imgs = spark.createDataFrame([], "path string, image_id string, image struct<origin:string,height:int,"
+        imgs = spark.createDataFrame([], "image_id string, image struct<origin:string,height:int,"
                                          "width:int,nChannels:int,mode:int,data:binary>")
-    measured = pixels.measure_images(imgs, key="path")
-    # files that vanished from the decoded scan (empty or unreadable) are corrupt
-    meas = taken.select("image_id", "path").join(measured, "path", "left").select(
+    measured = pixels.measure_images(imgs, key="image_id")
+    # images that vanished from the decoded scan (empty or unreadable) are corrupt
+    meas = taken.select("image_id").join(measured, "image_id", "left").select(
         "image_id",
         F.coalesce("width", F.lit(0)).alias("width"), F.coalesce("height", F.lit(0)).alias("height"),
         F.coalesce("brightness", F.lit(0.0)).alias("brightness"), F.coalesce("blur_score", F.lit(0.0)).alias("blur_score"),
@@ -159,10 +211,11 @@ def run(
     dups = dedup_ops.dedup_first_kept(ordered, dedup_cfg.hamming_distance_threshold, key="image_id", order="ord",
                                       enabled=dedup_cfg.enabled)
     # K6: row sources are named by their 1-based row index, export sources by the 0-based index among
-    # the images taken from them (a window over the taken rows of one source: at most its max_images)
+    # the images taken from them
     export_sources = [s.name for s in sources if s.kind == "yolo"]
-    taken_idx = F.row_number().over(Window.partitionBy("source").orderBy("row_idx")) - 1
-    named = taken.withColumn("_idx", F.when(F.col("source").isin(export_sources), taken_idx).otherwise(F.col("row_idx")))
+    places = global_rank(taken.select("image_id", "source", "row_idx"), ["row_idx", "image_id"], ["source"], "_nth")
+    named = taken.join(places.select("image_id", "source", "_nth"), ["image_id", "source"]).withColumn(
+        "_idx", F.when(F.col("source").isin(export_sources), F.col("_nth") - 1).otherwise(F.col("row_idx"))).drop("_nth")
     kept = named.join(dups.where(~F.col("is_dup")).select("image_id"), "image_id", "left_semi").withColumn(
         "name", item_name(F.col("source"), F.col("_idx"), suffix="")).drop("_idx")
     ids = kept.select(F.col("name").alias("id"), "image_id")
@@ -184,7 +237,7 @@ def run(
         version = release.next_version(spark, f"{out}/versions")
         rep.release_dir = release.export_release(f"{out}/releases", version, meta.drop("image_id"), stats=st,
                                                  classes=classes_df(spark, classes))
-        rep.version = release.bump_version(spark, f"{out}/versions", f"curation run: {n_meta} images", n_meta)
+        rep.version = release.log_version(spark, f"{out}/versions", f"curation run: {n_meta} images", n_meta)
     return rep
 
 

@@ -29,8 +29,8 @@ def fx_classes(spark: SparkSession) -> DataFrame:
     return classes_df(spark, SHIPPED_CLASSES)
 
 
-def fx_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """image_id, source, row_idx (1-based order inside the source), valid."""
+def fx_items(spark: SparkSession, sf_dir: str, ranked: bool = True) -> DataFrame:
+    """image_id, source, row_idx (1-based order inside the source), valid; ``row_idx`` only if ``ranked``."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     src = (
         F.when(F.col("o_custkey") % 3 == 0, F.lit(FX_SOURCES[0]))
@@ -42,8 +42,10 @@ def fx_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         src.alias("source"),
         ((F.col("o_orderkey") % FX_UNDECODABLE_EVERY) != 0).alias("valid"),
     )
-    ranked = global_rank(base, ["image_id"], partition_cols=["source"], rank_col="row_idx")
-    return ranked.select("image_id", "source", "row_idx", "valid")
+    if not ranked:
+        return base
+    numbered = global_rank(base, ["image_id"], partition_cols=["source"], rank_col="row_idx")
+    return numbered.select("image_id", "source", "row_idx", "valid")
 
 
 def fx_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,15 +69,14 @@ def fx_item_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx_items(spark, sf_dir).join(fx_image_classes(spark, sf_dir), "image_id")
 
 
-def fx_items_with_classes(spark: SparkSession, sf_dir: str, items: DataFrame | None = None) -> DataFrame:
-    """Canonical items: image_id, source, row_idx, valid, classes (sorted, distinct; empty when none)."""
-    items = items if items is not None else fx_items(spark, sf_dir)
+def fx_items_with_classes(spark: SparkSession, sf_dir: str, ranked: bool = True) -> DataFrame:
+    """Canonical items: image_id, source, row_idx (if ``ranked``), valid, classes (sorted, distinct; empty when none)."""
+    items = fx_items(spark, sf_dir, ranked)
     per_image = fx_image_classes(spark, sf_dir).groupBy("image_id").agg(
         F.array_sort(F.collect_set("class")).alias("classes")
     )
     return items.join(per_image, "image_id", "left").select(
-        "image_id", "source", "row_idx", "valid",
-        F.coalesce(F.col("classes"), F.array().cast("array<string>")).alias("classes"),
+        *items.columns, F.coalesce(F.col("classes"), F.array().cast("array<string>")).alias("classes"),
     )
 
 
@@ -144,40 +145,16 @@ def fx_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fx_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each 64-value embedding as an 8x8 grey grid: image_id, r, c, g."""
-    emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    e = emb.select("vec_id", F.posexplode("embedding").alias("pos", "v"))
-    return e.select(
-        F.col("vec_id").alias("image_id"),
-        (F.col("pos") / 8).cast("int").alias("r"),
-        (F.col("pos") % 8).cast("int").alias("c"),
-        F.floor((F.col("v").cast("double") + F.lit(0.6)) * 200).cast("int").alias("g"),
-    )
-
-
 def fx_grey_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as single-channel images in Spark's image struct layout (row-major bytes).
-
-    The pixel grid is rebuilt per image from the long form (a group of 64 rows),
-    then packed as one byte per pixel, clamped to 0..255, exactly as a decoded
-    8-bit grey image would arrive from the image source.
-    """
-    px = fx_pixels(spark, sf_dir)
-    grid = px.groupBy("image_id").agg(
-        F.array_sort(F.collect_list(F.struct((F.col("r") * 8 + F.col("c")).alias("k"), "g"))).alias("cells"),
-        F.max("r").alias("max_r"),
-        F.max("c").alias("max_c"),
-    )
-    return grid.select(
-        "image_id",
+    """Each 64-value embedding as an 8x8 grey image, row-major integers (which may leave 0..255) in ``image.grey``."""
+    emb = table(spark, sf_dir, "embeddings")
+    grey = F.transform("embedding", lambda v: F.floor((v.cast("double") + F.lit(0.6)) * 200).cast("int"))
+    return emb.select(
+        F.col("vec_id").alias("image_id"),
         F.struct(
-            F.concat(F.lit("fixture://"), F.col("image_id").cast("string")).alias("origin"),
-            (F.col("max_r") + 1).cast("int").alias("height"),
-            (F.col("max_c") + 1).cast("int").alias("width"),
-            F.lit(1).alias("nChannels"),
-            F.lit(0).alias("mode"),
-            F.transform("cells", lambda s: s["g"]).alias("grey"),
+            F.concat(F.lit("fixture://"), F.col("vec_id").cast("string")).alias("origin"),
+            F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("nChannels"), F.lit(0).alias("mode"),
+            grey.alias("grey"),
         ).alias("image"),
     )
 

@@ -80,8 +80,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
-
-def cut_lineage(df):
-    """Reliable checkpoint: written to the shared folder, survives executor loss."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)

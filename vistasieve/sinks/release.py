@@ -18,6 +18,9 @@ from vistasieve.functions.scalar import VERSION_FORMAT
 # Fixed value: release folder name prefix.
 RELEASE_PREFIX = "dataset-v"
 
+# Suffixes that make an item name a file name.
+IMAGE_SUFFIX = r"(?i)\.(jpg|jpeg|png|webp|bmp|gif|tif|tiff)$"
+
 VERSION_SCHEMA = "version string, created_at string, image_count long, notes string"
 
 
@@ -32,9 +35,12 @@ def write_stats(stats: DataFrame, path: str) -> None:
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    """The version log; empty while it does not exist. A log that cannot be read raises."""
     try:
         return spark.read.schema(VERSION_SCHEMA).json(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], VERSION_SCHEMA)
 
 
@@ -43,17 +49,12 @@ def next_version(spark: SparkSession, versions_path: str) -> str:
     return VERSION_FORMAT % (read_versions(spark, versions_path).count() + 1)
 
 
-def bump_version(spark: SparkSession, versions_path: str, notes: str, image_count: int) -> dict:
-    """K3: append one entry (version, UTC ISO timestamp, image count, notes) to the log."""
-    version = next_version(spark, versions_path)
-    entry = {
-        "version": version,
-        "created_at": datetime.now(timezone.utc).isoformat(),
-        "image_count": int(image_count),
-        "notes": notes,
-    }
-    spark.createDataFrame([tuple(entry.values())], VERSION_SCHEMA).write.mode("append").json(versions_path)
-    return entry
+def log_version(spark: SparkSession, versions_path: str, notes: str, image_count: int) -> dict:
+    """K3: one more line in the log, numbered after the lines that are there; returns it."""
+    stamp = datetime.now(timezone.utc).isoformat()
+    line = spark.createDataFrame([(next_version(spark, versions_path), stamp, int(image_count), notes)], VERSION_SCHEMA)
+    line.write.mode("append").json(versions_path)
+    return line.first().asDict()
 
 
 def export_release(
@@ -85,13 +86,14 @@ def export_release(
 def metadata_records(kept: DataFrame, measures: DataFrame, splits: DataFrame, key: str = "image_id") -> DataFrame:
     """Kept items with their source, classes, size and split.
 
-    ``kept``: key, source, classes, name (the item file name). Left joins
+    ``kept``: key, source, classes, name (the item's name; a file name loses its
+    image suffix, other dots are part of the name). Left joins
     supply defaults ("unknown", [], 0, "unassigned"); these are hash or
     broadcast joins chosen by Catalyst/AQE, never per-item lookups.
     """
     m = measures.select(key, "width", "height")
     j = kept.join(m, key, "left").join(splits, key, "left")
-    stem = F.regexp_extract(F.col("name"), r"^(.*?)(\.[^.]*)?$", 1)
+    stem = F.regexp_replace(F.col("name"), IMAGE_SUFFIX, "")
     return j.select(
         stem.alias("id"),
         F.coalesce("source", F.lit("unknown")).alias("dataset"),

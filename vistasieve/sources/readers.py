@@ -7,37 +7,34 @@ Every reader returns a DataFrame; the pluggable registry maps a source
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from vistasieve.config import SourceDef
 from vistasieve.functions import labels
-from vistasieve.functions.scalar import file_name, file_stem, normalize_path, parent_dir
-from vistasieve.operators.rank import global_rank
+from vistasieve.functions.files import Folder
+from vistasieve.functions.scalar import decoded_uri, file_name, file_stem, normalize_path, parent_dir
+from vistasieve.operators.rank import global_rank, materialize
 
 Reader = Callable[[SparkSession, SourceDef], DataFrame]
 READERS: dict[str, Reader] = {}
 
 
 def register_reader(kind: str):
-    """``@register_reader("kind")`` adds a reader for a source kind."""
-
-    def deco(fn: Reader) -> Reader:
-        READERS[kind] = fn
-        return fn
-
-    return deco
+    """Decorator that makes a function the reader of sources of this kind."""
+    return lambda fn: READERS.setdefault(kind, fn)
 
 
 def get_reader(kind: str) -> Reader:
-    try:
+    if kind in READERS:
         return READERS[kind]
-    except KeyError:
-        raise KeyError(f"no reader registered for kind {kind!r}; known kinds: {sorted(READERS)}") from None
+    raise KeyError(f"sources of kind {kind!r} cannot be read; readers exist for {', '.join(sorted(READERS))}")
 
 
 # Image file patterns and the export split folders in scan order.
@@ -61,27 +58,29 @@ def read_images(spark: SparkSession, root: str) -> DataFrame:
     return df.select(normalize_path(F.col("image.origin")).alias("path"), "image")
 
 
-def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """every image file name under ``root`` with its size, zero-byte files included.
+def list_files(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """``path`` and ``length`` of every file below the folders, empty ones included, listed by tasks.
 
-    Spark's file sources skip empty files, so the manifest is listed through
-    the Hadoop FileSystem (the same listing Spark itself does on the driver);
-    only paths and sizes travel, never contents. Left-join images on ``path``
-    to see files that vanished from the decoded scan.
+    Spark's file sources skip empty files, so folders are walked in tasks, one for each folder; an absent folder has no
+    files. Only paths and sizes travel, and none through the driver.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(conf)
-    it = fs.listFiles(p, True)
-    rows = []
-    exts = (".jpg", ".jpeg", ".png")
-    while it.hasNext():
-        st = it.next()
-        path = st.getPath().toString()
-        if path.lower().endswith(exts):
-            rows.append((path, int(st.getLen())))
-    return spark.createDataFrame(rows, "path string, length long").withColumn("path", normalize_path(F.col("path")))
+    roots = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(max(1, len(folders)), "folder")
+
+    def walk(batches):
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                files = Folder(folder).walk()
+                while part := list(itertools.islice(files, 10_000)):
+                    paths, sizes = zip(*part)
+                    yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(sizes, pa.int64())], names=["path", "length"])
+
+    return roots.mapInArrow(walk, "path string, length long").withColumn("path", normalize_path(F.col("path")))
+
+
+def read_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """every image file under ``root`` with its size. Left-join images on ``path`` to see files that vanished
+    from the decoded scan."""
+    return list_files(spark, [root]).where(F.lower("path").rlike(r"\.(jpg|jpeg|png)$"))
 
 
 def images_with_manifest(spark: SparkSession, root: str) -> DataFrame:
@@ -96,32 +95,37 @@ def images_with_manifest(spark: SparkSession, root: str) -> DataFrame:
     return j.select("path", "length", F.coalesce(F.col("image"), empty).alias("image"))
 
 
+MAX_BROADCAST_FILES = 100_000  # rows of the offsets table that may be broadcast (a path and a number each)
+
+
 def read_detection_rows(spark: SparkSession, path: str, source: str, offset: int = 0) -> DataFrame:
     """Landed detection rows with a 1-based ``row_idx`` in file order, skipping ``offset`` rows.
 
-    Order is data: it comes from (file path, row index inside the file) of the
-    parquet files, never from task order.
+    Order is data: (file path, row index inside the file) of the parquet files. Rows are counted per file, a running
+    sum over the files gives each one's first index, and the row index inside the file is added; the rows themselves
+    are neither sorted nor shuffled.
     """
     df = spark.read.parquet(path)
-    tagged = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_ri"))
-    ranked = global_rank(tagged, ["_file", "_ri"], rank_col="row_idx").drop("_file", "_ri")
-    return ranked.where(F.col("row_idx") > F.lit(offset)).withColumn("source", F.lit(source))
-
-
-def read_export_names(data_yaml: str) -> list[str]:
-    """Class names of an export: a list, or ``{int: name}`` sorted by key; missing file => empty."""
-    import os
-
+    files = df.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy().orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
+    starts = materialize(files.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"), "file-starts")
+    if starts.count() <= MAX_BROADCAST_FILES:
+        starts = F.broadcast(starts)
+    rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_ri"))
+    rows = rows.join(starts, "_file").withColumn("row_idx", F.col("_start") + F.col("_ri") + 1)
+    return rows.drop("_file", "_ri", "_start").where(F.col("row_idx") > F.lit(offset)).withColumn("source", F.lit(source))
+
+
+def export_class_names(spark: SparkSession, data_yaml: str) -> list[str]:
+    """The class names an export declares, by id; a mapping is put in the order of its keys. Raises without the file."""
     import yaml
 
-    if not os.path.exists(data_yaml):
-        return []
-    with open(data_yaml, encoding="utf-8") as fh:
-        data = yaml.safe_load(fh) or {}
-    names = data.get("names", [])
-    if isinstance(names, Mapping):
-        return [names[k] for k in sorted(names)]
-    return list(names)
+    try:
+        declared = spark.read.text(data_yaml, wholetext=True).first()
+    except AnalysisException as exc:
+        raise FileNotFoundError(f"{data_yaml} is missing: labels of the export cannot be named") from exc
+    names = (yaml.safe_load(declared.value if declared else "") or {}).get("names") or []
+    return [n for _, n in sorted(names.items())] if isinstance(names, Mapping) else list(names)
 
 
 def read_yolo_export(
@@ -134,7 +138,8 @@ def read_yolo_export(
 ) -> DataFrame:
     """Images under ``{train,valid,test}/images`` joined with their label files.
 
-    Images are listed (path, length) without reading contents; labels are read
+    Every file with a suffix is an image, whatever the suffix and even if empty: the quality gate counts what cannot
+    be decoded. Images are listed (path, length) without reading contents; labels are read
     as text lines with their file path; both are keyed by (split, stem). The
     scan order is (split order, path) and becomes ``row_idx``. Images without
     a label file have no classes. ``valid`` is true: the export scan copies
@@ -143,9 +148,8 @@ def read_yolo_export(
     root = root.rstrip("/")
     split_rank = F.create_map(*[x for i, s in enumerate(EXPORT_SPLITS) for x in (F.lit(s), F.lit(i))])
     imgs = (
-        spark.read.format("binaryFile").option("pathGlobFilter", IMAGE_GLOB)
-        .load([f"{root}/{s}/images" for s in EXPORT_SPLITS if _exists(spark, f"{root}/{s}/images")])
-        .select(normalize_path(F.col("path")).alias("path"), "length")
+        list_files(spark, [f"{root}/{s}/images" for s in EXPORT_SPLITS])
+        .where(file_name(F.col("path")).contains("."))
         .withColumn("split", parent_dir(F.col("path"), 2))
         .withColumn("stem", file_stem(F.col("path")))
         .withColumn("filename", file_name(F.col("path")))
@@ -155,7 +159,7 @@ def read_yolo_export(
     if label_dirs and names:
         lines = (
             spark.read.option("pathGlobFilter", "*.txt").text(label_dirs)
-            .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_lp"))
+            .select(F.col("value").alias("line"), decoded_uri(F.col("_metadata.file_path")).alias("_lp"))
             .select("line", parent_dir(F.col("_lp"), 2).alias("split"), file_stem(F.col("_lp")).alias("stem"))
         )
         per_image = labels.classes_from_yolo_lines(lines, ["split", "stem"], names, allowed, class_map)
@@ -191,12 +195,16 @@ def read_boxes_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ids(spark: SparkSession, path: str, col: str = "id") -> DataFrame:
-    """An id list from JSON (an array of strings, or records with ``col``) or parquet."""
+    """An id list from JSON (an array of strings, or of records with ``col``) or parquet. Malformed JSON raises."""
     if path.endswith(".parquet"):
         return spark.read.parquet(path).select(col)
-    raw = spark.read.option("multiLine", True).text(path, wholetext=True)
-    arr = F.from_json(F.col("value"), T.ArrayType(T.StringType()))
-    return raw.select(F.explode(arr).alias(col))
+    raw = spark.read.text(path, wholetext=True)
+    strict = {"mode": "FAILFAST"}
+    records = F.from_json("value", T.ArrayType(T.StructType([T.StructField(col, T.StringType())])), strict)
+    ids = F.when(F.col("value").rlike(r"^\s*\[\s*\{"), F.transform(records, lambda r: r[col])).otherwise(
+        F.from_json("value", T.ArrayType(T.StringType()), strict))
+    ids = F.when(ids.isNull(), F.raise_error(F.lit(f"{path} is not a JSON list of ids"))).otherwise(ids)
+    return raw.select(F.explode(ids).alias(col))
 
 
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
@@ -213,15 +221,20 @@ def _rows_reader(spark: SparkSession, src: SourceDef) -> DataFrame:
     rows = read_detection_rows(spark, src.path, src.name)
     cat_names, label_names = labels.names_from_schema(rows.schema)
     cls = labels.extract_classes(rows, list(src.classes), src.class_map, cat_names, label_names)
-    valid = F.col("image").isNotNull() if "image" in rows.columns else F.lit(True)
-    keep = [c for c in ("image",) if c in rows.columns]
+    # an embedded image is its encoded bytes, or a struct of bytes and path; a string is a path
+    kind = rows.schema["image"].dataType if "image" in rows.columns else None
+    parts = kind.fieldNames() if isinstance(kind, T.StructType) else ()
+    content = F.col("image") if isinstance(kind, T.BinaryType) else F.col("image.bytes") if "bytes" in parts else F.lit(None)
+    where = F.col("image") if isinstance(kind, T.StringType) else F.col("image.path") if "path" in parts else F.lit(None)
+    valid = F.col("image").isNotNull() if kind else F.lit(True)
     return rows.select(
         F.format_string("%s_%07d", F.lit(src.name), F.col("row_idx")).alias("image_id"),
-        F.lit(src.name).alias("source"), "row_idx", valid.alias("valid"), cls.alias("classes"), *keep,
+        F.lit(src.name).alias("source"), "row_idx", valid.alias("valid"), cls.alias("classes"),
+        where.cast("string").alias("path"), content.cast("binary").alias("content"),
     )
 
 
 @register_reader("yolo")
 def _yolo_reader(spark: SparkSession, src: SourceDef) -> DataFrame:
-    names = read_export_names(f"{src.path.rstrip('/')}/data.yaml")
+    names = export_class_names(spark, f"{src.path.rstrip('/')}/data.yaml")
     return read_yolo_export(spark, src.path, names, list(src.classes), src.class_map, src.name)

@@ -21,13 +21,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistasieve.operators.quota import select_quota
-from vistasieve.operators.rank import global_rank, top_k_per_group
+from vistasieve.operators.rank import first_k_by_position, global_rank, materialize
 
 STATE_SCHEMA = "kind string, source string, class string, n long"
 
@@ -65,7 +64,6 @@ def process_batch(
     out_dir: str,
     state_dir: str,
     order_cols: Sequence[str],
-    max_rows_scanned: int | None = None,
     max_images: int | None = None,
 ) -> None:
     spark = batch.sparkSession
@@ -75,41 +73,37 @@ def process_batch(
     prior_rows = {r["source"]: r["n"] for r in state.where(F.col("kind") == "rows").collect()}  # per source
     prior_cls = {(r["source"], r["class"]): r["n"] for r in state.where(F.col("kind") == "class").collect()}
     prior_taken = {r["source"]: r["n"] for r in state.where(F.col("kind") == "taken").collect()}
+    # a source whose quotas are all filled, or whose cap is reached, takes nothing more: its rows are not even ranked
+    full = [s_ for s_ in prior_rows if prior_taken.get(s_, 0) >= (max_images or float("inf"))
+            or all(prior_cls.get((s_, c), 0) >= n for c, n in targets.items())]
     items = to_items(batch)
-    ranked = global_rank(items, list(order_cols), partition_cols=["source"], rank_col="_r")
-    seen = spark.createDataFrame(list(prior_rows.items()), "source string, _seen long")
-    items = ranked.join(F.broadcast(seen), "source", "left").withColumn(
-        "row_idx", F.coalesce("_seen", F.lit(0)) + F.col("_r")
-    ).drop("_seen", "_r")
-    # the ranked batch feeds three small jobs below; keep it for the length of the batch
-    items = items.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    items = items.where(~F.coalesce(F.col("source").isin(full), F.lit(False))) if full else items
+    cls_counts = row_counts = taken_counts = []
+    if not items.isEmpty():
+        ranked = global_rank(items, list(order_cols), partition_cols=["source"], rank_col="_r")
+        seen = spark.createDataFrame(list(prior_rows.items()), "source string, _seen long")
+        # written once: the jobs below read it, and a lost executor does not redo the batch
+        items = materialize(ranked.join(seen, "source", "left").withColumn(
+            "row_idx", F.coalesce("_seen", F.lit(0)) + F.col("_r")).drop("_seen", "_r"), "batch")
         prior = spark.createDataFrame([(s_, c, n) for (s_, c), n in prior_cls.items()],
                                       "source string, class string, prior_count long")
-        k_max = max(targets.values()) if targets else 0
-        taken = select_quota(items, targets, k_max=k_max, max_rows_scanned=max_rows_scanned, prior=prior)
+        taken = select_quota(items, targets, prior=prior)
         if max_images is not None:
             # W2 across runs: each source takes at most what its cap has left
             left = spark.createDataFrame(
                 [(s_, int(max_images) - n) for s_, n in prior_taken.items()], "source string, _left long")
-            taken = taken.join(F.broadcast(left), "source", "left").withColumn(
+            taken = materialize(taken, "batch-hits").join(left, "source", "left").withColumn(
                 "_left", F.coalesce("_left", F.lit(int(max_images))))
-            taken = top_k_per_group(taken, ["source"], ["row_idx", "image_id"], F.col("_left"), int(max_images)) \
-                .drop("_left", "rn")
-        taken = taken.persist(StorageLevel.MEMORY_AND_DISK)
-        taken.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}")
-        taken_counts = taken.groupBy("source").count().collect()
-        taken.unpersist()
+            taken = first_k_by_position(taken, ["source"], "row_idx", ["image_id"], F.col("_left")).drop("_left")
+        out = f"{out_dir.rstrip('/')}/batch_id={batch_id}"
+        taken.write.mode("overwrite").parquet(out)
+        taken_counts = spark.read.schema(taken.schema).parquet(out).groupBy("source").count().collect()
 
         # new state: rows seen per source; usable rows per (source, class), saturated at the target
         usable = items.where(F.col("valid"))
-        if max_rows_scanned is not None:
-            usable = usable.where(F.col("row_idx") < F.lit(int(max_rows_scanned)))
         cls_counts = (usable.select("source", F.explode("classes").alias("class"))
                       .where(F.col("class").isin(list(targets))).groupBy("source", "class").count().collect())
         row_counts = items.groupBy("source").count().collect()
-    finally:
-        items.unpersist()
     new_cls = dict(prior_cls)
     for r in cls_counts:
         key = (r["source"], r["class"])
@@ -138,7 +132,6 @@ def ingest_available_now(
     state_dir: str,
     checkpoint_dir: str,
     order_cols: Sequence[str],
-    max_rows_scanned: int | None = None,
     max_files_per_trigger: int | None = None,
     fmt: str = "parquet",
     path_glob: str | None = None,
@@ -157,8 +150,7 @@ def ingest_available_now(
     stream = reader.load(input_path)
     q = (
         stream.writeStream.foreachBatch(
-            lambda df, bid: process_batch(df, bid, to_items, targets, out_dir, state_dir, order_cols, max_rows_scanned,
-                                          max_images)
+            lambda df, bid: process_batch(df, bid, to_items, targets, out_dir, state_dir, order_cols, max_images)
         )
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
