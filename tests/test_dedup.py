@@ -100,3 +100,26 @@ def test_dense_cluster_of_distinct_copies(spark):
     res = {r["image_id"]: (r["is_dup"], r["duplicate_of"]) for r in got}
     assert res[0] == (False, None)
     assert all(res[k] == (True, 0) for k in range(1, len(rows)))
+
+
+def test_unrelated_hashes_sharing_a_block_settle_at_once(spark, monkeypatch):
+    """2,000 hashes that agree on their low 11 bits, far above the group size, in under ten rounds."""
+    monkeypatch.setattr(dedup, "MAX_GROUP", 300)
+    real, tables = dedup.materialize, []
+    monkeypatch.setattr(dedup, "materialize", lambda df, name, **k: (tables.append(name), real(df, name, **k))[1])
+    rng = random.Random(8)
+    rows = [(i, i, rng.getrandbits(32), (rng.getrandbits(21) << 11) | 0x2A5) for i in range(2000)]
+    rows += [(2000 + i, 2000 + i, rows[i][2] ^ 5, rows[i][3]) for i in range(50)]
+    got = dedup.dedup_first_kept(spark.createDataFrame(rows, SCHEMA), 5).collect()
+    assert {r["image_id"]: (r["is_dup"], r["duplicate_of"]) for r in got} == seq_first_kept(rows, 5)
+    assert tables.count("dedup-kept") < 10 and tables.count("dedup-keyed") >= 2
+
+
+def test_chains_settle_in_order(spark):
+    rows = [(i, i, 0, (1 << (3 * (i + 1))) - 1 if i < 10 else (1 << 30) - 1) for i in range(10)]
+    got = dedup.dedup_first_kept(spark.createDataFrame(rows, SCHEMA), 5).collect()
+    assert {r["image_id"]: (r["is_dup"], r["duplicate_of"]) for r in got} == seq_first_kept(rows, 5)
+
+
+def test_no_items(spark):
+    assert dedup.dedup_first_kept(spark.createDataFrame([], SCHEMA), 5).collect() == []

@@ -10,18 +10,23 @@ lengthens the keys (fewer chance candidates per key at very large hash counts)
 at the cost of more key copies per hash.
 
 First-kept-wins is not connected components: an item is a duplicate only if an
-earlier *kept* item is within t. It is solved as a fixpoint that only ever
-pairs kept items with later ones (see ``dedup_first_kept``), so a group of
-near copies costs pairs linear in its size. Equal hashes are collapsed first,
-so a hot hash (blank frames) is one node.
+earlier *kept* item is within t. It is solved as a fixpoint over key groups
+(see ``dedup_first_kept``): tasks compare the members of a group by their true
+distance and return one row for each decided item, never pairs. Equal hashes
+are collapsed first, so a hot hash (blank frames) is one node.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vistasieve.operators.rank import materialize
 
@@ -44,7 +49,7 @@ def choose_blocks(n: int, t: int, max_extra: int = 10) -> int:
     Copies per hash are C(m, m - t); a key covers about 64 (m - t) / m bits, so
     unrelated hashes share a key with probability 2^-bits. Expected work is
     C(m, m-t) * (n + n^2 / 2^(bits + 1)); m = t + 1 for small n, longer keys as
-    n grows (e.g. t = 5: m = 6 up to ~10^4 hashes, m = 8 near 10^6, m = 10 near 10^8).
+    n grows (for t = 5: m = 6 up to about 10^4 hashes, 7 near 10^6, 9 near 10^8).
     """
     from math import comb
 
@@ -140,30 +145,94 @@ def hamming_pairs(
     return near_pairs(materialize(collapse_equal(hashes, key, order), "hash-reps"), t, num_blocks)
 
 
-KEPT, DUP, OPEN = 1, 2, 0
+# Key groups with more members are split by further blocks of bits, at most SPLITS times.
+MAX_GROUP = 4096
+SPLITS = 2
 
 
-def _pairs_between(a: DataFrame, b: DataFrame, t: int, blocks: list[int], k: int) -> DataFrame:
-    """Keyed rows of ``a`` (earlier) against keyed rows of ``b`` (later) within ``t``, each pair once."""
-    aa = a.select(*[F.col(c).alias(f"a_{c}") for c in a.columns])
-    bb = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns])
-    j = aa.join(bb, (F.col("a_cmask") == F.col("b_cmask")) & (F.col("a_bkey") == F.col("b_bkey"))
-                & (F.col("a_ord") < F.col("b_ord")))
-    xor = F.col("a_h64").bitwiseXOR(F.col("b_h64"))
-    return j.where(F.bit_count(xor) <= t).where(_canonical_mask(xor, blocks, k) == F.col("a_cmask"))
-
-
-# Key groups with more open members than this are treated as near-copy groups (first-only rule).
-SMALL_GROUP = 64
-
+def _key_groups(reps: DataFrame, t: int, m: int) -> DataFrame:
+    """``id, ord, h64, bits, bkey``: every hash under the bits of each block combination, groups of two or more only.
 
-def _open_pairs(small: DataFrame, t: int) -> DataFrame:
-    """Earlier/later pairs within ``t`` inside small key groups (at most SMALL_GROUP^2 per group)."""
-    a = small.select(*[F.col(c).alias(f"a_{c}") for c in small.columns])
-    b = small.select(*[F.col(c).alias(f"b_{c}") for c in small.columns])
-    j = a.join(b, (F.col("a_cmask") == F.col("b_cmask")) & (F.col("a_bkey") == F.col("b_bkey"))
-               & (F.col("a_ord") < F.col("b_ord")))
-    return j.where(F.bit_count(F.col("a_h64").bitwiseXOR(F.col("b_h64"))) <= t)
+    A group above MAX_GROUP is dealt anew: its members agree on ``bits``; cut the other bits into ``t + 1`` parts, and
+    two hashes within ``t`` agree on one of them. So no near pair loses its common group, and unrelated hashes that
+    share one block of bits part.
+    """
+    blocks = _block_masks(m)
+    masks = sorted({_signed(sum(combo)) for combo in combinations(blocks, m - t)})
+    keyed = reps.select("id", "ord", "h64", F.explode(F.array(*map(F.lit, masks))).alias("bits"))
+    done = []
+    for level in range(SPLITS + 1):
+        keyed = materialize(keyed.withColumn("bkey", F.col("h64").bitwiseAND(F.col("bits"))), "dedup-keyed")
+        sizes = materialize(keyed.groupBy("bits", "bkey").agg(F.count(F.lit(1)).alias("_g")).where("_g > 1"), "dedup-sizes")
+        last = level == SPLITS
+        light = sizes if last else sizes.where(F.col("_g") <= MAX_GROUP)
+        done.append(keyed.join(light, ["bits", "bkey"], "left_semi"))
+        heavy = sizes.where(F.col("_g") > MAX_GROUP)
+        if last or heavy.isEmpty():
+            break
+        finer = {}
+        for x in {r[0] for r in heavy.select("bits").distinct().collect()}:  # at most one for each mask
+            rest = [b for b in range(64) if not x >> b & 1]
+            cuts = [rest[i * len(rest) // (t + 1):(i + 1) * len(rest) // (t + 1)] for i in range(t + 1)]
+            finer[x] = [_signed((x & _MASK64) | sum(1 << b for b in c)) for c in cuts]
+        table = F.create_map(*(y for x, subs in finer.items() for y in (F.lit(x), F.array(*map(F.lit, subs)))))
+        keyed = keyed.join(heavy, ["bits", "bkey"], "left_semi").select(
+            "id", "ord", "h64", F.explode(table[F.col("bits")]).alias("bits"))
+    return reduce(DataFrame.unionByName, done).select("id", "ord", "h64", "bits", "bkey")
+
+
+def _in_groups(groups: DataFrame, work: Callable, shape: T.StructType) -> DataFrame:
+    """``work(rows, group numbers)`` on whole key groups, members by ``ord``, many groups at a time."""
+    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows])
+            bits, key = (rows.column(c).to_numpy() for c in ("bits", "bkey"))
+            new = np.flatnonzero((bits[1:] != bits[:-1]) | (key[1:] != key[:-1])) + 1
+            cut = int(new[-1]) if new.size else 0
+            rest = rows.slice(cut)
+            if cut:
+                yield from work(rows.slice(0, cut), np.searchsorted(new, np.arange(cut), side="right"))
+        if rest is not None and rest.num_rows:
+            yield from work(rest, np.zeros(rest.num_rows, np.int64))
+
+    return groups.repartition(n, "bits", "bkey").sortWithinPartitions("bits", "bkey", "ord").mapInArrow(run, shape)
+
+
+def _near(h: np.ndarray, a: np.ndarray, b: np.ndarray, t: int) -> np.ndarray:
+    return np.bitwise_count(h[a] ^ h[b]) <= t
+
+
+def _behind_earlier(group: np.ndarray, h: np.ndarray, t: int) -> np.ndarray:
+    """Members with an earlier member of their group within ``t``, looking back one place at a time."""
+    hit, at, step = np.zeros(len(h), bool), np.arange(len(h)), 1
+    while True:
+        at = at[at >= step]
+        at = at[group[at - step] == group[at]]
+        if not at.size:
+            return hit
+        near = _near(h, at, at - step, t)
+        hit[at[near]] = True
+        at, step = at[~near], step + 1
+
+
+def _first_kept(group: np.ndarray, h: np.ndarray, kept: np.ndarray, t: int) -> np.ndarray:
+    """For each member not kept, the earliest kept member of its group before it within ``t``, or -1."""
+    found, places = np.full(len(h), -1), np.flatnonzero(kept)
+    at = np.flatnonzero(~kept)
+    nxt = np.searchsorted(places, np.searchsorted(group, group[at]))
+    while at.size and places.size:
+        ok = nxt < len(places)
+        at, nxt = at[ok], nxt[ok]
+        ok = places[nxt] < at
+        at, nxt = at[ok], nxt[ok]
+        near = _near(h, at, places[nxt], t)
+        found[at[near]] = places[nxt[near]]
+        at, nxt = at[~near], nxt[~near] + 1
+    return found
 
 
 def dedup_first_kept(
@@ -173,30 +242,21 @@ def dedup_first_kept(
     order: str = "ord",
     enabled: bool = True,
     num_blocks: int | None = None,
-    max_rounds: int = 1000,
 ) -> DataFrame:
     """``key, is_dup, duplicate_of`` in the first-kept-wins semantics.
 
     Unreadable items (null hash) are kept. ``duplicate_of`` is the earliest
     kept item within ``t``.
 
-    Plan (exact, and never pairs undecided items with each other):
+    Plan (exact; no pair of items ever leaves a task):
     1. equal hashes collapse to their earliest item;
-    2. each distinct hash is keyed once per block combination (written once);
-    3. per round, an open item is kept when no earlier open item can be within
-       ``t``: a neighbour would share a key group, so in small groups (chance
-       key matches, at most SMALL_GROUP open members) earlier members are
-       checked by distance, and in large groups (near copies) the item must be
-       the group's first open member. No earlier kept item is within ``t``
-       (step 4 would have caught it), so it is kept. The earliest open item
-       always qualifies, so every round progresses, and pair work per round
-       is linear (bounded per small group, none in large ones);
-    4. the newly kept are joined with later open items; those within ``t``
-       become duplicates;
-    5. ``duplicate_of`` joins kept with duplicates. Kept items are more than
-       ``t`` apart, so an item pairs with few of them: a cluster of k copies
-       yields O(k) pairs, not O(k^2).
-    Each round's state is written to the shared checkpoint folder.
+    2. each distinct hash joins one group per block combination, written once; large groups are split by further bits;
+    3. per round, an open item with no earlier open item truly within ``t`` in any of its groups is kept: no earlier
+       kept item is within ``t`` either, or step 4 would have caught it. The number of rounds follows chains of near
+       items, not how many unrelated ones share a group;
+    4. open items behind a newly kept one within ``t`` become duplicates;
+    5. the groups of what is still open are written for the next round, so rounds shrink;
+    6. ``duplicate_of`` is the earliest kept item over all groups of a duplicate.
     """
     items = hashes.select(
         F.col(key).alias("id"), F.col(order).alias("ord"),
@@ -206,68 +266,63 @@ def dedup_first_kept(
     if not enabled:
         return items.select(F.col("id").alias(key), F.lit(False).alias("is_dup"), F.lit(None).cast(id_type).alias("duplicate_of"))
 
-    hashed = items.where(F.col("h64").isNotNull())
     reps = materialize(collapse_equal(hashes, key, order).select("h64", "id", "ord"), "dedup-reps")
     m = num_blocks or choose_blocks(reps.count(), t)
     if m <= t:
         raise ValueError("num_blocks must exceed the distance threshold")
-    keyed, blocks = _keyed(reps, t, m)
-    keyed = materialize(keyed, "dedup-keyed")
-    status = materialize(reps.select("id", "ord", F.lit(OPEN).alias("state")), "dedup-status")
-    for _ in range(max_rounds):
-        open_ids = status.where(F.col("state") == OPEN).select("id")
-        if open_ids.isEmpty():
-            break
-        open_keyed = keyed.join(open_ids, "id", "left_semi")
-        groups = open_keyed.groupBy("cmask", "bkey").agg(
-            F.count(F.lit(1)).alias("_g"), F.min(F.struct("ord", "id")).alias("_f"))
-        tagged = open_keyed.join(groups, ["cmask", "bkey"])
-        # large groups (near copies): only the group's first open item may be kept this round
-        blocked_big = tagged.where((F.col("_g") > SMALL_GROUP) & (F.col("_f.id") != F.col("id"))).select("id")
-        # small groups (chance key matches): blocked only by an earlier open item truly within t
-        small = tagged.where(F.col("_g") <= SMALL_GROUP).drop("_g", "_f")
-        blocked_small = _open_pairs(small, t).select(F.col("b_id").alias("id"))
-        new_kept = open_ids.join(blocked_big.unionByName(blocked_small), "id", "left_anti")
-        new_dup = (
-            _pairs_between(keyed.join(new_kept, "id", "left_semi"), open_keyed, t, blocks, m - t)
-            .select(F.col("b_id").alias("id")).distinct()
-        )
-        status = materialize(
-            status.join(new_kept.withColumn("_k", F.lit(True)), "id", "left")
-            .join(new_dup.withColumn("_d", F.lit(True)), "id", "left")
-            .select("id", "ord", F.when(F.col("state") != OPEN, F.col("state"))
-                    .when(F.col("_k"), F.lit(KEPT)).when(F.col("_d"), F.lit(DUP)).otherwise(F.lit(OPEN)).alias("state")),
-            "dedup-status",
-        )
-    else:
-        raise RuntimeError(f"near-duplicate fixpoint did not settle in {max_rounds} rounds")
-
-    kept_keyed = keyed.join(status.where(F.col("state") == KEPT).select("id"), "id", "left_semi")
-    dup_keyed = keyed.join(status.where(F.col("state") == DUP).select("id"), "id", "left_semi")
-    orig = (
-        _pairs_between(kept_keyed, dup_keyed, t, blocks, m - t)
-        .groupBy(F.col("b_id").alias("id")).agg(F.min(F.struct("a_ord", "a_id")).alias("_o"))
-        .select("id", F.col("_o.a_id").alias("dup_of"))
-    )
-    rep_res = status.join(orig, "id", "left").select(
-        "id", (F.col("state") == DUP).alias("is_dup"), F.when(F.col("state") == DUP, F.col("dup_of")).alias("duplicate_of")
-    )
-    # later items with a representative's hash follow the representative
-    rep_out = reps.join(rep_res, "id").select(
-        "h64", F.col("id").alias("rep_id"), F.when(F.col("is_dup"), F.col("duplicate_of")).otherwise(F.col("id")).alias("orig")
-    )
-    members = hashed.join(rep_out, "h64").select("id", (F.col("id") != F.col("rep_id")).alias("_nonrep"), "orig")
-    member_res = members.join(
-        rep_res.select("id", F.col("is_dup").alias("_rd"), F.col("duplicate_of").alias("_rdo")), "id", "left"
-    ).select(
-        "id",
-        F.when(F.col("_nonrep"), F.lit(True)).otherwise(F.col("_rd")).alias("is_dup"),
-        F.when(F.col("_nonrep"), F.col("orig")).otherwise(F.col("_rdo")).alias("duplicate_of"),
-    )
+    groups = materialize(_key_groups(reps, t, m), "dedup-groups")
+    one_id = T.StructType([reps.schema["id"]])
+
+    def ids(rows, where):
+        return pa.table({"id": rows.column("id").take(pa.array(np.flatnonzero(where)))}).to_batches()
+
+    def behind_open(rows, group):
+        yield from ids(rows, _behind_earlier(group, rows.column("h64").to_numpy().view(np.uint64), t))
+
+    def behind_kept(rows, group):
+        kept = rows.column("kept").to_numpy(zero_copy_only=False)
+        yield from ids(rows, _first_kept(group, rows.column("h64").to_numpy().view(np.uint64), kept, t) >= 0)
+
+    def original(rows, group):
+        kept = rows.column("kept").to_numpy(zero_copy_only=False)
+        first = _first_kept(group, rows.column("h64").to_numpy().view(np.uint64), kept, t)
+        dup = pa.array(np.flatnonzero(first >= 0))
+        src = pa.array(first[first >= 0])
+        yield from pa.table({"id": rows.column("id").take(dup), "a_ord": rows.column("ord").take(src),
+                             "a_id": rows.column("id").take(src)}).to_batches()
+
+    def flagged(rows, kept):
+        return rows.join(kept.select("id", F.lit(True).alias("_k")), "id", "left").withColumn(
+            "kept", F.coalesce("_k", F.lit(False))).drop("_k")
+
+    # hashes in no group of two have no near one; the others are open
+    open_ids = materialize(groups.select("id").distinct(), "dedup-open")
+    open_groups, dups = groups, []
+    while not open_ids.isEmpty():
+        blocked = _in_groups(open_groups, behind_open, one_id).distinct()
+        kept = materialize(open_ids.join(blocked, "id", "left_anti"), "dedup-kept")
+        dup = materialize(_in_groups(flagged(open_groups, kept), behind_kept, one_id).distinct(), "dedup-dups")
+        dups.append(dup)
+        open_ids = materialize(open_ids.join(kept.unionByName(dup), "id", "left_anti"), "dedup-open")
+        open_groups = materialize(open_groups.join(open_ids, "id", "left_semi"), "dedup-groups")
+    all_dups = reduce(DataFrame.unionByName, dups) if dups else open_ids
+    kept = reps.select("id").join(all_dups, "id", "left_anti")
+    shape = T.StructType([reps.schema["id"], T.StructField("a_ord", reps.schema["ord"].dataType),
+                          T.StructField("a_id", reps.schema["id"].dataType)])
+    orig = (_in_groups(flagged(groups, kept), original, shape)
+            .groupBy("id").agg(F.min(F.struct("a_ord", "a_id")).alias("_o")).select("id", F.col("_o.a_id").alias("dup_of")))
+    rep_out = materialize(reps.join(orig, "id", "left").select("h64", F.col("id").alias("rep_id"), "dup_of"), "dedup-result")
+
+    # later items with a representative's hash follow the representative; both sides are shuffled on the hash for
+    # this join alone, so adaptive execution splits a hash that many items carry
+    hashed = items.where(F.col("h64").isNotNull()).join(rep_out, "h64")
+    is_rep = F.col("id") == F.col("rep_id")
+    members = hashed.select(
+        "id", (~is_rep | F.col("dup_of").isNotNull()).alias("is_dup"),
+        F.coalesce("dup_of", F.when(~is_rep, F.col("rep_id"))).alias("duplicate_of"))
     unhashed = items.where(F.col("h64").isNull()).select(
-        "id", F.lit(False).alias("is_dup"), F.lit(None).cast(member_res.schema["duplicate_of"].dataType).alias("duplicate_of")
-    )
-    return member_res.unionByName(unhashed).select(F.col("id").alias(key), "is_dup", "duplicate_of")
+        "id", F.lit(False).alias("is_dup"), F.lit(None).cast(id_type).alias("duplicate_of"))
+    return members.unionByName(unhashed).select(F.col("id").alias(key), "is_dup", "duplicate_of")
 
 
 def dedup_summary(result: DataFrame) -> DataFrame:
