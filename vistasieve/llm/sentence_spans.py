@@ -1,6 +1,6 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of ``span`` consecutive sentences is hashed (two independent hashes, 128 bits); the hashes are joined over the
+Every run of ``span`` consecutive sentences is hashed (XXH3, 128 bits); the hashes are joined over the
 whole corpus, and a sentence goes when any run that covers it is a repeat, that is, not the first one by (document id,
 position). A sentence ends after ``.``, ``!`` or ``?`` with white space behind it, or after a line feed, and keeps the
 white space that follows, so the kept sentences concatenate to the cut text. Runs compare sentences without the white
@@ -17,28 +17,59 @@ an empty table gives an empty result; all other columns pass through, whatever t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vistasieve.llm.common import written
+from vistasieve.llm.common import ranges, slices, with_fields, written
 
 _WS = r" \t\n\x0B\f\r"
 #: One sentence with the white space around it (the same expression in Java and RE2).
 SENTENCE = rf"[{_WS}]*[^{_WS}][\s\S]*?(?:[.!?][{_WS}]+|\n[{_WS}]*|\z)"
-BLANKS = " \t\n\x0b\f\r"
+BLANKS = " \t\n\x0b\f\r"  # what is trimmed
+
+
+_BREAK = re.compile(rb"[.!?][ \t\n\x0B\f\r]+|\n[ \t\n\x0B\f\r]*")
+_BLANKS = b" \t\n\x0b\f\r"
+
 
+def sentences(body: bytes | None) -> list[bytes]:
+    """The sentences of a text (matches of ``SENTENCE``), found by searching for their ends; none in a blank text."""
+    out, start = [], 0
+    if not body or not (lead := len(body) - len(body.lstrip(_BLANKS))) < len(body):
+        return out
+    first = lead
+    while start < len(body):
+        end = m.end() if (m := _BREAK.search(body, first + 1)) else len(body)
+        out.append(body[start:end])
+        start = first = end
+    return out
 
-def sentences(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0))
+
+def runs_of(parts: list[bytes], span: int) -> list[bytes]:
+    """The runs of ``span`` trimmed sentences, one a line; all sentences if there are fewer."""
+    keys = [p.strip(_BLANKS) for p in parts]
+    return [b"\n".join(keys[i:i + span]) for i in range(max(1, len(keys) - span + 1))] if keys else []
 
 
 def sentence_runs(rows: DataFrame, span: int) -> DataFrame:
-    """``id``, ``n``, ``at`` (the run's first sentence) and the hash (h1, h2) of each run of each row's ``body``."""
-    keys = rows.select("id", "n", F.transform(sentences(F.col("body")), lambda s: F.trim(s, F.lit(BLANKS))).alias("keys"))
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("keys") - span, F.lit(0))),
-                       lambda i: F.array_join(F.slice("keys", i + 1, span), "\n"))
-    return (keys.where(F.size("keys") > 0).select("id", "n", F.posexplode(runs).alias("at", "run"))
-            .select("id", "n", "at", F.xxhash64("run").alias("h1"), F.xxhash64(F.lit("second"), "run").alias("h2")))
+    """``id``, ``n``, ``at`` (the run's first sentence) and the 128-bit hash (h1, h2) of each run of each row's ``body``."""
+    def split(batches):
+        for piece in slices(batches, "body", 4 << 20):
+            runs = [runs_of(sentences(b), span) for b in piece.column("body").to_pylist()]
+            count = np.array([len(r) for r in runs], np.int64)
+            digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for r in runs for x in r), np.int64).reshape(-1, 2)
+            row = pa.array(np.repeat(np.arange(len(count)), count))
+            at = ranges(np.zeros(len(count), np.int64), count).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("id").take(row), piece.column("n").take(row), pa.array(at), pa.array(digest[:, 0].copy()),
+                 pa.array(digest[:, 1].copy())], names=["id", "n", "at", "h1", "h2"])
+
+    return rows.select("id", "n", "body").mapInArrow(split, with_fields(rows, "id", "n bigint, at int, h1 bigint, h2 bigint"))
 
 
 def repeated_runs(rows: DataFrame, span: int) -> DataFrame:
@@ -56,20 +87,27 @@ def dedup_sentences(docs: DataFrame, span: int = 3, id_col: str = "doc_id", text
     """The rows of ``docs`` with ``text`` cut; ``counts`` adds ``n_sentences`` and ``n_removed``."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     rows = written(docs.select(row, F.monotonically_increasing_id().alias("n")), "sentence-rows")
-    body, ident = F.col("row").getField(text), F.col("row").getField(id_col)
+    body, ident = F.col("row").getField(text).cast("binary"), F.col("row").getField(id_col)
     starts = repeated_runs(rows.select(ident.alias("id"), "n", body.alias("body")), span)
-    total = F.size("s")
-    covered = F.flatten(F.transform("starts", lambda g: F.sequence(g, F.least(g + span, total) - 1)))
-    kept = F.array_except(F.sequence(F.lit(0), total - 1), covered)
-    out = rows.join(starts, "n", "left").withColumn("s", F.when(F.col("starts").isNotNull(), sentences(body)))
-    out = out.withColumn("kept", F.when(F.col("starts").isNotNull(), kept))
-    cut = F.when(F.col("kept").isNull(), body).otherwise(
-        F.array_join(F.transform("kept", lambda i: F.get("s", i)), ""))
-    n_all = F.coalesce(F.size(F.coalesce("s", sentences(body))), F.lit(0))
-    added = {"n_sentences": F.greatest(n_all, F.lit(0)).cast("long"),
-             "n_removed": F.coalesce(total - F.size("kept"), F.lit(0)).cast("long")} if counts else {}
-    return out.select(*(cut.alias(c) if c == text else F.col("row").getField(c).alias(c)
-                        for c in docs.columns if c not in added), *(v.alias(k) for k, v in added.items()))
+
+    def cut(batches):
+        for piece in slices(batches, "body", 4 << 20):
+            texts, total, removed = [], [], []
+            for text_, begin in zip(piece.column("body").to_pylist(), piece.column("starts").to_pylist()):
+                parts = sentences(text_)
+                gone = {i for b in begin or () for i in range(b, min(b + span, len(parts)))}
+                texts.append(b"".join(p for i, p in enumerate(parts) if i not in gone) if gone else text_)
+                total.append(len(parts))
+                removed.append(len(gone))
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("row"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()),
+                 pa.array(removed, pa.int64())], names=["row", "cut", "n_sentences", "n_removed"])
+
+    joined = rows.join(starts, "n", "left").select("row", body.alias("body"), "starts")
+    out = joined.mapInArrow(cut, with_fields(rows, "row", "cut string, n_sentences bigint, n_removed bigint"))
+    added = ["n_sentences", "n_removed"] if counts else []
+    return out.select(*((F.col("cut") if c == text else F.col("row").getField(c)).alias(c)
+                        for c in docs.columns if c not in added), *added)
 
 
 def oracle(span: int) -> str:
