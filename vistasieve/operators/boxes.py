@@ -77,12 +77,6 @@ def label_files(lines: DataFrame, key_col: str = "image_id", order_cols=("pos",)
     )
 
 
-def write_label_files(labels: DataFrame, out_dir: str, partition_by=("split",)) -> None:
-    """K5 sink: the label table (key, split, label_text) as parquet partitioned by split."""
-    cols = [c for c in partition_by if c in labels.columns]
-    labels.write.mode("errorifexists").partitionBy(*cols).parquet(out_dir)
-
-
 def _write_files(out_dir: str):
     def run(batches):
         import pyarrow.fs as pafs
