@@ -15,11 +15,13 @@ def brute(documents, span):
         parts = split(text)
         keys = [p.strip(ss.BLANKS) for p in parts]
         gone = set()
-        for i in range(max(1, len(keys) - span + 1) if keys else 0):
-            run = tuple(keys[i:i + span])
-            if run in seen:
-                gone.update(range(i, min(i + span, len(keys))))
-            seen.add(run)
+        for i in range(len(keys)):
+            for k in range(1, min(span, len(keys) - i) + 1):
+                run = tuple(keys[i:i + k])
+                if k == min(span, len(keys)) or sum(len(s.encode().split()) for s in run) >= ss.WORDS:
+                    if run in seen:
+                        gone.update(range(i, i + k))
+                    seen.add(run)
         out[doc] = (text if not gone else "".join(p for i, p in enumerate(parts) if i not in gone), len(parts), len(gone))
     return out
 
@@ -34,6 +36,13 @@ def test_matches_brute_force(spark, documents, docs_df):
     assert ss.dedup_sentences(docs_df.limit(0), 3).collect() == []
 
 
+def test_long_passage_of_one_sentence(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"Here it starts. {passage}. End of one."), (2, f"Other words. {passage}.\nAnother end."), (3, "w1 w2 w3. Short.")]
+    got = ss.dedup_sentences(spark.createDataFrame(rows, "doc_id long, text string"), 3).collect()
+    assert {r.doc_id: r.text for r in got} == {1: rows[0][1], 2: "Other words. Another end.", 3: rows[2][1]}
+
+
 def test_sentences_concatenate(documents):
     assert all("".join(split(t)) == t for _, t in documents if t and t.strip(ss.BLANKS))
 

@@ -79,7 +79,7 @@ def learned_language(docs: DataFrame) -> lang_cnn.ByteCNN | None:
 def op3_language_id(spark, sf):
     docs = table(spark, sf, "documents")
     found = lang_cnn.predict(docs, learned_language(docs))
-    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
