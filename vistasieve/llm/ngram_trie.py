@@ -18,7 +18,7 @@ bins. The level file is written to the shared folder, mapped into memory (read w
 system), queried by successor search relative to the context, and deleted unless ``keep`` names a folder for it.
 
 What a task holds is bounded by block and shard sizes; the number of shards grows with the text. Words and contexts are
-named by 64-bit hashes, successors by 32-bit hashes within their context.
+named by hashes (64 bits choose the shard, 56 tell contexts apart in it), successors by 32-bit hashes in their context.
 
 Defined cases: null and empty texts have the end as their only token; a row with a null id is learned from unless
 ``learn`` says otherwise; repeated rows are learned from and scored one by one; if nothing is learned all counts are
@@ -41,7 +41,8 @@ from vistasieve.llm.common import offsets, ranges
 from vistasieve.session import scratch_path
 
 KAPPA = 2000.0
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 7 << 20
+KEY_BITS = 56           # of a context's hash within its shard
 SHARD_BYTES = 8 << 20  # of text, on average
 AT_ONCE = 1 << 18      # lookups made together
 BEGIN, END = 0, 1  # local numbers; words follow
@@ -168,7 +169,7 @@ class Trie:
         counts, count_book = codebook(np.log10(count))
         backoff, backoff_book = codebook(np.log10(np.maximum(1 - w, 1e-6)))
         prob, prob_book = codebook(np.log10(np.maximum(np.repeat(w, children) * freq / np.maximum(total, 1), 1e-30)))
-        return cls([*EliasFano.encode(key, 1 << 64).arrays, *EliasFano.encode(offsets(children), len(code) + 1).arrays,
+        return cls([*EliasFano.encode(key, 1 << KEY_BITS).arrays, *EliasFano.encode(offsets(children), len(code) + 1).arrays,
                     *EliasFano.encode(rank << np.uint64(32) | code, max(1, len(key)) << 32).arrays,
                     counts, backoff, prob, count_book, backoff_book, prob_book])
 
@@ -268,6 +269,7 @@ class Block:
         key = (a ^ (b * _MULT + (a << np.uint64(7)))) * _MULT
         key ^= key >> np.uint64(31)
         shard = (key % np.uint64(shards)).astype(np.int64)
+        key >>= np.uint64(64 - KEY_BITS)
         order = np.lexsort((key, shard))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
@@ -317,7 +319,7 @@ class Block:
             words, c, b, q, book_c, book_b, book_q = exchange.unpack(got)
             count[2 + self.word_order[w]] = unshuffled(words, np.int64)
             for target, part, codes, book in ((pair, p, c, book_c), (backoff, p, b, book_b), (prob, t, q, book_q)):
-                codes, book = np.frombuffer(codes, np.uint8), np.frombuffer(book, np.float64)
+                codes, book = np.frombuffer(codes, np.uint8), np.frombuffer(book, np.float32).astype(np.float64)
                 target[part] = np.where(codes > 0, 10 ** book[codes], 1.0 if target is backoff else 0.0)
         p1 = (count + 0.5) / (tokens + 0.5 * (kinds + 1))
         known = np.r_[0, np.cumsum(count[self.seq[self.second]] > 0)]
@@ -366,7 +368,7 @@ def answer_shard(questions: list[bytes], folder: str, keep: bool) -> tuple[list[
     del trie
     levels = Trie.load(load_levels(store, name))
     codes = levels.lookup(key, np.bincount(context, minlength=len(key)), code)
-    books = [np.array(b) for b in (levels.count_book, levels.backoff_book, levels.prob_book)]
+    books = [np.array(b, np.float32) for b in (levels.count_book, levels.backoff_book, levels.prob_book)]
     del levels
     if not keep:
         store.delete([name])
