@@ -38,12 +38,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = written(_whole(docs).withColumn("n", F.monotonically_increasing_id()), "pipeline-rows")
     ident = F.col("row").getField("doc_id")
-    key = F.struct(ident.isNull().alias("no_id"), ident.alias("id"), "n").alias("key")  # ids in order, null ones last
-    groups = simhash_pivot.near_duplicates(rows.select(key, "text"), shingle=3, max_bits=2, id_col="key")
-    first = groups.where(F.col("key") == F.col("component_id")).select(F.col("key.n").alias("n"))
-    return rows.join(first, "n", "left_semi").select("row.*")
+    # a row is named by its id and text, ids in order and null ones last; rows that agree in both are one
+    names = {"no_id": ident.isNull(), "id": F.coalesce(ident, F.lit(0)), "h": F.xxhash64("text")}
+    rows = _whole(docs).withColumns(names)
+    groups = simhash_pivot.near_duplicates(rows.select(F.struct(*names).alias("key"), "text"), shingle=3, max_bits=2, id_col="key")
+    first = groups.where(F.col("key") == F.col("component_id")).select("key.*").distinct()
+    return rows.join(first, list(names), "left_semi").dropDuplicates(list(names)).select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
