@@ -3,6 +3,7 @@ import re
 import duckdb
 
 from vistasieve.llm import sentence_spans as ss
+from vistasieve.llm.queries import SENTENCE_SPAN
 
 
 def split(text):
@@ -43,6 +44,17 @@ def test_long_passage_of_one_sentence(spark):
     assert {r.doc_id: r.text for r in got} == {1: rows[0][1], 2: "Other words. Another end.", 3: rows[2][1]}
 
 
+def test_passage_glued_into_foreign_sentences(spark):
+    """Its first and last sentence belong to the neighbours; two short whole ones, or one, are left of 53 words."""
+    words = [f"w{i}" for i in range(53)]
+    two = [" ".join(words[a:b]) + "." for a, b in ((0, 20), (20, 31), (31, 42), (42, 53))]
+    one = [" ".join(words[a:b][::-1]) + "." for a, b in ((0, 20), (20, 33), (33, 53))]
+    rows = [(1, " ".join(two)), (2, " ".join(one)), (3, f"Left {' '.join(two)[:-1]} right."), (4, f"Left {' '.join(one)[:-1]} right.")]
+    got = ss.dedup_sentences(spark.createDataFrame(rows, "doc_id long, text string"), SENTENCE_SPAN).collect()
+    assert {r.doc_id: r.text for r in got} == {
+        1: rows[0][1], 2: rows[1][1], 3: f"Left {two[0]} {two[3][:-1]} right.", 4: f"Left {one[0]} {one[2][:-1]} right."}
+
+
 def test_sentences_concatenate(documents):
     assert all("".join(split(t)) == t for _, t in documents if t and t.strip(ss.BLANKS))
 

@@ -61,7 +61,7 @@ def op9_simhash(spark, sf):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-SENTENCE_SPAN = 3
+SENTENCE_SPAN = 2
 
 
 @register("op10_sentence_spans", sentence_spans.oracle(SENTENCE_SPAN))

@@ -5,7 +5,9 @@ whole corpus, and a sentence goes when any run that covers it is a repeat, that
 position). A sentence ends after ``.``, ``!`` or ``?`` with white space behind it, or after a line feed, and keeps the
 white space that follows, so the kept sentences concatenate to the cut text. Runs compare sentences without the white
 space around them. A text of fewer than ``span`` sentences is one run, and shorter stretches that hold at least ``words``
-words are runs too, so that a long passage is found however few sentences it has.
+words are runs too. A passage that is glued into its neighbours' sentences loses its first and last sentence to them, so
+``span`` and ``words`` are small: what is left of it is found if it is two whole sentences, or one of ``WORDS`` words. The
+parts of sentences at its edges stay, and so does a passage without such a whole sentence.
 
 Only hashes seen twice are joined back; adaptive execution splits a hot passage in that join, and counting it is
 pre-aggregated on the map side.
@@ -31,7 +33,7 @@ from vistasieve.llm.common import slices, with_fields, written
 _WS = r" \t\n\x0B\f\r"
 #: One sentence with the white space around it (the same expression in Java and RE2).
 SENTENCE = rf"[{_WS}]*[^{_WS}][\s\S]*?(?:[.!?][{_WS}]+|\n[{_WS}]*|\z)"
-WORDS = 30  # words that make a run of fewer sentences
+WORDS = 12  # words that make a run of fewer sentences
 BLANKS = " \t\n\x0b\f\r"  # what is trimmed
 
 
@@ -88,7 +90,7 @@ def repeated_runs(rows: DataFrame, span: int, words: int) -> DataFrame:
     return again.groupBy("n").agg(F.collect_list(F.struct("at", "many")).alias("starts"))
 
 
-def dedup_sentences(docs: DataFrame, span: int = 3, id_col: str = "doc_id", text: str = "text",
+def dedup_sentences(docs: DataFrame, span: int = 2, id_col: str = "doc_id", text: str = "text",
                     counts: bool = False, words: int = WORDS) -> DataFrame:
     """The rows of ``docs`` with ``text`` cut; ``counts`` adds ``n_sentences`` and ``n_removed``."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
