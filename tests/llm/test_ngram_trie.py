@@ -81,6 +81,24 @@ def test_exact_where_codebooks_are(spark, monkeypatch):
     assert nt.score_texts(df.limit(0), F.lit(True)).collect() == []
 
 
+def test_counts_beyond_a_codebook(spark):
+    """Zipf counts, more than 255 distinct ones in the only shard: every bigram count is exact."""
+    many = {f"w{i}": 3000 // i if i < 40 else 340 - i for i in range(1, 340)}
+    assert len(set(many.values())) > 255
+    docs = [(i, w) for i, w in enumerate(x for w, c in many.items() for x in [w] * c)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(2)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        compare(df, F.lit(True), brute(docs, lambda d: True), 1e-6)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    key = np.arange(400, dtype=np.uint64)
+    count = 1_000_000 // (np.arange(400) + 1)
+    trie = nt.Trie.load(np.frombuffer(nt.Trie.build(key, count, np.zeros(400, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)).dump(), np.uint8))
+    assert (trie.lookup(key, np.zeros(400, np.int64), np.zeros(0, np.uint64))[0] == count).all()
+
+
 def test_documents(spark, monkeypatch, documents):
     monkeypatch.setattr(exchange, "SHARD_BYTES", 100_000)
     df = spark.createDataFrame([(i, t, "r", 1, 2, "f", "z", 3, 4) for i, t in documents], DOC_SCHEMA)

@@ -13,8 +13,8 @@ Counting and scoring go through blocks and shards (see ``exchange``): a shard ow
 to it, with all trigrams that extend them. It builds a trie of two levels below its contexts: sorted bigram keys, the
 monotone pointers to each one's successors, and the successors' 32-bit codes, made monotone by their context's rank.
 All three are Elias-Fano sequences (packed low bits, unary high bits with select directories); smoothed trigram
-probabilities, back-off weights and bigram counts lie beside them as 8-bit codes into codebooks of equal-population
-bins. The level file is written to the shared folder, mapped into memory (read whole where the store is no file
+probabilities and back-off weights lie beside them as 8-bit codes into codebooks of equal-population bins, bigram counts
+as bytes, with those of ``LARGE`` or more in a list of their own, so that they are exact. The level file is written to the shared folder, mapped into memory (read whole where the store is no file
 system), queried by successor search relative to the context, and deleted unless ``keep`` names a folder for it.
 
 What a task holds is bounded by block and shard sizes; the number of shards grows with the text. Words and contexts are
@@ -45,6 +45,7 @@ BLOCK_BYTES = 7 << 20
 KEY_BITS = 56           # of a context's hash within its shard
 SHARD_BYTES = 8 << 20  # of text, on average
 AT_ONCE = 1 << 18      # lookups made together
+LARGE = 255            # counts from here on have a list
 BEGIN, END = 0, 1  # local numbers; words follow
 _MARKS = (0x243F6A8885A308D3, 0x13198A2E03707344)  # their hashes
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -152,12 +153,12 @@ def codebook(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Trie:
     """Levels of a shard: contexts, pointers and successors, with codes; serialised as one file."""
 
-    PARTS = 3 * len(EliasFano.FIELDS) + 6
+    PARTS = 3 * len(EliasFano.FIELDS) + 7
 
     def __init__(self, arrays: list[np.ndarray]):
         self.arrays = arrays
         self.contexts, self.pointers, self.successors = (EliasFano(arrays[i:i + 5]) for i in (0, 5, 10))
-        self.counts, self.backoff, self.prob, self.count_book, self.backoff_book, self.prob_book = arrays[15:]
+        self.counts, self.large, self.large_count, self.backoff, self.prob, self.backoff_book, self.prob_book = arrays[15:]
 
     @classmethod
     def build(cls, key: np.ndarray, count: np.ndarray, children: np.ndarray, code: np.ndarray, freq: np.ndarray) -> Trie:
@@ -166,12 +167,12 @@ class Trie:
         total = np.repeat(count, children)
         weight = leave_one_out(count, total, freq)
         w = weight[size_class(count)]
-        counts, count_book = codebook(np.log10(count))
+        large = np.flatnonzero(count >= LARGE)
         backoff, backoff_book = codebook(np.log10(np.maximum(1 - w, 1e-6)))
         prob, prob_book = codebook(np.log10(np.maximum(np.repeat(w, children) * freq / np.maximum(total, 1), 1e-30)))
         return cls([*EliasFano.encode(key, 1 << KEY_BITS).arrays, *EliasFano.encode(offsets(children), len(code) + 1).arrays,
                     *EliasFano.encode(rank << np.uint64(32) | code, max(1, len(key)) << 32).arrays,
-                    counts, backoff, prob, count_book, backoff_book, prob_book])
+                    np.minimum(count, LARGE).astype(np.uint8), large, count[large], backoff, prob, backoff_book, prob_book])
 
     def dump(self) -> bytes:
         """Header of kinds and sizes, then the arrays, each at a multiple of eight bytes."""
@@ -189,12 +190,14 @@ class Trie:
         return cls(arrays)
 
     def lookup(self, key: np.ndarray, children: np.ndarray, code: np.ndarray):
-        """Codes (0: absent) of contexts' counts and back-off weights, and of their successors' probabilities."""
+        """Contexts' counts (0: absent), and codes (0: absent) of their back-off weights and successors' probabilities."""
         if not self.contexts.n:
-            return np.zeros(len(key), np.uint8), np.zeros(len(key), np.uint8), np.zeros(len(code), np.uint8)
+            return np.zeros(len(key), np.int64), np.zeros(len(key), np.uint8), np.zeros(len(code), np.uint8)
         rank, known = self.contexts.successor(key)
         rank = np.where(known, rank, 0)
-        counts = np.where(known, self.counts[rank], 0).astype(np.uint8)
+        counts = np.where(known, self.counts[rank], 0).astype(np.int64)
+        more = np.flatnonzero(counts == LARGE)
+        counts[more] = self.large_count[np.searchsorted(self.large, rank[more])]
         backoff = np.where(known, self.backoff[rank], 0).astype(np.uint8)
         prob = np.zeros(len(code), np.uint8)
         start, stop = self.pointers.get(rank).astype(np.int64), self.pointers.get(rank + 1).astype(np.int64)
@@ -316,9 +319,10 @@ class Block:
         pair = np.zeros(len(self.key))
         backoff, prob = np.zeros(len(self.key)), np.zeros(len(self.code))
         for (_, w, p, t), got in zip(self.parts(), answers, strict=True):
-            words, c, b, q, book_c, book_b, book_q = exchange.unpack(got)
+            words, c, b, q, book_b, book_q = exchange.unpack(got)
             count[2 + self.word_order[w]] = unshuffled(words, np.int64)
-            for target, part, codes, book in ((pair, p, c, book_c), (backoff, p, b, book_b), (prob, t, q, book_q)):
+            pair[p] = unshuffled(c, np.int64)
+            for target, part, codes, book in ((backoff, p, b, book_b), (prob, t, q, book_q)):
                 codes, book = np.frombuffer(codes, np.uint8), np.frombuffer(book, np.float32).astype(np.float64)
                 target[part] = np.where(codes > 0, 10 ** book[codes], 1.0 if target is backoff else 0.0)
         p1 = (count + 0.5) / (tokens + 0.5 * (kinds + 1))
@@ -368,7 +372,7 @@ def answer_shard(questions: list[bytes], folder: str, keep: bool) -> tuple[list[
     del trie
     levels = Trie.load(load_levels(store, name))
     codes = levels.lookup(key, np.bincount(context, minlength=len(key)), code)
-    books = [np.array(b, np.float32) for b in (levels.count_book, levels.backoff_book, levels.prob_book)]
+    books = [np.array(b, np.float32) for b in (levels.backoff_book, levels.prob_book)]
     del levels
     if not keep:
         store.delete([name])
@@ -376,7 +380,8 @@ def answer_shard(questions: list[bytes], folder: str, keep: bool) -> tuple[list[
     for own, n_pairs, n_triples in sizes:
         p, t = pair_of[pairs:pairs + n_pairs], triple_of[triples:triples + n_triples]
         pairs, triples = pairs + n_pairs, triples + n_triples
-        out.append(exchange.pack(shuffled(np.array([words[w] for w in own], np.int64)), codes[0][p], codes[1][p], codes[2][t], *books))
+        out.append(exchange.pack(shuffled(np.array([words[w] for w in own], np.int64)), shuffled(codes[0][p]),
+                                 codes[1][p], codes[2][t], *books))
     return out, [sum(words.values()), sum(1 for c in words.values() if c)]
 
 
