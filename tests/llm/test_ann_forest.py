@@ -64,6 +64,14 @@ def test_few_and_no_rows(spark):
     assert af.nearest(df, F.col("vec_id") == 7).collect() == []
 
 
+def test_queries_mostly_of_another_length(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(6).tolist()) for i in range(30)] + [(100 + i, rng.standard_normal(4).tolist()) for i in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = grouped(af.nearest(df, (F.col("vec_id") >= 100) | (F.col("vec_id") < 3), k=4).collect())
+    assert set(got) == {0, 1, 2} and all(len(g) == 4 for g in got.values())
+
+
 def test_ascent_takes_whole_levels():
     keys = np.sort(np.array([0b00 << 62, 0b01 << 62, 0b10 << 62, 0b11 << 62], np.uint64))[None]
     rows = np.arange(4, dtype=np.int32)[None]

@@ -12,7 +12,7 @@ blocks of at most ``QUERY_BLOCK_BYTES``, with one pass over the index for each b
 share is a parameter.
 
 Defined cases: vectors that are null, all zero, or hold null or non-finite values take no part, nor do rows with a null
-id and vectors not of the most common length (of equally common ones the shorter); rows with the query's id are not its
+id and vectors not of the table's most common length (of equally common ones the shorter), queries or not; rows with the query's id are not its
 candidates; repeated rows count as often as they occur; an empty table gives an empty result; columns other than the id
 and the vector are ignored.
 """
@@ -62,13 +62,15 @@ def candidates(sorted_keys: np.ndarray, rows: np.ndarray, query: np.ndarray, wan
         level -= 1
 
 
-def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """``id`` (long) and ``v`` (doubles) of the rows that take part, all of one length."""
+def usable(df: DataFrame, id_col: str, vec_col: str, dim: int | None = None) -> DataFrame:
+    """``id`` (long) and ``v`` (doubles) of the rows that take part, all of one length: ``dim``, or the most common one."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & ~bad & F.exists("v", lambda x: x != 0))
-    top = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("v") == (top["d"] if top else 0))
+    if dim is None:
+        top = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+        dim = top["d"] if top else 0
+    return rows.where(F.size("v") == dim)
 
 
 def build_index(rows: DataFrame) -> tuple[DataFrame, np.ndarray]:
@@ -99,7 +101,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = 10, share: float = SHARE,
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` (Euclidean distance) of each query's ``k`` nearest found."""
     rows = usable(df, id_col, vec_col)
     index, centre = build_index(rows)
-    asked = written(usable(df.where(is_query), id_col, vec_col)
+    asked = written(usable(df.where(is_query), id_col, vec_col, len(centre))
                     .withColumn("q", F.monotonically_increasing_id()), "ann-queries")
     n_asked = asked.count()
     blocks = 1 + n_asked * 8 * len(centre) // QUERY_BLOCK_BYTES
