@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from vistasieve.llm import decontam_fm, lang_cnn, sentence_spans, simhash_pivot
 from vistasieve.llm.common import table, written
-from vistasieve.llm.queries import SENTENCE_SPAN, encode_and_decode, learned_language
+from vistasieve.llm.queries import encode_and_decode, learned_language
 
+SPAN = 3  # sentences; shorter runs count from ``sentence_spans.WORDS`` words
 MIN_SCORE = 0.5
 
 
@@ -48,7 +49,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = sentence_spans.dedup_sentences(docs, SENTENCE_SPAN).where("text <> ''")
+    cut = sentence_spans.dedup_sentences(docs, SPAN).where("text <> ''")
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
