@@ -3,7 +3,7 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet to the shared scratch
 folder and read again as the next stage's ``docs``. All but the last return the columns of ``documents``.
 
-1. ``language_id``    drops documents without a letter and those for which the network gives no language ``MIN_SCORE``.
+1. ``language_id``    drops documents without a letter; without any label to learn from it keeps every document.
 2. ``near_dedup``     keeps one document of each SimHash group (3-word shingles, 2 bits): the one with the least id.
 3. ``substring_dedup`` cuts sentences covered by a repeated run of ``SPAN`` sentences; documents left empty go.
 4. ``decontaminate``  drops documents of which at least one word in twenty lies in a benchmark window of 13 words.
@@ -25,7 +25,7 @@ from vistasieve.llm.common import table, written
 from vistasieve.llm.queries import encode_and_decode, learned_language
 
 SPAN = 3  # sentences; shorter runs count from ``sentence_spans.WORDS`` words
-MIN_SCORE = 0.5
+MIN_SCORE = 0.0  # of the predicted language: none is too unsure to stay
 
 
 def _whole(docs: DataFrame) -> DataFrame:
@@ -34,7 +34,10 @@ def _whole(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = lang_cnn.predict(_whole(docs), learned_language(docs), id_col="row")
+    model = learned_language(docs)
+    if model is None:
+        return docs
+    judged = lang_cnn.predict(_whole(docs), model, id_col="row")
     return judged.where((F.col("lang_pred") != lang_cnn.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select("row.*")
 
 

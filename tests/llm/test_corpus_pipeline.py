@@ -59,6 +59,17 @@ def test_each_stage_against_brute_force(spark, docs, base):
     assert sorted((r.doc_id, r.decoded) for r in coded) == sorted(r[:2] for r in kept)
 
 
+def test_language_stage_keeps_unsure_and_unlabelled(spark, monkeypatch):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, "Some words", None, "s", 10), (2, "12 34", None, "s", 5)]
+    df = spark.createDataFrame(rows, schema)
+    assert rows_of(cp.language_id(spark, df, SF_SMALL)) == rows
+    judged = lambda docs, model, id_col: docs.selectExpr("row", "if(row.doc_id = 1, 'en', 'und') AS lang_pred", "0.4D * (2 - row.doc_id) AS score")
+    monkeypatch.setattr(cp, "learned_language", lambda docs: "model")
+    monkeypatch.setattr(lang_cnn, "predict", judged)
+    assert rows_of(cp.language_id(spark, df, SF_SMALL)) == rows[:1]
+
+
 def test_run_applies_all_stages(spark, monkeypatch):
     def stage(name):
         return lambda s, docs, sf: docs.where(f"doc_id % {len(name)} <> 0")
