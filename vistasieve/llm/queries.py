@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vistasieve.llm import ann_forest, decontam_fm, lang_cnn, ngram_trie, sentence_spans, simhash_pivot, suffix_dedup, unigram_pieces, url_trie, warc_writer
+import public_tokenizers
+
+from vistasieve.llm import (ann_forest, decontam_fm, lang_cnn, ngram_trie, orchard, packing, periodic_runs, sentence_spans, simhash_pivot,
+                            suffix_dedup, unigram_pieces, url_trie, warc_writer)
 from vistasieve.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +138,71 @@ def op1_lm_score(spark, sf):
     scored = ngram_trie.score_texts(table(spark, sf, "documents"), ~held_out)
     return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score")
+
+
+#: Tokeniser whose ids are packed (a parameter of the operator).
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op11_packing")
+def op11_packing(spark, sf):
+    pieces = packing.pack(table(spark, sf, "documents"), WORD_TOKENIZER, limit=2048, end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; in every tenth document by hash, the words behind a place repeat with a period from the hash."""
+    docs = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    docs = docs.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("words"))
+    g = F.floor(F.col("h") / 10)
+    docs = docs.withColumns({"a": F.when(F.col("n") > 0, g % F.col("n")).cast("int"), "g": g})
+    docs = docs.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    again = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return docs.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark, sf):
+    found = periodic_runs.periodic_runs(planted_repeats(table(spark, sf, "documents")))
+    # exact comparison of length / period by cross products; runs come by start and period, so the first of equals stays
+    top = F.reduce("runs", F.get("runs", F.lit(0)), lambda best, r: F.when(r["length"] * best["period"] > best["length"] * r["period"], r)
+                   .otherwise(best))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    found = found.withColumn("top", top)
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+                        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+                        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def _cluster_sql(clusters: int = 16, rounds: int = 3, dim: int = 64, scale: int = 64) -> str:
+    dims = f"range(1, {dim + 1})"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+ d{r} AS (SELECT v.n, v.vec_id, v.x, c.cluster, list_sum(list_transform({dims}, lambda i: (v.x[i] - c.y[i]) * (v.x[i] - c.y[i]))) AS far
+         FROM v, c{r} c),
+ a{r} AS (SELECT n, any_value(vec_id) AS vec_id, any_value(x) AS x, arg_min(cluster, far * {clusters} + cluster) AS cluster,
+           min(far) AS far FROM d{r} GROUP BY n)""")
+        if r < rounds:
+            steps.append(f"""
+ s{r} AS (SELECT cluster, i, sum(x[i]) AS total, count(*) AS many FROM a{r}, {dims} AS t(i) GROUP BY cluster, i),
+ m{r} AS (SELECT cluster, list(((total - ((total % many) + many) % many) // many)::BIGINT ORDER BY i) AS y FROM s{r} GROUP BY cluster),
+ c{r + 1} AS (SELECT c.cluster, coalesce(m.y, c.y) AS y FROM c{r} c LEFT JOIN m{r} m ON m.cluster = c.cluster)""")
+    last = rounds
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda e: floor({scale} * e::DOUBLE)::BIGINT) AS x
+           FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+ c0 AS (SELECT row_number() OVER (ORDER BY h, x) - 1 AS cluster, x AS y FROM
+         (SELECT sha256('1:' || vec_id) AS h, x FROM v ORDER BY h NULLS LAST, x LIMIT {clusters})),{",".join(steps)},
+ k AS (SELECT cluster, sum(far) AS cluster_inertia FROM a{last} GROUP BY cluster)
+SELECT a.vec_id, a.cluster::INTEGER AS cluster, a.far::BIGINT AS distance, k.cluster_inertia::BIGINT AS cluster_inertia,
+       (SELECT sum(far) FROM a{last})::BIGINT AS inertia, sha256(array_to_string(c.y, ',')) AS centroid_sha256
+FROM a{last} a JOIN k ON k.cluster = a.cluster JOIN c{last} c ON c.cluster = a.cluster"""
+
+
+@register("op13_orchard", _cluster_sql())
+def op13_orchard(spark, sf):
+    assigned, centroids = orchard.cluster(table(spark, sf, "embeddings"), clusters=16, rounds=3, dim=64, scale=64)
+    return orchard.inertias(assigned, centroids).select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
