@@ -52,13 +52,22 @@ def test_boundaries_leave_no_gap():
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t\x0b\x85　'sS.,!\x01é́<|>endoftext"))))
+@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t\x0b\x85　'sS.,!\x01é́<|>endoftextAZ$#"))))
 def test_words_give_the_ids_of_the_whole_text(text):
-    tokenizer = pk._tokenizer(open(FILE, encoding="utf-8").read())
-    words = [w.decode() for w in text.encode().split()]
-    ids, many = pk.word_ids(tokenizer, words)
-    assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
-    assert many.sum() == len(ids)
+    coder = pk.word_ids(open(FILE, encoding="utf-8").read())
+    words = text.encode().split()
+    ids, many = coder(words)
+    assert ids.tolist() == coder.whole.encode(text, add_special_tokens=False).ids
+    assert many.sum() == len(ids) and len(many) == len(words)
+
+
+def test_words_are_forgotten_beyond_a_number(tokenizer, monkeypatch):
+    monkeypatch.setattr(pk, "MAX_KNOWN", 10)
+    coder = pk.WordIds(open(FILE, encoding="utf-8").read())
+    for _ in range(3):
+        words = [b"One,", b"two", b"TWO!?", b"l'eau", b"3x", b"<|endoftext|>", b"a\x01b"] + [b"w%d" % i for i in range(9)]
+        ids, many = coder(words)
+        assert ids.tolist() == tokenizer.encode(" ".join(w.decode() for w in words), add_special_tokens=False).ids
 
 
 def check(pieces, texts, tokenizer, limit):

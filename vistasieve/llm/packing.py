@@ -11,7 +11,7 @@ queue holds; starts exactly a free length back are looked up beside it. Of equal
 No row is shuffled: a task packs its rows in blocks of ``BLOCK_BYTES`` of text, whose windows are chosen together, so
 memory is bounded by a block and the row in hand, and a task that is run again on the same rows gives the same
 pieces. A text beyond a block is tokenised and packed in parts cut at white space (its pieces wait for its token
-count). Words are tokenised once a block: the tokeniser drops white space and joins nothing across it.
+count). Distinct words are tokenised once: the tokeniser drops white space and joins nothing across it.
 
 Defined cases: a null or empty text is the end mark alone; every id, null ones and repeats too, keeps its rows'
 pieces apart by ``sequence_id`` and ``offset``; rows are taken in table order, so there are no ties but equal costs
@@ -20,6 +20,8 @@ pieces apart by ``sequence_id`` and ``offset``; rows are taken in table order, s
 
 from __future__ import annotations
 
+import json
+import os
 import re
 from collections import deque
 from collections.abc import Iterable, Iterator
@@ -35,41 +37,76 @@ from pyspark.sql import functions as F
 from vistasieve.llm.common import offsets, ranges, slices, with_fields
 from vistasieve.llm.words import split_words
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 SENTENCE, INNER = 16, 64    # penalties, in tokens of padding
 MAX_TOKENIZER = 64 << 20    # bytes of a tokeniser file sent to the tasks
+MAX_KNOWN = 400_000         # words whose ids a worker remembers
 _MARK = "\x01"              # between words that are tokenised together
+_PLAIN = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")  # letters, then marks other than the apostrophe
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _STOP = np.isin(np.arange(256), list(b".!?"))
 
 
+class WordIds:
+    """Token ids of words. Those of up to ``MAX_KNOWN`` words are remembered, over the blocks and tasks of a worker.
+
+    The tokeniser splits a run of letters from the marks behind it, so a word of ASCII letters and marks is looked up as
+    two, in lower case; these need no normalising, which is most of the work.
+    """
+
+    def __init__(self, spec: str):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        self.whole = Tokenizer.from_str(spec)
+        self.plain = Tokenizer.from_str(json.dumps(json.loads(spec) | {"normalizer": None}))
+        (self.mark,) = self.whole.encode(_MARK, add_special_tokens=False).ids
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.many, self.ids = {b"": 0}, np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def learn(self, tokenizer, words: list[str]) -> None:
+        many, ids = [self.many], [self.ids]
+        for i in range(0, len(words), 4096):
+            texts = [f" {_MARK} ".join(words[j:j + 256] + [""]) for j in range(i, min(i + 4096, len(words)), 256)]
+            for coded in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                got = np.array(coded.ids, np.uint32)
+                marks = got == self.mark
+                many.append(np.diff(np.r_[-1, np.flatnonzero(marks)]) - 1)
+                ids.append(got[~marks])
+        self.many, self.ids = np.concatenate(many), np.concatenate(ids)
+
+    def __call__(self, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and how many each has."""
+        if len(self.known) > MAX_KNOWN:
+            self.forget()
+        known = self.known
+        pairs, plain, other, alone = [], [], [], []
+        for name in names:
+            if parts := _PLAIN.fullmatch(name):
+                pair = (parts[1].lower(), parts[2])
+                new = plain
+            else:
+                pair, new = (name, b""), alone if b"\x01" in name else other
+            pairs += pair
+            new += [w for w in pair if w not in known]
+        for tokenizer, words in ((self.plain, plain), (self.whole, other)):
+            words = list(dict.fromkeys(words))
+            known.update(zip(words, range(len(known), len(known) + len(words))))
+            self.learn(tokenizer, [w.decode("utf-8", "replace") for w in words])
+        for word in alone:  # the mark itself is in it
+            got = self.whole.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+            known[word] = len(known)
+            self.many, self.ids = np.append(self.many, len(got)), np.append(self.ids, np.array(got, np.uint32))
+        slot = np.array([known[w] for w in pairs], np.int64).reshape(-1, 2)
+        many = self.many[slot]
+        return self.ids[ranges(offsets(self.many)[:-1][slot].ravel(), many.ravel())], many.sum(axis=1)
+
+
 @lru_cache(1)
-def _tokenizer(spec: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_str(spec)
-
-
-def word_ids(tokenizer, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Token ids of all words, one after the other, and how many each has."""
-    alone = [i for i, w in enumerate(names) if _MARK in w]
-    joined = [i for i, w in enumerate(names) if _MARK not in w]
-    (mark,) = tokenizer.encode(_MARK, add_special_tokens=False).ids
-    groups = [joined[i:i + 256] for i in range(0, len(joined), 256)]
-    texts = [f" {_MARK} ".join([names[i] for i in g] + [""]) for g in groups]
-    many, flat = np.zeros(len(names), np.int64), []
-    for g, coded in zip(groups, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-        ids = np.array(coded.ids, np.uint32)
-        many[g] = np.diff(np.r_[-1, np.flatnonzero(ids == mark)]) - 1
-        flat.append(ids[ids != mark])
-    for i, coded in zip(alone, tokenizer.encode_batch_fast([names[i] for i in alone], add_special_tokens=False)):
-        many[i] = len(coded.ids)
-        flat.append(np.array(coded.ids, np.uint32))
-    order = np.array(joined + alone, np.int64)
-    at = np.zeros(len(names), np.int64)
-    at[order] = offsets(many[order])[:-1]
-    every = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
-    return every[ranges(at, many)], many
+def word_ids(spec: str) -> WordIds:
+    return WordIds(spec)
 
 
 def best_cuts(at: np.ndarray, penalty: np.ndarray, limit: int, free: Iterable[int]) -> list[int]:
@@ -126,8 +163,8 @@ def boundaries(ends: np.ndarray, sentence: np.ndarray, limit: int) -> tuple[np.n
 class _Packer:
     """Packs the rows of one task; ``add`` and ``finish`` yield batches of pieces."""
 
-    def __init__(self, tokenizer, limit: int, free: tuple[int, ...], end_id: int, id_field: pa.Field, first_sequence: int):
-        self.tokenizer, self.limit, self.free, self.end_id = tokenizer, limit, free, end_id
+    def __init__(self, word_ids: WordIds, limit: int, free: tuple[int, ...], end_id: int, id_field: pa.Field, first_sequence: int):
+        self.word_ids, self.limit, self.free, self.end_id = word_ids, limit, free, end_id
         self.id_field, self.sequence = id_field, first_sequence
         self.parts, self.size = [], 0    # (id, bytes, whether its text ends there) of the block in hand
         self.held, self.before = [], 0   # pieces and tokens of a text whose end is still to come
@@ -158,8 +195,8 @@ class _Packer:
         stops = _STOP[words.body[words.end - 1]]
         if len(words.start):
             stops[:-1] |= (feeds[words.start[1:]] > feeds[words.end[:-1]]) & (words.text[1:] == words.text[:-1])
-        names = [w.decode("utf-8", "replace") for w in words.names.to_pylist()]
-        ids, many = word_ids(self.tokenizer, names)
+        names = words.names.to_pylist()
+        ids, many = self.word_ids(names)
         # one unit a word, and one for the end mark of each text that ends here
         ids, many = np.append(ids, np.uint32(self.end_id)), np.append(many, 1)
         per_part = np.bincount(words.text, minlength=len(bodies))
@@ -224,7 +261,7 @@ def pack(docs: DataFrame, tokenizer_file: str, limit: int = 2048, free: tuple[in
     def run(batches):
         packer = None
         for piece in slices(batches, "body", BLOCK_BYTES):
-            packer = packer or _Packer(_tokenizer(sent.value), limit, free, end_id, piece.schema.field("key").with_name(id_col),
+            packer = packer or _Packer(word_ids(sent.value), limit, free, end_id, piece.schema.field("key").with_name(id_col),
                                        TaskContext.get().partitionId() << 40)
             for ident, body in zip(*(c.to_pylist() for c in piece.columns)):
                 yield from packer.add(ident, body)
