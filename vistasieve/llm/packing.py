@@ -35,14 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vistasieve.llm.common import offsets, ranges, slices, with_fields
-from vistasieve.llm.words import split_words
+from vistasieve.llm.words import Words, number_words
 
 BLOCK_BYTES = 8 << 20
 SENTENCE, INNER = 16, 64    # penalties, in tokens of padding
 MAX_TOKENIZER = 64 << 20    # bytes of a tokeniser file sent to the tasks
-MAX_KNOWN = 400_000         # words whose ids a worker remembers
+MAX_KNOWN = 600_000         # words whose ids a worker remembers
 _MARK = "\x01"              # between words that are tokenised together
-_PLAIN = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")  # letters, then marks other than the apostrophe
+_PLAIN = re.compile(rb"[A-Za-z]+|[!-&(-/:-@\[-`{-~]+")  # letters, or marks other than the apostrophe
+_KIND = np.array([next(k for k, p in enumerate((rb"[\x20\x09-\x0D]", rb"[A-Za-z]", rb"[!-&(-/:-@\[-`{-~]", rb"[\s\S]"))
+                       if re.fullmatch(p, bytes([b]))) for b in range(256)], np.uint8)  # blank, letter, mark, other
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _STOP = np.isin(np.arange(256), list(b".!?"))
 
@@ -50,8 +52,7 @@ _STOP = np.isin(np.arange(256), list(b".!?"))
 class WordIds:
     """Token ids of words. Those of up to ``MAX_KNOWN`` words are remembered, over the blocks and tasks of a worker.
 
-    The tokeniser splits a run of letters from the marks behind it, so a word of ASCII letters and marks is looked up as
-    two, in lower case; these need no normalising, which is most of the work.
+    ASCII letters alone and marks alone need no normalising but lower case.
     """
 
     def __init__(self, spec: str):
@@ -81,27 +82,37 @@ class WordIds:
         """Ids of all words, one after the other, and how many each has."""
         if len(self.known) > MAX_KNOWN:
             self.forget()
-        known = self.known
-        pairs, plain, other, alone = [], [], [], []
-        for name in names:
-            if parts := _PLAIN.fullmatch(name):
-                pair = (parts[1].lower(), parts[2])
-                new = plain
-            else:
-                pair, new = (name, b""), alone if b"\x01" in name else other
-            pairs += pair
-            new += [w for w in pair if w not in known]
-        for tokenizer, words in ((self.plain, plain), (self.whole, other)):
-            words = list(dict.fromkeys(words))
-            known.update(zip(words, range(len(known), len(known) + len(words))))
-            self.learn(tokenizer, [w.decode("utf-8", "replace") for w in words])
-        for word in alone:  # the mark itself is in it
-            got = self.whole.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            known[word] = len(known)
-            self.many, self.ids = np.append(self.many, len(got)), np.append(self.ids, np.array(got, np.uint32))
-        slot = np.array([known[w] for w in pairs], np.int64).reshape(-1, 2)
+        new = [w for w in names if w not in self.known]
+        plain, other = [], []
+        for word in new:
+            (plain if _PLAIN.fullmatch(word) else other).append(word)
+        for tokenizer, words in ((self.plain, plain), (self.whole, [w for w in other if b"\x01" not in w])):
+            self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+            spelt = [w.decode("utf-8", "replace") for w in words]
+            self.learn(tokenizer, [w.lower() for w in spelt] if words is plain else spelt)
+        for word in other:
+            if b"\x01" in word:  # the mark itself is in it
+                got = self.whole.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+                self.known[word] = len(self.known)
+                self.many, self.ids = np.append(self.many, len(got)), np.append(self.ids, np.array(got, np.uint32))
+        slot = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
         many = self.many[slot]
-        return self.ids[ranges(offsets(self.many)[:-1][slot].ravel(), many.ravel())], many.sum(axis=1)
+        return self.ids[ranges(offsets(self.many)[:-1][slot], many)], many
+
+
+def split_units(bodies: list[bytes]) -> Words:
+    """The words of all texts, those of ASCII letters and then marks cut in two: the tokeniser gives the parts the ids
+    that they have in the word."""
+    body = np.frombuffer(b"\n".join([*bodies, b""]), np.uint8)
+    kind = _KIND[body]
+    at = np.flatnonzero(np.diff(kind, prepend=np.uint8(0)))  # where bytes of another kind begin, the first word's on
+    kind = kind[at]
+    before, behind = np.r_[0, kind[:-1]], np.r_[kind[1:], 0]
+    cut = (kind == 2) & (before == 1) & (np.r_[0, before[:-1]] == 0) & (behind == 0)
+    start, end = at[((kind != 0) & (before == 0)) | cut], at[(kind == 0) | cut]
+    text = np.searchsorted(np.cumsum([len(b) + 1 for b in bodies]), start, "right")
+    number, names = number_words(body, start, end)
+    return Words(number, text, start, end, names, body)
 
 
 @lru_cache(1)
@@ -189,7 +200,7 @@ class _Packer:
         idents, bodies, last = zip(*self.parts)
         self.parts, self.size = [], 0
         last = np.array(last)
-        words = split_words(list(bodies))
+        words = split_units(list(bodies))
         # a gap before the next word that holds a line feed ends a sentence, as does a full stop
         feeds = np.r_[0, np.cumsum(words.body == 0x0A)]
         stops = _STOP[words.body[words.end - 1]]

@@ -20,15 +20,26 @@ class Words(NamedTuple):
     body: np.ndarray     # all texts, each with a line feed behind it
 
 
-def split_words(bodies: list[bytes | None]) -> Words:
-    """All words of all texts (null has none)."""
+def find_words(bodies: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``body``, ``start``, ``end`` and ``text`` of all words (null has none)."""
     body = np.frombuffer(b"\n".join([b or b"" for b in bodies] + [b""]), np.uint8)
-    blank = SPACE[body]
-    edge = np.flatnonzero(np.diff(np.r_[True, blank].view(np.int8)))
+    edge = np.flatnonzero(np.diff(np.r_[True, SPACE[body]].view(np.int8)))
     start, end = edge[0::2], edge[1::2]  # the line feed at the end closes the last word
     ends = np.cumsum([len(b or b"") + 1 for b in bodies], dtype=np.int64)
+    return body, start, end, np.searchsorted(ends, start, "right")
+
+
+def number_words(body: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """``number`` and ``names`` of words that cover all bytes but white space, in order."""
     offsets = np.zeros(len(start) + 1, np.int64)
     np.cumsum(end - start, out=offsets[1:])
-    packed = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(body[~blank])])
+    packed = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(body[~SPACE[body]])])
     coded = packed.dictionary_encode()
-    return Words(coded.indices.to_numpy(), np.searchsorted(ends, start, "right"), start, end, coded.dictionary, body)
+    return coded.indices.to_numpy(), coded.dictionary
+
+
+def split_words(bodies: list[bytes | None]) -> Words:
+    """All words of all texts."""
+    body, start, end, text = find_words(bodies)
+    number, names = number_words(body, start, end)
+    return Words(number, text, start, end, names, body)
