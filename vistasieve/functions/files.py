@@ -1,8 +1,13 @@
-"""Files of a shared folder, read and written by tasks: plain paths and ``file:`` locally, other stores through pyarrow."""
+"""Files of a shared folder, read and written by tasks: plain paths and ``file:`` locally, other stores through pyarrow.
+
+The functions at the end run on the driver, a few times a job: they give names that must not be taken, and delete.
+Other stores are reached through Spark's own file systems there.
+"""
 
 from __future__ import annotations
 
 import os
+import shutil
 from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
@@ -26,6 +31,13 @@ class Folder:
         self.fs.create_dir(os.path.dirname(path), recursive=True)
         return self.fs.open_output_stream(path)
 
+    def make_parent(self, name: str) -> None:
+        path = os.path.dirname(f"{self.root}/{name}")
+        if self.local:
+            os.makedirs(path, exist_ok=True)
+        else:
+            self.fs.create_dir(path, recursive=True)
+
     def read(self, name: str):
         path = f"{self.root}/{name}"
         return open(path, "rb") if self.local else self.fs.open_input_stream(path)
@@ -65,3 +77,84 @@ class Folder:
             for info in self.fs.get_file_info(fs.FileSelector(self.root, allow_not_found=True, recursive=True)):
                 if info.is_file:
                     yield info.path, info.size
+
+
+def _java(spark, path: str):
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs
+    where = java.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _local(path: str) -> str | None:
+    folder = Folder(path) if urlparse(path).scheme in ("", "file") else None
+    return folder.root if folder else None
+
+
+def path_exists(spark, path: str) -> bool:
+    where, store = _java(spark, path)
+    return store.exists(where)
+
+
+def delete_tree(spark, path: str) -> None:
+    """Delete a folder and all below it; nothing if it is absent."""
+    if (own := _local(path)) is not None:
+        shutil.rmtree(own, ignore_errors=True)
+    else:
+        where, store = _java(spark, path)
+        store.delete(where, True)
+
+
+def create_new(spark, path: str, content: bytes = b"") -> bool:
+    """Create a file unless one of that name exists; of several that try at a time, one succeeds."""
+    if (own := _local(path)) is not None:
+        os.makedirs(os.path.dirname(own), exist_ok=True)
+        try:
+            with open(own, "xb") as f:
+                f.write(content)
+        except FileExistsError:
+            return False
+        return True
+    where, store = _java(spark, path)
+    if store.exists(where):
+        return False
+    try:
+        stream = store.create(where, False)
+    except Exception as exc:  # py4j wraps the store's own error
+        if "AlreadyExists" in str(exc):
+            return False
+        raise
+    stream.write(bytearray(content))
+    stream.close()
+    return True
+
+
+def rename_new(spark, old: str, new: str) -> bool:
+    """Give a written file or folder its final name unless the name is taken (one step where the store renames in one)."""
+    if (target := _local(new)) is not None:
+        source = _local(old)
+        os.makedirs(os.path.dirname(target), exist_ok=True)
+        try:
+            if os.path.isdir(source):
+                os.rename(source, target)  # refuses a folder that holds anything
+            else:
+                os.link(source, target)
+                os.remove(source)
+        except OSError:
+            if os.path.exists(target):
+                return False
+            raise
+        return True
+    where, store = _java(spark, new)
+    if store.exists(where):
+        return False
+    store.mkdirs(where.getParent())
+    jvm = spark.sparkContext._jvm
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        files.rename(_java(spark, old)[0], where, options)
+    except Exception as exc:
+        if "AlreadyExists" in str(exc):
+            return False
+        raise
+    return True

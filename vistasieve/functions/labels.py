@@ -105,6 +105,32 @@ def extract_classes(
     return F.array_sort(F.array_distinct(kept))
 
 
+BOX = "array<struct<class_name: string, box: array<double>>>"
+
+
+def row_boxes(df: DataFrame, class_map: Mapping[str, str] | None = None, names: Sequence[str] | None = None) -> Column:
+    """The boxes (x, y, width, height in pixels) of ``objects`` and ``annotations``, in row order, with their class names
+    decoded and translated; both nesting shapes. An annotation without a box of four numbers has none."""
+    parts: list[Column] = []
+    for key in ("objects", "annotations"):
+        found = _category_array(df, key)
+        dtype = df.schema[key].dataType if found else None
+        inner = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
+        if found is None or "bbox" not in inner.fieldNames():
+            continue
+        cats, et = found
+        box = F.col(key)["bbox"]
+        if isinstance(dtype, T.StructType) and not isinstance(inner["category"].dataType, T.ArrayType):
+            box = F.array(box)  # a single annotation
+        decoder = _decoder(et, names)
+        named = F.transform(cats, lambda c: translate(decoder(c), class_map))
+        zipped = F.arrays_zip(named.alias("class_name"), box.cast("array<array<double>>").alias("box"))
+        parts.append(F.coalesce(zipped.cast(BOX), F.array().cast(BOX)))
+    if not parts:
+        return F.array().cast(BOX)
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+
 def parse_yolo_line(line: Column, names: Sequence[str]) -> Column:
     """The class name of one YOLO label line, or null when the line is
     blank, its first token is not an integer, or the id is outside ``names``.

@@ -48,6 +48,21 @@ def to_yolo(boxes: DataFrame, classes: DataFrame, strict: bool = False) -> DataF
     return out
 
 
+def yolo_from_boxes(boxes: DataFrame, sizes: DataFrame, classes: DataFrame) -> DataFrame:
+    """Normalised labels of the boxes that sources give (``readers.BOX_COLUMNS``): pixel boxes by X1 with the images'
+    sizes (``image_id``, ``width``, ``height``), normalised ones as they are, clamped to [0, 1]."""
+    four = [F.get("box", F.lit(i)).alias(n) for i, n in enumerate(("x_min", "y_min", "box_width", "box_height"))]
+    whole = boxes.where((F.size("box") >= 4) & F.forall(F.slice("box", 1, 4), lambda x: x.isNotNull() & ~F.isnan(x)))
+    pixel = whole.where(~F.col("normalised")).join(sizes.select("image_id", "width", "height"), "image_id")
+    pixel = to_yolo(pixel.select("image_id", "pos", "class_name", *four, "width", "height"), classes)
+    ids = F.broadcast(classes.select(F.col("name").alias("class_name"), F.col("id").alias("class_id")))
+    ready = whole.where("normalised").join(ids, "class_name").select(
+        "image_id", "pos", "class_id",
+        *(_clamp01(F.get("box", F.lit(i))).alias(n) for i, n in enumerate(("x_center", "y_center", "w", "h"))),
+        F.lit(False).alias("bad_size"))
+    return pixel.unionByName(ready)
+
+
 @F.pandas_udf(T.StringType())
 def _render(cid: pd.Series, xc: pd.Series, yc: pd.Series, w: pd.Series, h: pd.Series) -> pd.Series:
     # Python formatting rounds the exact binary value (Spark's format_string rounds

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import os
 from dataclasses import dataclass, field, replace
+from datetime import datetime, timezone
 from functools import reduce
 
 import pyarrow as pa
@@ -31,12 +32,13 @@ from vistasieve.config import (
 )
 from vistasieve.functions.files import Folder
 from vistasieve.functions.scalar import file_name, item_name
+from vistasieve.operators import boxes as box_ops
 from vistasieve.operators import dedup as dedup_ops
 from vistasieve.operators import gate, pixels, quality, quota, split, stats
 from vistasieve.operators.rank import global_rank, materialize
 from vistasieve.session import scratch_path
 from vistasieve.sinks import release
-from vistasieve.sources.readers import get_reader
+from vistasieve.sources.readers import BOX_COLUMNS, get_reader, read_boxes
 
 
 @dataclass
@@ -52,6 +54,7 @@ class RunReport:
     percentiles: DataFrame | None = None
     breakdown: DataFrame | None = None
     failed_sources: dict[str, str] = field(default_factory=dict)
+    failed_labels: dict[str, str] = field(default_factory=dict)  # sources whose boxes could not be read
     low_acceptance: bool = False
     dry_run: bool = True
     version: dict | None = None
@@ -100,6 +103,16 @@ def read_items(spark: SparkSession, sources: list[SourceDef]) -> tuple[dict[str,
     return items, failed
 
 
+# What encoded images begin with, and the suffixes of such files.
+IMAGE_MARKS = ((b"\xff\xd8\xff", ".jpg"), (b"\x89PNG", ".png"), (b"GIF8", ".gif"), (b"BM", ".bmp"), (b"II*\x00", ".tif"), (b"MM\x00*", ".tif"))
+
+
+def image_suffix(content: bytes, path: str | None) -> str:
+    """The suffix that fits an image's first bytes; else the one it had."""
+    known = next((suffix for mark, suffix in IMAGE_MARKS if content.startswith(mark)), None)
+    return known or os.path.splitext(path or "")[1].lower() or ".img"
+
+
 def land_images(spark: SparkSession, taken: DataFrame, sources: list[SourceDef], folder: str) -> DataFrame:
     """Copy each taken image, embedded or a file, below ``folder``, once and by tasks: ``image_id`` and ``landed``.
 
@@ -116,22 +129,38 @@ def land_images(spark: SparkSession, taken: DataFrame, sources: list[SourceDef],
     def land(batches):
         target = Folder(folder)
         for batch in batches:
+            names = []
             for i in range(batch.num_rows):
                 ident, path, content = (c[i].as_py() for c in batch.columns)
-                name = hashlib.md5(ident.encode()).hexdigest() + (".png" if path is None else os.path.splitext(path)[1])
                 try:
                     if content is None:
                         with Folder(os.path.dirname(path)).read(os.path.basename(path)) as f:
                             content = f.read()
+                    name = hashlib.md5(ident.encode()).hexdigest() + image_suffix(content, path)
                     with target.write(name) as f:
                         f.write(content)
                 except (FileNotFoundError, TypeError):  # gone since it was listed, or no image at all
                     name = None
-                yield pa.RecordBatch.from_arrays([pa.array([ident]), pa.array([name], pa.string())], names=["image_id", "landed"])
+                names.append(name)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string())], names=["image_id", "landed"])
 
     return materialize(reduce(DataFrame.unionByName, parts).mapInArrow(land, "image_id string, landed string"), "landed")
 
 
+def kept_labels(spark: SparkSession, sources: list[SourceDef], kept: DataFrame, sizes: DataFrame, classes: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """K5 inside the run: ``image_id``, ``n_lines``, ``label_text`` of the kept images that have boxes, and the sources whose
+    boxes could not be read. Boxes are read after selection, for kept images alone."""
+    parts, failed = [spark.createDataFrame([], BOX_COLUMNS)], {}
+    for src in sources:
+        images = kept.where(F.col("source") == src.name).select("image_id", "path")
+        try:
+            parts.append(materialize(read_boxes(spark, src, images), f"boxes-{src.name}"))
+        except Exception as exc:  # as in selection, one source does not stop the others
+            failed[src.name] = (str(exc).splitlines() or [type(exc).__name__])[0]
+    boxes = box_ops.yolo_from_boxes(reduce(DataFrame.unionByName, parts), sizes, classes)
+    return box_ops.label_files(box_ops.render_lines(boxes)), failed
+
+
 def run(
     spark: SparkSession,
     sources: list[SourceDef],
@@ -152,6 +181,10 @@ def run(
     """Plan -> readiness gate -> per-source selection -> decode + measure + hash
     (one pass) -> quality gate -> first-kept-wins dedup -> metadata + split ->
     statistics -> written outputs (-> versioned release).
+
+    ``export`` adds the release: ``images/<split>/<id>.<suffix>`` as the source encoded them, ``labels/<split>/<id>.txt`` with
+    the boxes of each (empty for none), the manifest of these files, metadata, statistics, classes and the version log
+    up to this release. It appears whole, by one renaming, or not at all, and its line enters the log after that.
     """
     check_class_refs(sources, classes)
     check_budget(replace(budget, total_images=budget.total_images if total_images is None else total_images), global_max_images)
@@ -218,6 +251,7 @@ def run(
         "_idx", F.when(F.col("source").isin(export_sources), F.col("_nth") - 1).otherwise(F.col("row_idx"))).drop("_nth")
     kept = named.join(dups.where(~F.col("is_dup")).select("image_id"), "image_id", "left_semi").withColumn(
         "name", item_name(F.col("source"), F.col("_idx"), suffix="")).drop("_idx")
+    kept = materialize(kept, "kept")
     ids = kept.select(F.col("name").alias("id"), "image_id")
     splits = split.split_exact(ids, "id", split_cfg).join(ids, "id").select("image_id", "split")
     meta = materialize(release.metadata_records(kept, gated, splits), "metadata")
@@ -234,10 +268,19 @@ def run(
     )
     if export:
         n_meta = meta.count()
-        version = release.next_version(spark, f"{out}/versions")
-        rep.release_dir = release.export_release(f"{out}/releases", version, meta.drop("image_id"), stats=st,
-                                                 classes=classes_df(spark, classes))
-        rep.version = release.log_version(spark, f"{out}/versions", f"curation run: {n_meta} images", n_meta)
+        texts, rep.failed_labels = kept_labels(spark, readable, kept, gated, classes_df(spark, classes))
+        files = meta.join(landed, "image_id").select(
+            "id", "split", "image_id", F.concat(F.lit(f"{images.rstrip('/')}/"), "landed").alias("source"),
+            F.regexp_extract("landed", r"\.[^.]*$", 0).alias("suffix"))
+        draft = release.stage_release(f"{out}/releases", meta.drop("image_id"), stats=st, classes=classes_df(spark, classes),
+                                      files=release.release_files(files, texts))
+        log, notes = f"{out}/versions", f"curation run: {n_meta} images"
+        while not rep.release_dir:  # a number whose release folder was made without the log is passed over
+            version = release.claim_version(spark, log)
+            line = spark.createDataFrame([(version, datetime.now(timezone.utc).isoformat(), n_meta, notes)], release.VERSION_SCHEMA)
+            history = release.read_versions(spark, log).unionByName(line).orderBy("created_at")
+            rep.release_dir = release.publish_release(spark, draft, f"{out}/releases", version, history)
+        rep.version = release.log_version(spark, log, notes, n_meta, version)
     return rep
 
 
@@ -272,7 +315,6 @@ def split_ids_file(spark: SparkSession, ids_path: str, cfg: SplitConfig = SplitC
 
 def convert_boxes_file(spark: SparkSession, boxes_json: str, width: int, height: int, classes=SHIPPED_CLASSES) -> DataFrame:
     """YOLO lines for one image's COCO boxes (unknown classes skipped)."""
-    from vistasieve.operators import boxes as box_ops
     from vistasieve.sources.readers import read_boxes_json
 
     b = read_boxes_json(spark, boxes_json).withColumn("pos", F.monotonically_increasing_id()).withColumn(

@@ -18,17 +18,35 @@ from pyspark.errors import AnalysisException
 
 from vistasieve.config import SourceDef
 from vistasieve.functions import labels
-from vistasieve.functions.files import Folder
+from vistasieve.functions.files import Folder, path_exists
 from vistasieve.functions.scalar import decoded_uri, file_name, file_stem, normalize_path, parent_dir
 from vistasieve.operators.rank import global_rank, materialize
 
 Reader = Callable[[SparkSession, SourceDef], DataFrame]
+BoxReader = Callable[[SparkSession, SourceDef, DataFrame], DataFrame]
 READERS: dict[str, Reader] = {}
+BOX_READERS: dict[str, BoxReader] = {}
+
+#: What a box reader returns: the box as (x, y, width, height) in pixels, or (centre x, centre y, width, height) as
+#: fractions of the image where ``normalised``.
+BOX_COLUMNS = "image_id string, pos int, class_name string, box array<double>, normalised boolean"
+
+
+def _entered(registry: dict, kind: str):
+    def enter(fn):
+        registry[kind] = fn
+        return fn
+    return enter
 
 
 def register_reader(kind: str):
-    """Decorator that makes a function the reader of sources of this kind."""
-    return lambda fn: READERS.setdefault(kind, fn)
+    """Decorator that makes a function the reader of sources of this kind; a later one takes its place."""
+    return _entered(READERS, kind)
+
+
+def register_box_reader(kind: str):
+    """Decorator for the function that reads the boxes of some images (``image_id``, ``path``) of such a source."""
+    return _entered(BOX_READERS, kind)
 
 
 def get_reader(kind: str) -> Reader:
@@ -155,7 +173,7 @@ def read_yolo_export(
         .withColumn("filename", file_name(F.col("path")))
         .withColumn("_sr", F.try_element_at(split_rank, F.col("split")))
     )
-    label_dirs = [f"{root}/{s}/labels" for s in EXPORT_SPLITS if _exists(spark, f"{root}/{s}/labels")]
+    label_dirs = [f"{root}/{s}/labels" for s in EXPORT_SPLITS if path_exists(spark, f"{root}/{s}/labels")]
     if label_dirs and names:
         lines = (
             spark.read.option("pathGlobFilter", "*.txt").text(label_dirs)
@@ -174,12 +192,6 @@ def read_yolo_export(
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 BOX_SCHEMA = T.StructType([
     T.StructField("class_name", T.StringType()),
     T.StructField("x_min", T.DoubleType()),
@@ -238,3 +250,41 @@ def _rows_reader(spark: SparkSession, src: SourceDef) -> DataFrame:
 def _yolo_reader(spark: SparkSession, src: SourceDef) -> DataFrame:
     names = export_class_names(spark, f"{src.path.rstrip('/')}/data.yaml")
     return read_yolo_export(spark, src.path, names, list(src.classes), src.class_map, src.name)
+
+
+def read_boxes(spark: SparkSession, src: SourceDef, images: DataFrame) -> DataFrame:
+    """The boxes of some of a source's images (``image_id``, ``path``); none for a kind that has no box reader."""
+    if src.kind not in BOX_READERS:
+        return spark.createDataFrame([], BOX_COLUMNS)
+    return BOX_READERS[src.kind](spark, src, images.select("image_id", "path")).select(*T.StructType.fromDDL(BOX_COLUMNS).names)
+
+
+@register_box_reader("rows")
+def _rows_boxes(spark: SparkSession, src: SourceDef, images: DataFrame) -> DataFrame:
+    """Pixel boxes of landed detection rows; only annotation columns are read."""
+    rows = read_detection_rows(spark, src.path, src.name)
+    boxes = labels.row_boxes(rows, src.class_map, labels.names_from_schema(rows.schema)[0])
+    rows = rows.select(F.format_string("%s_%07d", F.lit(src.name), F.col("row_idx")).alias("image_id"), boxes.alias("boxes"))
+    found = rows.join(images.select("image_id"), "image_id", "left_semi").select("image_id", F.posexplode("boxes").alias("pos", "b"))
+    return found.select("image_id", "pos", "b.class_name", "b.box", F.lit(False).alias("normalised"))
+
+
+@register_box_reader("yolo")
+def _yolo_boxes(spark: SparkSession, src: SourceDef, images: DataFrame) -> DataFrame:
+    """Lines of five numbers of an export's label files, named and translated; other lines (polygons) are no boxes."""
+    root = src.path.rstrip("/")
+    names = export_class_names(spark, f"{root}/data.yaml")
+    folders = [f"{root}/{s}/labels" for s in EXPORT_SPLITS if path_exists(spark, f"{root}/{s}/labels")]
+    if not folders:
+        return spark.createDataFrame([], BOX_COLUMNS)
+    texts = spark.read.option("pathGlobFilter", "*.txt").option("wholetext", True).text(folders)
+    texts = texts.select("value", decoded_uri(F.col("_metadata.file_path")).alias("_lp"))
+    texts = texts.select("value", parent_dir(F.col("_lp"), 2).alias("split"), file_stem(F.col("_lp")).alias("stem"))
+    wanted = images.select("image_id", parent_dir(F.col("path"), 2).alias("split"), file_stem(F.col("path")).alias("stem"))
+    lines = texts.join(wanted, ["split", "stem"]).select("image_id", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
+    numbers = F.transform(F.split(F.trim("line"), r"\s+"), lambda x: x.try_cast("double"))
+    named = lines.select("image_id", "pos", labels.translate(labels.parse_yolo_line(F.col("line"), names), src.class_map).alias("class_name"),
+                         numbers.alias("numbers"))
+    good = (F.size("numbers") == 5) & F.forall("numbers", lambda x: x.isNotNull())
+    return named.where(good & F.col("class_name").isNotNull()).select(
+        "image_id", "pos", "class_name", F.slice("numbers", 2, 4).alias("box"), F.lit(True).alias("normalised"))

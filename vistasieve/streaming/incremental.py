@@ -37,9 +37,9 @@ class CorruptState(RuntimeError):
 
 def load_state(spark: SparkSession, state_dir: str) -> tuple[DataFrame, int | None]:
     """ST3: the committed state and its batch id; empty when the folder does not exist."""
-    from vistasieve.sources.readers import _exists
+    from vistasieve.functions.files import path_exists
 
-    if not _exists(spark, state_dir):
+    if not path_exists(spark, state_dir):
         return spark.createDataFrame([], STATE_SCHEMA), None
     try:
         versions = spark.read.parquet(state_dir)
@@ -159,8 +159,8 @@ def ingest_available_now(
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    from vistasieve.sources.readers import _exists
+    from vistasieve.functions.files import path_exists
 
-    if not _exists(spark, out_dir):
+    if not path_exists(spark, out_dir):
         return spark.createDataFrame([], "image_id long, source string, row_idx long, classes array<string>")
     return spark.read.parquet(out_dir).drop("batch_id")
