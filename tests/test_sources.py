@@ -75,6 +75,63 @@ def test_export_keeps_every_file(spark, tmp_path):
     assert got == dict.fromkeys(["with space.png", "pct%20x.jpg", "plus+y.webp", "zero.png"], ["smoke"])
 
 
+def test_a_later_reader_takes_the_place(spark, monkeypatch):
+    monkeypatch.setattr(readers, "READERS", dict(readers.READERS))
+
+    @readers.register_reader("mine")
+    def first(spark, src):
+        return 1
+
+    @readers.register_reader("mine")
+    def second(spark, src):
+        return 2
+
+    assert readers.get_reader("mine") is second and first(None, None) == 1
+
+
+def test_listing_spreads_over_tasks(spark, tmp_path, monkeypatch):
+    """Folders beyond the number a task reads are dealt out again; links to folders are not followed."""
+    import os
+
+    want = {}
+    for i in range(7):
+        for j in range(5):
+            folder = tmp_path / f"d{i}" / f"e {j}" / "deep" / "er"
+            folder.mkdir(parents=True)
+            for k, at in enumerate((folder, folder.parent.parent, tmp_path)):
+                path = at / f"f{i}{j}{k}.bin"
+                path.write_bytes(b"x" * (i + j + k))
+                want[f"file:{path}"] = i + j + k
+    os.symlink(tmp_path / "d0", tmp_path / "link")
+    monkeypatch.setattr(readers, "FOLDERS_AT_ONCE", 2)
+    real, steps = readers.materialize, []
+
+    def watched(df, name, **k):
+        out = real(df, name, **k)
+        steps.append(df.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(readers, "materialize", watched)
+    got = {r.path: r.length for r in readers.list_files(spark, [str(tmp_path), str(tmp_path / "none")]).collect()}
+    assert got == want
+    assert len(steps) >= 4 and max(steps) > 4
+    monkeypatch.setattr(readers, "FOLDERS_AT_ONCE", 1000)
+    steps.clear()
+    assert readers.list_files(spark, [str(tmp_path)]).count() == len(want) and len(steps) == 1
+    assert readers.list_files(spark, []).collect() == []
+
+
+def test_suffixes_in_any_case(spark, tmp_path):
+    import numpy as np
+    from conftest import write_png
+
+    image = np.random.default_rng(0).integers(0, 256, (480, 640, 3), dtype=np.uint8)
+    for name in ("a.png", "b.Png", "c.PNG", "d.jPeG", "e.txt"):
+        write_png(str(tmp_path / "x" / name), image)
+    gated, summary, _ = curation.validate_folder(spark, str(tmp_path))
+    assert {r.path.rsplit("/", 1)[1]: r.accepted for r in gated.collect()} == dict.fromkeys(["a.png", "b.Png", "c.PNG", "d.jPeG"], True)
+
+
 def test_row_order_needs_no_shuffle_of_rows(spark, tmp_path):
     p = str(tmp_path / "rows")
     spark.range(100).selectExpr("id", "repeat('x', 50) AS wide").repartitionByRange(5, "id").write.parquet(p)

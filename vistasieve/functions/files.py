@@ -22,6 +22,7 @@ class Folder:
             from pyarrow import fs
 
             self.fs, self.root = fs.FileSystem.from_uri(uri)
+            self.prefix = uri[:uri.rfind(self.root)] if self.root and self.root in uri else ""
 
     def write(self, name: str):
         path = f"{self.root}/{name}"
@@ -65,18 +66,28 @@ class Folder:
         found = self.fs.get_file_info(fs.FileSelector(path, allow_not_found=True))
         return [f"{folder}/{x.base_name}" for x in found]
 
-    def walk(self) -> Iterator[tuple[str, int]]:
-        """Path and size of every file below the folder, empty files included; nothing if the folder is absent."""
+    def entries(self) -> Iterator[tuple[str, bool, int]]:
+        """Path, whether it is a folder, and size of what lies in the folder itself; nothing if it is absent.
+
+        A local folder is read entry by entry, however many it holds. Links to folders are left out.
+        """
         if self.local:
-            for top, _, names in os.walk(self.root):
-                for name in names:
-                    yield f"file:{os.path.abspath(top)}/{name}", os.path.getsize(f"{top}/{name}")
+            try:
+                found = os.scandir(self.root)
+            except (FileNotFoundError, NotADirectoryError):
+                return
+            with found:
+                for entry in found:
+                    path = f"file:{os.path.abspath(self.root)}/{entry.name}"
+                    if entry.is_dir(follow_symlinks=False):
+                        yield path, True, 0
+                    elif entry.is_file():
+                        yield path, False, entry.stat().st_size
         else:
             from pyarrow import fs
 
-            for info in self.fs.get_file_info(fs.FileSelector(self.root, allow_not_found=True, recursive=True)):
-                if info.is_file:
-                    yield info.path, info.size
+            for info in self.fs.get_file_info(fs.FileSelector(self.root, allow_not_found=True)):
+                yield self.prefix + info.path, info.type == fs.FileType.Directory, info.size or 0
 
 
 def _java(spark, path: str):

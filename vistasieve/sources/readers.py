@@ -7,7 +7,7 @@ Every reader returns a DataFrame; the pluggable registry maps a source
 
 from __future__ import annotations
 
-import itertools
+import functools
 from collections.abc import Callable, Mapping, Sequence
 
 import pyarrow as pa
@@ -56,8 +56,10 @@ def get_reader(kind: str) -> Reader:
 
 
 # Image file patterns and the export split folders in scan order.
-IMAGE_GLOB = "*.{jpg,jpeg,png,JPG,JPEG,PNG}"
+IMAGE_SUFFIXES = ("jpg", "jpeg", "png")
 EXPORT_SPLITS = ("train", "valid", "test")
+# the suffixes in any case, as a glob of Spark's file sources
+IMAGE_GLOB = "*.{" + ",".join("".join(f"[{c}{c.upper()}]" for c in s) for s in IMAGE_SUFFIXES) + "}"
 
 
 def read_images(spark: SparkSession, root: str) -> DataFrame:
@@ -76,29 +78,60 @@ def read_images(spark: SparkSession, root: str) -> DataFrame:
     return df.select(normalize_path(F.col("image.origin")).alias("path"), "image")
 
 
-def list_files(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-    """``path`` and ``length`` of every file below the folders, empty ones included, listed by tasks.
+FOLDERS_AT_ONCE = 32  # folders that a task reads for each folder it is given, before it hands back the rest
+_ENTRY = "path string, is_folder boolean, length long"
 
-    Spark's file sources skip empty files, so folders are walked in tasks, one for each folder; an absent folder has no
-    files. Only paths and sizes travel, and none through the driver.
-    """
-    roots = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(max(1, len(folders)), "folder")
 
-    def walk(batches):
+def _expand(limit: int):
+    def run(batches):
         for batch in batches:
-            for folder in batch.column(0).to_pylist():
-                files = Folder(folder).walk()
-                while part := list(itertools.islice(files, 10_000)):
-                    paths, sizes = zip(*part)
-                    yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(sizes, pa.int64())], names=["path", "length"])
+            for start in batch.column(0).to_pylist():
+                waiting, read, part = [start], 0, []
+                while waiting and read < limit:
+                    read += 1
+                    for path, is_folder, size in Folder(waiting.pop()).entries():
+                        if is_folder:
+                            waiting.append(path)
+                        else:
+                            part.append((path, False, size))
+                        if len(part) == 10_000:
+                            yield from _entries(part)
+                            part = []
+                yield from _entries(part + [(path, True, 0) for path in waiting])
+
+    return run
+
+
+def _entries(rows):
+    for lo in range(0, len(rows), 10_000):
+        paths, kinds, sizes = zip(*rows[lo:lo + 10_000])
+        yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(kinds), pa.array(sizes, pa.int64())], names=["path", "is_folder", "length"])
 
-    return roots.mapInArrow(walk, "path string, length long").withColumn("path", normalize_path(F.col("path")))
+
+def list_files(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
+    """``path`` and ``length`` of every file below the folders, empty ones included, listed by tasks.
+
+    Spark's file sources skip empty files, so folders are read in tasks. A task reads up to ``FOLDERS_AT_ONCE`` folders
+    from each one it is given and hands back those still to be read; these are written, and dealt to all tasks in the
+    next step. A small tree takes one step and a large one spreads over the cluster after the first. Only paths and
+    sizes travel, and none through the driver; an absent folder has no files.
+    """
+    frontier = spark.createDataFrame([(f,) for f in folders], "path string")
+    waiting, done = len(folders), []
+    while waiting:
+        width = min(waiting, 4 * spark.sparkContext.defaultParallelism)
+        found = materialize(frontier.repartition(width).mapInArrow(_expand(FOLDERS_AT_ONCE), _ENTRY), "listing")
+        done.append(found.where("not is_folder").select("path", "length"))
+        frontier = found.where("is_folder").select("path")
+        waiting = frontier.count()
+    files = functools.reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], "path string, length long")
+    return files.withColumn("path", normalize_path(F.col("path")))
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     """every image file under ``root`` with its size. Left-join images on ``path`` to see files that vanished
     from the decoded scan."""
-    return list_files(spark, [root]).where(F.lower("path").rlike(r"\.(jpg|jpeg|png)$"))
+    return list_files(spark, [root]).where(F.lower("path").rlike(rf"\.({'|'.join(IMAGE_SUFFIXES)})$"))
 
 
 def images_with_manifest(spark: SparkSession, root: str) -> DataFrame:
