@@ -115,6 +115,69 @@ def test_unrelated_hashes_sharing_a_block_settle_at_once(spark, monkeypatch):
     assert tables.count("dedup-kept") < 10 and tables.count("dedup-keyed") >= 2
 
 
+def chain(n, rng):
+    """Hashes 3 bits apart from their neighbours, in a random walk: long chains of near items."""
+    h, out = rng.getrandbits(64), []
+    for i in range(n):
+        for b in rng.sample(range(64), 3):
+            h ^= 1 << b
+        out.append((i, i, h >> 32, h & 0xFFFFFFFF))
+    return out
+
+
+def test_a_chain_of_2000_takes_as_many_jobs_as_a_short_one(spark, monkeypatch):
+    real, tables = dedup.materialize, []
+    monkeypatch.setattr(dedup, "materialize", lambda df, name, **k: (tables.append(name), real(df, name, **k))[1])
+    rng, count = random.Random(4), []
+    for n in (20, 2000):
+        rows = chain(n, rng)
+        got = dedup.dedup_first_kept(spark.createDataFrame(rows, SCHEMA).repartition(4), 5).collect()
+        assert {r["image_id"]: (r["is_dup"], r["duplicate_of"]) for r in got} == seq_first_kept(rows, 5)
+        count.append(len(tables))
+        tables.clear()
+    assert count[0] == count[1] < 10
+
+
+def test_components_swept_alone_and_in_rounds(spark, monkeypatch):
+    """The three ways to settle a component agree with the sequential loop."""
+    rng = random.Random(11)
+    rows = chain(30, rng) + [(100 + i, 100 + i, *h) for i, h in enumerate(r[2:] for r in random_hashes(rng, 150) if r[2] is not None)]
+    order = rng.sample(range(10**6), len(rows))
+    rows = [(i, o, hi, lo) for (i, _, hi, lo), o in zip(rows, order)]
+    want = seq_first_kept(rows, 5)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for name, value in (("SWEEP_TOGETHER", 3), ("MAX_COMPONENT", 8), ("MAX_GROUP", 20)):
+        with monkeypatch.context() as m:
+            m.setattr(dedup, name, value)
+            got = dedup.dedup_first_kept(df, 5).collect()
+            assert {r["image_id"]: (r["is_dup"], r["duplicate_of"]) for r in got} == want, name
+
+
+def test_components_by_star_steps(spark, monkeypatch):
+    from vistasieve.operators import components
+
+    rng = random.Random(2)
+    links = [(i, i + 1) for i in range(300)] + [(1000 + rng.randrange(80), 1000 + rng.randrange(80)) for _ in range(60)] + [(7, 7), (-5, 9000)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+    want = {n: find(n) for n in parent}
+    df = spark.createDataFrame(links, "a long, b long").repartition(3)
+    for bound in (components.LOCAL_LINKS, 10):
+        monkeypatch.setattr(components, "LOCAL_LINKS", bound)
+        rows = components.connected(df).collect()
+        assert {r.node: r.root for r in rows} == want and len(rows) == len(want)
+    assert components.connected(df.limit(0)).collect() == []
+
+
 def test_chains_settle_in_order(spark):
     rows = [(i, i, 0, (1 << (3 * (i + 1))) - 1 if i < 10 else (1 << 30) - 1) for i in range(10)]
     got = dedup.dedup_first_kept(spark.createDataFrame(rows, SCHEMA), 5).collect()

@@ -10,10 +10,12 @@ lengthens the keys (fewer chance candidates per key at very large hash counts)
 at the cost of more key copies per hash.
 
 First-kept-wins is not connected components: an item is a duplicate only if an
-earlier *kept* item is within t. It is solved as a fixpoint over key groups
-(see ``dedup_first_kept``): tasks compare the members of a group by their true
-distance and return one row for each decided item, never pairs. Equal hashes
-are collapsed first, so a hot hash (blank frames) is one node.
+earlier *kept* item is within t. But no decision reaches beyond a component of
+near items, so components come first, from star-shaped links that tasks find
+inside key groups, and each is swept in order by one task (see
+``dedup_first_kept``). Only a component above ``MAX_COMPONENT`` hashes is solved as
+a fixpoint over key groups. Pairs never leave a task. Equal hashes are
+collapsed first, so a hot hash (blank frames) is one node.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vistasieve.operators.components import connected
 from vistasieve.operators.rank import materialize
 
 _MASK64 = (1 << 64) - 1
@@ -147,7 +150,10 @@ def hamming_pairs(
 
 # Key groups with more members are split by further blocks of bits, at most SPLITS times.
 MAX_GROUP = 4096
-SPLITS = 2
+SPLITS = 4
+# Hashes of a component that one task sweeps (about 150 bytes each).
+MAX_COMPONENT = 1 << 20
+SWEEP_TOGETHER = 4096  # larger components are swept one by one
 
 
 def _key_groups(reps: DataFrame, t: int, m: int) -> DataFrame:
@@ -161,6 +167,8 @@ def _key_groups(reps: DataFrame, t: int, m: int) -> DataFrame:
     masks = sorted({_signed(sum(combo)) for combo in combinations(blocks, m - t)})
     keyed = reps.select("id", "ord", "h64", F.explode(F.array(*map(F.lit, masks))).alias("bits"))
     done = []
+    if reps.count() <= MAX_GROUP:  # no group can be too large
+        return materialize(keyed.withColumn("bkey", F.col("h64").bitwiseAND(F.col("bits"))), "dedup-keyed")
     for level in range(SPLITS + 1):
         keyed = materialize(keyed.withColumn("bkey", F.col("h64").bitwiseAND(F.col("bits"))), "dedup-keyed")
         sizes = materialize(keyed.groupBy("bits", "bkey").agg(F.count(F.lit(1)).alias("_g")).where("_g > 1"), "dedup-sizes")
@@ -181,31 +189,92 @@ def _key_groups(reps: DataFrame, t: int, m: int) -> DataFrame:
     return reduce(DataFrame.unionByName, done).select("id", "ord", "h64", "bits", "bkey")
 
 
-def _in_groups(groups: DataFrame, work: Callable, shape: T.StructType) -> DataFrame:
-    """``work(rows, group numbers)`` on whole key groups, members by ``ord``, many groups at a time."""
+def _in_groups(groups: DataFrame, work: Callable, shape: T.StructType | str, keys: tuple[str, ...] = ("bits", "bkey")) -> DataFrame:
+    """``work(rows, group numbers)`` on whole groups of equal ``keys`` (longs), members by ``ord``, many groups at a time."""
     n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
-        rest = None
+        waiting, last = [], None  # rows of the group that may go on in the next batch
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = rows if rest is None else pa.concat_tables([rest, rows])
-            bits, key = (rows.column(c).to_numpy() for c in ("bits", "bkey"))
-            new = np.flatnonzero((bits[1:] != bits[:-1]) | (key[1:] != key[:-1])) + 1
-            cut = int(new[-1]) if new.size else 0
-            rest = rows.slice(cut)
-            if cut:
-                yield from work(rows.slice(0, cut), np.searchsorted(new, np.arange(cut), side="right"))
-        if rest is not None and rest.num_rows:
-            yield from work(rest, np.zeros(rest.num_rows, np.int64))
-
-    return groups.repartition(n, "bits", "bkey").sortWithinPartitions("bits", "bkey", "ord").mapInArrow(run, shape)
+            columns = [batch.column(c).to_numpy() for c in keys]
+            new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+            cuts = [*([0] if last is not None and last != tuple(c[0] for c in columns) else []), *new[-1:].tolist()]
+            if cuts:  # up to there, whole groups
+                done = pa.Table.from_batches([*waiting, batch.slice(0, cuts[-1])])
+                waiting = []
+                if done.num_rows:
+                    columns = [done.column(c).to_numpy() for c in keys]
+                    change = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+                    yield from work(done, np.cumsum(np.r_[0, change]))
+            waiting.append(batch.slice(cuts[-1] if cuts else 0))
+            last = tuple(batch.column(c)[-1].as_py() for c in keys)
+        if waiting:
+            done = pa.Table.from_batches(waiting)
+            yield from work(done, np.zeros(done.num_rows, np.int64))
+
+    return groups.repartition(n, *keys).sortWithinPartitions(*keys, "ord").mapInArrow(run, shape)
 
 
 def _near(h: np.ndarray, a: np.ndarray, b: np.ndarray, t: int) -> np.ndarray:
     return np.bitwise_count(h[a] ^ h[b]) <= t
 
 
+def _stars(group: np.ndarray, h: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (member, first of its star) that connect what is within ``t`` inside each group, fewer than its members.
+
+    A reached member draws in all that are near it and not yet reached; if none is left to do so, the next star begins.
+    """
+    star = np.full(len(h), -1)
+    edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
+    for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        if hi - lo == 2:
+            if int(h[lo] ^ h[lo + 1]).bit_count() <= t:
+                star[lo + 1] = lo
+        elif hi - lo > 2:
+            open_ = np.arange(lo + 1, hi)
+            queue, first = [lo], lo
+            while open_.size:
+                if not queue:
+                    first = int(open_[0])
+                    queue, open_ = [first], open_[1:]
+                near = np.bitwise_count(h[open_] ^ h[queue.pop()]) <= t
+                if near.any():
+                    star[open_[near]] = first
+                    queue += open_[near].tolist()
+                    open_ = open_[~near]
+    at = np.flatnonzero(star >= 0)
+    return at, star[at]
+
+
+def _sweep(group: np.ndarray, h: np.ndarray, t: int) -> np.ndarray:
+    """For each member (in order inside its group) the first kept member before it within ``t``, or -1 if it is kept.
+
+    Every group keeps its first open member and drops what is near it, all groups at a time. Larger groups are swept one
+    by one, with the kept members under the ``t + 1`` blocks of their bits: one within ``t`` agrees on a block.
+    """
+    of, size = np.full(len(h), -1), np.bincount(group) if len(group) else np.zeros(0, np.int64)
+    open_ = np.flatnonzero(size[group] <= SWEEP_TOGETHER)
+    while open_.size:
+        first = np.r_[True, group[open_][1:] != group[open_][:-1]]
+        keeper = open_[first][np.cumsum(first) - 1]
+        near = _near(h, open_, keeper, t)
+        of[open_[near & ~first]] = keeper[near & ~first]
+        open_ = open_[~near]
+    for g in np.flatnonzero(size > SWEEP_TOGETHER):
+        members = np.flatnonzero(group == g)
+        kept: list[dict[int, list[int]]] = [{} for _ in range(t + 1)]
+        masks, values = _block_masks(t + 1), h[members].tolist()
+        for i, v in zip(members.tolist(), values):
+            lists = [k.get(v & m) for k, m in zip(kept, masks)]
+            best = min((next((j for j, w in x if (v ^ w).bit_count() <= t), i) for x in lists if x), default=i)
+            if best < i:
+                of[i] = best
+            else:
+                for k, m in zip(kept, masks):
+                    k.setdefault(v & m, []).append((i, v))
+    return of
+
+
 def _behind_earlier(group: np.ndarray, h: np.ndarray, t: int) -> np.ndarray:
     """Members with an earlier member of their group within ``t``, looking back one place at a time."""
     hit, at, step = np.zeros(len(h), bool), np.arange(len(h)), 1
@@ -235,6 +304,53 @@ def _first_kept(group: np.ndarray, h: np.ndarray, kept: np.ndarray, t: int) -> n
     return found
 
 
+def _in_rounds(groups: DataFrame, t: int) -> DataFrame:
+    """``id`` and ``dup_of`` of the duplicates among hashes given in their key groups, for components that no task holds.
+
+    Per round, an open item with no earlier open item truly within ``t`` in any of its groups is kept: no earlier kept
+    item is within ``t`` either, or it would be decided. Open items behind a newly kept one within ``t`` become duplicates,
+    and the groups of what is still open are written for the next round. ``dup_of`` is the earliest kept item over all
+    groups of a duplicate.
+    """
+    one_id = T.StructType([groups.schema["id"]])
+
+    def ids(rows, where):
+        return pa.table({"id": rows.column("id").take(pa.array(np.flatnonzero(where)))}).to_batches()
+
+    def behind_open(rows, group):
+        yield from ids(rows, _behind_earlier(group, rows.column("h64").to_numpy().view(np.uint64), t))
+
+    def behind_kept(rows, group):
+        kept = rows.column("kept").to_numpy()
+        yield from ids(rows, _first_kept(group, rows.column("h64").to_numpy().view(np.uint64), kept, t) >= 0)
+
+    def original(rows, group):
+        kept = rows.column("kept").to_numpy()
+        first = _first_kept(group, rows.column("h64").to_numpy().view(np.uint64), kept, t)
+        dup = pa.array(np.flatnonzero(first >= 0))
+        src = pa.array(first[first >= 0])
+        yield from pa.table({"id": rows.column("id").take(dup), "a_ord": rows.column("ord").take(src),
+                             "a_id": rows.column("id").take(src)}).to_batches()
+
+    def flagged(rows, kept):
+        return rows.join(kept.select("id", F.lit(True).alias("_k")), "id", "left").withColumn(
+            "kept", F.coalesce("_k", F.lit(False))).drop("_k")
+
+    whole, all_kept = groups, []
+    open_ids = materialize(groups.select("id").distinct(), "dedup-open")
+    while not open_ids.isEmpty():
+        blocked = _in_groups(groups, behind_open, one_id).distinct()
+        kept = materialize(open_ids.join(blocked, "id", "left_anti"), "dedup-kept")
+        all_kept.append(kept)
+        dup = _in_groups(flagged(groups, kept), behind_kept, one_id)
+        open_ids = materialize(open_ids.join(kept.unionByName(dup.distinct()), "id", "left_anti"), "dedup-open")
+        groups = materialize(groups.join(open_ids, "id", "left_semi"), "dedup-groups")
+    shape = T.StructType([whole.schema["id"], T.StructField("a_ord", whole.schema["ord"].dataType),
+                          T.StructField("a_id", whole.schema["id"].dataType)])
+    found = _in_groups(flagged(whole, reduce(DataFrame.unionByName, all_kept)), original, shape)
+    return found.groupBy("id").agg(F.min(F.struct("a_ord", "a_id")).alias("_o")).select("id", F.col("_o.a_id").alias("dup_of"))
+
+
 def dedup_first_kept(
     hashes: DataFrame,
     t: int,
@@ -251,12 +367,10 @@ def dedup_first_kept(
     Plan (exact; no pair of items ever leaves a task):
     1. equal hashes collapse to their earliest item;
     2. each distinct hash joins one group per block combination, written once; large groups are split by further bits;
-    3. per round, an open item with no earlier open item truly within ``t`` in any of its groups is kept: no earlier
-       kept item is within ``t`` either, or step 4 would have caught it. The number of rounds follows chains of near
-       items, not how many unrelated ones share a group;
-    4. open items behind a newly kept one within ``t`` become duplicates;
-    5. the groups of what is still open are written for the next round, so rounds shrink;
-    6. ``duplicate_of`` is the earliest kept item over all groups of a duplicate.
+    3. tasks link what is truly within ``t`` inside a group, as stars, and the links give components;
+    4. each component is swept in order by one task: the first open hash is kept, what is near it goes. The number of
+       jobs does not follow chains of near items;
+    5. components above ``MAX_COMPONENT`` hashes are solved in rounds over their key groups instead (``_in_rounds``).
     """
     items = hashes.select(
         F.col(key).alias("id"), F.col(order).alias("ord"),
@@ -270,47 +384,29 @@ def dedup_first_kept(
     m = num_blocks or choose_blocks(reps.count(), t)
     if m <= t:
         raise ValueError("num_blocks must exceed the distance threshold")
-    groups = materialize(_key_groups(reps, t, m), "dedup-groups")
-    one_id = T.StructType([reps.schema["id"]])
-
-    def ids(rows, where):
-        return pa.table({"id": rows.column("id").take(pa.array(np.flatnonzero(where)))}).to_batches()
-
-    def behind_open(rows, group):
-        yield from ids(rows, _behind_earlier(group, rows.column("h64").to_numpy().view(np.uint64), t))
-
-    def behind_kept(rows, group):
-        kept = rows.column("kept").to_numpy(zero_copy_only=False)
-        yield from ids(rows, _first_kept(group, rows.column("h64").to_numpy().view(np.uint64), kept, t) >= 0)
-
-    def original(rows, group):
-        kept = rows.column("kept").to_numpy(zero_copy_only=False)
-        first = _first_kept(group, rows.column("h64").to_numpy().view(np.uint64), kept, t)
-        dup = pa.array(np.flatnonzero(first >= 0))
-        src = pa.array(first[first >= 0])
-        yield from pa.table({"id": rows.column("id").take(dup), "a_ord": rows.column("ord").take(src),
-                             "a_id": rows.column("id").take(src)}).to_batches()
-
-    def flagged(rows, kept):
-        return rows.join(kept.select("id", F.lit(True).alias("_k")), "id", "left").withColumn(
-            "kept", F.coalesce("_k", F.lit(False))).drop("_k")
-
-    # hashes in no group of two have no near one; the others are open
-    open_ids = materialize(groups.select("id").distinct(), "dedup-open")
-    open_groups, dups = groups, []
-    while not open_ids.isEmpty():
-        blocked = _in_groups(open_groups, behind_open, one_id).distinct()
-        kept = materialize(open_ids.join(blocked, "id", "left_anti"), "dedup-kept")
-        dup = materialize(_in_groups(flagged(open_groups, kept), behind_kept, one_id).distinct(), "dedup-dups")
-        dups.append(dup)
-        open_ids = materialize(open_ids.join(kept.unionByName(dup), "id", "left_anti"), "dedup-open")
-        open_groups = materialize(open_groups.join(open_ids, "id", "left_semi"), "dedup-groups")
-    all_dups = reduce(DataFrame.unionByName, dups) if dups else open_ids
-    kept = reps.select("id").join(all_dups, "id", "left_anti")
-    shape = T.StructType([reps.schema["id"], T.StructField("a_ord", reps.schema["ord"].dataType),
-                          T.StructField("a_id", reps.schema["id"].dataType)])
-    orig = (_in_groups(flagged(groups, kept), original, shape)
-            .groupBy("id").agg(F.min(F.struct("a_ord", "a_id")).alias("_o")).select("id", F.col("_o.a_id").alias("dup_of")))
+    groups = _key_groups(reps, t, m)
+
+    def link(rows, group):
+        h = rows.column("h64").to_numpy()
+        a, b = _stars(group, h.view(np.uint64), t)
+        yield pa.RecordBatch.from_arrays([pa.array(h[a]), pa.array(h[b])], names=["a", "b"])
+
+    nodes = connected(_in_groups(groups, link, "a bigint, b bigint"))
+    members = reps.join(nodes, F.col("h64") == F.col("node")).select("root", "ord", "id", "h64")
+    sizes = nodes.groupBy("root").agg(F.count(F.lit(1)).alias("_n"))
+    huge = materialize(sizes.where(F.col("_n") > MAX_COMPONENT).select("root"), "dedup-huge")
+    some_huge = not huge.isEmpty()
+    shape = T.StructType([reps.schema["id"], T.StructField("dup_of", reps.schema["id"].dataType)])
+
+    def sweep(rows, group):
+        of = _sweep(group, rows.column("h64").to_numpy().view(np.uint64), t)
+        dup, ids = np.flatnonzero(of >= 0), rows.column("id")
+        yield from pa.table({"id": ids.take(pa.array(dup)), "dup_of": ids.take(pa.array(of[dup]))}).to_batches()
+
+    orig = _in_groups(members.join(huge, "root", "left_anti") if some_huge else members, sweep, shape, ("root",))
+    if some_huge:
+        inside = members.join(huge, "root", "left_semi").select("h64")
+        orig = orig.unionByName(_in_rounds(materialize(groups.join(inside, "h64", "left_semi"), "dedup-groups"), t))
     rep_out = materialize(reps.join(orig, "id", "left").select("h64", F.col("id").alias("rep_id"), "dup_of"), "dedup-result")
 
     # later items with a representative's hash follow the representative; both sides are shuffled on the hash for
