@@ -1,0 +1,83 @@
+"""JSON arrays read in byte ranges against the whole-file parse."""
+
+import json
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from vistasieve.sources import json_arrays as ja
+from vistasieve.sources import readers
+
+JSON = st.recursive(st.none() | st.booleans() | st.integers(-9, 99) | st.text(alphabet='a"\\[]{},: \n\té€😀', max_size=12),
+                    lambda x: st.lists(x, max_size=4) | st.dictionaries(st.text(alphabet='k"\\,]', max_size=3), x, max_size=3), max_leaves=12)
+
+
+def split_read(path, body, size):
+    """All elements, range by range, with the states that the running sums give."""
+    path.write_bytes(body)
+    inside, depth, out = False, 0, []
+    file = ja._File(str(path))
+    for start in range(0, len(body), size):
+        part = file.bytes(start, size)
+        out += ja._elements(str(path), start, len(part), inside, depth)
+        quotes, marks = ja._structure(part, file.escaped_at(start))
+        _, depths = ja._depths(part, quotes, marks, inside, depth)
+        inside, depth = bool((inside + len(quotes)) % 2), int(depths[-1]) if len(depths) else depth
+    if inside or depth:
+        raise ja.MalformedArray("open end")
+    return out
+
+
+@settings(max_examples=250, deadline=None)
+@given(st.lists(JSON, max_size=6), st.integers(1, 40), st.sampled_from([None, 1]), st.booleans())
+def test_every_cut_gives_the_same_elements(tmp_path_factory, value, size, indent, ascii_only):
+    body = ("\n " + json.dumps(value, indent=indent, ensure_ascii=ascii_only) + " \n").encode()
+    got = split_read(tmp_path_factory.mktemp("j") / "a.json", body, size)
+    assert [json.loads(e) for e in got] == value
+
+
+@pytest.mark.parametrize("text", ['', '  ', '[1, 2', '[1,,2]', '[1,]', '[,1]', '[1] [2]', '[1] x', 'x [1]', '{"a": 1}', '["a', '[1]]', '[[1]', '[1}', '"[1]"', '[1], 2',
+                                  '[1, {"a": 2]', '{"a": [1]}'])
+@pytest.mark.parametrize("size", [1, 3, 100])
+def test_what_is_no_array_raises(tmp_path, text, size):
+    body = text.encode()
+    with pytest.raises(ValueError):
+        (found := split_read(tmp_path / "a.json", body, size))
+        [json.loads(e) for e in found]  # an element that is none fails in Spark's parser
+        if not body:
+            raise ValueError("an empty file has no ranges")
+
+
+def test_one_large_array_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    r = random.Random(3)
+    boxes = [{"class_name": r.choice(['person', 'a "q" \\', 'x],[{', 'é']), "x_min": i + 0.5, "y_min": 1, "box_width": 3, "box_height": 4,
+              "extra": {"deep": [[], [1, "]"]]}} for i in range(3000)]
+    (tmp_path / "boxes.json").write_text(json.dumps(boxes, ensure_ascii=False), encoding="utf-8")
+    whole = [(b["class_name"], b["x_min"], b["box_height"]) for b in boxes]
+    real = ja.read_array
+    monkeypatch.setattr(readers, "read_array", lambda s, p: real(s, p, 5000))
+    found = readers.read_boxes_json(spark, str(tmp_path / "boxes.json"))
+    rows = found.orderBy("path", "start", "n").collect()
+    assert [(x.class_name, x.x_min, x.box_height) for x in rows] == whole
+    assert len({x.start for x in rows}) > 50
+    assert found.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).filter(bool).count() > 8
+    ids = [f"img_{i}" for i in range(2000)]
+    (tmp_path / "ids.json").write_text(json.dumps(ids))
+    assert sorted(x.id for x in readers.read_ids(spark, str(tmp_path / "ids.json")).collect()) == sorted(ids)
+    (tmp_path / "bad.json").write_text(json.dumps(boxes)[:-300])
+    with pytest.raises(ja.MalformedArray):
+        readers.read_boxes_json(spark, str(tmp_path / "bad.json"))
+    (tmp_path / "wrong.json").write_text('[{"class_name": "a", "x_min": tru}]')
+    with pytest.raises(Exception):
+        readers.read_boxes_json(spark, str(tmp_path / "wrong.json")).collect()
+    (tmp_path / "none.json").write_text("[ ]")
+    assert readers.read_ids(spark, str(tmp_path / "none.json")).collect() == []
+
+
+def test_several_files(spark, tmp_path):
+    for n in range(3):
+        (tmp_path / f"{n}.json").write_text(json.dumps([{"id": f"{n}-{i}"} for i in range(n)] + [f"s{n}"]))
+    got = sorted(r.id for r in readers.read_ids(spark, str(tmp_path)).collect())
+    assert got == ["1-0", "2-0", "2-1", "s0", "s1", "s2"]

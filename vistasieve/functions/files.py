@@ -43,6 +43,13 @@ class Folder:
         path = f"{self.root}/{name}"
         return open(path, "rb") if self.local else self.fs.open_input_stream(path)
 
+    def read_range(self, name: str, start: int, length: int) -> bytes:
+        """Up to ``length`` bytes from ``start`` on."""
+        path = f"{self.root}/{name}"
+        with open(path, "rb") if self.local else self.fs.open_input_file(path) as f:
+            f.seek(start)
+            return f.read(length)
+
     def exists(self, name: str) -> bool:
         path = f"{self.root}/{name}"
         return os.path.exists(path) if self.local else bool(self.fs.get_file_info(path).type)

@@ -317,9 +317,9 @@ def convert_boxes_file(spark: SparkSession, boxes_json: str, width: int, height:
     """YOLO lines for one image's COCO boxes (unknown classes skipped)."""
     from vistasieve.sources.readers import read_boxes_json
 
-    b = read_boxes_json(spark, boxes_json).withColumn("pos", F.monotonically_increasing_id()).withColumn(
-        "image_id", F.lit(0)).withColumn("width", F.lit(width)).withColumn("height", F.lit(height))
-    return box_ops.render_lines(box_ops.to_yolo(b, classes_df(spark, classes), strict=True)).orderBy("pos").select("line")
+    b = read_boxes_json(spark, boxes_json).withColumn("image_id", F.lit(0)).withColumn("width", F.lit(width)).withColumn("height", F.lit(height))
+    lines = box_ops.render_lines(box_ops.to_yolo(b, classes_df(spark, classes), strict=True))
+    return lines.orderBy("path", "start", "n").select("line")
 
 
 def check_sources(spark: SparkSession, sources: list[SourceDef], names: list[str] | None = None) -> DataFrame:

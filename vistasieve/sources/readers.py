@@ -21,6 +21,7 @@ from vistasieve.functions import labels
 from vistasieve.functions.files import Folder, path_exists
 from vistasieve.functions.scalar import decoded_uri, file_name, file_stem, normalize_path, parent_dir
 from vistasieve.operators.rank import global_rank, materialize
+from vistasieve.sources.json_arrays import read_array
 
 Reader = Callable[[SparkSession, SourceDef], DataFrame]
 BoxReader = Callable[[SparkSession, SourceDef, DataFrame], DataFrame]
@@ -235,21 +236,24 @@ BOX_SCHEMA = T.StructType([
 
 
 def read_boxes_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON list of boxes (multi-line JSON array), with a fixed schema."""
-    return spark.read.schema(BOX_SCHEMA).option("multiLine", True).json(path)
+    """A JSON array of boxes, with a fixed schema, in the order of the file (``path``, ``start``, ``n``).
+
+    The array is split over tasks. Malformed JSON raises.
+    """
+    found = read_array(spark, path)
+    box = F.from_json("element", BOX_SCHEMA, {"mode": "FAILFAST"})
+    return found.select("path", "start", "n", box.alias("b")).select("b.*", "path", "start", "n")
 
 
 def read_ids(spark: SparkSession, path: str, col: str = "id") -> DataFrame:
-    """An id list from JSON (an array of strings, or of records with ``col``) or parquet. Malformed JSON raises."""
+    """An id list from JSON (an array of strings, or of records with ``col``) or parquet, split over tasks.
+    Malformed JSON raises."""
     if path.endswith(".parquet"):
         return spark.read.parquet(path).select(col)
-    raw = spark.read.text(path, wholetext=True)
-    strict = {"mode": "FAILFAST"}
-    records = F.from_json("value", T.ArrayType(T.StructType([T.StructField(col, T.StringType())])), strict)
-    ids = F.when(F.col("value").rlike(r"^\s*\[\s*\{"), F.transform(records, lambda r: r[col])).otherwise(
-        F.from_json("value", T.ArrayType(T.StringType()), strict))
-    ids = F.when(ids.isNull(), F.raise_error(F.lit(f"{path} is not a JSON list of ids"))).otherwise(ids)
-    return raw.select(F.explode(ids).alias(col))
+    found, strict = read_array(spark, path), {"mode": "FAILFAST"}
+    record = F.from_json("element", T.StructType([T.StructField(col, T.StringType())]), strict)[col]
+    plain = F.from_json(F.concat(F.lit("["), "element", F.lit("]")), T.ArrayType(T.StringType()), strict)
+    return found.select(F.when(F.col("element").startswith("{"), record).otherwise(F.get(plain, F.lit(0))).alias(col))
 
 
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
