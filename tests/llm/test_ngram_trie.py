@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 from vistasieve.llm import exchange
 from vistasieve.llm import ngram_trie as nt
 
-from .conftest import DOC_SCHEMA
+from .conftest import DOC_SCHEMA, SF_SMALL
+
+
+def rounded(x):
+    """The nearest power of 2^(1/8), by plain arithmetic."""
+    return 2.0 ** (-min(254, round(-8 * math.log2(x))) / 8)
 
 
 def brute(documents, learn):
-    """Base score, model score and counts from plain dictionaries, without quantisation (one shard's weights)."""
+    """Base score, model score and counts from plain dictionaries."""
     token = lambda t: (t or "").encode().lower().split()
     uni, ctx, two, three, docs = Counter(), Counter(), Counter(), Counter(), 0
     for d, t in documents:
@@ -27,23 +32,15 @@ def brute(documents, learn):
             three.update(zip(w, w[1:], w[2:]))
             ctx.update(w[:-1])
     n, v = sum(uni.values()), len(uni)
-    again, events = Counter(), Counter()
-    for g, c in three.items():
-        total = two[g[:2]]
-        if total > 1:
-            k = int(math.log2(total - 1))
-            events[k] += c
-            again[k] += c if c > 1 else 0
-    weight = {k: again[k] / (events[k] + 1) for k in events}
+    kinds = Counter(g[:2] for g in three)
     p1 = lambda w: (uni[w] + 0.5) / (n + 0.5 * (v + 1))
     p2 = lambda a, w: (two[a, w] + nt.KAPPA * p1(w)) / (ctx[a] + nt.KAPPA)
 
     def p3(a, b, w):
-        total = two[a, b]
-        if not total:
+        if not two[a, b]:
             return p2(b, w)
-        k = weight.get(int(math.log2(total)), 0.0)
-        return k * three[a, b, w] / total + max(1 - k, 1e-6) * p2(b, w)
+        whole = two[a, b] + kinds[a, b]
+        return (rounded(three[a, b, w] / whole) if three[a, b, w] else 0) + rounded(kinds[a, b] / whole) * p2(b, w)
 
     out = []
     for d, t in documents:
@@ -63,8 +60,7 @@ def compare(df, learn_col, want, slack):
     return got
 
 
-def test_exact_where_codebooks_are(spark, monkeypatch):
-    """Few distinct values, so the codebooks are exact; many blocks, one shard."""
+def test_odd_rows_and_many_blocks(spark, monkeypatch):
     monkeypatch.setattr(nt, "BLOCK_BYTES", 300)
     rng = random.Random(3)
     words = ["a", "B", "b", "ç", "Ç", "dd", "e e", "f."]
@@ -74,14 +70,14 @@ def test_exact_where_codebooks_are(spark, monkeypatch):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "1")
     try:
-        compare(df, F.col("doc_id") % 5 != 1, brute(docs, lambda d: d is None or d % 5 != 1), 1e-6)
+        compare(df, F.col("doc_id") % 5 != 1, brute(docs, lambda d: d is None or d % 5 != 1), 1e-9)
         compare(df, F.lit(False), brute(docs, lambda d: False), 1e-9)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert nt.score_texts(df.limit(0), F.lit(True)).collect() == []
 
 
-def test_counts_beyond_a_codebook(spark):
+def test_many_different_counts(spark):
     """Zipf counts, more than 255 distinct ones in the only shard: every bigram count is exact."""
     many = {f"w{i}": 3000 // i if i < 40 else 340 - i for i in range(1, 340)}
     assert len(set(many.values())) > 255
@@ -90,7 +86,7 @@ def test_counts_beyond_a_codebook(spark):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "1")
     try:
-        compare(df, F.lit(True), brute(docs, lambda d: True), 1e-6)
+        compare(df, F.lit(True), brute(docs, lambda d: True), 1e-9)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     key = np.arange(400, dtype=np.uint64)
@@ -102,7 +98,7 @@ def test_counts_beyond_a_codebook(spark):
 def test_documents(spark, monkeypatch, documents):
     monkeypatch.setattr(exchange, "SHARD_BYTES", 100_000)
     df = spark.createDataFrame([(i, t, "r", 1, 2, "f", "z", 3, 4) for i, t in documents], DOC_SCHEMA)
-    got = compare(df, F.col("doc_id") % 5 != 1, brute(documents, lambda d: d % 5 != 1), 0.05)
+    got = compare(df, F.col("doc_id") % 5 != 1, brute(documents, lambda d: d % 5 != 1), 1e-9)
     held = [g for g in got if not g[1]]
     assert sum(g[6] for g in held) > sum(g[5] for g in held)
 
@@ -133,10 +129,26 @@ def test_pointers_may_repeat():
     assert (ef.get(np.arange(6)) == values).all()
 
 
-def test_codebook_bins():
-    values = np.random.default_rng(0).standard_normal(5000)
-    codes, centres = nt.codebook(values)
-    assert codes.min() >= 1 and np.abs(centres[codes] - values).mean() < 0.02
-    few = np.array([3.0, 1.0, 3.0])
-    codes, centres = nt.codebook(few)
-    assert (centres[codes] == few).all()
+def test_grid():
+    values = np.r_[10 ** -np.random.default_rng(0).uniform(0, 9.5, 5000), 0.5 ** np.arange(30)]
+    codes = nt.quantise(values)
+    assert codes.min() >= 1 and (np.abs(nt.GRID_VALUES[codes] / values - 1) < 0.0445).all()
+    assert np.allclose(nt.GRID_VALUES[codes[5000:]], values[5000:], rtol=1e-12)
+    assert nt.quantise(np.array([1.0, 1e-30])).tolist() == [1, 255] and nt.GRID_VALUES[0] == 0
+
+
+def test_scores_do_not_follow_partitions_or_shards(spark, monkeypatch):
+    """The whole small table, at 1, 4 and 32 partitions and two sizes of shards and blocks: the same model."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    old, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts, shard, block in ((1, 8 << 20, 7 << 20), (4, 8 << 20, 50_000), (32, 8 << 20, 7 << 20), (4, 20_000, 7 << 20)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            monkeypatch.setattr(nt, "SHARD_BYTES", shard)
+            monkeypatch.setattr(nt, "BLOCK_BYTES", block)
+            found.append({r.doc_id: (r.base_score, r.score) for r in nt.score_texts(docs, F.col("doc_id") % 5 != 1).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        assert all(abs(x - y) <= 1e-9 * abs(x) for k, v in found[0].items() for x, y in zip(v, other[k]))

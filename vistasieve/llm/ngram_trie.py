@@ -4,18 +4,22 @@ The model is an interpolated trigram model over lower-cased words with begin and
 
     p1(w)      = (c(w) + 0.5) / (N + 0.5 (V + 1))
     p2(w | a)  = (c(a w) + KAPPA p1(w)) / (c(a) + KAPPA)
-    p3(w | ab) = weight * c(a b w) / c(a b) + (1 - weight) p2(w | b)          (p2 where "a b" was never learned)
+    p3(w | ab) = q(c(a b w) / (c(a b) + T(a b))) + q(T(a b) / (c(a b) + T(a b))) p2(w | b)     (p2 where "a b" was never learned)
 
-``weight`` depends on the size class of c(a b) and is estimated by leaving one out: the share of learned trigrams in
-contexts one larger that occur again in their context.
+T(a b) is the number of distinct words learned behind "a b" (Witten and Bell's smoothing), so what a context stores
+follows from its own counts. ``q`` rounds a logarithm to a fixed grid of eighths of a power of two, 8 bits wide: an error
+of at most 4.5 % at any size, halves exact, values below 2^-31.75 raised to it. No number depends on how many blocks,
+shards or partitions there are, or on the size of the table.
 
 Counting and scoring go through blocks and shards (see ``exchange``): a shard owns the words and the bigrams that hash
 to it, with all trigrams that extend them. It builds a trie of two levels below its contexts: sorted bigram keys, the
 monotone pointers to each one's successors, and the successors' 32-bit codes, made monotone by their context's rank.
 All three are Elias-Fano sequences (packed low bits, unary high bits with select directories); smoothed trigram
-probabilities and back-off weights lie beside them as 8-bit codes into codebooks of equal-population bins, bigram counts
-as bytes, with those of ``LARGE`` or more in a list of their own, so that they are exact. The level file is written to the shared folder, mapped into memory (read whole where the store is no file
-system), queried by successor search relative to the context, and deleted unless ``keep`` names a folder for it.
+probabilities and back-off weights lie beside them as 8-bit codes of the grid, bigram counts as bytes, with those of
+``LARGE`` or more in a list of their own, so that they are exact (p2 needs the count of its first word, which another
+shard owns, and is smoothed where the answers meet). The level file is written to the shared folder, mapped into memory
+(read whole where the store is no file system), queried by successor search relative to the context, and deleted
+unless ``keep`` names a folder for it.
 
 What a task holds is bounded by block and shard sizes; the number of shards grows with the text. Words and contexts are
 named by hashes (64 bits choose the shard, 56 tell contexts apart in it), successors by 32-bit hashes in their context.
@@ -136,43 +140,40 @@ class EliasFano:
         return lo, found
 
 
-def codebook(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """8-bit codes (from 1; 0 is for "absent") and the 256 centres: exact up to 255 values, else equal-population bins."""
-    kinds, number = np.unique(values, return_inverse=True)
-    if len(kinds) > 255:
-        ordered = np.sort(values)
-        edges = np.unique(ordered[np.arange(1, 255) * len(values) // 255])
-        number = np.searchsorted(edges, values, side="right")
-        size = np.bincount(number, minlength=255)
-        kinds = np.bincount(number, values, minlength=255) / np.maximum(size, 1)
-    centres = np.zeros(256)
-    centres[1:1 + len(kinds)] = kinds
-    return (number + 1).astype(np.uint8), centres
+GRID = np.log10(2) / 8  # between neighbouring values, as logarithms
+
+
+def quantise(values: np.ndarray) -> np.ndarray:
+    """8-bit codes (from 1; 0 is for "absent") of probabilities."""
+    with np.errstate(divide="ignore"):
+        return (np.clip(np.rint(-np.log10(values) / GRID), 0, 254) + 1).astype(np.uint8)
+
+
+#: The value of each code, "absent" first.
+GRID_VALUES = np.r_[0.0, 10 ** (-GRID * np.arange(255))]
 
 
 class Trie:
     """Levels of a shard: contexts, pointers and successors, with codes; serialised as one file."""
 
-    PARTS = 3 * len(EliasFano.FIELDS) + 7
+    PARTS = 3 * len(EliasFano.FIELDS) + 5
 
     def __init__(self, arrays: list[np.ndarray]):
         self.arrays = arrays
         self.contexts, self.pointers, self.successors = (EliasFano(arrays[i:i + 5]) for i in (0, 5, 10))
-        self.counts, self.large, self.large_count, self.backoff, self.prob, self.backoff_book, self.prob_book = arrays[15:]
+        self.counts, self.large, self.large_count, self.backoff, self.prob = arrays[15:]
 
     @classmethod
     def build(cls, key: np.ndarray, count: np.ndarray, children: np.ndarray, code: np.ndarray, freq: np.ndarray) -> Trie:
         """Sorted context keys with their counts and numbers of successors; successors' codes (sorted) and counts."""
         rank = np.repeat(np.arange(len(key), dtype=np.uint64), children)
-        total = np.repeat(count, children)
-        weight = leave_one_out(count, total, freq)
-        w = weight[size_class(count)]
         large = np.flatnonzero(count >= LARGE)
-        backoff, backoff_book = codebook(np.log10(np.maximum(1 - w, 1e-6)))
-        prob, prob_book = codebook(np.log10(np.maximum(np.repeat(w, children) * freq / np.maximum(total, 1), 1e-30)))
+        kinds = np.maximum(children, 1)  # no word follows a mark of the end
+        backoff = quantise(kinds / (count + kinds))
+        prob = quantise(freq / np.repeat(count + kinds, children))
         return cls([*EliasFano.encode(key, 1 << KEY_BITS).arrays, *EliasFano.encode(offsets(children), len(code) + 1).arrays,
                     *EliasFano.encode(rank << np.uint64(32) | code, max(1, len(key)) << 32).arrays,
-                    np.minimum(count, LARGE).astype(np.uint8), large, count[large], backoff, prob, backoff_book, prob_book])
+                    np.minimum(count, LARGE).astype(np.uint8), large, count[large], backoff, prob])
 
     def dump(self) -> bytes:
         """Header of kinds and sizes, then the arrays, each at a multiple of eight bytes."""
@@ -211,19 +212,6 @@ class Trie:
         return counts, backoff, prob
 
 
-def size_class(count: np.ndarray) -> np.ndarray:
-    return np.minimum(np.log2(np.maximum(count, 1)).astype(np.int64), 39)
-
-
-def leave_one_out(count: np.ndarray, total: np.ndarray, freq: np.ndarray) -> np.ndarray:
-    """For each size class of a context: the share of its trigrams that are seen again, with one left out."""
-    more = total > 1
-    kind = size_class(total[more] - 1)
-    events = np.bincount(kind, freq[more], minlength=40)
-    again = np.bincount(kind, np.where(freq[more] > 1, freq[more], 0), minlength=40)
-    return np.where(events > 0, again / (events + 1), 0.0)
-
-
 def load_levels(folder: Folder, name: str) -> np.ndarray:
     if folder.local:
         return np.memmap(f"{folder.root}/{name}", np.uint8, "r")
@@ -319,12 +307,11 @@ class Block:
         pair = np.zeros(len(self.key))
         backoff, prob = np.zeros(len(self.key)), np.zeros(len(self.code))
         for (_, w, p, t), got in zip(self.parts(), answers, strict=True):
-            words, c, b, q, book_b, book_q = exchange.unpack(got)
+            words, c, b, q = exchange.unpack(got)
             count[2 + self.word_order[w]] = unshuffled(words, np.int64)
             pair[p] = unshuffled(c, np.int64)
-            for target, part, codes, book in ((backoff, p, b, book_b), (prob, t, q, book_q)):
-                codes, book = np.frombuffer(codes, np.uint8), np.frombuffer(book, np.float32).astype(np.float64)
-                target[part] = np.where(codes > 0, 10 ** book[codes], 1.0 if target is backoff else 0.0)
+            backoff[p], prob[t] = (GRID_VALUES[np.frombuffer(x, np.uint8)] for x in (b, q))
+        backoff[pair == 0] = 1.0  # never learned: the whole weight is p2's
         p1 = (count + 0.5) / (tokens + 0.5 * (kinds + 1))
         known = np.r_[0, np.cumsum(count[self.seq[self.second]] > 0)]
         context = count.copy()
@@ -372,7 +359,6 @@ def answer_shard(questions: list[bytes], folder: str, keep: bool) -> tuple[list[
     del trie
     levels = Trie.load(load_levels(store, name))
     codes = levels.lookup(key, np.bincount(context, minlength=len(key)), code)
-    books = [np.array(b, np.float32) for b in (levels.backoff_book, levels.prob_book)]
     del levels
     if not keep:
         store.delete([name])
@@ -381,7 +367,7 @@ def answer_shard(questions: list[bytes], folder: str, keep: bool) -> tuple[list[
         p, t = pair_of[pairs:pairs + n_pairs], triple_of[triples:triples + n_triples]
         pairs, triples = pairs + n_pairs, triples + n_triples
         out.append(exchange.pack(shuffled(np.array([words[w] for w in own], np.int64)), shuffled(codes[0][p]),
-                                 codes[1][p], codes[2][t], *books))
+                                 codes[1][p], codes[2][t]))
     return out, [sum(words.values()), sum(1 for c in words.values() if c)]
 
 
