@@ -78,3 +78,17 @@ def test_oracle(spark):
     res = duck(SF_SMALL).execute(ORACLE["op7_warc"])
     cols = [d[0] for d in res.description]
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(cols, res.fetchall())
+
+
+def test_every_shard_is_one_task_and_null_ids_spread(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ww, "SHARD_BYTES", 3000)
+    rows = [(i, "u", f"{i} " * 200) for i in range(60)] + [(None, "n", f"null {i} " * 30) for i in range(60)] + [(None, "n", "null 1 " * 30)] * 2
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    listed = ww.write_warc(df, str(tmp_path / "w"))
+    shards = {r.shard: r.records for r in spark.read.parquet(f"{tmp_path}/w/_manifest").collect()}
+    assert len(shards) >= 10 and max(shards.values()) < 40
+    back = ww.read_warc(listed).collect()
+    assert sorted(str(r.page_id) + r.payload.decode() for r in back) == sorted(str(i) + t for i, _, t in rows)
+    idents = [m.split(b"WARC-Record-ID: ")[1].split(b"\r\n")[0] for r in listed.collect()
+              for m in ww.read_members(open(f"{r.folder}/{r.name}", "rb")) if b"X-Page-ID" in m or b"null" in m]
+    assert len(idents) == len(set(idents)) >= len(rows)

@@ -87,9 +87,9 @@ def questions(blocks: DataFrame, answers: DataFrame | None, ask: Callable[..., l
     return by_block(blocks, answers, work, ROW)
 
 
-def answer(asked: DataFrame, reply: Callable[[list[bytes]], tuple[list[bytes], list[int]]], name: str) -> DataFrame:
+def answer(asked: DataFrame, reply: Callable[[list[bytes]], tuple[list[bytes], list[int]]], name: str, shards: int) -> DataFrame:
     """``reply(questions)`` answers all questions put to a shard and adds totals of the shard. The written answers
-    carry block and shard, and ``totals`` once for each shard (else null)."""
+    carry block and shard, and ``totals`` once for each shard (else null). Every shard is a partition of its own."""
     def work(part: pa.Table) -> pa.Table:
         order = np.argsort(part.column("block").to_numpy(), kind="stable")  # the same order however rows arrive
         part = part.take(pa.array(order))
@@ -97,4 +97,9 @@ def answer(asked: DataFrame, reply: Callable[[list[bytes]], tuple[list[bytes], l
         return pa.table({"block": part.column("block"), "shard": part.column("shard"), "payload": pa.array(got, pa.binary()),
                          "totals": pa.array([totals] + [None] * (len(got) - 1), pa.list_(pa.int64()))})
 
-    return written(asked.groupBy("shard").applyInArrow(work, f"{ROW}, totals array<bigint>"), name)
+    def run(batches):
+        part = pa.Table.from_batches([*batches], _rows([]).schema)
+        for shard in pa.compute.unique(part.column("shard")).to_pylist():
+            yield from work(part.filter(pa.compute.equal(part.column("shard"), shard))).to_batches()
+
+    return written(asked.repartitionById(shards, "shard").mapInArrow(run, f"{ROW}, totals array<bigint>"), name)

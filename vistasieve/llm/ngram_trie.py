@@ -393,7 +393,7 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: st
 
     blocks = exchange.make_blocks(rows, build, BLOCK_BYTES)
     asked = exchange.questions(blocks, None, lambda payload, _: Block(payload, shards).ask())
-    answers = exchange.answer(asked, lambda q: answer_shard(q, folder, keep is not None), "ngram-answers")
+    answers = exchange.answer(asked, lambda q: answer_shard(q, folder, keep is not None), "ngram-answers", shards)
     total = answers.agg(F.sum(F.col("totals")[0]), F.sum(F.col("totals")[1])).first()
     learned = rows.where("learn").count()
     tokens, kinds = (total[0] or 0) + learned, (total[1] or 0) + (learned > 0)

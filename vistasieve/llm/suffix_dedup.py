@@ -276,8 +276,8 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("binary").alias("body"))
     blocks = exchange.make_blocks(rows, build)
-    shared = exchange.answer(exchange.questions(blocks, None, ask_minimizers), shared_minimizers, "minimizers")
-    least = exchange.answer(exchange.questions(blocks, shared, ask_contexts), lambda p: least_owners(p, length), "contexts")
+    shared = exchange.answer(exchange.questions(blocks, None, ask_minimizers), shared_minimizers, "minimizers", shards)
+    least = exchange.answer(exchange.questions(blocks, shared, ask_contexts), lambda p: least_owners(p, length), "contexts", shards)
     out = exchange.by_block(blocks, shared.unionByName(least), cut,
                             "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
     return out.withColumnRenamed("id", id_col)

@@ -13,8 +13,8 @@ writes the final manifest; what lost attempts left under temporary names is then
 The folder must be one that all executors reach: a shared file system path, or any store pyarrow's file systems open.
 
 Defined cases: a null payload is an empty one; a null url is left out of the headers, control characters in a url are
-percent-encoded; null ids sort first and are never referred to while an id exists (equal payloads with only null ids
-are all responses); repeated rows are written each, and rows that share the largest id are all responses; an empty
+percent-encoded; records without an id are dealt to shards by their payload's digest, which names them, come first in
+their shard, and are never referred to while an id exists (equal payloads with only null ids are all responses); repeated rows are written each, and rows that share the largest id are all responses; an empty
 table gives an empty manifest; columns other than id, url and payload are ignored.
 """
 
@@ -65,10 +65,11 @@ def page_record(page, url, body: bytes, digest: str, refers_to, copy: int) -> by
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n".encode()
     fields = [("WARC-Target-URI", None if url is None else safe_url(url)), ("Content-Type", "application/http; msgtype=response"),
               ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Page-ID", page)]
+    ident = record_id(digest if page is None else page, copy)
     if refers_to is None:
-        return member("response", record_id(page, copy), fields, http + body)
+        return member("response", ident, fields, http + body)
     fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(refers_to)), ("X-Refers-To-Page-ID", refers_to)]
-    return member("revisit", record_id(page, copy), fields, http)
+    return member("revisit", ident, fields, http)
 
 
 class Roller:
@@ -134,12 +135,13 @@ def write_warc(pages: DataFrame, folder: str | None = None, id_col: str = "page_
     shards = max(partitions_for(spark), 1 + (size or 0) // SHARD_BYTES)
     bounds = shard_bounds(pages.select(F.col(id_col).cast("long").alias("page")), shards, n)
     edges = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<long>")
-    shard = F.when(F.col("page").isNull(), 0).otherwise(F.size(F.filter(edges, lambda b: b <= F.col("page"))))
+    # rows without an id go to shards by their payload
+    shard = F.when(F.col("page").isNull(), F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int")).otherwise(F.size(F.filter(edges, lambda b: b <= F.col("page"))))
     # A revisit's reference comes just before its record, as a row without a body, so payloads are shuffled once.
     refs = references(rows, revisit_from).select("page", F.lit(None).cast("string").alias("url"),
                                                  F.lit(None).cast("binary").alias("body"), "digest", "refers_to")
     both = rows.withColumn("refers_to", F.lit(None).cast("long")).unionByName(refs)
-    dealt = (both.withColumn("shard", shard).repartition(shards, "shard")
+    dealt = (both.withColumn("shard", shard).repartitionById(shards, "shard")
              .sortWithinPartitions("shard", "page", "digest", F.col("refers_to").asc_nulls_last(), "url"))
 
     def write(batches):
