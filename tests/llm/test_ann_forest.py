@@ -39,6 +39,23 @@ def test_recall_on_the_table(spark):
         assert found == sorted(found, key=lambda x: (x[1], x[0]))
 
 
+def test_recall_beyond_the_least_number_of_candidates(spark):
+    """4,000 unit vectors without structure, in production parameters: about half of them are compared with a query."""
+    vectors = np.random.default_rng(9).standard_normal((4000, 64))
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors / np.linalg.norm(vectors, axis=1)[:, None])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = grouped(af.nearest(df, F.col("vec_id") % 100 == 0, k=10).collect())
+    want = brute(rows, [r for r in rows if r[0] % 100 == 0], 10)
+    assert got.keys() == want.keys()
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) / (10 * len(want)) >= 0.9
+    vectors = np.array([v for _, v in rows])
+    keys = np.stack([af.hash_strings(vectors, vectors.mean(axis=0), t) for t in range(af.TREES)])
+    by = np.argsort(keys, axis=1, kind="stable").astype(np.int32)
+    seen = [len(af.candidates(np.take_along_axis(keys, by.astype(np.int64), axis=1), by, keys[:, q], max(af.LEAST, 11 + int(af.SHARE * 4000))))
+            for q in range(0, 4000, 200)]
+    assert af.LEAST < min(seen) and np.mean(seen) < 0.6 * 4000
+
+
 def test_many_shards_blocks_and_copies(spark, monkeypatch):
     monkeypatch.setattr(af, "SHARD_BYTES", 8 * 8 * 300)
     monkeypatch.setattr(af, "QUERY_BLOCK_BYTES", 8 * 8 * 20)

@@ -1,10 +1,19 @@
+import hashlib
+
 import numpy as np
 import pytest
 
-from vistasieve.llm.decontam_fm import FMIndex, decontaminate, verdicts, words_of
+from vistasieve.llm import decontam_fm
+from vistasieve.llm.decontam_fm import FMIndex, Phrases, decontaminate, search_shard, verdicts, words_of
+from vistasieve.llm.queries import ORACLE, op8_decontaminate
+from vistasieve.plans.check import duck, rows_of
 
 
 def brute(documents, items, width=13):
+    return {d: v[:4] for d, v in brute_with_items(documents, items, width).items()}
+
+
+def brute_with_items(documents, items, width=13):
     out = {}
     phrases = {}
     for item, text in items:
@@ -19,7 +28,8 @@ def brute(documents, items, width=13):
                 if tuple(w[i:i + size]) in phrases:
                     hit.update(range(i, i + size))
                     found |= phrases[tuple(w[i:i + size])]
-        out[doc] = (len(w), len(hit), len(found), len(hit) > 0 and 20 * len(hit) >= len(w))
+        out[doc] = (len(w), len(hit), len(found), len(hit) > 0 and 20 * len(hit) >= len(w),
+                    hashlib.sha256(",".join(sorted(found)).encode()).hexdigest())
     return out
 
 
@@ -40,6 +50,7 @@ def test_matches_brute_force(spark, case, block_bytes):
     got = verdicts(decontaminate(df, bench, block_bytes=block_bytes)).collect()
     assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.contaminated) for r in got} == brute(docs, items)
     assert sum(r.n_hit > 0 for r in got) > 5
+    assert {r.doc_id: r.items_sha256 for r in got} == {d: v[4] for d, v in brute_with_items(docs, items).items()}
 
 
 def test_empty_tables(spark, case):
@@ -61,3 +72,41 @@ def test_index_finds_every_occurrence():
         for p, a, b in zip(phrases, lo, hi):
             want = [i for i in range(len(seq) - size + 1) if (seq[i:i + size] == p).all()]
             assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query_equals_sql(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    df = op8_decontaminate(spark, folder)
+    found = duck(folder).execute(ORACLE["op8_decontaminate"])
+    want = rows_of([d[0] for d in found.description], found.fetchall())
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == want
+    assert any(r[want[0].index("contaminated")] for r in want[1])
+
+
+def test_what_is_sent_stays_near_the_text(monkeypatch):
+    import pickle
+
+    rng = np.random.default_rng(6)
+    text = " ".join("%x" % x for x in rng.integers(0, 16**5, 200_000)).encode()
+    items = [(str(i), part) for i, part in enumerate(text[k:k + 600] for k in range(0, len(text), 600))]
+    sent = pickle.dumps(Phrases(items, 13))
+    assert len(sent) < 5 * len(text)
+    monkeypatch.setattr(decontam_fm, "WINDOWS_AT_ONCE", 7)
+    few = Phrases(items[:5], 13)
+    counts, spans, found = search_shard([items[2][1], None, b"", b"x " + items[0][1]], few)
+    assert found == [{"2"}, set(), set(), {"0"}] and spans[0] == [0, counts[0]] and spans[3] == [1, counts[3]]
+
+
+def test_a_long_text():
+    """20 MB in one document, with a phrase near its end, in bounded memory."""
+    import tracemalloc
+
+    phrase = b"one two three four five six seven eight nine ten eleven twelve thirteen"
+    body = b"lorem ipsum dolor sit amet " * 740_000 + phrase + b" end"
+    tracemalloc.start()
+    counts, spans, found = search_shard([body], Phrases([("7", phrase)], 13))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts[0] == 740_000 * 5 + 14 and spans == [[3_700_000, 3_700_013]] and found == [{"7"}]
+    assert peak < 12 * len(body)

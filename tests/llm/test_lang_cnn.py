@@ -27,6 +27,42 @@ def test_convolution_is_one_hot_convolution():
         assert np.allclose(model.convolve(x, t), want, atol=1e-5)
 
 
+def forward(model, body):
+    """Label and score of a text by plain loops: windows, filters, maxima, softmax, mean weighted by bytes."""
+    sums, total = np.zeros(len(model.labels)), 0.0
+    for at in range(0, len(body), lc.WINDOW):
+        window = body[at:at + lc.WINDOW]
+        padded = list(window) + [0] * (lc.WINDOW - len(window))
+        features = []
+        for table in model.tables:
+            width, filters = len(table), table.shape[2]
+            for f in range(filters):
+                features.append(max(sum(float(table[j][padded[i + j]][f]) for j in range(width)) for i in range(lc.WINDOW - width + 1)))
+        hidden = [max(0.0, x + float(b)) for x, b in zip(features, model.bias)]
+        logits = [sum(h * float(w) for h, w in zip(hidden, model.dense[:, k])) + float(model.out_bias[k]) for k in range(len(model.labels))]
+        top = max(logits)
+        e = [np.exp(x - top) for x in logits]
+        weight = sum(1 for b in padded if b) + 1e-9
+        sums += weight * np.array(e) / sum(e)
+        total += weight
+    best = int(np.argmax(sums))
+    return model.labels[best], sums[best] / total
+
+
+def test_predictions_equal_plain_loops(spark, documents):
+    """The whole way from text to label, on texts of less than a window, of several, and with odd bytes."""
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog " * 8, "en"), ("der hund und die katze " * 8, "de")] * 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lc.fit(df, F.lit(True))
+    texts = sorted({t for _, t in documents if t and lc.has_letter(t.encode())}, key=len)
+    texts = texts[:6] + [t for t in texts if 300 < len(t) < 900][:4] + ["x\x00y", "ß"]
+    got = lc.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        label, score = forward(model, texts[r.doc_id].encode())
+        assert r.lang_pred == label and abs(r.score - score) < 1e-4
+
+
 def test_defined_cases(spark):
     rows = [(i, t, lang) for i, (t, lang) in enumerate(
         [("the cat and the dog " * 8, "en"), ("der hund und die katze " * 8, "de")] * 40)]

@@ -9,7 +9,9 @@ levels, so ties are never cut). Candidates are compared exactly, in double preci
 The centre is the mean of at most ``CENTRE_ROWS`` vectors drawn by hash; every row is indexed. Queries are broadcast in
 blocks of at most ``QUERY_BLOCK_BYTES``, with one pass over the index for each block. On vectors without structure
 (nearest and average distance within a factor 1.3) recall of 0.9 needs about a third of the rows as candidates; the
-share is a parameter.
+share is a parameter. ``LEAST`` rows of a shard are gathered in any case, so a shard of fewer is searched whole; tests
+measure recall on 4,000 vectors. Signs see directions only: on vectors of very different lengths without structure (4,000
+normal ones in 64 dimensions) the same share finds 0.86 of the nearest.
 
 Defined cases: vectors that are null, all zero, or hold null or non-finite values take no part, nor do rows with a null
 id and vectors not of the table's most common length (of equally common ones the shorter), queries or not; rows with the query's id are not its

@@ -5,8 +5,10 @@ and end a run), the suffix array of the runs gives a BWT kept as a wavelet matri
 searched backwards through it, occurrences are located by walking to sampled suffix positions, and the word spans are
 merged per document. Runs shorter than the shortest phrase cannot hold one and are left out before indexing.
 
-Phrases are broadcast in blocks of at most ``block_bytes`` of benchmark text; a larger benchmark takes one pass per
-block over a table written between passes.
+Phrases are broadcast in blocks of about ``block_bytes`` of benchmark text, kept as word numbers, so that a block sends a few
+times that at most (all its words different: 150 MB once unpacked, at 8 MB of text); a larger benchmark takes one pass
+per block over a table written between passes. A document is never cut: a text takes about eight times its size in
+the task that has it.
 
 Defined cases: null or wordless texts have no words, hit nothing and count as clean; items without words are ignored; a null item_id adds hits but no item;
 an empty benchmark leaves every document clean; repeated rows (also of one doc_id) are judged one by one; repeated
@@ -15,19 +17,19 @@ items each count; columns other than the id and the text are ignored.
 
 from __future__ import annotations
 
-from itertools import repeat
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vistasieve.llm.common import merge_spans, offsets, ranges, slices, utf8, with_fields, written
+from vistasieve.llm.words import split_words
 
 #: Bytes that are part of a word map to themselves, A-Z to a-z, all others to a blank.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
                    for b in range(256))
 SAMPLE_EVERY = 16  # text positions between two sampled suffixes
+WINDOWS_AT_ONCE = 1 << 16  # windows that are searched together
 
 
 def words_of(body: bytes | None) -> list[bytes]:
@@ -143,34 +145,38 @@ class FMIndex:
 
 
 class Phrases:
-    """The windows of a block of benchmark items: word numbers, windows by length, and the items of each window."""
+    """The windows of a block of benchmark items: the items' words as numbers, end to end, and where windows of each
+    length begin and whose they are. About 12 bytes a word, besides each distinct word once."""
 
     def __init__(self, items: list[tuple], width: int):
         self.number: dict[bytes, int] = {}
-        found: dict[tuple, set] = {}
-        for item, body in items:
-            ids = tuple(self.number.setdefault(w, len(self.number) + 1) for w in words_of(body))
-            for i in range(max(1, len(ids) - width + 1) if ids else 0):
-                found.setdefault(ids[i:i + width], set()).update(() if item is None else (item,))
-        self.by_length: dict[int, tuple[np.ndarray, list]] = {}
-        for size in sorted({len(x) for x in found}):
-            own = [x for x in found if len(x) == size]
-            self.by_length[size] = (np.array(own, np.int64), [found[x] for x in own])
+        self.ids = [item for item, _ in items]
+        parts = [np.fromiter((self.number.setdefault(w, len(self.number) + 1) for w in words_of(body)), np.int32) for _, body in items]
+        lens = np.array([len(p) for p in parts], np.int64)
+        self.flat = np.concatenate([np.zeros(0, np.int32), *parts])
+        first, size = offsets(lens)[:-1], np.minimum(lens, width)
+        many = np.where(lens > 0, lens - size + 1, 0)
+        start, owner = ranges(first, many).astype(np.int32), np.repeat(np.arange(len(items), dtype=np.int32), many)
+        self.by_length = {int(n): (start[mine], owner[mine]) for n in np.unique(size[lens > 0]) for mine in [size[owner] == n]}
         self.shortest = min(self.by_length, default=0)
 
+    def windows(self, size: int):
+        """Windows of a length as rows, a bounded number at a time, with their items."""
+        start, owner = self.by_length[size]
+        for lo in range(0, len(start), WINDOWS_AT_ONCE):
+            yield self.flat[start[lo:lo + WINDOWS_AT_ONCE, None] + np.arange(size)].astype(np.int64), owner[lo:lo + WINDOWS_AT_ONCE]
+
 
 def search_shard(bodies: list[bytes | None], phrases: Phrases):
     """Per document of a shard: word count, merged hit spans (flat array lo, hi, ...) and the set of items found."""
-    counts, parts = np.zeros(len(bodies), np.int64), []
-    for d, body in enumerate(bodies):
-        words = words_of(body)
-        counts[d] = len(words)
-        parts.append(np.fromiter(map(phrases.number.get, words, repeat(0)), np.int64, len(words)))
-        parts.append(np.zeros(1, np.int64))
+    words = split_words([b.translate(WORD_BYTES) if b else b for b in bodies])
+    counts = np.bincount(words.text, minlength=len(bodies))
     spans, items = [[] for _ in bodies], [set() for _ in bodies]
-    if not phrases.by_length:
+    if not phrases.by_length or not len(words.number):
         return counts, spans, items
-    ids = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    known = np.fromiter((phrases.number.get(w, 0) for w in words.names.to_pylist()), np.int64, len(words.names))
+    ids = np.insert(known[words.number], np.cumsum(counts), 0)  # a 0 behind each document
+    del words
     edge = np.flatnonzero(np.diff(np.r_[False, ids > 0, False].astype(np.int8)))
     lo, size = edge[::2], edge[1::2] - edge[::2]
     lo, size = lo[size >= phrases.shortest], size[size >= phrases.shortest]
@@ -179,22 +185,29 @@ def search_shard(bodies: list[bytes | None], phrases: Phrases):
     at = ranges(lo, size + 1)  # a run and the 0 after it
     index = FMIndex(ids[at], len(phrases.number))
     doc_start = offsets(counts + 1)
-    for width, (rows, owners) in phrases.by_length.items():
-        first, last = index.search(rows)
-        hit = np.flatnonzero(last > first)
-        which = np.repeat(hit, (last - first)[hit])
-        where = at[index.locate(ranges(first[hit], (last - first)[hit]))]
-        doc = np.searchsorted(doc_start, where, side="right") - 1
-        for d, w, p in zip(doc.tolist(), which.tolist(), (where - doc_start[doc]).tolist()):
-            spans[d].append((p, p + width))
-            items[d] |= owners[w]
-    for d in {d for d, s in enumerate(spans) if s}:
-        spans[d] = np.stack(merge_spans(*np.array(spans[d], np.int64).T), axis=1).ravel().tolist()
+    docs, begin, end = [], [], []
+    for width in phrases.by_length:
+        for rows, owner in phrases.windows(width):
+            first, last = index.search(rows)
+            hit = np.flatnonzero(last > first)
+            where = at[index.locate(ranges(first[hit], (last - first)[hit]))]
+            doc = np.searchsorted(doc_start, where, side="right") - 1
+            pair = np.unique(doc * len(phrases.ids) + np.repeat(owner[hit], (last - first)[hit]))
+            for d, o in zip((pair // len(phrases.ids)).tolist(), (pair % len(phrases.ids)).tolist()):
+                items[d].update(() if phrases.ids[o] is None else (phrases.ids[o],))
+            docs.append(doc)
+            begin.append(where - doc_start[doc])
+            end.append(begin[-1] + width)
+    docs, begin, end = (np.concatenate(x) for x in (docs, begin, end))
+    order = np.argsort(docs, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(docs[order])) + 1):
+        if len(part):
+            spans[docs[part[0]]] = np.stack(merge_spans(begin[part], end[part]), axis=1).ravel().tolist()
     return counts, spans, items
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, id_col: str = "doc_id", text: str = "text",
-                  item_col: str = "item_id", item_text: str = "text", block_bytes: int = 16 << 20) -> DataFrame:
+                  item_col: str = "item_id", item_text: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
     """One row per document: the id, ``n_words``, ``spans`` (merged [lo, hi) word spans, flat) and ``items``
     (ids, as strings, of the items of which a window of ``width`` words occurs; shorter items are one window)."""
     spark = docs.sparkSession
