@@ -3,7 +3,8 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet to the shared scratch
 folder and read again as the next stage's ``docs``. All but the last return the columns of ``documents``.
 
-1. ``language_id``    drops documents without a letter; without any label to learn from it keeps every document.
+1. ``language_id``    drops documents without a letter and those whose language the network cannot tell from a guess
+                      (``MIN_SCORE``); without any label to learn from it keeps every document.
 2. ``near_dedup``     keeps one document of each SimHash group (3-word shingles, 2 bits): the one with the least id.
 3. ``substring_dedup`` cuts sentences covered by a repeated run of ``SPAN`` sentences; documents left empty go.
 4. ``decontaminate``  drops documents of which at least one word in twenty lies in a benchmark window of 13 words.
@@ -22,10 +23,10 @@ from pyspark.sql import functions as F
 
 from vistasieve.llm import decontam_fm, lang_cnn, sentence_spans, simhash_pivot
 from vistasieve.llm.common import table, written
-from vistasieve.llm.queries import encode_and_decode, learned_language
+from vistasieve.llm.queries import SENTENCE_SPAN, encode_and_decode, learned_language
 
-SPAN = 3  # sentences; shorter runs count from ``sentence_spans.WORDS`` words
-MIN_SCORE = 0.0  # of the predicted language: none is too unsure to stay
+SPAN = SENTENCE_SPAN  # sentences; shorter runs count from ``sentence_spans.WORDS`` words
+MIN_SCORE = 0.3  # of the predicted language; a guess among four languages has 0.25 (1 of 10,000 documents of sf0.1 is below)
 
 
 def _whole(docs: DataFrame) -> DataFrame:
