@@ -103,3 +103,29 @@ def test_default_scans_every_row(spark):
     assert [r[0] for r in quota.select_quota(items, {"a": 3}).collect()] == [59_999]
     assert quota.select_quota(items, {"a": 3}, max_rows_scanned=50_000).count() == 0
     assert all(s.max_rows_scanned is None for s in SHIPPED_SOURCES)
+
+
+def test_scan_ends_when_all_quotas_are_full(spark, monkeypatch, tmp_path):
+    """Rows read fall with the quota; the result is that of the whole scan, for common and for rare classes."""
+    rng = random.Random(12)
+    rows = [(i, "s", i, rng.random() > 0.1, ["rare"] if i == 19_000 else [rng.choice("abc")]) for i in range(1, 20_001)]
+    path = str(tmp_path / "items")
+    spark.createDataFrame(rows, SCHEMA).repartitionByRange(40, "row_idx").sortWithinPartitions("row_idx").write.parquet(path)
+    items = spark.read.parquet(path)
+    monkeypatch.setattr(rank.first_k_by_position, "__defaults__", (50,))
+    seen, real = [], rank.materialize
+
+    def watched(df, name, **k):
+        if name == "first-k-counts":
+            seen.append(df)
+        return real(df, name, **k)
+
+    monkeypatch.setattr(rank, "materialize", watched)
+    for targets, stretches in (({"a": 20, "b": 5, "c": 30}, 1), ({"a": 400}, 3), ({"a": 2, "rare": 1}, 7), ({"a": 1, "none": 3}, 7)):
+        seen.clear()
+        got = quota.select_quota(items, targets, max_images=300, sources=1)
+        assert sorted(r.image_id for r in got.collect()) == sorted(greedy(rows, targets, 300))
+        assert len(seen) == stretches, (targets, len(seen))
+    plan = quota.select_quota(items, {"a": 3}, sources=1)._jdf.queryExecution().toString()
+    assert "PushedFilters" in plan and "LessThanOrEqual(row_idx" in plan
+    assert quota.select_quota(items.where("row_idx > 30000"), {"a": 3}, sources=1).collect() == []

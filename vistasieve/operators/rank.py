@@ -113,6 +113,7 @@ def global_rank(
 
 # Positions per range of ``first_k_by_position``: the most rows one task ranks together.
 SPAN_ROWS = 16_384
+FIRST_SPANS = 4  # ranges in the first stretch, where reading ends as soon as all groups are full
 
 
 def first_k_by_position(
@@ -122,6 +123,8 @@ def first_k_by_position(
     tie_cols: Sequence[str],
     k: Column,
     span: int = SPAN_ROWS,
+    *,
+    groups: int | None = None,
 ) -> DataFrame:
     """Rows whose rank by (``pos_col``, ``tie_cols``) inside their group is ``<= k`` (``k`` is constant in a group).
 
@@ -130,13 +133,38 @@ def first_k_by_position(
     counts gives the rows before each range; ranges that begin at or past ``k`` are dropped, and only rows of the
     remaining ranges are shuffled and ranked, each range by itself. No window ever holds a whole group, and the work
     past the counting follows ``k``, not the group's size. ``df`` is read twice, so pass a scan or a written table.
+
+    ``groups``, if given, is how many groups there can be: then positions are counted from the front, in stretches that
+    double, until that many groups have ``k`` rows or no rows are left. What lies behind is never read where the table
+    is laid out by position (row groups are skipped by their least and greatest position).
     """
-    groups = list(group_cols)
-    ranged = df.withColumn("_range", F.floor(F.col(pos_col) / F.lit(span))).withColumn("_k", k.cast("long"))
-    counts = ranged.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_n"), F.max("_k").alias("_kk"))
-    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    by = list(group_cols)
+    ranged = df.withColumn("_range", F.floor(F.col(pos_col) / F.lit(span)) if groups is None else F.expr(f"`{pos_col}` div {span}"))
+    ranged = ranged.withColumn("_k", k.cast("long"))
+
+    def counted(part: DataFrame) -> DataFrame:
+        return part.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"), F.max("_k").alias("_kk"))
+
+    if groups is None:
+        counts = counted(ranged)
+    else:
+        lo, width, counts = None, FIRST_SPANS * span, None
+        while True:
+            hi = (lo or 0) + width
+            stretch = ranged.where(F.col(pos_col) < hi) if lo is None else ranged.where((F.col(pos_col) >= lo) & (F.col(pos_col) < hi))
+            part = materialize(counted(stretch), "first-k-counts")
+            counts = part if counts is None else counts.unionByName(part)
+            full = counts.groupBy(*by).agg(F.sum("_n").alias("n"), F.max("_kk").alias("kk")).where("n >= kk").count()
+            if full >= groups or not ranged.where(F.col(pos_col) >= hi).take(1):
+                break
+            lo, width = hi, 2 * width
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     spans = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where("_before < _kk")
-    spans = spans.select(*groups, "_range", "_before")
-    inside = Window.partitionBy(*groups, "_range").orderBy(pos_col, *tie_cols)
-    near = ranged.join(spans, [*groups, "_range"]).withColumn("_rank", F.col("_before") + F.row_number().over(inside))
+    spans = spans.select(*by, "_range", "_before")
+    if groups is not None:
+        spans = materialize(spans, "first-k-spans")
+        last = spans.agg(F.max("_range")).first()[0]  # one number, so that the scan skips what lies behind
+        ranged = ranged.where(F.col(pos_col) < ((last if last is not None else -1) + 1) * span)
+    inside = Window.partitionBy(*by, "_range").orderBy(pos_col, *tie_cols)
+    near = ranged.join(spans, [*by, "_range"]).withColumn("_rank", F.col("_before") + F.row_number().over(inside))
     return near.where("_rank <= _k").drop("_range", "_before", "_rank", "_k")
