@@ -45,8 +45,8 @@ def test_cuts_are_the_cheapest():
 
 
 def test_boundaries_leave_no_gap():
-    at, penalty = pk.boundaries(np.array([5, 1000, 1001]), np.array([5, 300, 301]), 256)
-    assert at.tolist()[0] == 0 and np.diff(at).min() >= 1 and np.diff(at).max() <= 16
+    at, penalty = pk.boundaries(np.array([5, 1000, 1001]), np.array([5, 300, 301]), 1500, 256)
+    assert at.tolist()[0] == 0 and at.tolist()[-1] == 1500 and np.diff(at).min() >= 1 and np.diff(at).max() <= 16
     cost = dict(zip(at.tolist(), penalty.tolist()))
     assert cost[5] == cost[1000] == cost[1001] == 0 and cost[300] == cost[301] == pk.SENTENCE and cost[700] == pk.INNER
 
@@ -109,13 +109,12 @@ def test_query_on_the_table(spark, tokenizer):
 
 
 @pytest.mark.parametrize("block", [300, 20_000, 16 << 20])
-def test_odd_rows_blocks_and_long_texts(spark, docs_df, documents, tokenizer, monkeypatch, block):
-    monkeypatch.setattr(pk, "BLOCK_BYTES", block)
+def test_odd_rows_blocks_and_long_texts(spark, docs_df, documents, tokenizer, block):
     df = docs_df.coalesce(2)
-    rows = [r.asDict() for r in pk.pack(df, FILE, limit=128).collect()]
+    rows = [r.asDict() for r in pk.pack(df, FILE, limit=128, block_bytes=block).collect()]
     tokens, padding = check(rows, dict(documents), tokenizer, 128)
     assert padding < (0.1 if block > 300 else 0.3) * tokens  # penalties weigh much in so short windows
-    assert rows == [r.asDict() for r in pk.pack(df, FILE, limit=128).collect()]
+    assert rows == [r.asDict() for r in pk.pack(df, FILE, limit=128, block_bytes=block).collect()]
 
 
 def test_order_is_kept_and_cuts_lie_behind_sentences(spark, tokenizer):
@@ -136,8 +135,7 @@ def test_null_ids_repeats_and_no_rows(spark, tokenizer):
     assert pk.pack(df.limit(0), FILE).collect() == []
 
 
-def test_one_word_text_longer_than_a_block(spark, tokenizer, monkeypatch):
-    monkeypatch.setattr(pk, "BLOCK_BYTES", 1000)
-    texts = {1: "x" * 5000, 2: "word " * 3000, 3: "\n" * 4000}
+def test_texts_longer_than_a_block(spark, tokenizer):
+    texts = {1: "x" * 5000, 2: "word " * 3000, 3: "\n" * 4000, 4: "One two three. " * 500, 5: None, 6: " " * 999 + "a"}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
-    check([r.asDict() for r in pk.pack(df, FILE, limit=64).collect()], texts, tokenizer, 64)
+    check([r.asDict() for r in pk.pack(df, FILE, limit=64, block_bytes=1000).collect()], texts, tokenizer, 64)

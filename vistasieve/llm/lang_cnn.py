@@ -7,8 +7,8 @@ driver, on at most ``per_label`` labelled documents of each label and ``WINDOWS_
 what the driver holds is bounded by that and by the labels. Prediction runs on all windows of whole texts.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, as is every text when there is nothing to
-learn from; labels that are null are not learned; repeated rows are judged one by one; an empty table gives an empty
-result; columns other than the id, the text and (for training) the label are ignored.
+learn from; labels that are null are not learned; of equally likely labels the first in order wins; a very long text is judged in all its
+windows, a bounded number at a time; repeated rows are judged one by one; an empty table gives an empty result; columns other than the id, the text and (for training) the label are ignored.
 """
 
 from __future__ import annotations

@@ -25,7 +25,8 @@ What a task holds is bounded by block and shard sizes; the number of shards grow
 named by hashes (64 bits choose the shard, 56 tell contexts apart in it), successors by 32-bit hashes in their context.
 
 Defined cases: null and empty texts have the end as their only token; a row with a null id is learned from unless
-``learn`` says otherwise; repeated rows are learned from and scored one by one; if nothing is learned all counts are
+``learn`` says otherwise; repeated rows are learned from and scored one by one; a very long
+text is a block by itself, in about 17 times its size; equal n-grams are one; if nothing is learned all counts are
 0; an empty table gives an empty result; columns other than the id, the text and those in ``learn`` are ignored.
 """
 

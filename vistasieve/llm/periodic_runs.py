@@ -14,7 +14,7 @@ word both ways, and kept if long enough. Small periods (5 and less) are left out
 regions are found by themselves, as stretches of equal words ``q`` apart; those of larger periods at coarser scales are
 the runs found at the scales before.
 
-A batch of rows is searched together. Memory is about 15 bytes a byte of text for at most ``BLOCK_BYTES`` of text, or
+A batch of rows is searched together. Memory is about 20 bytes a byte of text for at most ``BLOCK_BYTES`` of text, or
 for one text if it is longer (a run may span a whole text, so texts are never cut). No row is shuffled.
 
 Defined cases: null and blank texts have no words and no runs; a text in which all words are equal is one run of

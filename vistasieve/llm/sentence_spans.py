@@ -14,7 +14,8 @@ pre-aggregated on the map side.
 
 Defined cases: null texts stay null, empty and blank texts stay as they are, all without sentences; null ids come
 first; rows that repeat an id, or a whole row, are rows of their own, told apart by their place in the written table;
-an empty table gives an empty result; all other columns pass through, whatever their names (but ``n_sentences`` and
+equal runs of one row are ordered by place; a very long text is cut whole in one task, in a few times its size; an empty
+table gives an empty result; all other columns pass through, whatever their names (but ``n_sentences`` and
 ``n_removed``, which ``counts`` adds, replace columns of these names).
 """
 

@@ -10,7 +10,8 @@ fingerprints. Groups give star-shaped links, never all pairs; components come fr
 small-star joins over written tables.
 
 Defined cases: null and wordless texts have fingerprint zero and link like any other; a row with a null id is returned
-and takes its group's smallest id (null if there is none); repeated rows come back as often as they came; an empty
+and takes its group's smallest id (null if there is none); of equal ids in a group the id is the same;
+a very long text is hashed whole in one task, in about 40 times its size; repeated rows come back as often as they came; an empty
 table gives an empty result; columns other than the id and the text are ignored.
 """
 

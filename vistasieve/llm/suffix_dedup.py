@@ -15,7 +15,9 @@ A passage in any number of documents costs one context per block. Hashes only br
 compares bytes, and contexts are told apart by their bytes.
 
 Defined cases: a null text is empty; a null id counts as larger than all others; rows that share an id never remove
-each other's bytes; an empty table gives an empty result; columns other than the id and the text are ignored.
+each other's bytes; copies with one id tie and all stay; a text is never split, so a very long one is a
+block by itself (its first step took 1.2 times the text, later ones up to ten times where it repeats itself); an empty
+table gives an empty result; columns other than the id and the text are ignored.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ arrays; very long ones by themselves.
 A marker character that stands in the text itself is encoded by fallback bytes, so it does not decode to a blank.
 
 Defined cases: a null text has null pieces and decodes to null, an empty text has none and decodes to an empty text;
-repeated rows are encoded one by one; an empty table gives an empty result; columns other than the id and the text are
+a very long text is encoded whole, in the task that has it; repeated rows are encoded one by one; an empty table gives an empty result; columns other than the id and the text are
 ignored.
 """
 

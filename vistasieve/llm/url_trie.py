@@ -5,7 +5,7 @@ path starts with the rule's path. Of the fitting rules the one with the longest
 host). Urls that no rule fits get ``default``.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, so only ``default`` applies; an empty table
-gives an empty result; repeated rows are judged one by one; columns other than the id and the url are ignored.
+gives an empty result; a url of any length is read once; repeated rows are judged one by one; columns other than the id and the url are ignored.
 """
 
 from __future__ import annotations

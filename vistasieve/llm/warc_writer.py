@@ -14,7 +14,8 @@ The folder must be one that all executors reach: a shared file system path, or a
 
 Defined cases: a null payload is an empty one; a null url is left out of the headers, control characters in a url are
 percent-encoded; records without an id are dealt to shards by their payload's digest, which names them, come first in
-their shard, and are never referred to while an id exists (equal payloads with only null ids are all responses); repeated rows are written each, and rows that share the largest id are all responses; an empty
+their shard, and are never referred to while an id exists (equal payloads with only null ids are all responses); a very long payload
+is one record, held whole by the task that writes it; repeated rows are written each, and rows that share the largest id are all responses; an empty
 table gives an empty manifest; columns other than id, url and payload are ignored.
 """
 
