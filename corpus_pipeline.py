@@ -21,9 +21,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vistasieve.functions.files import delete_tree
 from vistasieve.llm import decontam_fm, lang_cnn, sentence_spans, simhash_pivot
 from vistasieve.llm.common import table, written
 from vistasieve.llm.queries import SENTENCE_SPAN, encode_and_decode, learned_language
+from vistasieve.session import scratch_scope
 
 SPAN = SENTENCE_SPAN  # sentences; shorter runs count from ``sentence_spans.WORDS`` words
 MIN_SCORE = 0.3  # of the predicted language; a guess among four languages has 0.25 (1 of 10,000 documents of sf0.1 is below)
@@ -72,8 +74,16 @@ ORACLE_SQL = None  # a trained network and a Viterbi search are not SQL; the tes
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole ``documents`` table: ``doc_id``, ``ids``, ``n_fallback`` and ``decoded`` of what is kept."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole ``documents`` table: ``doc_id``, ``ids``, ``n_fallback`` and ``decoded`` of what is kept.
+
+    A stage's scratch tables are deleted once its result is written, and that result once the next one is.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_scope(spark) as made:
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            result = made.pop()
+        if before:
+            delete_tree(spark, before)
+        before = result
     return docs
