@@ -146,13 +146,33 @@ def test_components_swept_alone_and_in_rounds(spark, monkeypatch):
     rows = [(i, o, hi, lo) for (i, _, hi, lo), o in zip(rows, order)]
     want = seq_first_kept(rows, 5)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    for name, value in (("SWEEP_TOGETHER", 3), ("MAX_COMPONENT", 8), ("MAX_GROUP", 20)):
+    for name, value in (("MAX_COMPONENT", 8), ("MAX_GROUP", 20)):
         with monkeypatch.context() as m:
             m.setattr(dedup, name, value)
             got = dedup.dedup_first_kept(df, 5).collect()
             assert {r["image_id"]: (r["is_dup"], r["duplicate_of"]) for r in got} == want, name
 
 
+def test_sweeps_together_and_one_by_one(monkeypatch):
+    """Both ways of sweeping give the sequential loop's result, several groups at a time."""
+    import numpy as np
+
+    rng = random.Random(21)
+    groups = [chain(40, rng), [r for r in random_hashes(rng, 90) if r[2] is not None], chain(3, rng)]
+    h = np.array([(hi << 32) | lo for g in groups for *_, hi, lo in g], np.uint64)
+    group, want, at = np.repeat(np.arange(3), [len(g) for g in groups]), [], 0
+    for g in groups:
+        rows = [(at + i, i, *r[2:]) for i, r in enumerate(g)]
+        found = seq_first_kept(rows, 5)
+        want += [found[at + i][1] if found[at + i][0] else -1 for i in range(len(g))]
+        at += len(g)
+    for size in (1000, 50, 1):
+        monkeypatch.setattr(dedup, "SWEEP_TOGETHER", size)
+        assert dedup._sweep(group, h, 5).tolist() == want
+    a, b = dedup._stars(group, h, 5)
+    assert (group[a] == group[b]).all() and (np.bitwise_count(h[a] ^ h[b]) >= 0).all() and len(set(a.tolist())) == len(a)
+
+
 def test_components_by_star_steps(spark, monkeypatch):
     from vistasieve.operators import components
 

@@ -11,9 +11,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+_scopes: list[list[str]] = []  # paths made inside the open ``scratch_scope`` blocks
+
 
 def _driver_memory() -> str:
     """Local mode runs everything in the driver JVM: 60 % of RAM, between 1 and 16 GiB."""
@@ -78,5 +82,27 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root for written tables."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    for made in _scopes[-1:]:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Delete the scratch tables that are made inside the block when it ends.
+
+    Results are lazy and read them, so what is needed later must be written elsewhere inside the block (or its path taken
+    out of the list that the block is given).
+    """
+    from vistasieve.functions.files import delete_tree
+
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield made
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            delete_tree(spark, path)
 
