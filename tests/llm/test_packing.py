@@ -59,7 +59,7 @@ def ids_of(coder, text):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t\x0b\x85　'sS.,!\x01é́<|>endoftextAZ$#"))))
+@given(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t\x0b\x85　'sS.,!\x01é́<|>endoftextAZ$#ÀÉÑßÿ×÷µªÃ¿İŉΣς\u0301\u0308"))))
 def test_words_give_the_ids_of_the_whole_text(text):
     coder = pk.word_ids(open(FILE, encoding="utf-8").read())
     assert ids_of(coder, text) == coder.whole.encode(text, add_special_tokens=False).ids
@@ -69,7 +69,7 @@ def test_words_are_forgotten_beyond_a_number(tokenizer, monkeypatch):
     monkeypatch.setattr(pk, "MAX_KNOWN", 10)
     coder = pk.WordIds(open(FILE, encoding="utf-8").read())
     for _ in range(3):
-        text = "One, two TWO!? l'eau 3x <|endoftext|> <|ENDOFTEXT|> a<|endoftext|> A.B a.b. a\x01b \x01 [] É. ÀB! it's" + " w1 w2 w3" * 9
+        text = "One, two TWO!? l'eau 3x <|endoftext|> <|ENDOFTEXT|> a<|endoftext|> A.B a.b. a\x01b \x01 [] É. ÀB! it's" + " w1 w2 w3" * 9 + " ÀÉÑßÿ ÇA!! é\u0301, a!\u0301 ×÷ µ ª ΑΣ İÑ Ñİ ÿ?! Ã"
         assert ids_of(coder, text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 

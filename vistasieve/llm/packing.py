@@ -42,17 +42,27 @@ SENTENCE, INNER = 16, 64    # penalties, in tokens of padding
 MAX_TOKENIZER = 64 << 20    # bytes of a tokeniser file sent to the tasks
 MAX_KNOWN = 600_000         # words whose ids a worker remembers
 _MARK = "\x01"              # between words that are tokenised together
-_PLAIN = re.compile(rb"[A-Za-z]+|[!-&(-/:-@\[-`{-~]+")  # letters, or marks other than the apostrophe
+# words of letters up to U+00FF, or of marks other than the apostrophe
+_PLAIN = re.compile(rb"(?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+|[!-&(-/:-@\[-`{-~]+")
+_SECOND = np.array([re.fullmatch(rb"[\x80-\x96\x98-\xB6\xB8-\xBF]", bytes([b])) is not None for b in range(256)])
 _KIND = np.array([next(k for k, p in enumerate((rb"[\x20\x09-\x0D]", rb"[A-Za-z]", rb"[!-&(-/:-@\[-`{-~]", rb"[\s\S]"))
                        if re.fullmatch(p, bytes([b]))) for b in range(256)], np.uint8)  # blank, letter, mark, other
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _STOP = np.isin(np.arange(256), list(b".!?"))
 
 
+def plain_spec(spec: dict) -> dict:
+    """The tokeniser without what lower-case letters up to U+00FF alone, or marks alone, between blanks do not need:
+    normalising (none of them is composed of others), and splitting but at blanks."""
+    before = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
+    rest = [step for step in before if step["type"] != "Split"]
+    return spec | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *rest]}}
+
+
 class WordIds:
     """Token ids of words. Those of up to ``MAX_KNOWN`` words are remembered, over the blocks and tasks of a worker.
 
-    ASCII letters alone and marks alone need no normalising but lower case.
+    Letters up to U+00FF alone and marks alone need no normalising but lower case.
     """
 
     def __init__(self, spec: str):
@@ -60,7 +70,7 @@ class WordIds:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.whole = Tokenizer.from_str(spec)
-        self.plain = Tokenizer.from_str(json.dumps(json.loads(spec) | {"normalizer": None}))
+        self.plain = Tokenizer.from_str(json.dumps(plain_spec(json.loads(spec))))
         (self.mark,) = self.whole.encode(_MARK, add_special_tokens=False).ids
         self.forget()
 
@@ -101,10 +111,13 @@ class WordIds:
 
 
 def split_units(bodies: list[bytes]) -> Words:
-    """The words of all texts, those of ASCII letters and then marks cut in two: the tokeniser gives the parts the ids
+    """The words of all texts, those of letters up to U+00FF and then marks cut in two: the tokeniser gives the parts the ids
     that they have in the word."""
     body = np.frombuffer(b"\n".join([*bodies, b""]), np.uint8)
     kind = _KIND[body]
+    lead = np.flatnonzero(body == 0xC3)
+    lead = lead[_SECOND[body[np.minimum(lead + 1, len(body) - 1)]]]
+    kind[lead] = kind[lead + 1] = 1  # letters of two bytes
     at = np.flatnonzero(np.diff(kind, prepend=np.uint8(0)))  # where bytes of another kind begin, the first word's on
     kind = kind[at]
     before, behind = np.r_[0, kind[:-1]], np.r_[kind[1:], 0]
@@ -134,19 +147,20 @@ def best_cuts(at: np.ndarray, penalty: np.ndarray, limit: int, free: Iterable[in
     order = np.lexsort((froms, tos))
     exact, first = froms[order].tolist(), np.searchsorted(tos[order], np.arange(n + 1)).tolist()
     at, penalty = at.tolist(), penalty.tolist()
-    total, back, queue = [0] * n, [0] * n, deque([0])  # the queue's ``total + at`` never falls
+    total, back, sums, queue = [0] * n, [0] * n, [0] * n, deque([0])  # ``sums`` (total + at) never fall along the queue
     for j in range(1, n):
         here = at[j]
         while at[queue[0]] < here - limit:
             queue.popleft()
         start = queue[0]
-        best = total[start] + at[start] + limit - here
-        for h in range(first[j], first[j + 1]):
-            if (total[exact[h]], exact[h]) < (best, start):
-                start, best = exact[h], total[exact[h]]
-        best += penalty[j]
-        total[j], back[j] = best, start
-        while queue and total[queue[-1]] + at[queue[-1]] > best + here:
+        best = sums[start] + limit - here
+        if first[j] < first[j + 1]:
+            for i in exact[first[j]:first[j + 1]]:
+                if total[i] < best or (total[i] == best and i < start):
+                    start, best = i, total[i]
+        total[j] = best = best + penalty[j]
+        back[j], sums[j] = start, best + here
+        while queue and sums[queue[-1]] > best + here:
             queue.pop()
         queue.append(j)
     cuts, j = [], n - 1
