@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vistasieve.operators.seen import SeenNames
+
 
 class SourcesNotReady(RuntimeError):
     """Raised by the strict gate; the message lists every problem together."""
@@ -62,15 +64,18 @@ def unknown_class_refs(referenced: DataFrame, classes: DataFrame, col: str = "cl
     )
 
 
-def skip_processed(batch: DataFrame, seen: DataFrame, name_col: str, order_cols: Sequence[str]) -> DataFrame:
-    """drop files whose name was processed before (anti join), then keep the
-    first row per name inside the batch (by ``order_cols``).
+def skip_processed(batch: DataFrame, seen: DataFrame | SeenNames, name_col: str, order_cols: Sequence[str]) -> DataFrame:
+    """drop files whose name was processed before (an anti join, or a state of names
+    behind Bloom filters), then keep the first row per name inside the batch (by ``order_cols``).
 
     The per-name pick is ``min(struct(order..., row))`` — a hash aggregate with
     map-side partial results, so a name repeated a billion times is reduced on
     every task before the shuffle.
     """
-    fresh = batch.join(seen.select(name_col).distinct(), name_col, "left_anti")
+    if isinstance(seen, SeenNames):
+        fresh = seen.unseen(batch, name_col)
+    else:
+        fresh = batch.join(seen.select(name_col).distinct(), name_col, "left_anti")
     others = [c for c in batch.columns if c != name_col]
     packed = F.struct(*[F.col(c) for c in order_cols], *[F.col(c).alias(f"_v_{c}") for c in others])
     first = fresh.groupBy(name_col).agg(F.min(packed).alias("_m"))
