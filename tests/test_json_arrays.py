@@ -81,3 +81,19 @@ def test_several_files(spark, tmp_path):
         (tmp_path / f"{n}.json").write_text(json.dumps([{"id": f"{n}-{i}"} for i in range(n)] + [f"s{n}"]))
     got = sorted(r.id for r in readers.read_ids(spark, str(tmp_path)).collect())
     assert got == ["1-0", "2-0", "2-1", "s0", "s1", "s2"]
+
+
+def test_written_arrays_are_read_back(spark, tmp_path):
+    rows = [(i, None if i % 5 == 0 else f'a "q" ],[{{ \\ \n é {i}') for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    ja.write_array(df.repartition(3), str(tmp_path / "three"))
+    ja.write_array(df.where("id < 1").repartition(4, "id"), str(tmp_path / "mostly_empty"))
+    ja.write_array(df.limit(0), str(tmp_path / "none"))
+    for folder, ids in (("three", range(200)), ("mostly_empty", [0]), ("none", [])):
+        got = {}
+        for size in (40, 1 << 20):
+            found = [json.loads(r.element) for r in ja.read_array(spark, str(tmp_path / folder), size).collect()]
+            got[size] = sorted((e["id"], e.get("text")) for e in found)
+        assert got[40] == got[1 << 20] == [rows[i] for i in ids]
+    whole = [json.loads(f.read_text(encoding="utf-8")) for f in (tmp_path / "three").glob("part-*")]
+    assert sum(map(len, whole)) == 200  # every file is one array

@@ -41,12 +41,11 @@ def dataset_stats(counts: DataFrame, classes: DataFrame, splits: DataFrame) -> D
         ).alias("images"),
         F.lit(1).alias("_k"),
     )
-    # entries sorted by count descending, then class name (collect_list order is not defined)
+    # entries sorted by count descending, then class name, and splits by name (collect_list order is not defined)
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), "class", "n")))
     cmap = classes.agg(
         F.map_from_entries(F.transform(ordered, lambda e: F.struct(e["class"], e["n"]))).alias("class_counts")
     ).withColumn("_k", F.lit(1))
-    smap = splits.agg(F.map_from_entries(F.collect_list(F.struct("split", "n"))).alias("split_counts")).withColumn(
-        "_k", F.lit(1)
-    )
+    by_name = F.array_sort(F.collect_list(F.struct("split", "n")))
+    smap = splits.agg(F.map_from_entries(by_name).alias("split_counts")).withColumn("_k", F.lit(1))
     return images.join(cmap, "_k").join(smap, "_k").drop("_k")

@@ -164,6 +164,24 @@ def _cut(batches):
                      pa.array(part, pa.binary()).cast(pa.string())], names=["path", "start", "n", "element"])
 
 
+def _as_array(batches):
+    opened = False
+    for batch in batches:
+        lines = [("," if opened or i else "[") + text for i, text in enumerate(batch.column(0).to_pylist())]
+        opened = opened or bool(lines)
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+    yield pa.RecordBatch.from_arrays([pa.array(["]" if opened else "[]"])], names=["value"])
+
+
+def write_array(rows: DataFrame, path: str) -> None:
+    """Write the rows as JSON arrays below the folder ``path``: a file for each partition, an element on each line.
+
+    ``read_array`` reads the folder. Null fields are left out, as Spark's JSON writer does; an empty partition gives an
+    empty array.
+    """
+    rows.select(F.to_json(F.struct("*"))).mapInArrow(_as_array, "value string").write.text(path)
+
+
 def read_array(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """``path``, ``start``, ``n`` (in this order the order of the file) and ``element`` (JSON text) of all array elements."""
     files = spark.read.format("binaryFile").load(path).select("path", "length")
