@@ -170,3 +170,18 @@ def test_defaults_fit_together():
     for bad in (lambda: ClassDef("x", 9, 5), lambda: SplitConfig(train=0.9)):
         with pytest.raises(ValueError):
             bad()
+
+
+def test_texts_of_files_and_folders_with_odd_names(spark, tmp_path, monkeypatch):
+    from vistasieve.sources import readers
+
+    monkeypatch.setattr(readers, "FOLDERS_AT_ONCE", 1)
+    monkeypatch.setattr(readers, "TEXT_BATCH", 10)
+    want = {"a b/50% #1?/x%20y.txt": "0 1\r\n", "a b/plain.txt": "", "ü/ß+.txt": "é" * 30, "raw.txt": "1 2�"}
+    for name, text in want.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(text.encode())
+    (tmp_path / "raw.txt").write_bytes(b"\xef\xbb\xbf1 2\xff")
+    got = readers.read_texts(readers.list_files(spark, [str(tmp_path)])).collect()
+    assert {r.path.removeprefix(f"file:{tmp_path}/"): r.text for r in got} == want
+    assert readers.read_texts(readers.list_files(spark, [str(tmp_path / "absent")])).count() == 0

@@ -33,8 +33,3 @@ def parent_dir(path: Column, levels: int = 1) -> Column:
 def normalize_path(path: Column) -> Column:
     """One spelling for local URIs: ``file:///x`` and ``file:/x`` both become ``file:/x``."""
     return F.regexp_replace(path, r"^file:/+", "file:/")
-
-
-def decoded_uri(uri: Column) -> Column:
-    """A file URI as the plain path that listings show (``%20`` is a blank again, a plus sign stays one)."""
-    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))

@@ -8,6 +8,7 @@ Every reader returns a DataFrame; the pluggable registry maps a source
 from __future__ import annotations
 
 import functools
+import os
 from collections.abc import Callable, Mapping, Sequence
 
 import pyarrow as pa
@@ -18,8 +19,8 @@ from pyspark.errors import AnalysisException
 
 from vistasieve.config import SourceDef
 from vistasieve.functions import labels
-from vistasieve.functions.files import Folder, path_exists
-from vistasieve.functions.scalar import decoded_uri, file_name, file_stem, normalize_path, parent_dir
+from vistasieve.functions.files import Folder
+from vistasieve.functions.scalar import file_name, file_stem, normalize_path, parent_dir
 from vistasieve.operators.rank import global_rank, materialize
 from vistasieve.sources.json_arrays import read_array
 
@@ -92,7 +93,7 @@ def _expand(limit: int):
                     read += 1
                     for path, is_folder, size in Folder(waiting.pop()).entries():
                         if is_folder:
-                            waiting.append(path)
+                            waiting.append(path.removeprefix("file:"))  # names are as they are, not encoded
                         else:
                             part.append((path, False, size))
                         if len(part) == 10_000:
@@ -129,6 +130,44 @@ def list_files(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
     return files.withColumn("path", normalize_path(F.col("path")))
 
 
+FILES_A_TASK = 2048      # small files that a task reads, about
+TEXT_BATCH = 8 << 20     # of text in a batch that a task hands on, about
+
+
+def _texts(batches):
+    def rows(paths, texts):
+        return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.string())], names=["path", "text"])
+
+    for batch in batches:
+        paths, texts, size = [], [], 0
+        for path in batch.column(0).to_pylist():
+            with Folder(os.path.dirname(path.removeprefix("file:"))).read(os.path.basename(path)) as f:
+                texts.append(f.read().decode("utf-8-sig", "replace"))
+            paths.append(path)
+            size += len(texts[-1])
+            if size >= TEXT_BATCH:
+                yield rows(paths, texts)
+                paths, texts, size = [], [], 0
+        yield rows(paths, texts)
+
+
+def read_texts(files: DataFrame) -> DataFrame:
+    """``path`` and ``text`` of many small files that ``list_files`` lists, read by tasks.
+
+    Spark's text source lists every file on the driver and packs few of them into a task, since it counts 4 MB for
+    each. Here a task gets about ``FILES_A_TASK`` paths. Bytes that are not UTF-8 are replaced; empty files have an empty text.
+    """
+    n = files.count()
+    width = max(1, -(-n // FILES_A_TASK), min(n, 4 * files.sparkSession.sparkContext.defaultParallelism))
+    return files.select("path").repartition(width, "path").mapInArrow(_texts, "path string, text string")
+
+
+def _label_texts(spark: SparkSession, root: str) -> DataFrame:
+    """``split``, ``stem`` and ``text`` of the label files of an export."""
+    listed = list_files(spark, [f"{root}/{s}/labels" for s in EXPORT_SPLITS]).where(F.col("path").endswith(".txt"))
+    return read_texts(listed).select(parent_dir(F.col("path"), 2).alias("split"), file_stem(F.col("path")).alias("stem"), "text")
+
+
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     """every image file under ``root`` with its size. Left-join images on ``path`` to see files that vanished
     from the decoded scan."""
@@ -191,8 +230,8 @@ def read_yolo_export(
     """Images under ``{train,valid,test}/images`` joined with their label files.
 
     Every file with a suffix is an image, whatever the suffix and even if empty: the quality gate counts what cannot
-    be decoded. Images are listed (path, length) without reading contents; labels are read
-    as text lines with their file path; both are keyed by (split, stem). The
+    be decoded. Images are listed (path, length) without reading contents; label files
+    are listed and read by tasks; both are keyed by (split, stem). The
     scan order is (split order, path) and becomes ``row_idx``. Images without
     a label file have no classes. ``valid`` is true: the export scan copies
     files without decoding them.
@@ -207,17 +246,9 @@ def read_yolo_export(
         .withColumn("filename", file_name(F.col("path")))
         .withColumn("_sr", F.try_element_at(split_rank, F.col("split")))
     )
-    label_dirs = [f"{root}/{s}/labels" for s in EXPORT_SPLITS if path_exists(spark, f"{root}/{s}/labels")]
-    if label_dirs and names:
-        lines = (
-            spark.read.option("pathGlobFilter", "*.txt").text(label_dirs)
-            .select(F.col("value").alias("line"), decoded_uri(F.col("_metadata.file_path")).alias("_lp"))
-            .select("line", parent_dir(F.col("_lp"), 2).alias("split"), file_stem(F.col("_lp")).alias("stem"))
-        )
-        per_image = labels.classes_from_yolo_lines(lines, ["split", "stem"], names, allowed, class_map)
-        imgs = imgs.join(per_image, ["split", "stem"], "left")
-    else:
-        imgs = imgs.withColumn("classes", F.lit(None).cast("array<string>"))
+    lines = _label_texts(spark, root).select("split", "stem", F.explode(F.split("text", "\r\n|\r|\n")).alias("line"))
+    per_image = labels.classes_from_yolo_lines(lines, ["split", "stem"], names, allowed, class_map)
+    imgs = imgs.join(per_image, ["split", "stem"], "left")
     imgs = imgs.withColumn("classes", F.coalesce("classes", F.array().cast("array<string>")))
     ranked = global_rank(imgs, ["_sr", "path"], rank_col="row_idx")
     return ranked.select(
@@ -311,14 +342,9 @@ def _yolo_boxes(spark: SparkSession, src: SourceDef, images: DataFrame) -> DataF
     """Lines of five numbers of an export's label files, named and translated; other lines (polygons) are no boxes."""
     root = src.path.rstrip("/")
     names = export_class_names(spark, f"{root}/data.yaml")
-    folders = [f"{root}/{s}/labels" for s in EXPORT_SPLITS if path_exists(spark, f"{root}/{s}/labels")]
-    if not folders:
-        return spark.createDataFrame([], BOX_COLUMNS)
-    texts = spark.read.option("pathGlobFilter", "*.txt").option("wholetext", True).text(folders)
-    texts = texts.select("value", decoded_uri(F.col("_metadata.file_path")).alias("_lp"))
-    texts = texts.select("value", parent_dir(F.col("_lp"), 2).alias("split"), file_stem(F.col("_lp")).alias("stem"))
     wanted = images.select("image_id", parent_dir(F.col("path"), 2).alias("split"), file_stem(F.col("path")).alias("stem"))
-    lines = texts.join(wanted, ["split", "stem"]).select("image_id", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
+    texts = _label_texts(spark, root).join(wanted, ["split", "stem"])
+    lines = texts.select("image_id", F.posexplode(F.split("text", "\r\n|\r|\n")).alias("pos", "line"))
     numbers = F.transform(F.split(F.trim("line"), r"\s+"), lambda x: x.try_cast("double"))
     named = lines.select("image_id", "pos", labels.translate(labels.parse_yolo_line(F.col("line"), names), src.class_map).alias("class_name"),
                          numbers.alias("numbers"))
