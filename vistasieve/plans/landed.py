@@ -6,10 +6,12 @@ The DuckDB statements read the tables themselves, so they hold writer and reader
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vistasieve.config import SHIPPED_CLASSES, SHIPPED_SOURCES, SourceDef, Thresholds
+from vistasieve.config import SHIPPED_CLASSES, SHIPPED_SOURCES, DedupConfig, SourceDef, Thresholds
 from vistasieve.operators import gate, quality, quota, split, stats
 from vistasieve.operators.rank import materialize
 from vistasieve.operators.seen import SeenNames
@@ -19,12 +21,14 @@ from vistasieve.plans.oracle import with_fx
 from vistasieve.plans.queries import (
     FX_GATED_SQL,
     ORACLE,
+    PLAN_TOTAL,
     SELECT_MAX_IMAGES,
     SELECT_TARGET,
     SKIP_SEEN_BEFORE_YEAR,
     _file_names,
     _gated,
     _landed_items,
+    _multi_source_sql,
     register,
 )
 from vistasieve.session import scratch_path
@@ -276,13 +280,25 @@ BITMAP_HEADER = ("424df600000000000000360000002800000008000000080000000100180000
 FOLDER_THRESHOLDS = Thresholds(min_shorter_side=BITMAP_SIDE, min_brightness=100.0, max_brightness=150.0, blur_threshold=0.0)
 
 
+def _bitmap(key: Column) -> Column:
+    """A colour bitmap made from a whole number."""
+    pixel = [(key * 37 + i * k) % 256 for i in range(BITMAP_SIDE ** 2) for k in (1, 3, 5)]  # blue, green, red
+    return F.unhex(F.concat(F.lit(BITMAP_HEADER), *[F.lpad(F.hex(p), 2, "0") for p in pixel]))
+
+
+def _brightness_sql(keys: str) -> str:
+    """CTEs g and b (k, brightness) of the bitmaps of the numbers k in the relation ``keys``."""
+    return f"""
+     g AS (SELECT k, ((((k * 37 + i * 5) % 256) * 19595 + ((k * 37 + i * 3) % 256) * 38470 + ((k * 37 + i) % 256) * 7471 + 32768) // 65536) AS grey
+           FROM {keys}, (SELECT unnest(range({BITMAP_SIDE ** 2})) AS i)),
+     b AS (SELECT k, CAST(sum(grey) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS brightness FROM g GROUP BY k)"""
+
+
 def _land_images(spark, sf) -> str:
     """A file per supplier in eight folders: a bitmap (decoders go by contents, not by suffix), an empty file or junk.
     Suffixes come in any case; ``.txt`` is none of an image."""
     key = F.col("s_suppkey")
-    pixel = [(key * 37 + i * k) % 256 for i in range(BITMAP_SIDE ** 2) for k in (1, 3, 5)]  # blue, green, red
-    body = F.unhex(F.concat(F.lit(BITMAP_HEADER), *[F.lpad(F.hex(p), 2, "0") for p in pixel]))
-    content = F.when(key % 11 == 0, F.lit(b"")).when(key % 7 == 0, F.lit(b"no image")).otherwise(body)
+    content = F.when(key % 11 == 0, F.lit(b"")).when(key % 7 == 0, F.lit(b"no image")).otherwise(_bitmap(key))
     suffix = F.element_at(F.array(*map(F.lit, (".png", ".PNG", ".Jpg", ".txt"))), (key % 4 + 1).cast("int"))
     path = F.concat(F.format_string("d%d/s%09d", key % 8, key), suffix)
     root = scratch_path(spark, "images")
@@ -293,10 +309,7 @@ def _land_images(spark, sf) -> str:
 
 @register("folder_gate", f"""
 WITH s AS (SELECT s_suppkey AS k, s_suppkey % 11 = 0 OR s_suppkey % 7 = 0 AS bad,
-             printf('s%09d', s_suppkey) || ['.png', '.PNG', '.Jpg', '.txt'][CAST(s_suppkey % 4 + 1 AS INT)] AS filename FROM supplier),
-     g AS (SELECT k, ((((k * 37 + i * 5) % 256) * 19595 + ((k * 37 + i * 3) % 256) * 38470 + ((k * 37 + i) % 256) * 7471 + 32768) // 65536) AS grey
-           FROM s, (SELECT unnest(range({BITMAP_SIDE ** 2})) AS i)),
-     b AS (SELECT k, CAST(sum(grey) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS brightness FROM g GROUP BY k)
+             printf('s%09d', s_suppkey) || ['.png', '.PNG', '.Jpg', '.txt'][CAST(s_suppkey % 4 + 1 AS INT)] AS filename FROM supplier),{_brightness_sql("s")}
 SELECT filename, CASE WHEN bad THEN 0 ELSE {BITMAP_SIDE} END AS width, CASE WHEN bad THEN 0 ELSE {BITMAP_SIDE} END AS height,
   CASE WHEN bad THEN CAST(0 AS DOUBLE) ELSE brightness END AS brightness,
   CASE WHEN bad THEN 'corrupted_or_unreadable' WHEN brightness < CAST({FOLDER_THRESHOLDS.min_brightness} AS DOUBLE) THEN 'too_dark'
@@ -306,3 +319,35 @@ def q_folder_gate(spark, sf) -> DataFrame:
     judged = curation.validate_folder(spark, _land_images(spark, sf), FOLDER_THRESHOLDS)[0]
     name = F.element_at(F.split("path", "/"), -1)
     return judged.select(name.alias("filename"), "width", "height", "brightness", F.array_join("reasons", ",").alias("reasons"))
+
+
+# ---------------------------------------------------------------------------
+# P2 (P1 P5 ST4 K1): a whole run over row sources with embedded images, as the metadata that it writes
+# ---------------------------------------------------------------------------
+_RUN_SQL = _multi_source_sql().replace("WITH", f"WITH allowed AS (SELECT * FROM ({_SOURCE_CLASSES_SQL}) AS t(source, class)),", 1).replace(
+    "FROM fx_item_class WHERE valid", "FROM fx_item_class JOIN allowed USING (source, class) WHERE valid", 1)
+
+
+@register("curation_run", with_fx(_RUN_SQL + f""",
+     s AS (SELECT image_id AS k FROM sel_all WHERE image_id % 7 <> 0),{_brightness_sql("s")},
+     kept AS (SELECT sel_all.*, printf('%s_%07d', source, row_idx) AS id FROM sel_all JOIN b ON b.k = sel_all.image_id
+              WHERE brightness >= CAST({FOLDER_THRESHOLDS.min_brightness} AS DOUBLE) AND brightness <= CAST({FOLDER_THRESHOLDS.max_brightness} AS DOUBLE)),
+     rk AS (SELECT id, row_number() OVER (ORDER BY md5('42:' || id), id) AS k, count(*) OVER () AS n FROM kept),
+     sp AS (SELECT id, {_SPLIT_SQL} FROM rk)
+SELECT kept.id, source AS dataset, source, array_to_string(classes, ',') AS classes, {BITMAP_SIDE} AS width, {BITMAP_SIDE} AS height, split
+FROM kept JOIN sp ON sp.id = kept.id""", "fx_item_class", "fx_items_wc", "fx_classes"))
+def q_curation_run(spark, sf):
+    """Rows are read by their readers, planned, selected, copied, decoded, measured, judged, split and written. One image in 37
+    is missing and one in 7 cannot be decoded. Near-duplicate removal has queries of its own and is off here."""
+    key = F.col("image_id")
+    rows = fx.fx_rows(spark, sf).select(
+        key, "source", F.struct(F.col("cats").alias("category")).alias("objects", metadata={"names": NAMES}),
+        F.when(key % fx.FX_UNDECODABLE_EVERY != 0, F.when(key % 7 == 0, F.lit(b"no image")).otherwise(_bitmap(key))).alias("image"))
+    path, out = scratch_path(spark, "landed-rows"), scratch_path(spark, "curation-run")
+    rows.orderBy("source", "image_id").write.partitionBy("source").parquet(path)
+    sources = [replace(s, kind="rows", path=f"{path}/source={s.name}") for s in SHIPPED_SOURCES]
+    report = curation.run(spark, sources, out, thresholds=FOLDER_THRESHOLDS, dedup_cfg=DedupConfig(enabled=False), total_images=PLAN_TOTAL)
+    if report.failed_sources:
+        raise RuntimeError(f"sources failed: {report.failed_sources}")
+    written = spark.read.schema("id string, dataset string, source string, classes array<string>, width int, height int, split string")
+    return written.json(f"{out}/metadata").withColumn("classes", F.array_join("classes", ","))
