@@ -310,7 +310,10 @@ def split_ids_file(spark: SparkSession, ids_path: str, cfg: SplitConfig = SplitC
     """Split the ids listed in a JSON (or parquet) file."""
     from vistasieve.sources.readers import read_ids
 
-    return split.split_exact(read_ids(spark, ids_path, "id"), "id", cfg)
+    ids = read_ids(spark, ids_path, "id")
+    if not ids_path.endswith(".parquet"):  # ranking reads its input several times: the JSON text is read once
+        ids = materialize(ids, "ids")
+    return split.split_exact(ids, "id", cfg)
 
 
 def convert_boxes_file(spark: SparkSession, boxes_json: str, width: int, height: int, classes=SHIPPED_CLASSES) -> DataFrame:

@@ -5,12 +5,15 @@ and on the depth of nesting. So a first pass gives, for each range, the parity o
 raise the depth, once if it begins outside a string and once inside; running sums over these few rows tell every
 range its state at the start (whether a quote is escaped is seen locally, by the backslashes before it). A second
 pass cuts the elements: a range owns those whose opening bracket or comma lies in it, and reads on beyond its end to
-finish the last one. Text that is no single array raises; the elements themselves are parsed by Spark.
+finish the last one. Both passes read a range in blocks, so a task holds a block and the element in hand, however long
+its range. Text that is no single array raises; the elements themselves are parsed by Spark.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +23,8 @@ from pyspark.sql import functions as F
 from vistasieve.functions.files import Folder
 from vistasieve.operators.rank import materialize
 
-SPLIT_BYTES = 64 << 20
+SPLIT_BYTES = 16 << 20
+BLOCK_BYTES = 1 << 20  # that a task holds at a time
 _STEP = np.zeros(256, np.int8)
 _STEP[list(b"[{")], _STEP[list(b"]}")] = 1, -1
 _STRUCTURAL = np.isin(np.arange(256), list(b"[]{},"))
@@ -88,29 +92,47 @@ def _depths(body: bytes, quotes: np.ndarray, marks: np.ndarray, inside: bool, de
     return marks, depth + np.cumsum(_STEP[np.frombuffer(body, np.uint8)[marks]], dtype=np.int64)
 
 
+def _escaped_behind(body: bytes, escaped: bool) -> bool:
+    """Whether what comes after ``body`` follows an odd number of backslashes."""
+    run = len(body) - len(body.rstrip(b"\\"))
+    return (run + (escaped and run == len(body))) % 2 == 1
+
+
+def _summary(path: str, start: int, length: int) -> tuple[int, int, int]:
+    """Parity of the quotes of this range, and how far it raises the depth if it begins outside and inside a string."""
+    file = _File(path)
+    escaped, odd, rise = file.escaped_at(start), False, [0, 0]
+    for at in range(start, start + length, BLOCK_BYTES):
+        body = file.bytes(at, min(BLOCK_BYTES, start + length - at))
+        quotes, marks = _structure(body, escaped)
+        for s in (False, True):
+            _, depths = _depths(body, quotes, marks, s != odd, 0)
+            rise[s] += int(depths[-1]) if len(depths) else 0
+        odd ^= len(quotes) % 2 == 1
+        escaped = _escaped_behind(body, escaped)
+    return int(odd), *rise
+
+
 def _summaries(batches):
     for batch in batches:
-        out = []
-        for path, start, length in zip(*(c.to_pylist() for c in batch.columns)):
-            file = _File(path)
-            body = file.bytes(start, length)
-            quotes, marks = _structure(body, file.escaped_at(start))
-            rise = [int(depth[-1]) if len(depth) else 0 for _, depth in (_depths(body, quotes, marks, s, 0) for s in (False, True))]
-            out.append((path, start, length, len(quotes) % 2, *rise))
+        out = [(*r, *_summary(*r)) for r in zip(*(c.to_pylist() for c in batch.columns))]
         cols = list(zip(*out)) if out else [()] * 6
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])],
                                          names=["path", "start", "length", "quotes", "outside", "inside"])
 
 
-def _elements(path: str, start: int, length: int, inside: bool, depth: int) -> list[bytes]:
+def _elements(path: str, start: int, length: int, inside: bool, depth: int) -> Iterator[bytes]:
     """The elements that begin in this range of the file."""
     file = _File(path)
-    body, escaped, at = file.bytes(start, length), file.escaped_at(start), start
+    escaped, at, stop = file.escaped_at(start), start, start + length
     if start == 0 and file.first()[1] != b"[":
         raise MalformedArray(f"{path} is not a JSON array")
-    found, open_ = [], None  # bytes so far of the element at the end of what was read
-    while body:
-        own = at == start
+    open_, first_open, any_found = None, False, False  # parts so far of the element at the end of what was read
+    while at < stop or open_ is not None:
+        own = at < stop
+        body = file.bytes(at, min(BLOCK_BYTES, stop - at) if own else BLOCK_BYTES)
+        if not body:
+            raise MalformedArray(f"{path} ends inside its array")
         quotes, marks = _structure(body, escaped)
         marks, depths = _depths(body, quotes, marks, inside, depth)
         raw = np.frombuffer(body, np.uint8)
@@ -121,18 +143,19 @@ def _elements(path: str, start: int, length: int, inside: bool, depth: int) -> l
             low = np.r_[depth, depths] <= 0
             bounds = np.r_[0, marks + 1, len(body)]
             for a, b in zip(bounds[:-1][low].tolist(), bounds[1:][low].tolist()):
-                rest = body[a:b].strip(b" \t\r\n").removeprefix(b"\xef\xbb\xbf" if start + a == 0 else b"").strip(b" \t\r\n")
+                rest = body[a:b].strip(b" \t\r\n").removeprefix(b"\xef\xbb\xbf" if at + a == 0 else b"").strip(b" \t\r\n")
                 if rest not in (b"", b"[") or (rest == b"[" and file.first()[0] != at + b - 1):
                     raise MalformedArray(f"{path} holds more than one JSON array")
+        begin = 0
         for mark, level, sign in zip(marks[edge].tolist(), depths[edge].tolist(), kind[edge].tolist()):
             if open_ is not None:
-                begin, text = open_
-                text = (text + body[begin:mark]).strip(b" \t\r\n")
+                text = (b"".join([*open_, body[begin:mark]]) if open_ else body[begin:mark]).strip(b" \t\r\n")
                 if sign in b"}]" and (level < 0 or sign == 0x7D):
                     raise MalformedArray(f"{path}: a bracket at byte {at + mark} closes nothing")
                 if text:
-                    found.append(text)
-                elif not (sign == 0x5D and not found and first_open):
+                    yield text
+                    any_found = True
+                elif not (sign == 0x5D and not any_found and first_open):
                     raise MalformedArray(f"{path}: an element before byte {at + mark} is missing")
                 open_ = None
             if not own:
@@ -140,28 +163,24 @@ def _elements(path: str, start: int, length: int, inside: bool, depth: int) -> l
             if sign in b"[{,":
                 if sign == 0x7B:
                     raise MalformedArray(f"{path} is not a JSON array")
-                open_, first_open = (mark + 1, b""), sign == 0x5B
-        if open_ is None:
-            return found
+                open_, begin, first_open = [], mark + 1, sign == 0x5B
+        if open_ is not None:
+            open_.append(body[begin:])
         inside = bool((inside + len(quotes)) % 2)
         depth = int(depths[-1]) if len(depths) else depth
-        open_ = (0, open_[1] + body[open_[0]:])
-        run = len(body) - len(body.rstrip(b"\\"))
-        escaped = (run + (escaped and run == len(body))) % 2 == 1
+        escaped = _escaped_behind(body, escaped)
         at += len(body)
-        body = file.bytes(at, 1 << 20)
-    raise MalformedArray(f"{path} ends inside its array")
 
 
 def _cut(batches):
     for batch in batches:
         for path, start, length, inside, depth in zip(*(c.to_pylist() for c in batch.columns)):
-            found = _elements(path, start, length, bool(inside), depth)
-            for lo in range(0, len(found), 10_000):
-                part = found[lo:lo + 10_000]
+            found, n = _elements(path, start, length, bool(inside), depth), 0
+            while part := list(islice(found, 10_000)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([path] * len(part)), pa.array(np.full(len(part), start)), pa.array(np.arange(lo, lo + len(part), dtype=np.int32)),
+                    [pa.array([path] * len(part)), pa.array(np.full(len(part), start)), pa.array(np.arange(n, n + len(part), dtype=np.int32)),
                      pa.array(part, pa.binary()).cast(pa.string())], names=["path", "start", "n", "element"])
+                n += len(part)
 
 
 def _as_array(batches):
@@ -183,7 +202,8 @@ def write_array(rows: DataFrame, path: str) -> None:
 
 
 def read_array(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """``path``, ``start``, ``n`` (in this order the order of the file) and ``element`` (JSON text) of all array elements."""
+    """``path``, ``start``, ``n`` and ``element`` (JSON text) of all array elements, in the order of the first three, which
+    is that of the files: ranges are dealt to tasks in order, so rows need no sort."""
     files = spark.read.format("binaryFile").load(path).select("path", "length")
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split_bytes).cast("long"))
     ranges = files.select("path", "length", F.explode(starts).alias("start"))
@@ -199,5 +219,6 @@ def read_array(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -
     ends = states.groupBy("path").agg((F.sum("quotes") % 2).alias("q"), F.sum("rise").alias("d")).where("q <> 0 OR d <> 0").take(1)
     if ends:
         raise MalformedArray(f"{ends[0].path} ends inside a string or a bracket")
-    cut = states.select("path", "start", "length", "in_string", "depth").repartition(width, "path", "start")
+    cut = states.select("path", "start", "length", "in_string", "depth").repartitionByRange(width, "path", "start")
+    cut = cut.sortWithinPartitions("path", "start")  # of ranges, not of elements
     return cut.mapInArrow(_cut, _ELEMENT)
