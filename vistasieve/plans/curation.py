@@ -317,12 +317,12 @@ def split_ids_file(spark: SparkSession, ids_path: str, cfg: SplitConfig = SplitC
 
 
 def convert_boxes_file(spark: SparkSession, boxes_json: str, width: int, height: int, classes=SHIPPED_CLASSES) -> DataFrame:
-    """YOLO lines for one image's COCO boxes (unknown classes skipped)."""
+    """YOLO lines for one image's COCO boxes (unknown classes skipped), in the order of the file, which the reader keeps."""
     from vistasieve.sources.readers import read_boxes_json
 
     b = read_boxes_json(spark, boxes_json).withColumn("image_id", F.lit(0)).withColumn("width", F.lit(width)).withColumn("height", F.lit(height))
     lines = box_ops.render_lines(box_ops.to_yolo(b, classes_df(spark, classes), strict=True))
-    return lines.orderBy("path", "start", "n").select("line")
+    return lines.select("line")
 
 
 def check_sources(spark: SparkSession, sources: list[SourceDef], names: list[str] | None = None) -> DataFrame:
