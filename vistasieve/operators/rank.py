@@ -53,6 +53,20 @@ def range_tag(df: DataFrame, keys: Sequence[Column], n: int) -> DataFrame:
     )
 
 
+# Rows that a task sorts or joins at a time (``spread``).
+SPREAD_ROWS = 1 << 20
+
+
+def spread(df: DataFrame, rows: int, *keys: str | Column) -> DataFrame:
+    """``df`` dealt by ``keys`` so that a task gets about ``SPREAD_ROWS`` of its ``rows`` rows.
+
+    The shuffle width of the session is a fixed number, so what a task sorts for a join or a grouping would grow with
+    the input. Within that width ``df`` is left to adaptive execution. Both sides of a join are spread by the same ``rows``.
+    """
+    n = -(-rows // SPREAD_ROWS)
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 # Rows per range partition of ``global_rank`` (narrow rows: keys and a few columns).
 RANK_ROWS_PER_PARTITION = 4_000_000
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistasieve.config import SHIPPED_CLASSES, classes_df
-from vistasieve.operators.rank import global_rank
+from vistasieve.operators.rank import global_rank, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +100,8 @@ def fx_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = fx_measures(spark, sf_dir).select("image_id", "width", "height").where(F.col("width") > 0)
     names = F.broadcast(fx_classes(spark).select(F.col("id").alias("cid"), F.col("name")))
     li = li.withColumn("cid", (F.col("l_partkey") % 11).cast("int"))
+    n = li.count()
+    li, m = spread(li, n, "l_orderkey"), spread(m, n, "image_id")
     j = li.join(m, li["l_orderkey"] == m["image_id"]).join(names, "cid", "left")
     return j.select(
         F.col("image_id"),
