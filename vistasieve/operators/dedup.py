@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vistasieve.operators.components import connected
-from vistasieve.operators.rank import materialize
+from vistasieve.operators.rank import materialize, spread
 
 _MASK64 = (1 << 64) - 1
 
@@ -54,8 +55,6 @@ def choose_blocks(n: int, t: int, max_extra: int = 10) -> int:
     C(m, m-t) * (n + n^2 / 2^(bits + 1)); m = t + 1 for small n, longer keys as
     n grows (for t = 5: m = 6 up to about 10^4 hashes, 7 near 10^6, 9 near 10^8).
     """
-    from math import comb
-
     best, best_cost = t + 1, None
     for m in range(t + 1, t + 1 + max_extra):
         copies = comb(m, m - t)
@@ -115,13 +114,16 @@ def collapse_equal(hashes: DataFrame, key: str = "image_id", order: str = "ord")
 
 
 def near_pairs(reps: DataFrame, t: int, num_blocks: int | None = None) -> DataFrame:
-    """Pairs of distinct hashes (``reps``: h64, id, ord, ...) within ``t``, earlier first."""
-    m = num_blocks or choose_blocks(reps.count(), t)
+    """Pairs of distinct hashes (``reps``: h64, id, ord, ...) within ``t``, earlier first; tasks follow the number of keys."""
+    n = reps.count()
+    m = num_blocks or choose_blocks(n, t)
     if m <= t:
         raise ValueError("num_blocks must exceed the distance threshold")
     keyed, blocks = _keyed(reps, t, m)
     a = keyed.select(*[F.col(c).alias(f"a_{c}") for c in keyed.columns])
     b = keyed.select(*[F.col(c).alias(f"b_{c}") for c in keyed.columns])
+    copies = n * comb(m, m - t)
+    a, b = spread(a, copies, "a_cmask", "a_bkey"), spread(b, copies, "b_cmask", "b_bkey")
     j = a.join(b, (F.col("a_cmask") == F.col("b_cmask")) & (F.col("a_bkey") == F.col("b_bkey")) & (F.col("a_ord") < F.col("b_ord")))
     xor = F.col("a_h64").bitwiseXOR(F.col("b_h64"))
     dist = F.bit_count(xor)
