@@ -14,6 +14,7 @@ from urllib.parse import unquote, urlparse
 
 class Folder:
     def __init__(self, uri: str):
+        self.made: set[str] = set()  # folders that need not be made again
         parsed = urlparse(uri)
         self.local = parsed.scheme in ("", "file")
         if self.local:
@@ -26,18 +27,18 @@ class Folder:
 
     def write(self, name: str):
         path = f"{self.root}/{name}"
-        if self.local:
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            return open(path, "wb")
-        self.fs.create_dir(os.path.dirname(path), recursive=True)
-        return self.fs.open_output_stream(path)
+        self.make_parent(name)
+        return open(path, "wb") if self.local else self.fs.open_output_stream(path)
 
     def make_parent(self, name: str) -> None:
         path = os.path.dirname(f"{self.root}/{name}")
+        if path in self.made:
+            return
         if self.local:
             os.makedirs(path, exist_ok=True)
         else:
             self.fs.create_dir(path, recursive=True)
+        self.made.add(path)
 
     def read(self, name: str):
         path = f"{self.root}/{name}"

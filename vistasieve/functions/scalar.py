@@ -15,18 +15,19 @@ def item_name(source: Column, idx: Column, suffix: str = ".jpg") -> Column:
     return F.format_string("%s_%07d" + suffix.replace("%", "%%"), source, idx)
 
 
+# These patterns begin where a name does: tried at every character instead, they take time by the square of the length.
 def file_stem(path: Column) -> Column:
     """File name without its last extension."""
-    return F.regexp_extract(path, r"([^/]+)\.[^./]*$", 1)
+    return F.regexp_extract(path, r"(?:^|/)([^/]+)\.[^./]*$", 1)
 
 
 def file_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]+)$", 1)
+    return F.regexp_extract(path, r"(?:^|/)([^/]++)$", 1)
 
 
 def parent_dir(path: Column, levels: int = 1) -> Column:
     """Name of the folder ``levels`` above the file (1 = containing folder)."""
-    pattern = r"([^/]+)" + r"/[^/]+" * levels + r"$"
+    pattern = r"(?:^|/)([^/]++)" + r"/[^/]++" * levels + r"$"
     return F.regexp_extract(path, pattern, 1)
 
 

@@ -138,10 +138,11 @@ def _texts(batches):
     def rows(paths, texts):
         return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(texts, pa.string())], names=["path", "text"])
 
+    folder = functools.lru_cache(64)(Folder)
     for batch in batches:
         paths, texts, size = [], [], 0
         for path in batch.column(0).to_pylist():
-            with Folder(os.path.dirname(path.removeprefix("file:"))).read(os.path.basename(path)) as f:
+            with folder(os.path.dirname(path.removeprefix("file:"))).read(os.path.basename(path)) as f:
                 texts.append(f.read().decode("utf-8-sig", "replace"))
             paths.append(path)
             size += len(texts[-1])
@@ -246,14 +247,12 @@ def read_yolo_export(
         .withColumn("filename", file_name(F.col("path")))
         .withColumn("_sr", F.try_element_at(split_rank, F.col("split")))
     )
+    ranked = global_rank(imgs, ["_sr", "path"], rank_col="row_idx")  # reads its input several times: of paths alone
     lines = _label_texts(spark, root).select("split", "stem", F.explode(F.split("text", "\r\n|\r|\n")).alias("line"))
     per_image = labels.classes_from_yolo_lines(lines, ["split", "stem"], names, allowed, class_map)
-    imgs = imgs.join(per_image, ["split", "stem"], "left")
-    imgs = imgs.withColumn("classes", F.coalesce("classes", F.array().cast("array<string>")))
-    ranked = global_rank(imgs, ["_sr", "path"], rank_col="row_idx")
-    return ranked.select(
+    return ranked.join(per_image, ["split", "stem"], "left").select(
         F.col("path").alias("image_id"), F.lit(source).alias("source"), "row_idx", F.lit(True).alias("valid"),
-        "classes", "path", "filename", "split", "length",
+        F.coalesce("classes", F.array().cast("array<string>")).alias("classes"), "path", "filename", "split", "length",
     )
 
 
